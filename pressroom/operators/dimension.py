@@ -1,0 +1,23 @@
+"""Size-checked broadcast of dimension tables.
+
+A side is broadcast only after a bounded check proves it has at most
+``max_rows`` rows (``limit(max_rows + 1).count()`` reads at most that many
+rows). Beyond the bound the frame is returned unhinted, and the join falls
+back to a shuffle join that AQE may still turn into a broadcast from runtime
+statistics.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+DEFAULT_MAX_ROWS = 100_000
+
+
+def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it provably has <= max_rows rows, else ``df``."""
+    return F.broadcast(df) if fits(df, max_rows) else df
