@@ -133,8 +133,8 @@ def render_date(ts, rule: str, as_of: _dt.datetime | None = None) -> Column:
 
 
 def week_start(ts) -> Column:
-    """Monday 00:00 of the week holding ``ts`` (ISO weeks)."""
-    return F.date_trunc("week", _c(ts)).cast("timestamp_ntz")
+    """Monday 00:00 of the week holding ``ts`` (ISO weeks), time-zone free."""
+    return F.date_sub(F.next_day(F.to_date(_c(ts)), "Mon"), 7).cast("timestamp_ntz")
 
 
 def age_days(published_at, as_of: _dt.date) -> Column:
