@@ -20,16 +20,19 @@ def scored(spark, sf_dir, listed=None):
     return S.score_news(work, B.replies(spark, sf_dir), B.authority(spark, sf_dir, listed), B.AS_OF)
 
 
-def _score_sql(listed: int | None = None, tail: str = "") -> str:
-    auth = "SELECT name, min(rank) AS rank FROM authority"
-    auth += f" WHERE rank <= {listed}" if listed is not None else ""
-    auth += " GROUP BY name"
-    return with_(["news", "replies", "authority"], f"""
+SCORE_SELECT = """
 SELECT id, source, rate, rate_num, age_days, source_rank, is_scored,
   round(coalesce(CASE WHEN r_hi = r_lo THEN NULL ELSE (rate_num - r_lo) / (r_hi - r_lo) END, 0)
       + coalesce(CASE WHEN a_hi = a_lo THEN NULL ELSE (age_days - a_lo) / (a_hi - a_lo) END, 0)
       + coalesce(CASE WHEN s_hi = s_lo THEN NULL ELSE (source_rank - s_lo) / (s_hi - s_lo) END, 0), 9) AS score
-FROM sig2, bounds {tail}""", [
+FROM sig2, bounds"""
+
+
+def score_ctes(listed: int | None = None) -> list[tuple[str, str]]:
+    auth = "SELECT name, min(rank) AS rank FROM authority"
+    auth += f" WHERE rank <= {listed}" if listed is not None else ""
+    auth += " GROUP BY name"
+    return [
         ("work", """SELECT * FROM news WHERE (NOT is_summarized AND is_requested_for_summarization)
                      OR (is_requested_for_scoring AND NOT is_scored)"""),
         ("polled", """SELECT w.*, CASE WHEN r.done THEN r.text END AS reply,
@@ -48,7 +51,11 @@ FROM sig2, bounds {tail}""", [
                         CAST(min(age_days) AS DOUBLE) AS a_lo, CAST(max(age_days) AS DOUBLE) AS a_hi,
                         CAST(min(source_rank) AS DOUBLE) AS s_lo, CAST(max(source_rank) AS DOUBLE) AS s_hi
                       FROM sig2"""),
-    ])
+    ]
+
+
+def _score_sql(listed: int | None = None, tail: str = "") -> str:
+    return with_(["news", "replies", "authority"], SCORE_SELECT + " " + tail, score_ctes(listed))
 
 
 @query("news_score", "K4 C8 C13 J4 D2j I6 I14 D3j E2 I15 I16", _score_sql())
