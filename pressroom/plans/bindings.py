@@ -146,3 +146,55 @@ def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = d.select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(EMAIL_PATTERN), 0))
                      .alias("k", "email"))
     return found.select((F.col("doc_id") * 1000 + F.col("k")).alias("id"), "email")
+
+
+def source_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules table, one row per source: payload kind (even-ranked sources
+    publish a JSON listing, the others an RSS feed) and the categories their
+    feed allowlist accepts."""
+    a = authority(spark, sf_dir)
+    return a.select(F.col("name").alias("source"),
+                    F.when(F.col("rank") % 2 == 0, "json").otherwise("rss").alias("kind"))
+
+
+def category_allowlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source, category) pairs accepted by the RSS category gate: the
+    English and German items of every source."""
+    d = read_table(spark, sf_dir, "documents")
+    return (d.where(F.col("lang").isin("en", "de"))
+            .select("source", F.col("lang").alias("category")).distinct())
+
+
+def _page_id(source: Column, page: Column) -> Column:
+    return (F.regexp_extract(source, r"([0-9]+)$", 1).cast("long") * 1_000_000 + page).alias("feed_id")
+
+
+def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One RSS document per listing page (20 items at most, so a document's
+    size is bounded however large a source grows)."""
+    item = F.concat(
+        F.lit("<item><title>Doc "), F.col("id").cast("string"), F.lit("</title><link>"), F.col("url"),
+        F.lit("</link><pubDate>"), F.date_format("published_at", "EEE, dd MMM yyyy HH:mm:ss"),
+        F.lit(" +0000</pubDate><category>"), F.col("lang"), F.lit("</category></item>"))
+    pages = (listing(spark, sf_dir)
+             .groupBy("source", "page")
+             .agg(F.array_sort(F.collect_list(F.struct("pos", item.alias("x")))).alias("items")))
+    return pages.select(_page_id(F.col("source"), F.col("page")), "source", "page",
+                        F.concat(F.lit("<rss><channel>"),
+                                 F.array_join(F.transform("items", lambda s: s["x"]), ""),
+                                 F.lit("</channel></rss>")).alias("xml"))
+
+
+def listings_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON listing page per (source, page): hits.hit[].fields with the
+    post title, content, epoch-seconds date and url."""
+    from pressroom.functions.dates import ntz_epoch_seconds
+
+    hit = F.struct("pos", F.struct(F.struct(
+        F.col("title").alias("post_title"), F.col("content").alias("post_content"),
+        ntz_epoch_seconds("published_at").alias("post_date_gmt"),
+        F.col("url").alias("post_url")).alias("fields")).alias("h"))
+    pages = (listing(spark, sf_dir).groupBy("source", "page")
+             .agg(F.array_sort(F.collect_list(hit)).alias("hits")))
+    doc = F.to_json(F.struct(F.struct(F.transform("hits", lambda s: s["h"]).alias("hit")).alias("hits")))
+    return pages.select("source", "page", doc.alias("json"))

@@ -86,3 +86,26 @@ def with_(names: list[str], body: str, ctes: list[tuple[str, str]] | None = None
     parts = [f"{n} AS ({BINDINGS[n]})" for n in order]
     parts += [f"{n} AS ({sql})" for n, sql in (ctes or [])]
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
+
+
+def unescape(expr: str) -> str:
+    """DuckDB text of ``extract.unescape``."""
+    from pressroom.operators.extract import ENTITIES
+    for ent, ch in ENTITIES:
+        lit = ch.replace("'", "''")
+        expr = f"replace({expr}, '{ent}', '{lit}')"
+    return expr
+
+
+def strip_tags(expr: str) -> str:
+    return unescape(f"regexp_replace({expr}, '<[^>]*>', '', 'g')")
+
+
+def container(expr: str, tag: str = "article") -> str:
+    return rf"regexp_extract({expr}, '(?s)<{tag}\b[^>]*>(.*?)</{tag}>', 1)"
+
+
+def paragraphs(fragment: str) -> str:
+    piece_text = strip_tags("split_part(piece, '</p>', 1)")
+    return (rf"list_transform(regexp_split_to_array({fragment}, '<p\b[^>]*>')[2:], "
+            f"lambda piece: {piece_text})")

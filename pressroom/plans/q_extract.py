@@ -1 +1,238 @@
-"""Queries (filled in below)."""
+"""Extraction queries over payload tables (RSS feeds, JSON listings, HTML
+pages), paging early stop, and the ingest job."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pressroom.operators import extract as X
+from pressroom.operators import relate as R
+from pressroom.operators import select as C
+from pressroom.operators.sequence import append_ids
+from pressroom.plans import bindings as B
+from pressroom.plans import duck as D
+from pressroom.plans.duck import with_
+from pressroom.plans.registry import query
+from pressroom.sources.tables import read_table
+
+col = F.col
+LO, HI = "TIMESTAMP '2024-06-20 00:00:00'", "TIMESTAMP '2024-08-31 23:59:59'"
+FEED_ID = "CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) * 1000000 + page"
+RULES_SQL = "SELECT name AS source, CASE WHEN rank % 2 = 0 THEN 'json' ELSE 'rss' END AS kind FROM authority"
+
+
+def _pages(spark, sf_dir):
+    return read_table(spark, sf_dir, "pages")
+
+
+# --- RSS and JSON payloads ----------------------------------------------------------
+
+
+@query("rss_items", "A9 B1 B12 I10(rfc822) H2", with_(["listing"], f"""
+SELECT {FEED_ID} AS feed_id, source, 'Doc ' || CAST(id AS VARCHAR) AS title, url, published_at, lang AS category
+FROM listing"""))
+def rss_items(spark, sf_dir):
+    items = X.rss_items(B.feeds(spark, sf_dir))
+    return items.select("feed_id", "source", "title", "url", "published_at", "category")
+
+
+@query("rss_category_filter", "B2 D7j", with_(["news"], """
+SELECT source, url, lang AS category FROM news WHERE lang IN ('en', 'de')"""))
+def rss_category_filter(spark, sf_dir):
+    items = X.rss_items(B.feeds(spark, sf_dir))
+    kept = X.category_gate(items, B.category_allowlist(spark, sf_dir))
+    return kept.select("source", "url", "category")
+
+
+@query("json_listing", "A10 B3 D22", with_(["listing"], """
+SELECT source, page, title, content, url, published_at FROM listing"""))
+def json_listing(spark, sf_dir):
+    hits = X.json_hits(B.listings_json(spark, sf_dir))
+    return hits.select("source", "page", "title", "content", "url", "published_at")
+
+
+@query("canonical_articles", "C1 B13 B12", with_(["news"], """
+SELECT 'Doc ' || CAST(id AS VARCHAR) AS title, '' AS content, url, lang, source, published_at FROM news"""))
+def canonical_articles(spark, sf_dir):
+    items = X.rss_items(B.feeds(spark, sf_dir))
+    records = items.select("title", F.lit(None).cast("string").alias("content"), "url",
+                           col("category").alias("language"), "source",
+                           col("published_at").alias("date"))
+    return C.canonical_articles(records)
+
+
+# --- paging ------------------------------------------------------------------------------
+
+
+@query("early_stop_page", "C4 F1 D18", with_(["listing"], f"""
+SELECT id, source, page FROM (
+  SELECT *, coalesce(max(CASE WHEN published_at < {LO} THEN 1 ELSE 0 END) OVER (
+    PARTITION BY source ORDER BY page RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stopped
+  FROM listing)
+WHERE stopped = 0 AND published_at BETWEEN {LO} AND {HI}"""))
+def early_stop_page(spark, sf_dir):
+    kept = X.early_stop_page(B.listing(spark, sf_dir), B.WINDOW_MIN, B.WINDOW_MAX)
+    return kept.select("id", "source", "page")
+
+
+@query("early_stop_row", "C5 F1 D18", with_(["listing"], f"""
+SELECT id, source, pos FROM (
+  SELECT *, max(CASE WHEN published_at < {LO} THEN 1 ELSE 0 END) OVER (
+    PARTITION BY source ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stopped
+  FROM listing)
+WHERE stopped = 0 AND published_at <= {HI}"""))
+def early_stop_row(spark, sf_dir):
+    kept = X.early_stop_row(B.listing(spark, sf_dir), B.WINDOW_MIN, B.WINDOW_MAX)
+    return kept.select("id", "source", "pos")
+
+
+@query("page_frontier", "A14 B10", with_(["listing"], """
+SELECT source, mode, page_no,
+  'https://' || source || '.example.com/news?' || CASE WHEN mode = 'offset' THEN 'start=' ELSE 'page=' END
+    || CAST(page_no AS VARCHAR) AS url
+FROM (
+  SELECT source, 'one_based' AS mode, unnest(range(1, n + 1)) AS page_no FROM (SELECT source, max(page) + 1 AS n FROM listing GROUP BY source)
+  UNION ALL SELECT source, 'zero_based', unnest(range(0, n)) FROM (SELECT source, max(page) + 1 AS n FROM listing GROUP BY source)
+  UNION ALL SELECT source, 'offset', unnest(range(0, n * 20, 20)) FROM (SELECT source, max(page) + 1 AS n FROM listing GROUP BY source)
+  UNION ALL SELECT source, 'from_two', unnest(range(2, n + 1)) FROM (SELECT source, max(page) + 1 AS n FROM listing GROUP BY source))"""))
+def page_frontier(spark, sf_dir):
+    from pressroom.operators.frontier import frontier
+    n_pages = B.listing(spark, sf_dir).groupBy("source").agg((F.max("page") + 1).alias("n"))
+    return frontier(n_pages, "https://{source}.example.com/news?", B.PAGE_SIZE)
+
+
+# --- HTML pages -------------------------------------------------------------------------------
+
+
+@query("scan_pages", "A11", "SELECT page_id, url, CAST(length(html) AS BIGINT) AS n_chars FROM pages")
+def scan_pages(spark, sf_dir):
+    return _pages(spark, sf_dir).select("page_id", "url", F.length("html").cast("long").alias("n_chars"))
+
+
+_NAV = """SELECT page_id, url, h, t, unnest(range(1, len(h) + 1)) AS k FROM (
+    SELECT page_id, url, regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1) AS h,
+           regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 2) AS t FROM pages)"""
+
+
+@query("listing_cards", "B4 H2", f"""
+SELECT page_id, url, k - 1 AS pos, h[k] AS href, {D.unescape('t[k]')} AS text FROM ({_NAV})""")
+def listing_cards(spark, sf_dir):
+    cards = X.nav_cards(_pages(spark, sf_dir))
+    return cards.select("page_id", "url", col("pos").cast("long").alias("pos"), "href", "text")
+
+
+@query("absolute_links", "B11", f"""
+SELECT page_id, k - 1 AS pos,
+  CASE WHEN starts_with(h[k], '/') THEN regexp_extract(url, '^(https?://[^/]+)', 1) || h[k] ELSE h[k] END AS link
+FROM ({_NAV})""")
+def absolute_links(spark, sf_dir):
+    cards = X.nav_cards(_pages(spark, sf_dir))
+    return cards.select("page_id", col("pos").cast("long").alias("pos"),
+                        X.absolute(col("url"), col("href")).alias("link"))
+
+
+@query("article_text", "B5", f"""
+SELECT page_id, {D.strip_tags(D.container('html'))} AS text FROM pages""")
+def article_text(spark, sf_dir):
+    return _pages(spark, sf_dir).select("page_id", X.strip_tags(X.container(col("html"))).alias("text"))
+
+
+@query("first_paragraph", "B6 D21 D24", f"""
+SELECT page_id, coalesce({D.paragraphs(D.container('html'))}[1], '') AS first FROM pages""")
+def first_paragraph(spark, sf_dir):
+    return _pages(spark, sf_dir).select("page_id", X.first_paragraph(col("html")).alias("first"))
+
+
+@query("paragraphs_joined", "B7 D24", f"""
+SELECT page_id, array_to_string(list_transform({D.paragraphs(D.container('html'))}, lambda p: p || chr(10)), '')
+  AS text FROM pages""")
+def paragraphs_joined(spark, sf_dir):
+    return _pages(spark, sf_dir).select("page_id", X.paragraphs_joined(col("html")).alias("text"))
+
+
+def _boilerplate_sql() -> str:
+    body = r"regexp_extract(html, '(?s)<body\b[^>]*>(.*)</body>', 1)"
+    for pat in X.BOILERPLATE:
+        body = f"regexp_replace({body}, '{pat}', '', 'g')"
+    return rf"regexp_replace({D.strip_tags(body)}, '\n+', chr(10), 'g')"
+
+
+@query("article_minus_boilerplate", "B8", f"SELECT page_id, {_boilerplate_sql()} AS text FROM pages")
+def article_minus_boilerplate(spark, sf_dir):
+    return _pages(spark, sf_dir).select("page_id", X.text_without_boilerplate(col("html")).alias("text"))
+
+
+@query("page_meta", "B9", rf"""
+SELECT page_id, {D.unescape("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} AS title,
+  regexp_extract(html, '<html\b[^>]*\blang="([^"]*)"', 1) AS lang FROM pages""")
+def page_meta(spark, sf_dir):
+    p = _pages(spark, sf_dir)
+    return p.select("page_id", X.page_title(col("html")).alias("title"), X.page_lang(col("html")).alias("lang"))
+
+
+@query("attach_content", "D1j B14", with_(["news"], f"""
+SELECT n.id, p.page_id IS NOT NULL AS fetched,
+  CAST(length(coalesce({D.strip_tags(D.container('p.html'))}, '')) AS BIGINT) AS n_chars
+FROM news n LEFT JOIN pages p ON n.id = p.page_id"""))
+def attach_content(spark, sf_dir):
+    n = B.news(spark, sf_dir).select("id")
+    fetched = _pages(spark, sf_dir).select(col("page_id").alias("id"),
+                                           X.strip_tags(X.container(col("html"))).alias("content"),
+                                           F.lit(True).alias("fetched"))
+    j = R.attach_content(n, fetched.select("id", "content"), on="id")
+    j = j.join(fetched.select("id", "fetched"), "id", "left")
+    return j.select("id", F.coalesce(col("fetched"), F.lit(False)).alias("fetched"),
+                    F.length("content").cast("long").alias("n_chars"))
+
+
+# --- the ingest job -----------------------------------------------------------------------------
+
+
+def ingest(spark, sf_dir):
+    """K1: RSS sources are gated by date window, JSON-listing sources by the
+    paged early stop; both are attached to their article text by url,
+    projected to the article schema, unioned by name, and appended after the
+    articles already stored (those published before the window) with fresh ids."""
+    news = B.news(spark, sf_dir)
+    rules = B.source_rules(spark, sf_dir)
+    texts = news.select("url", "content")
+
+    rss = X.rss_items(B.feeds(spark, sf_dir)).join(rules.where(col("kind") == "rss"), "source", "left_semi")
+    rss = C.date_window(rss, B.WINDOW_MIN, B.WINDOW_MAX)
+    rss = R.attach_content(rss.select("title", "url", col("category").alias("language"), "source",
+                                      col("published_at").alias("date")), texts)
+
+    listing = B.listing(spark, sf_dir).join(rules.where(col("kind") == "json"), "source", "left_semi")
+    stopped = X.early_stop_page(listing, B.WINDOW_MIN, B.WINDOW_MAX).select("source", "page", "url", "lang")
+    pages = B.listings_json(spark, sf_dir).join(stopped.select("source", "page").distinct(),
+                                                ["source", "page"], "left_semi")
+    json_rows = (X.json_hits(pages).join(stopped.select("url", "lang"), "url", "inner")
+                 .select("title", "content", "url", col("lang").alias("language"), "source",
+                         col("published_at").alias("date")))
+    incoming = C.canonical_articles(rss).unionByName(C.canonical_articles(json_rows))
+    stored = news.where(col("published_at") < F.lit(B.WINDOW_MIN)).select(
+        "id", "title", "content", "url", "lang", "source", "published_at")
+    top = stored.agg(F.max("id")).scalar()
+    added = append_ids(top, incoming, [col("source").asc(), col("url").asc()])
+    return stored.unionByName(added.select(*stored.columns))
+
+
+@query("job_ingest", "K1 C3 C4 C1 D1j H1 C2 A5", with_(["news", "listing", "authority"], f"""
+SELECT id, title, url, lang, source, published_at, CAST(length(content) AS BIGINT) AS n_chars FROM (
+  SELECT id, title, content, url, lang, source, published_at FROM news WHERE published_at < {LO}
+  UNION ALL
+  SELECT (SELECT max(id) FROM news WHERE published_at < {LO}) + row_number() OVER (ORDER BY source, url),
+         title, content, url, lang, source, published_at FROM (
+    SELECT 'Doc ' || CAST(n.id AS VARCHAR) AS title, n.content, n.url, n.lang, n.source, n.published_at
+    FROM news n JOIN rules r ON n.source = r.source AND r.kind = 'rss'
+    WHERE n.published_at BETWEEN {LO} AND {HI}
+    UNION ALL
+    SELECT l.title, l.content, l.url, l.lang, l.source, l.published_at FROM (
+      SELECT *, coalesce(max(CASE WHEN published_at < {LO} THEN 1 ELSE 0 END) OVER (
+        PARTITION BY source ORDER BY page RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stopped
+      FROM listing) l JOIN rules r ON l.source = r.source AND r.kind = 'json'
+    WHERE l.stopped = 0 AND l.published_at BETWEEN {LO} AND {HI}))""", [("rules", RULES_SQL)]))
+def job_ingest(spark, sf_dir):
+    out = ingest(spark, sf_dir)
+    return out.select("id", "title", "url", "lang", "source", "published_at",
+                      F.length("content").cast("long").alias("n_chars"))
