@@ -37,7 +37,11 @@ def rate_reply(id_col: Column) -> Column:
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read_table(spark, sf_dir, "documents")
+    return news_from(read_table(spark, sf_dir, "documents"))
+
+
+def news_from(d: DataFrame) -> DataFrame:
+    """The article table as a projection of ``documents`` (batch or stream)."""
     i = F.col("doc_id")
     req_sum = (i % 4).isin(1, 2)
     req_score = (i % 5).isin(1, 2)

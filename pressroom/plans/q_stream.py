@@ -1 +1,49 @@
-"""Queries (filled in below)."""
+"""Streaming queries: incremental ingest with upsert, re-delivery dedupe and
+weekly counts, each drained with ``availableNow`` and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pressroom.functions.dates import utc_ntz
+from pressroom.plans import bindings as B
+from pressroom.plans.duck import with_
+from pressroom.plans.registry import query
+from pressroom.sources.staging import staging_path
+from pressroom.sources.tables import read_table
+from pressroom.streaming import incremental as S
+
+col = F.col
+
+
+def _doc_stream(spark, sf_dir):
+    schema = read_table(spark, sf_dir, "documents").schema
+    return S.landing_stream(spark, sf_dir, "documents.parquet", schema)
+
+
+@query("stream_ingest", "L1 K1 D6j", with_(["news"], "SELECT id, url, source, published_at FROM news"))
+def stream_ingest(spark, sf_dir):
+    articles = B.news_from(_doc_stream(spark, sf_dir))
+    latest = S.upsert_ingest(spark, articles, staging_path(spark, "news-table"))
+    return spark.read.parquet(latest).select("id", "url", "source", "published_at")
+
+
+@query("stream_dedupe", "L2 A5", with_(["news"], "SELECT url, source FROM news"))
+def stream_dedupe(spark, sf_dir):
+    first = B.news_from(_doc_stream(spark, sf_dir)).select("url", "source", "published_at")
+    again = B.news_from(_doc_stream(spark, sf_dir)).select("url", "source", "published_at")
+    deduped = S.dedupe_redelivered(first.unionByName(again), "url", "published_at", "30 days")
+    out = S.write_append(spark, deduped, staging_path(spark, "dedupe"))
+    return spark.read.parquet(out).select("url", "source")
+
+
+@query("stream_weekly_counts", "L3 I11", """
+SELECT CAST(date_trunc('week', ts) AS TIMESTAMP) AS week_start, event_type, count(*) AS n
+FROM events GROUP BY ALL""")
+def stream_weekly_counts(spark, sf_dir):
+    schema = read_table(spark, sf_dir, "events").schema
+    events = S.landing_stream(spark, sf_dir, "events.parquet", schema).withColumn(
+        "ts", col("ts").cast("timestamp_ntz"))
+    out = S.write_complete(spark, S.weekly_counts(events, "ts", "event_type"), staging_path(spark, "weekly"))
+    return spark.read.parquet(out).select(utc_ntz(col("w.start")).alias("week_start"), "event_type",
+                                          col("n").cast("long").alias("n"))
