@@ -1,10 +1,13 @@
 """Size-checked broadcast of dimension tables.
 
-A side is broadcast only after a bounded check proves it has at most
-``max_rows`` rows (``limit(max_rows + 1).count()`` reads at most that many
-rows). Beyond the bound the frame is returned unhinted, and the join falls
-back to a shuffle join that AQE may still turn into a broadcast from runtime
-statistics.
+A side is broadcast only after a check proves it has at most ``max_rows``
+rows. The check fetches at most ``max_rows + 1`` rows (one job, Arrow
+transfer); when the bound holds, that fetched copy *is* the broadcast side,
+exactly what a broadcast exchange would ship to the executors anyway, and
+the dimension is never computed twice. Beyond the bound the original frame is
+returned unhinted and the join stays a shuffle join, which AQE may still turn
+into a broadcast from runtime statistics. Nothing larger than ``max_rows``
+rows ever reaches the driver.
 """
 
 from __future__ import annotations
@@ -14,10 +17,9 @@ from pyspark.sql import DataFrame, functions as F
 DEFAULT_MAX_ROWS = 100_000
 
 
-def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it provably has <= max_rows rows, else ``df``."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+    """``broadcast`` of ``df`` when it provably has <= max_rows rows, else ``df``."""
+    head = df.limit(max_rows + 1).toPandas()
+    if len(head) <= max_rows:
+        return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
+    return df

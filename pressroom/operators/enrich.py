@@ -108,20 +108,78 @@ def classification_prompt(text: Column) -> Column:
     return F.concat(F.lit(PROMPT_PREFIX + themes_joined() + PROMPT_MIDDLE), text, F.lit(PROMPT_SUFFIX))
 
 
-def classify_themes(df: DataFrame, text_col: str = "content", out_col: str = "theme") -> DataFrame:
+def classify_themes(df: DataFrame, text_col: str = "content", out_col: str = "theme",
+                    engine: str = "automaton") -> DataFrame:
     """Offline stand-in for the classification reply: the code (1-based list
-    position) of the keyword with the most case-insensitive occurrences in
-    the text, ties to the lower code; 0 when no keyword occurs. One JVM-side
-    projection over a literal keyword array: no join, no Python."""
-    kws = [k.lower() for k in keywords()]
-    low = F.lower(F.coalesce(F.col(text_col), F.lit("")))
-    arr = F.array(*[F.lit(k) for k in kws])
+    position) of the keyword with the most non-overlapping, case-insensitive
+    occurrences in the text, ties to the lower code; 0 when none occurs.
+
+    ``engine='automaton'`` matches all keywords in one pass per text
+    (Aho-Corasick in an Arrow-batched pandas UDF); ``'jvm'`` is a pure
+    Spark-expression form (one replace per keyword, interpreted lambda) used
+    as a cross-check and when the automaton library is absent. Lower-casing
+    is done by Spark in both, so they agree character for character."""
+    df = df.withColumn("_low", F.lower(F.coalesce(F.col(text_col), F.lit(""))))
+    if engine == "automaton" and _automaton_available():
+        return df.withColumn(out_col, _theme_code_udf()(F.col("_low"))).drop("_low")
+    return _classify_jvm(df, out_col)
+
+
+def _automaton_available() -> bool:
+    try:
+        import ahocorasick  # noqa: F401
+    except ImportError:
+        return False
+    return True
+
+
+_AUTOMATON = None
+
+
+def _automaton():
+    global _AUTOMATON
+    if _AUTOMATON is None:
+        import ahocorasick
+
+        a = ahocorasick.Automaton()
+        for code, kw in enumerate(keywords(), start=1):
+            a.add_word(kw.lower(), (code, len(kw.lower())))
+        a.make_automaton()
+        _AUTOMATON = a
+    return _AUTOMATON
+
+
+def best_theme(low: str, automaton) -> int:
+    """Theme code of one lower-cased text (see ``classify_themes``)."""
+    counts: dict[int, int] = {}
+    last_end: dict[int, int] = {}
+    for end, (code, length) in automaton.iter(low):
+        if end - length + 1 > last_end.get(code, -1):
+            counts[code] = counts.get(code, 0) + 1
+            last_end[code] = end
+    if not counts:
+        return 0
+    return min(counts, key=lambda c: (-counts[c], c))
+
+
+def _theme_code_udf():
+    @F.pandas_udf(T.LongType())
+    def theme_code(texts: pd.Series) -> pd.Series:
+        a = _automaton()
+        return pd.Series([best_theme(t or "", a) for t in texts], dtype="int64")
+    return theme_code
+
+
+def _classify_jvm(df: DataFrame, out_col: str) -> DataFrame:
+    low = F.col("_low")
+    arr = F.array(*[F.lit(k.lower()) for k in keywords()])
 
     def hits(k: Column) -> Column:
         return F.floor((F.length(low) - F.length(F.replace(low, k, F.lit("")))) / F.length(k))
 
     scored = F.transform(arr, lambda k, i: F.struct(hits(k).cast("long").alias("n"),
                                                     (-i).alias("neg_code")))
-    best = F.array_max(scored)
-    return df.withColumn(out_col, F.when(best["n"] > 0, (-best["neg_code"] + 1).cast("long"))
-                         .otherwise(F.lit(0).cast("long")))
+    return (df.withColumn("_best", F.array_max(scored))
+            .withColumn(out_col, F.when(F.col("_best.n") > 0, (-F.col("_best.neg_code") + 1).cast("long"))
+                        .otherwise(F.lit(0).cast("long")))
+            .drop("_low", "_best"))

@@ -72,14 +72,17 @@ def add_score(df: DataFrame, invert_age: bool = False, invert_rank: bool = False
         F.min("source_rank").cast("double").alias("s_lo"),
         F.max("source_rank").cast("double").alias("s_hi"),
     ).alias("b")).scalar()
-    n_rate = minmax(F.col("rate_num"), b["r_lo"], b["r_hi"])
-    n_age = minmax(F.col("age_days").cast("double"), b["a_lo"], b["a_hi"])
-    n_src = minmax(F.col("source_rank").cast("double"), b["s_lo"], b["s_hi"])
+    # One scalar subquery, bound to a column once and read by field.
+    df = df.withColumn("_b", b)
+    lo_hi = {k: F.col(f"_b.{k}") for k in ("r_lo", "r_hi", "a_lo", "a_hi", "s_lo", "s_hi")}
+    n_rate = minmax(F.col("rate_num"), lo_hi["r_lo"], lo_hi["r_hi"])
+    n_age = minmax(F.col("age_days").cast("double"), lo_hi["a_lo"], lo_hi["a_hi"])
+    n_src = minmax(F.col("source_rank").cast("double"), lo_hi["s_lo"], lo_hi["s_hi"])
     if invert_age:
         n_age = F.lit(1.0) - n_age
     if invert_rank:
         n_src = F.when(F.col("source_rank").isNotNull(), F.lit(1.0) - n_src).otherwise(0.0)
-    return df.withColumn("score", F.round(n_rate + n_age + n_src, 9))
+    return df.withColumn("score", F.round(n_rate + n_age + n_src, 9)).drop("_b")
 
 
 def score_news(work: DataFrame, replies: DataFrame, authority: DataFrame,
