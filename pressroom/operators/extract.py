@@ -114,7 +114,7 @@ def paragraphs(fragment: Column) -> Column:
 
 
 def first_paragraph(html: Column, tag: str = "article") -> Column:
-    return F.coalesce(F.element_at(paragraphs(container(html, tag)), 1), F.lit(""))
+    return F.coalesce(F.try_element_at(paragraphs(container(html, tag)), F.lit(1)), F.lit(""))
 
 
 def paragraphs_joined(html: Column, tag: str = "article") -> Column:
