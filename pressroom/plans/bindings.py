@@ -173,15 +173,15 @@ def _page_id(source: Column, page: Column) -> Column:
     return (F.regexp_extract(source, r"([0-9]+)$", 1).cast("long") * 1_000_000 + page).alias("feed_id")
 
 
-def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feeds(spark: SparkSession, sf_dir: str, listing_df: DataFrame | None = None) -> DataFrame:
     """One RSS document per listing page (20 items at most, so a document's
     size is bounded however large a source grows)."""
     item = F.concat(
         F.lit("<item><title>Doc "), F.col("id").cast("string"), F.lit("</title><link>"), F.col("url"),
         F.lit("</link><pubDate>"), F.date_format("published_at", "EEE, dd MMM yyyy HH:mm:ss"),
         F.lit(" +0000</pubDate><category>"), F.col("lang"), F.lit("</category></item>"))
-    pages = (listing(spark, sf_dir)
-             .groupBy("source", "page")
+    src = listing(spark, sf_dir) if listing_df is None else listing_df
+    pages = (src.groupBy("source", "page")
              .agg(F.array_sort(F.collect_list(F.struct("pos", item.alias("x")))).alias("items")))
     return pages.select(_page_id(F.col("source"), F.col("page")), "source", "page",
                         F.concat(F.lit("<rss><channel>"),
@@ -189,7 +189,7 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  F.lit("</channel></rss>")).alias("xml"))
 
 
-def listings_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+def listings_json(spark: SparkSession, sf_dir: str, listing_df: DataFrame | None = None) -> DataFrame:
     """One JSON listing page per (source, page): hits.hit[].fields with the
     post title, content, epoch-seconds date and url."""
     from pressroom.functions.dates import ntz_epoch_seconds
@@ -198,7 +198,8 @@ def listings_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("title").alias("post_title"), F.col("content").alias("post_content"),
         ntz_epoch_seconds("published_at").alias("post_date_gmt"),
         F.col("url").alias("post_url")).alias("fields")).alias("h"))
-    pages = (listing(spark, sf_dir).groupBy("source", "page")
+    src = listing(spark, sf_dir) if listing_df is None else listing_df
+    pages = (src.groupBy("source", "page")
              .agg(F.array_sort(F.collect_list(hit)).alias("hits")))
     doc = F.to_json(F.struct(F.struct(F.transform("hits", lambda s: s["h"]).alias("hit")).alias("hits")))
     return pages.select("source", "page", doc.alias("json"))

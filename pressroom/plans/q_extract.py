@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from pressroom.operators import extract as X
 from pressroom.operators import relate as R
 from pressroom.operators import select as C
+from pressroom.operators.dimension import bounded_broadcast
 from pressroom.operators.sequence import append_ids
+from pressroom.sources.staging import materialize
 from pressroom.plans import bindings as B
 from pressroom.plans import duck as D
 from pressroom.plans.duck import with_
@@ -194,18 +196,21 @@ def ingest(spark, sf_dir):
     projected to the article schema, unioned by name, and appended after the
     articles already stored (those published before the window) with fresh ids."""
     news = B.news(spark, sf_dir)
-    rules = B.source_rules(spark, sf_dir)
+    rules = bounded_broadcast(B.source_rules(spark, sf_dir))
     texts = news.select("url", "content")
+    # The listing feeds three consumers; compute it once into the shared folder.
+    listing = materialize(B.listing(spark, sf_dir), "listing")
+    rss_listing = listing.join(rules.where(col("kind") == "rss"), "source", "left_semi")
+    json_listing = listing.join(rules.where(col("kind") == "json"), "source", "left_semi")
 
-    rss = X.rss_items(B.feeds(spark, sf_dir)).join(rules.where(col("kind") == "rss"), "source", "left_semi")
+    rss = X.rss_items(B.feeds(spark, sf_dir, rss_listing))
     rss = C.date_window(rss, B.WINDOW_MIN, B.WINDOW_MAX)
     rss = R.attach_content(rss.select("title", "url", col("category").alias("language"), "source",
                                       col("published_at").alias("date")), texts)
 
-    listing = B.listing(spark, sf_dir).join(rules.where(col("kind") == "json"), "source", "left_semi")
-    stopped = X.early_stop_page(listing, B.WINDOW_MIN, B.WINDOW_MAX).select("source", "page", "url", "lang")
-    pages = B.listings_json(spark, sf_dir).join(stopped.select("source", "page").distinct(),
-                                                ["source", "page"], "left_semi")
+    stopped = X.early_stop_page(json_listing, B.WINDOW_MIN, B.WINDOW_MAX)
+    pages = B.listings_json(spark, sf_dir, json_listing.join(
+        stopped.select("source", "page").distinct(), ["source", "page"], "left_semi"))
     json_rows = (X.json_hits(pages).join(stopped.select("url", "lang"), "url", "inner")
                  .select("title", "content", "url", col("lang").alias("language"), "source",
                          col("published_at").alias("date")))

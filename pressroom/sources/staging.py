@@ -40,6 +40,15 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a parquet table in the shared staging folder and
+    read it back: cuts the lineage (a lost executor re-reads the table, it
+    does not recompute the inputs) and lets several consumers share one
+    computation."""
+    spark = df.sparkSession
+    return spark.read.parquet(write_parquet(df, staging_path(spark, name)))
+
+
 EXPORT_COLUMNS = (("title", "Title"), ("content", "Content"), ("lang", "Language"),
                   ("source", "Source"), ("published_at", "Date"), ("url", "Url"))
 
