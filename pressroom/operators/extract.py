@@ -134,6 +134,12 @@ def page_title(html: Column) -> Column:
     return unescape(F.regexp_extract(html, r"(?s)<title>(.*?)</title>", 1))
 
 
+def pager_size(html: Column) -> Column:
+    """Page count from the pager's "total" button, 1 when there is none."""
+    n = F.regexp_extract(html, r'<[^>]*class="[^"]*\btotal\b[^"]*"[^>]*>\s*([0-9]+)\s*<', 1)
+    return F.coalesce(F.nullif(n, F.lit("")).try_cast("int"), F.lit(1))
+
+
 def page_lang(html: Column) -> Column:
     return F.regexp_extract(html, r'<html\b[^>]*\blang="([^"]*)"', 1)
 

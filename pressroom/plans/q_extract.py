@@ -164,12 +164,16 @@ def article_minus_boilerplate(spark, sf_dir):
     return _pages(spark, sf_dir).select("page_id", X.text_without_boilerplate(col("html")).alias("text"))
 
 
-@query("page_meta", "B9", rf"""
+@query("page_meta", "B9 B10", rf"""
 SELECT page_id, {D.unescape("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} AS title,
-  regexp_extract(html, '<html\b[^>]*\blang="([^"]*)"', 1) AS lang FROM pages""")
+  regexp_extract(html, '<html\b[^>]*\blang="([^"]*)"', 1) AS lang,
+  coalesce(TRY_CAST(nullif(regexp_extract(html, '<[^>]*class="[^"]*\btotal\b[^"]*"[^>]*>\s*([0-9]+)\s*<', 1), '')
+    AS INTEGER), 1) AS max_page
+FROM pages""")
 def page_meta(spark, sf_dir):
     p = _pages(spark, sf_dir)
-    return p.select("page_id", X.page_title(col("html")).alias("title"), X.page_lang(col("html")).alias("lang"))
+    return p.select("page_id", X.page_title(col("html")).alias("title"), X.page_lang(col("html")).alias("lang"),
+                    X.pager_size(col("html")).alias("max_page"))
 
 
 @query("attach_content", "D1j B14", with_(["news"], f"""

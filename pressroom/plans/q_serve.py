@@ -271,3 +271,57 @@ def prompt_save(spark, sf_dir):
     p = B.prompts(spark, sf_dir)
     latest = p.where(col("id") == p.agg(F.max("id")).scalar()).withColumn("in_use", F.lit(True))
     return save_prompt(p, latest).select("id", "in_use")
+
+
+# --- admin lists: search and ordering ---------------------------------------------
+
+
+@query("prompt_search", "C17 (prompts) G3", with_(["prompts"], """
+SELECT id, prompt, in_use FROM prompts WHERE instr(lower(prompt), 'ment') > 0 ORDER BY id"""))
+def prompt_search(spark, sf_dir):
+    found = C.text_search(B.prompts(spark, sf_dir), "ment", fields=("prompt",))
+    return found.select("id", "prompt", "in_use").orderBy("id")
+
+
+@query("email_search", "C17 (emails) G3", with_(["emails"], """
+SELECT id, email FROM emails WHERE instr(lower(email), 'mail2.example') > 0 ORDER BY id"""))
+def email_search(spark, sf_dir):
+    found = C.text_search(B.emails(spark, sf_dir), "mail2.example", fields=("email",))
+    return found.select("id", "email").orderBy("id")
+
+
+@query("digest_search", "C17 (digests: id and dates as text)", with_(["digest"], """
+SELECT id, start_date, end_date FROM digest
+WHERE instr(CAST(id AS VARCHAR), '2024-07') > 0 OR instr(CAST(start_date AS VARCHAR), '2024-07') > 0
+   OR instr(CAST(end_date AS VARCHAR), '2024-07') > 0"""))
+def digest_search(spark, sf_dir):
+    d = B.digest(spark, sf_dir).select("id", "start_date", "end_date")
+    as_text = d.select("*", col("id").cast("string").alias("_i"), col("start_date").cast("string").alias("_s"),
+                       col("end_date").cast("string").alias("_e"))
+    return C.text_search(as_text, "2024-07", fields=("_i", "_s", "_e")).select("id", "start_date", "end_date")
+
+
+@query("digest_facets", "E6 C16 (digest filters and start-date drill-down)", with_(["digest"], """
+SELECT facet, value, count(*) AS n FROM (
+  SELECT 'start_year' AS facet, CAST(year(start_date) AS VARCHAR) AS value FROM digest
+  UNION ALL SELECT 'start_month', strftime(start_date, '%Y-%m') FROM digest
+  UNION ALL SELECT 'end_month', strftime(end_date, '%Y-%m') FROM digest
+  UNION ALL SELECT 'is_public', CASE WHEN is_public THEN 'true' ELSE 'false' END FROM digest)
+GROUP BY facet, value"""))
+def digest_facets(spark, sf_dir):
+    d = B.digest(spark, sf_dir)
+    facets = [("start_year", F.year("start_date").cast("string")),
+              ("start_month", F.date_format("start_date", "yyyy-MM")),
+              ("end_month", F.date_format("end_date", "yyyy-MM")),
+              ("is_public", col("is_public").cast("string"))]
+    long = d.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("facet"), value.alias("value")) for name, value in facets
+    ])).alias("f")).select("f.facet", "f.value")
+    return long.groupBy("facet", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("prompt_facets", "E6 C16 (prompt in_use filter)", with_(["prompts"], """
+SELECT CASE WHEN in_use THEN 'true' ELSE 'false' END AS in_use, count(*) AS n FROM prompts GROUP BY 1"""))
+def prompt_facets(spark, sf_dir):
+    return (B.prompts(spark, sf_dir).groupBy(col("in_use").cast("string").alias("in_use"))
+            .agg(F.count(F.lit(1)).alias("n")))

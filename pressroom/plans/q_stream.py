@@ -24,8 +24,8 @@ def _doc_stream(spark, sf_dir):
 @query("stream_ingest", "L1 K1 D6j", with_(["news"], "SELECT id, url, source, published_at FROM news"))
 def stream_ingest(spark, sf_dir):
     articles = B.news_from(_doc_stream(spark, sf_dir))
-    latest = S.upsert_ingest(spark, articles, staging_path(spark, "news-table"))
-    return spark.read.parquet(latest).select("id", "url", "source", "published_at")
+    log = S.upsert_ingest(spark, articles, staging_path(spark, "news-log"))
+    return S.current_rows(spark, log).select("id", "url", "source", "published_at")
 
 
 @query("stream_dedupe", "L2 A5", with_(["news"], "SELECT url, source FROM news"))

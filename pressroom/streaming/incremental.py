@@ -6,8 +6,8 @@ with progress in a checkpoint under the shared ``spark.checkpoint.dir``.
 ``trigger(availableNow=True)`` drains what is there and stops, so the same
 code runs as a scheduled batch or continuously.
 
-Each micro-batch writes a new table version (``v<epoch>``) and never
-overwrites the path it reads, so a retried batch rewrites the same version.
+Each micro-batch lands as its own partition of a log table and never
+overwrites a path it reads, so a retried batch rewrites only its own files.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pressroom.functions.dates import _epoch
-from pressroom.operators.relate import upsert
 from pressroom.sources.staging import staging_path
 
 
@@ -39,25 +38,36 @@ def run_available(query_builder) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def upsert_ingest(spark: SparkSession, stream: DataFrame, table_base: str, key: str = "id",
+def upsert_ingest(spark: SparkSession, stream: DataFrame, table_base: str,
                   checkpoint: str | None = None) -> str:
-    """Upsert each micro-batch into a versioned parquet table at
-    ``table_base/v<epoch>``; returns the path of the latest version."""
+    """Land each micro-batch as its own partition ``table_base/epoch=<n>``.
+
+    Writing a batch costs O(batch), never O(table); a retried batch
+    overwrites only its own partition (idempotent). The upserted table is
+    ``current_rows`` over the log; ``compact`` folds the log into a new path."""
     checkpoint = checkpoint or staging_path(spark, "ckpt-ingest")
-    state = {"latest": None}
-
-    def merge(batch: DataFrame, epoch: int) -> None:
-        target = f"{table_base}/v{epoch:08d}"
-        prev = state["latest"]
-        if prev is None:
-            merged = batch
-        else:
-            merged = upsert(spark.read.parquet(prev), batch.select(*spark.read.parquet(prev).columns), key)
-        merged.write.mode("overwrite").parquet(target)
-        state["latest"] = target
-
-    run_available(stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint))
-    return state["latest"]
+
+    def land(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table_base}/epoch={epoch}")
+
+    run_available(stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint))
+    return table_base
+
+
+def current_rows(spark: SparkSession, table_base: str, key: str = "id") -> DataFrame:
+    """Latest version of every key across the landed batches (later epoch
+    wins). ``max_by`` aggregates partially per task, so no key's history is
+    gathered in one place before the map-side reduction."""
+    log = spark.read.parquet(table_base)
+    cols = [c for c in log.columns if c not in (key, "epoch")]
+    latest = log.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("epoch")).alias("_row"))
+    return latest.select(key, *[F.col(f"_row.{c}").alias(c) for c in cols])
+
+
+def compact(spark: SparkSession, table_base: str, out: str, key: str = "id") -> str:
+    """Write the current rows of the log as a new table version at ``out``."""
+    current_rows(spark, table_base, key).write.mode("overwrite").parquet(out)
+    return out
 
 
 def dedupe_redelivered(stream: DataFrame, key: str, ts_col: str, delay: str) -> DataFrame:
