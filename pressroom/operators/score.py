@@ -85,6 +85,21 @@ def add_score(df: DataFrame, invert_age: bool = False, invert_rank: bool = False
     return df.withColumn("score", F.round(n_rate + n_age + n_src, 9)).drop("_b")
 
 
+SIGNAL_COLS = ("id", "source", "rate", "rate_num", "age_days", "source_rank", "is_scored")
+
+
 def score_news(work: DataFrame, replies: DataFrame, authority: DataFrame,
-               as_of: _dt.date) -> DataFrame:
-    return add_score(signals(work, replies, authority, as_of))
+               as_of: _dt.date, materialized: bool = True) -> DataFrame:
+    """Scores of the work set (columns SIGNAL_COLS + score).
+
+    The bounds and the scores both read the signals. Left lazy, the reply
+    join (two shuffles of the work set and the replies) would run once for
+    the bounds subquery and again for the scores, since Spark does not
+    reuse an exchange across a scalar subquery. So the narrow signal
+    columns are written once to the shared staging folder and read twice.
+    This also cuts the lineage before the final projection."""
+    sig = signals(work, replies, authority, as_of).select(*SIGNAL_COLS)
+    if materialized:
+        from pressroom.sources.staging import materialize
+        sig = materialize(sig, "signals")
+    return add_score(sig)

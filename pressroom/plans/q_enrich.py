@@ -13,6 +13,7 @@ from pressroom.operators.score import collect_replies
 from pressroom.plans import bindings as B
 from pressroom.plans.duck import with_
 from pressroom.plans.registry import query
+from pressroom.sources.staging import materialize
 from pressroom.sources.tables import read_table
 
 col = F.col
@@ -114,11 +115,15 @@ def translate_and_summarize(spark, sf_dir):
     """K2: translate the first 200 untranslated rows, then submit every
     translated row for a summary; results merge back by masked update."""
     work, tt = _translate_queue(spark, sf_dir)
-    tr = E.enrich(tt, "id", "content", lambda: E.TranslateStub(B.TARGET_LANG), T.StringType(), "content")
+    # Remote results are written once before reuse: the translated rows feed
+    # both the summary requests and the merge, and a lazy frame would call
+    # the model again for each consumer.
+    tr = materialize(E.enrich(tt, "id", "content", lambda: E.TranslateStub(B.TARGET_LANG),
+                              T.StringType(), "content"), "translated")
     work = R.masked_update(work, tr.where(col("status") == "ok")
                            .select("id", "content", F.lit(True).alias("is_translated")))
-    req = E.enrich(work.where(C.to_summarize()), "id", "content", lambda: E.SubmitStub("summary"),
-                   T.StringType(), "rid")
+    req = materialize(E.enrich(work.where(C.to_summarize()), "id", "content",
+                               lambda: E.SubmitStub("summary"), T.StringType(), "rid"), "summary-requests")
     upd = req.select("id", F.coalesce(col("rid"), F.lit("")).alias("summarization_request_id"),
                      col("rid").isNotNull().alias("is_requested_for_summarization"))
     return R.masked_update(work, upd)
@@ -146,12 +151,13 @@ def vectorize_and_request(spark, sf_dir):
     work = collect_replies(work, B.replies(spark, sf_dir), "summarization_request_id", polled_cond, "summary")
     work = work.withColumn("is_summarized", F.when(polled_cond, col("summary").isNotNull())
                            .otherwise(col("is_summarized")))
-    vec = E.enrich(work.where(C.to_embed(B.TARGET_LANG)), "id", "summary", E.EmbedStub,
-                   T.ArrayType(T.DoubleType()), "vectorized_content")
+    vec = materialize(E.enrich(work.where(C.to_embed(B.TARGET_LANG)), "id", "summary", E.EmbedStub,
+                               T.ArrayType(T.DoubleType()), "vectorized_content"), "vectors")
     work = R.masked_update(work, vec.select("id", "vectorized_content",
                                             col("vectorized_content").isNotNull().alias("is_vectorized")))
     prompts = work.where(C.to_classify()).select("id", E.classification_prompt(col("content")).alias("prompt"))
-    req = E.enrich(prompts, "id", "prompt", lambda: E.SubmitStub("pro"), T.StringType(), "score_request_id")
+    req = materialize(E.enrich(prompts, "id", "prompt", lambda: E.SubmitStub("pro"), T.StringType(),
+                               "score_request_id"), "score-requests")
     return R.masked_update(work, req.select("id", "score_request_id", F.lit(False).alias("is_scored"),
                                             col("score_request_id").isNotNull()
                                             .alias("is_requested_for_scoring")))
