@@ -69,7 +69,7 @@ def attach_embeddings(spark, sf_dir):
     n = B.news(spark, sf_dir).select("id")
     e = read_table(spark, sf_dir, "embeddings").select(col("vec_id").alias("id"), "embedding")
     j = n.join(e, "id", "left")
-    return j.select("id", F.when(col("embedding").isNotNull(), F.size("embedding")).alias("dims"),
+    return j.select("id", F.when(col("embedding").isNotNull(), F.size("embedding")).cast("long").alias("dims"),
                     col("embedding").isNotNull().alias("is_vectorized"))
 
 
@@ -87,7 +87,7 @@ def embed_texts(spark, sf_dir):
     todo = B.news(spark, sf_dir).where(C.to_embed(B.TARGET_LANG))
     out = E.enrich(todo, "id", "content", E.EmbedStub, T.ArrayType(T.DoubleType()), "v")
     return out.select("id", col("v")[0].alias("chars"), col("v")[3].alias("dots"),
-                      F.when(col("v").isNotNull(), F.size("v")).alias("dims"), "status")
+                      F.when(col("v").isNotNull(), F.size("v")).cast("long").alias("dims"), "status")
 
 
 def _classify_sql() -> str:

@@ -184,6 +184,6 @@ def vector_codec(spark, sf_dir):
     back = TX.text_to_vector(TX.vector_to_text("embedding"))
     exact = F.transform("embedding", lambda x: x.cast("double"))
     return e.select(
-        "vec_id", F.size("embedding").alias("dims"),
+        "vec_id", F.size("embedding").cast("long").alias("dims"),
         F.round(F.aggregate(back, F.lit(0.0), lambda a, x: a + F.abs(x)), 6).alias("l1"),
         (back == exact).alias("round_trip"))

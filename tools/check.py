@@ -53,6 +53,28 @@ def norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE",
+                 "StringType": "VARCHAR", "BooleanType": "BOOLEAN", "DateType": "DATE",
+                 "TimestampNTZType": "TIMESTAMP", "FloatType": "FLOAT", "ShortType": "SMALLINT"}
+
+
+def spark_type_name(dt) -> str:
+    name = type(dt).__name__
+    if name == "ArrayType":
+        return spark_type_name(dt.elementType) + "[]"
+    return SPARK_TO_DUCK.get(name, name)
+
+
+def type_mismatches(sdf, res) -> list[str]:
+    duck = {d[0]: str(d[1]) for d in res.description}
+    out = []
+    for f in sdf.schema.fields:
+        a, b = spark_type_name(f.dataType), duck.get(f.name)
+        if b is not None and a != b:
+            out.append(f"{f.name}: spark {a} vs duck {b}")
+    return out
+
+
 def digest(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     lines = sorted(repr(tuple(norm(r[i]) for i in order)) for r in rows)
@@ -98,6 +120,9 @@ def main() -> int:
         hs, ls = digest(scols, srows)
         hd, ld = digest(dcols, drows)
         ok = ok_cols and len(srows) == len(drows) and hs == hd
+        types = type_mismatches(sdf, res)
+        if types:
+            print(f"TYPE {name}: " + "; ".join(types))
         if ok:
             print(f"OK   {name}: {len(srows)} rows {ts:.1f}s")
         else:
