@@ -124,7 +124,8 @@ def paragraphs_joined(html: Column, tag: str = "article") -> Column:
 
 
 def text_without_boilerplate(html: Column) -> Column:
-    body = F.regexp_extract(html, r"(?s)<body\b[^>]*>(.*)</body>", 1)
+    # Body to </body>, or to the end of the page when the end tag is missing.
+    body = F.regexp_replace(F.regexp_extract(html, r"(?s)<body\b[^>]*>(.*)", 1), r"(?s)</body>.*$", "")
     for pat in BOILERPLATE:
         body = F.regexp_replace(body, pat, "")
     return F.regexp_replace(strip_tags(body), r"\n+", "\n")

@@ -1,0 +1,182 @@
+"""Rules-driven HTML extraction for markup regular expressions cannot follow
+(nested containers, unclosed tags).
+
+A rules table carries per-source selectors. A selector is a chain of
+descendant steps ``tag.class1.class2`` (tag or classes may be omitted);
+a field selector may end in ``@attr`` to read an attribute instead of the
+text. The rules are joined to the pages, so each row carries its own
+selectors, and one Arrow-batched pandas UDF per partition parses each page
+once with the standard library ``html.parser``. The parser is only a
+per-row helper; Spark does the partitioning, joins and explode.
+
+Tree building follows the HTML rules that matter for the pages: void
+elements never hold children, a ``<p>`` start tag closes an open ``<p>``
+(so unclosed paragraphs do not swallow later ones), an end tag closes the
+nearest open element of that name, and script/style content is raw text.
+"""
+
+from __future__ import annotations
+
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+
+CARD = T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("title", T.StringType()),
+                     T.StructField("link", T.StringType()), T.StructField("date", T.StringType())])
+
+
+class Node:
+    __slots__ = ("tag", "attrs", "children", "parent")
+
+    def __init__(self, tag: str, attrs: dict, parent: Node | None):
+        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
+
+    @property
+    def classes(self) -> set[str]:
+        return set((self.attrs.get("class") or "").split())
+
+
+class _Builder(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = Node("#root", {}, None)
+        self.cur = self.root
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "p":
+            self._close("p")
+        node = Node(tag, {k: (v or "") for k, v in attrs}, self.cur)
+        self.cur.children.append(node)
+        if tag not in VOID:
+            self.cur = node
+
+    def handle_startendtag(self, tag, attrs):
+        self.cur.children.append(Node(tag, {k: (v or "") for k, v in attrs}, self.cur))
+
+    def handle_endtag(self, tag):
+        self._close(tag)
+
+    def _close(self, tag: str) -> None:
+        n = self.cur
+        while n is not None and n.tag != tag:
+            n = n.parent
+        if n is not None and n.parent is not None:
+            self.cur = n.parent
+
+    def handle_data(self, data):
+        self.cur.children.append(data)
+
+
+def parse(html: str) -> Node:
+    b = _Builder()
+    b.feed(html or "")
+    b.close()
+    return b.root
+
+
+def _step_matches(node: Node, step: str) -> bool:
+    tag, *classes = step.split(".")
+    return (not tag or node.tag == tag) and set(classes) <= node.classes
+
+
+def _descendants(node: Node):
+    for ch in node.children:
+        if isinstance(ch, Node):
+            yield ch
+            yield from _descendants(ch)
+
+
+def select(root: Node, selector: str) -> list[Node]:
+    """Nodes matching a descendant chain, in document order, without repeats."""
+    current = [root]
+    for step in selector.split():
+        seen, nxt = set(), []
+        for n in current:
+            for d in _descendants(n):
+                if id(d) not in seen and _step_matches(d, step):
+                    seen.add(id(d))
+                    nxt.append(d)
+        current = nxt
+    return current
+
+
+def text(node: Node, drop: tuple[Node, ...] = ()) -> str:
+    """Concatenated text of a subtree, skipping the ``drop`` subtrees."""
+    out: list[str] = []
+
+    def walk(n: Node) -> None:
+        for ch in n.children:
+            if isinstance(ch, str):
+                out.append(ch)
+            elif not any(ch is d for d in drop):
+                walk(ch)
+    walk(node)
+    return "".join(out)
+
+
+def field(node: Node, selector: str | None) -> str | None:
+    """Text (or ``@attr``) of the first match of ``selector`` inside ``node``;
+    an empty selector means the node itself."""
+    if not selector:
+        return None
+    sel, _, attr = selector.partition("@")
+    target = node if not sel.strip() else next(iter(select(node, sel)), None)
+    if target is None:
+        return None
+    return target.attrs.get(attr) if attr else text(target)
+
+
+def cards_of(html: str, card: str, title: str, link: str, date: str) -> list[dict]:
+    root = parse(html)
+    return [{"pos": i, "title": field(c, title), "link": field(c, link), "date": field(c, date)}
+            for i, c in enumerate(select(root, card))]
+
+
+def container_text(html: str, container: str, drop: str) -> str:
+    """Text of the first ``container`` match minus the subtrees matching any
+    selector of the comma-separated ``drop`` list ('' when missing)."""
+    root = parse(html)
+    found = select(root, container)
+    if not found:
+        return ""
+    dropped = tuple(n for sel in (drop or "").split(",") if sel.strip() for n in select(found[0], sel))
+    return text(found[0], dropped)
+
+
+@F.pandas_udf(T.ArrayType(CARD))
+def _cards_udf(html: pd.Series, card: pd.Series, title: pd.Series, link: pd.Series,
+               date: pd.Series) -> pd.Series:
+    return pd.Series([cards_of(h, c, t, lk, d) for h, c, t, lk, d in zip(html, card, title, link, date)])
+
+
+@F.pandas_udf(T.StringType())
+def _container_udf(html: pd.Series, container: pd.Series, drop: pd.Series) -> pd.Series:
+    return pd.Series([container_text(h, c, d) for h, c, d in zip(html, container, drop)])
+
+
+def extract_cards(pages: DataFrame, rules: DataFrame, on: str, html_col: str = "html") -> DataFrame:
+    """One row per card: pages joined to their rule (``card``, ``title``,
+    ``link``, ``date`` selectors) and exploded."""
+    from pressroom.operators.dimension import bounded_broadcast
+
+    j = pages.join(bounded_broadcast(rules), on, "inner")
+    cards = _cards_udf(F.col(html_col), F.col("card"), F.col("title"), F.col("link"), F.coalesce(
+        F.col("date"), F.lit("")))
+    keep = [c for c in pages.columns if c != html_col]
+    return (j.select(*keep, F.explode(cards).alias("_c"))
+            .select(*keep, F.col("_c.pos").cast("long").alias("pos"), F.col("_c.title").alias("title"),
+                    F.col("_c.link").alias("link"), F.col("_c.date").alias("date")))
+
+
+def extract_container(pages: DataFrame, rules: DataFrame, on: str, html_col: str = "html",
+                      out_col: str = "text") -> Column | DataFrame:
+    """Container text per page from its rule (``container``, ``drop``)."""
+    from pressroom.operators.dimension import bounded_broadcast
+
+    j = pages.join(bounded_broadcast(rules), on, "inner")
+    keep = [c for c in pages.columns if c != html_col]
+    return j.select(*keep, _container_udf(F.col(html_col), F.col("container"),
+                                          F.coalesce(F.col("drop"), F.lit(""))).alias(out_col))

@@ -153,7 +153,7 @@ def paragraphs_joined(spark, sf_dir):
 
 
 def _boilerplate_sql() -> str:
-    body = r"regexp_extract(html, '(?s)<body\b[^>]*>(.*)</body>', 1)"
+    body = r"regexp_replace(regexp_extract(html, '(?s)<body\b[^>]*>(.*)', 1), '(?s)</body>.*$', '')"
     for pat in X.BOILERPLATE:
         body = f"regexp_replace({body}, '{pat}', '', 'g')"
     return rf"regexp_replace({D.strip_tags(body)}, '\n+', chr(10), 'g')"
@@ -245,3 +245,44 @@ def job_ingest(spark, sf_dir):
     out = ingest(spark, sf_dir)
     return out.select("id", "title", "url", "lang", "source", "published_at",
                       F.length("content").cast("long").alias("n_chars"))
+
+
+# --- rules-driven HTML engine (html.parser) -------------------------------------------
+
+
+def _layout_rules(spark):
+    """Extraction rules keyed by page layout (one layout in the driver pages)."""
+    return spark.createDataFrame(
+        [("fixture", "nav li", "a", "a@href", "", "article", "")],
+        "layout string, card string, title string, link string, date string, container string, drop string")
+
+
+def _pages_with_layout(spark, sf_dir):
+    return _pages(spark, sf_dir).withColumn("layout", F.lit("fixture"))
+
+
+@query("listing_cards_rules", "B4 B12 (rules table + html.parser engine)", f"""
+SELECT page_id, url, k - 1 AS pos, h[k] AS href, {D.unescape('t[k]')} AS text FROM ({_NAV})""")
+def listing_cards_rules(spark, sf_dir):
+    from pressroom.operators.htmlrules import extract_cards
+    rules = _layout_rules(spark).select("layout", "card", "title", "link", "date")
+    cards = extract_cards(_pages_with_layout(spark, sf_dir), rules, "layout")
+    return cards.select("page_id", "url", "pos", col("link").alias("href"), col("title").alias("text"))
+
+
+@query("article_text_rules", "B5 (html.parser engine)", f"""
+SELECT page_id, {D.strip_tags(D.container('html'))} AS text FROM pages""")
+def article_text_rules(spark, sf_dir):
+    from pressroom.operators.htmlrules import extract_container
+    rules = _layout_rules(spark).select("layout", "container", "drop")
+    return extract_container(_pages_with_layout(spark, sf_dir), rules, "layout").select("page_id", "text")
+
+
+@query("boilerplate_rules", "B8 (drop list, html.parser engine)", f"""
+SELECT page_id, {_boilerplate_sql()} AS text FROM pages""")
+def boilerplate_rules(spark, sf_dir):
+    from pressroom.operators.htmlrules import extract_container
+    rules = spark.createDataFrame([("fixture", "body", "nav, div.ad, footer, script, style")],
+                                  "layout string, container string, drop string")
+    out = extract_container(_pages_with_layout(spark, sf_dir), rules, "layout")
+    return out.select("page_id", F.regexp_replace("text", r"\n+", "\n").alias("text"))

@@ -1,0 +1,34 @@
+"""The html.parser rules engine on nested and unclosed markup."""
+
+from pressroom.operators import htmlrules as H
+
+LISTING = """<div class="list">
+  <div class="card vertical light"><div class="font-bold">First <b>story</b></div>
+     <a class="more" href="/n/1">more</a><time datetime="2024-06-05T10:00:00">5 June</time></div>
+  <div class="card vertical light"><div class="font-bold">Second</div>
+     <a class="more" href="/n/2">more</a></div>
+  <div class="card">not a match</div>
+</div>"""
+
+
+def test_cards_with_nested_divs():
+    cards = H.cards_of(LISTING, "div.card.vertical.light", "div.font-bold", "a@href", "time@datetime")
+    assert [(c["title"], c["link"], c["date"]) for c in cards] == [
+        ("First story", "/n/1", "2024-06-05T10:00:00"), ("Second", "/n/2", None)]
+
+
+def test_unclosed_paragraphs_and_drop_list():
+    html = ("<body><nav><a>menu</a></nav><article><p><b>one.<br><p>two &amp; more</p>"
+            "<div class='ad'>buy</div><p>three</article><footer>f</footer>")
+    root = H.parse(html)
+    assert [H.text(p) for p in H.select(root, "article p")] == ["one.", "two & more", "three"]
+    assert H.container_text(html, "body", "nav, div.ad, footer") == "one.two & morethree"
+    assert H.container_text(html, "section", "") == ""
+
+
+def test_udf_on_spark(spark):
+    pages = spark.createDataFrame([(1, "x", LISTING)], "page_id long, layout string, html string")
+    rules = spark.createDataFrame([("x", "div.card.vertical.light", "div.font-bold", "a@href", "")],
+                                  "layout string, card string, title string, link string, date string")
+    rows = H.extract_cards(pages, rules, "layout").orderBy("pos").collect()
+    assert [(r["pos"], r["title"], r["link"]) for r in rows] == [(0, "First story", "/n/1"), (1, "Second", "/n/2")]
