@@ -45,6 +45,16 @@ class SubmitStub:
                 for t in texts]
 
 
+class GenerateStub:
+    """Synchronous generation: the reply text itself, '<model>:<characters>'."""
+
+    def __init__(self, model: str = "summary"):
+        self.model = model
+
+    def call(self, texts: list) -> list:
+        return [None if t is None else f"{self.model}:{len(t)}" for t in texts]
+
+
 class EmbedStub:
     """Text -> small feature vector [chars, spaces, newlines, dots];
     blank/null text -> no vector."""

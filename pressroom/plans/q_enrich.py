@@ -189,3 +189,12 @@ def job_vectorize_request(spark, sf_dir):
     return out.select("id", "is_summarized", "summary", "is_vectorized",
                       col("vectorized_content")[0].alias("vec_chars"), "score_request_id",
                       "is_requested_for_scoring")
+
+
+@query("generate_sync", "J3 J7", with_(["news"], """
+SELECT id, 'summary:' || CAST(length(content) AS VARCHAR) AS summary, 'ok' AS status FROM work WHERE is_translated""",
+                                         [_WORK]))
+def generate_sync(spark, sf_dir):
+    work, _ = _translate_queue(spark, sf_dir)
+    return E.enrich(work.where(C.to_summarize()), "id", "content", lambda: E.GenerateStub("summary"),
+                    T.StringType(), "summary")
