@@ -13,9 +13,14 @@ task. ``number_within`` gives the same numbers with range partitioning:
 4. join the offsets back (an equi-join on (group, partition); AQE broadcasts
    the offsets when they are small) and add the in-partition index.
 
-Both uses of the tagged frame read one shared range exchange (Spark reuses the
-identical exchange), so the tags agree. The order keys must be a total order
-(include a unique key) for the numbering to be deterministic.
+The tagged frame is read twice (counts, join back), and Spark does not reuse
+the range exchange between the two branches. Recomputing it would be unsafe
+when the input comes out of an upstream shuffle: row order inside a shuffle
+partition is not fixed, so the range partitioner's samples, and with them
+the tags, could differ between the branches. The tagged rows are therefore
+written once to the shared staging folder and both branches read the same
+files (one range shuffle instead of two; a lost executor re-reads the file).
+The order keys must be a total order (include a unique key).
 """
 
 from __future__ import annotations
@@ -29,10 +34,12 @@ def number_within(df: DataFrame, group_cols: list[str], order: list[Column],
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g).asc() for g in group_cols] + list(order)
-    tagged = (df.repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
-              .withColumn("_part", F.spark_partition_id())
-              .withColumn("_tag", F.monotonically_increasing_id()))
+    from pressroom.sources.staging import materialize
+
+    tagged = materialize(df.repartitionByRange(n, *keys)
+                         .sortWithinPartitions(*keys)
+                         .withColumn("_part", F.spark_partition_id())
+                         .withColumn("_tag", F.monotonically_increasing_id()), "numbered")
     counts = tagged.groupBy(*group_cols, "_part").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_tag").alias("_first"))
     before = Window.partitionBy(*group_cols).orderBy("_part").rowsBetween(
