@@ -20,7 +20,7 @@ from __future__ import annotations
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
@@ -172,7 +172,7 @@ def extract_cards(pages: DataFrame, rules: DataFrame, on: str, html_col: str = "
 
 
 def extract_container(pages: DataFrame, rules: DataFrame, on: str, html_col: str = "html",
-                      out_col: str = "text") -> Column | DataFrame:
+                      out_col: str = "text") -> DataFrame:
     """Container text per page from its rule (``container``, ``drop``)."""
     from pressroom.operators.dimension import bounded_broadcast
 

@@ -1,6 +1,5 @@
 """Properties and plan shapes."""
 
-import datetime as dt
 
 from pyspark.sql import Window, functions as F, types as T
 
