@@ -13,8 +13,21 @@ import datetime as _dt
 from pyspark.sql import Column, functions as F
 
 
+def ntz(value) -> Column:
+    """A timestamp_ntz literal built from its ISO text. ``F.lit(datetime)``
+    would make a session-time-zone TIMESTAMP and shift on the cast; a date
+    becomes its midnight."""
+    if isinstance(value, _dt.datetime):
+        text = value.replace(tzinfo=None).isoformat(sep=" ")
+    elif isinstance(value, _dt.date):
+        text = value.isoformat() + " 00:00:00"
+    else:
+        text = str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def _epoch() -> Column:
-    return F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    return ntz(_dt.datetime(1970, 1, 1))
 
 # Russian genitive month names, January..December.
 RU_MONTHS_GENITIVE = ("января", "февраля", "марта", "апреля", "мая", "июня",
@@ -32,6 +45,56 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# English weekday abbreviations, Sunday first (dayofweek order).
+EN_WEEKDAYS = ("Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat")
+
+_TOKENS = ("yyyy", "MMMM", "MMM", "MM", "dd", "d", "HH", "mm", "ss", "EEE")
+
+
+def format_ntz(ts, pattern: str) -> Column:
+    """Format a timestamp_ntz (or date) from its own fields.
+
+    ``date_format`` goes through the session time zone, so a wall time in a
+    daylight-saving gap of that zone would print shifted; the field
+    functions (year, month, hour, ...) read the value as it is. Supports the
+    tokens yyyy MMMM MMM MM dd d HH mm ss EEE and quoted literals."""
+    t = _c(ts).cast("timestamp_ntz")
+    day = F.to_date(t)
+
+    def pad(c, n):
+        return F.lpad(c.cast("string"), n, "0")
+
+    def piece(tok):
+        return {
+            "yyyy": pad(F.year(day), 4),
+            "MMMM": F.element_at(F.array(*[F.lit(m) for m in EN_MONTHS]), F.month(day)),
+            "MMM": F.element_at(F.array(*[F.lit(m[:3]) for m in EN_MONTHS]), F.month(day)),
+            "MM": pad(F.month(day), 2),
+            "dd": pad(F.dayofmonth(day), 2),
+            "d": F.dayofmonth(day).cast("string"),
+            "HH": pad(F.hour(t), 2),
+            "mm": pad(F.minute(t), 2),
+            "ss": pad(F.second(t), 2),
+            "EEE": F.element_at(F.array(*[F.lit(w) for w in EN_WEEKDAYS]), F.dayofweek(day)),
+        }[tok]
+
+    parts, i = [], 0
+    while i < len(pattern):
+        if pattern[i] == "'":
+            j = pattern.index("'", i + 1)
+            parts.append(F.lit(pattern[i + 1:j]))
+            i = j + 1
+            continue
+        tok = next((k for k in _TOKENS if pattern.startswith(k, i)), None)
+        if tok:
+            parts.append(piece(tok))
+            i += len(tok)
+        else:
+            parts.append(F.lit(pattern[i]))
+            i += 1
+    return F.concat(*parts)
+
+
 def utc_ntz(instant: Column) -> Column:
     """TIMESTAMP (an instant) -> timestamp_ntz of its UTC wall clock."""
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch())
@@ -42,8 +105,22 @@ def epoch_seconds_ntz(secs) -> Column:
     return F.timestamp_add("SECOND", _c(secs).cast("long"), _epoch())
 
 
+def ntz_epoch_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a timestamp_ntz, from its own
+    fields. (``timestampdiff`` on timestamp_ntz goes through the session time
+    zone and is off by an hour across a daylight-saving change;
+    ``timestampadd`` and interval arithmetic are exact.)"""
+    t = _c(ts).cast("timestamp_ntz")
+    days = F.datediff(F.to_date(t), F.lit(_dt.date(1970, 1, 1))).cast("long")
+    whole = days * 86400 + F.hour(t).cast("long") * 3600 + F.minute(t).cast("long") * 60
+    return whole * 1_000_000 + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("long")
+
+
 def ntz_epoch_seconds(ts) -> Column:
-    return F.timestamp_diff("SECOND", _epoch(), _c(ts))
+    t = _c(ts).cast("timestamp_ntz")
+    days = F.datediff(F.to_date(t), F.lit(_dt.date(1970, 1, 1))).cast("long")
+    return (days * 86400 + F.hour(t).cast("long") * 3600 + F.minute(t).cast("long") * 60
+            + F.second(t).cast("long"))
 
 
 def _parse_utc(s: Column, pattern: str | None) -> Column:
@@ -96,7 +173,7 @@ def parse_date(c, rule: str, as_of: _dt.datetime | None = None,
     if rule == "relative":
         if as_of is None:
             raise ValueError("relative dates need as_of")
-        now = F.lit(as_of).cast("timestamp_ntz")
+        now = ntz(as_of)
         hours = F.regexp_extract(s, r"^([0-9]+) hours? ago$", 1)
         return (F.when(hours != "", F.timestamp_add("HOUR", -hours.cast("long"), now))
                 .when(s.contains("ago"), now))
@@ -107,28 +184,29 @@ def render_date(ts, rule: str, as_of: _dt.datetime | None = None) -> Column:
     """Render a timestamp_ntz the way a source of this rule publishes it."""
     t = _c(ts)
     if rule == "rfc822":
-        return F.concat(F.date_format(t, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000"))
+        return F.concat(format_ntz(t, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000"))
     if rule == "iso_zone":
-        return F.concat(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+0000"))
+        return F.concat(format_ntz(t, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+0000"))
     if rule == "iso_nozone":
-        return F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
+        return format_ntz(t, "yyyy-MM-dd'T'HH:mm:ss")
     if rule == "iso_prefix":
-        return F.concat(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".000Z"))
+        return F.concat(format_ntz(t, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".000Z"))
     if rule == "dotted":
-        return F.date_format(t, "dd.MM.yyyy")
+        return format_ntz(t, "dd.MM.yyyy")
     if rule == "long_en":
-        return F.date_format(t, "d MMMM yyyy")
+        return format_ntz(t, "d MMMM yyyy")
     if rule == "long_ru":
         months = F.array(*[F.lit(m) for m in RU_MONTHS_GENITIVE])
         return F.concat_ws(" ", F.dayofmonth(t).cast("string"),
                            F.element_at(months, F.month(t)), F.year(t).cast("string"))
     if rule == "us_long":
-        return F.date_format(t, "MMMM d, yyyy")
+        return format_ntz(t, "MMMM d, yyyy")
     if rule == "epoch":
         return ntz_epoch_seconds(t).cast("string")
     if rule == "relative":
-        now = F.lit(as_of).cast("timestamp_ntz")
-        return F.concat(F.timestamp_diff("HOUR", t, now).cast("string"), F.lit(" hours ago"))
+        now = ntz(as_of)
+        hours = F.floor((ntz_epoch_seconds(now) - ntz_epoch_seconds(t)) / 3600).cast("long")
+        return F.concat(hours.cast("string"), F.lit(" hours ago"))
     raise ValueError(f"unknown date rule {rule!r}")
 
 
@@ -146,7 +224,7 @@ def ingest_window(as_of: _dt.date, last_success) -> tuple[Column, Column]:
     """(start, end) of an ingest run on day ``as_of``: start is the later of
     this week's Monday and the day after the last success; end is the last
     second of yesterday."""
-    today = F.lit(as_of).cast("timestamp_ntz")
+    today = ntz(as_of)
     monday = week_start(today)
     after_last = F.timestamp_add("DAY", F.lit(1), _c(last_success))
     start = F.greatest(monday, after_last)

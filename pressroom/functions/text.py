@@ -6,6 +6,8 @@ import unicodedata
 
 from pyspark.sql import Column, functions as F
 
+from pressroom.functions.dates import format_ntz
+
 # Python's str.strip() removes Unicode whitespace including NBSP; Spark's
 # trim() removes spaces only. Strip the set [\s\p{Z}]: the ASCII controls
 # \t \n \v \f \r plus every Unicode separator (categories Zs, Zl, Zp),
@@ -68,7 +70,7 @@ def text_to_vector(c) -> Column:
 def news_label(title, published_at) -> Column:
     """'title (yyyy-MM-dd HH:mm:ss)'."""
     return F.format_string("%s (%s)", _c(title),
-                           F.date_format(_c(published_at), "yyyy-MM-dd HH:mm:ss"))
+                           format_ntz(_c(published_at), "yyyy-MM-dd HH:mm:ss"))
 
 
 def digest_label(id_, start, end) -> Column:

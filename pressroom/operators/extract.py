@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pressroom.functions.dates import epoch_seconds_ntz, parse_date
+from pressroom.functions.dates import epoch_seconds_ntz, ntz, parse_date
 from pressroom.operators.dimension import bounded_broadcast
 from pressroom.schemas import HITS_DOC, RSS_DOC
 
@@ -59,22 +59,22 @@ def early_stop_page(listing: DataFrame, lo, hi, key: str = "source") -> DataFram
 
     The stop page per source is a grouped min (partial aggregation, so a hot
     source is still spread over all tasks), broadcast back after a size check."""
-    old = col("published_at") < F.lit(lo)
+    old = col("published_at") < ntz(lo)
     stop = listing.groupBy(key).agg(F.min(F.when(old, col("page"))).alias("_stop"))
     j = listing.join(bounded_broadcast(stop), key, "left")
     keep = ((col("_stop").isNull() | (col("page") <= col("_stop")))
-            & col("published_at").between(F.lit(lo), F.lit(hi)))
+            & col("published_at").between(ntz(lo), ntz(hi)))
     return j.where(keep).drop("_stop")
 
 
 def early_stop_row(listing: DataFrame, lo, hi, key: str = "source") -> DataFrame:
     """Row-by-row crawl that stops at the first item older than ``lo`` (in
     listing order ``pos``); the later bound ``hi`` is applied afterwards."""
-    old = col("published_at") < F.lit(lo)
+    old = col("published_at") < ntz(lo)
     stop = listing.groupBy(key).agg(F.min(F.when(old, col("pos"))).alias("_stop"))
     j = listing.join(bounded_broadcast(stop), key, "left")
     keep = ((col("_stop").isNull() | (col("pos") < col("_stop")))
-            & (col("published_at") <= F.lit(hi)))
+            & (col("published_at") <= ntz(hi)))
     return j.where(keep).drop("_stop")
 
 

@@ -54,7 +54,8 @@ def first_n(df: DataFrame, where: Column, n: int, order: list[Column] | None = N
 
 def date_window(df: DataFrame, lo, hi, ts_col: str = "published_at") -> DataFrame:
     """Closed window lo <= ts <= hi."""
-    return df.where(col(ts_col).between(F.lit(lo), F.lit(hi)))
+    from pressroom.functions.dates import ntz
+    return df.where(col(ts_col).between(ntz(lo), ntz(hi)))
 
 
 def allowlist_projection(df: DataFrame, allowed=UPLOAD_COLUMNS) -> DataFrame:

@@ -12,6 +12,7 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from pressroom.functions.dates import format_ntz
 from pressroom.sources.tables import read_table
 
 # Fixed values of the fixture data model.
@@ -27,7 +28,8 @@ TARGET_LANG = "en"
 
 def published_at(id_col: Column) -> Column:
     hours = (id_col % HOURS_SPAN).cast("int")
-    return F.lit(EPOCH_START).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hours)
+    from pressroom.functions.dates import ntz
+    return ntz(EPOCH_START) + F.make_dt_interval(F.lit(0), hours)
 
 
 def rate_reply(id_col: Column) -> Column:
@@ -178,7 +180,7 @@ def feeds(spark: SparkSession, sf_dir: str, listing_df: DataFrame | None = None)
     size is bounded however large a source grows)."""
     item = F.concat(
         F.lit("<item><title>Doc "), F.col("id").cast("string"), F.lit("</title><link>"), F.col("url"),
-        F.lit("</link><pubDate>"), F.date_format("published_at", "EEE, dd MMM yyyy HH:mm:ss"),
+        F.lit("</link><pubDate>"), format_ntz("published_at", "EEE, dd MMM yyyy HH:mm:ss"),
         F.lit(" +0000</pubDate><category>"), F.col("lang"), F.lit("</category></item>"))
     src = listing(spark, sf_dir) if listing_df is None else listing_df
     pages = (src.groupBy("source", "page")

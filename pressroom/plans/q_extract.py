@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pressroom.functions.dates import ntz
 from pressroom.operators import extract as X
 from pressroom.operators import relate as R
 from pressroom.operators import select as C
@@ -219,7 +220,7 @@ def ingest(spark, sf_dir):
                  .select("title", "content", "url", col("lang").alias("language"), "source",
                          col("published_at").alias("date")))
     incoming = C.canonical_articles(rss).unionByName(C.canonical_articles(json_rows))
-    stored = news.where(col("published_at") < F.lit(B.WINDOW_MIN)).select(
+    stored = news.where(col("published_at") < ntz(B.WINDOW_MIN)).select(
         "id", "title", "content", "url", "lang", "source", "published_at")
     top = stored.agg(F.max("id")).scalar()
     added = append_ids(top, incoming, [col("source").asc(), col("url").asc()])

@@ -3,8 +3,12 @@ prompts, and the per-step selections of the enrichment jobs."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
+from pressroom.functions.dates import format_ntz, ntz
+
 from pressroom.functions.text import digest_label, news_label
 from pressroom.operators import relate as R
 from pressroom.operators import select as C
@@ -54,8 +58,7 @@ WHERE source = 'src3' AND lang = 'en' AND is_public
 def facet_filter(spark, sf_dir):
     n = B.news(spark, sf_dir)
     return (n.where((col("source") == "src3") & (col("lang") == "en") & col("is_public")
-                    & (F.date_trunc("month", "published_at").cast("timestamp_ntz")
-                       == F.lit("2024-07-01 00:00:00").cast("timestamp_ntz")))
+                    & (F.trunc(F.to_date("published_at"), "month") == F.lit(dt.date(2024, 7, 1))))
             .select("id", "title", "published_at", "source", "lang", "is_public"))
 
 
@@ -222,7 +225,7 @@ def facet_counts(spark, sf_dir):
     n = B.news(spark, sf_dir)
     facets = [("source", col("source")), ("lang", col("lang")),
               ("is_public", col("is_public").cast("string")),
-              ("month", F.date_format("published_at", "yyyy-MM"))]
+              ("month", format_ntz("published_at", "yyyy-MM"))]
     long = n.select(F.explode(F.array(*[
         F.struct(F.lit(name).alias("facet"), value.alias("value")) for name, value in facets
     ])).alias("f")).select("f.facet", "f.value")
@@ -236,7 +239,7 @@ SELECT source, count(*) AS n, count(*) FILTER (WHERE published_at BETWEEN {WIN})
 FROM news GROUP BY source"""))
 def ingest_stats(spark, sf_dir):
     n = B.news(spark, sf_dir)
-    in_win = col("published_at").between(F.lit(B.WINDOW_MIN), F.lit(B.WINDOW_MAX))
+    in_win = col("published_at").between(ntz(B.WINDOW_MIN), ntz(B.WINDOW_MAX))
     return (n.groupBy("source")
             .agg(F.count(F.lit(1)).alias("n"), F.count_if(in_win).alias("n_in_window"),
                  F.count_if(col("content") == "").alias("n_empty"))
@@ -311,8 +314,8 @@ GROUP BY facet, value"""))
 def digest_facets(spark, sf_dir):
     d = B.digest(spark, sf_dir)
     facets = [("start_year", F.year("start_date").cast("string")),
-              ("start_month", F.date_format("start_date", "yyyy-MM")),
-              ("end_month", F.date_format("end_date", "yyyy-MM")),
+              ("start_month", format_ntz("start_date", "yyyy-MM")),
+              ("end_month", format_ntz("end_date", "yyyy-MM")),
               ("is_public", col("is_public").cast("string"))]
     long = d.select(F.explode(F.array(*[
         F.struct(F.lit(name).alias("facet"), value.alias("value")) for name, value in facets

@@ -95,7 +95,7 @@ SELECT id, strftime(published_at + INTERVAL 3 HOUR, '%Y-%m-%dT%H:%M:%S') || '+03
 def tz_modes(spark, sf_dir):
     n = B.news(spark, sf_dir)
     local = F.timestamp_add("HOUR", F.lit(3), col("published_at"))
-    text = F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+0300"))
+    text = F.concat(DT.format_ntz(local, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+0300"))
     return (n.select("id", text.alias("text"))
             .select("id", "text", DT.parse_date(col("text"), "iso_zone").alias("utc"),
                     DT.parse_date(col("text"), "iso_zone", tz_mode="drop").alias("wall")))
@@ -108,7 +108,7 @@ def last_success(run_log, per_task: bool = True):
     ok = F.when(col("state") == "SUCCESS", col("end_date"))
     out = run_log.groupBy(*keys).agg(F.max(ok).alias("_mx"))
     out = out.select(*keys, F.coalesce(F.to_date("_mx").cast("timestamp_ntz"),
-                                       F.lit(_dt.datetime(1, 1, 1)).cast("timestamp_ntz"))
+                                       DT.ntz(_dt.datetime(1, 1, 1)))
                      .alias("last_success"))
     return out if per_task else out.withColumn("task_id", F.lit("*"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pressroom.functions.dates import ntz
 from pressroom.operators import evolve as EV
 from pressroom.operators import relate as R
 from pressroom.operators.score import collect_replies
@@ -60,8 +61,8 @@ SELECT (SELECT max(id) FROM news WHERE published_at < TIMESTAMP '2024-06-20')
 FROM news WHERE published_at >= TIMESTAMP '2024-06-20'"""))
 def append_new_ids(spark, sf_dir):
     n = B.news(spark, sf_dir)
-    existing = n.where(col("published_at") < F.lit(B.WINDOW_MIN)).select("id", "url", "source")
-    incoming = n.where(col("published_at") >= F.lit(B.WINDOW_MIN)).select("url", "source")
+    existing = n.where(col("published_at") < ntz(B.WINDOW_MIN)).select("id", "url", "source")
+    incoming = n.where(col("published_at") >= ntz(B.WINDOW_MIN)).select("url", "source")
     top = existing.agg(F.max("id")).scalar()
     added = append_ids(top, incoming, [col("source").asc(), col("url").asc()])
     return existing.unionByName(added.select("id", "url", "source"))

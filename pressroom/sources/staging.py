@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from pressroom.functions.dates import format_ntz
 from pressroom.session import ensure_checkpoint_dir
 
 CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "multiLine": "true",
@@ -60,7 +61,7 @@ def export_frame(articles: DataFrame) -> DataFrame:
     for src, dst in EXPORT_COLUMNS:
         c = F.col(src)
         if src == "published_at":
-            c = F.concat(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit("+0000"))
+            c = F.concat(format_ntz(c, "yyyy-MM-dd HH:mm:ss"), F.lit("+0000"))
         cols.append(c.alias(dst))
     return articles.select(*cols)
 

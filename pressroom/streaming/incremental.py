@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pressroom.functions.dates import _epoch
+from pressroom.functions.dates import ntz_epoch_micros
 from pressroom.sources.staging import staging_path
 
 
@@ -28,7 +28,7 @@ def landing_stream(spark: SparkSession, folder: str, file_glob: str, schema) ->
 def instant_utc(ntz_col) -> F.Column:
     """timestamp_ntz holding UTC wall time -> TIMESTAMP instant (watermarks
     need TIMESTAMP), independent of the session time zone."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), ntz_col))
+    return F.timestamp_micros(ntz_epoch_micros(ntz_col))
 
 
 def run_available(query_builder) -> None:

@@ -3,6 +3,7 @@
 
 from pyspark.sql import Window, functions as F, types as T
 
+from pressroom.functions.dates import ntz
 from pressroom.operators import enrich as E
 from pressroom.operators import extract as X
 from pressroom.operators.sequence import append_ids, number_within
@@ -37,7 +38,7 @@ def test_append_ids_continue_after_max(spark):
 def test_early_stop_is_subset_of_window_and_equal_without_pins(spark, sf_dir):
     listing = B.listing(spark, sf_dir)
     lo, hi = B.WINDOW_MIN, B.WINDOW_MAX
-    window = listing.where(F.col("published_at").between(F.lit(lo), F.lit(hi))).select("id")
+    window = listing.where(F.col("published_at").between(ntz(lo), ntz(hi))).select("id")
     by_page = X.early_stop_page(listing, lo, hi).select("id")
     by_row = X.early_stop_row(listing, lo, hi).select("id")
     assert by_page.subtract(window).count() == 0
@@ -45,7 +46,7 @@ def test_early_stop_is_subset_of_window_and_equal_without_pins(spark, sf_dir):
     # without pinned posts the listing is sorted newest first: stop == filter
     sorted_listing = number_within(B.news(spark, sf_dir), ["source"], [F.col("id").desc()], "pos") \
         .withColumn("page", F.floor(F.col("pos") / 20).cast("int"))
-    w2 = sorted_listing.where(F.col("published_at").between(F.lit(lo), F.lit(hi))).select("id")
+    w2 = sorted_listing.where(F.col("published_at").between(ntz(lo), ntz(hi))).select("id")
     assert X.early_stop_page(sorted_listing, lo, hi).select("id").exceptAll(w2).count() == 0
     assert w2.exceptAll(X.early_stop_row(sorted_listing, lo, hi).select("id")).count() == 0
 

@@ -161,3 +161,18 @@ def test_unclosed_paragraphs(spark):
     assert one(spark, X.first_paragraph(F.col("x")), html) == "one."
     assert one(spark, X.paragraphs_joined(F.col("x")), html) == "one.\ntwo & more\nthree\n"
     assert one(spark, X.first_paragraph(F.col("x")), "<html>no article</html>") == ""
+
+
+def test_formatting_and_literals_ignore_session_time_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([(TS(2024, 3, 10, 2, 30, 5),)], "t timestamp_ntz")
+        row = df.select(DT.format_ntz("t", "EEE, dd MMM yyyy HH:mm:ss").alias("a"),
+                        DT.ntz(TS(2024, 3, 10, 2, 30, 5)).alias("b"),
+                        DT.render_date("t", "epoch").alias("e")).first()
+        assert row["a"] == "Sun, 10 Mar 2024 02:30:05"
+        assert row["b"] == TS(2024, 3, 10, 2, 30, 5)
+        assert row["e"] == "1710037805"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

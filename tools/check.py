@@ -84,11 +84,15 @@ def digest(cols, rows):
 def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--tz", default=None, help="session time zone (default UTC)")
+    ap.add_argument("--partitions", type=int, default=8)
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     reg = load_all()
     names = args.names or sorted(reg)
-    spark = local_session(8)
+    spark = local_session(8, shuffle_partitions=args.partitions)
+    if args.tz:
+        spark.conf.set("spark.sql.session.timeZone", args.tz)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{table_path(args.sf, t)}')")
