@@ -18,6 +18,9 @@ JOB_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Whole-text pandas UDFs (classifier, HTML rules, enrichment): keep an
+    # Arrow batch to ~1000 rows so a batch of long documents stays small.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 

@@ -86,6 +86,7 @@ def main() -> int:
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--tz", default=None, help="session time zone (default UTC)")
     ap.add_argument("--partitions", type=int, default=8)
+    ap.add_argument("--conf", action="append", default=[], help="extra session setting k=v")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     reg = load_all()
@@ -93,6 +94,9 @@ def main() -> int:
     spark = local_session(8, shuffle_partitions=args.partitions)
     if args.tz:
         spark.conf.set("spark.sql.session.timeZone", args.tz)
+    for kv in args.conf:
+        k, v = kv.split("=", 1)
+        spark.conf.set(k, v)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{table_path(args.sf, t)}')")
