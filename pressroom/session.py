@@ -11,8 +11,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job in this package assumes. They are defaults a cluster
-# profile may already carry; we only fill in what is missing.
+# Settings of the local session (tests, bench). On a cluster they belong in
+# the cluster profile; no library function sets them on a session it is given.
 JOB_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
