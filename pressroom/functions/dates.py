@@ -51,38 +51,43 @@ EN_WEEKDAYS = ("Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat")
 _TOKENS = ("yyyy", "MMMM", "MMM", "MM", "dd", "d", "HH", "mm", "ss", "EEE")
 
 
+def _sql_array(values) -> Column:
+    """A constant array of strings as one expression (one call, not one per item)."""
+    return F.expr("array(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")")
+
+
 def format_ntz(ts, pattern: str) -> Column:
-    """Format a timestamp_ntz (or date) from its own fields.
+    """Format a timestamp_ntz (or date) without the session time zone.
 
     ``date_format`` goes through the session time zone, so a wall time in a
-    daylight-saving gap of that zone would print shifted; the field
-    functions (year, month, hour, ...) read the value as it is. Supports the
-    tokens yyyy MMMM MMM MM dd d HH mm ss EEE and quoted literals."""
+    daylight-saving gap of that zone would print shifted. The text cast of a
+    timestamp_ntz ('yyyy-MM-dd HH:mm:ss[.ffffff]') is time-zone free, so the
+    numeric fields are cut from it. Supports the tokens yyyy MMMM MMM MM dd d
+    HH mm ss EEE and quoted literals."""
     t = _c(ts).cast("timestamp_ntz")
-    day = F.to_date(t)
+    iso = t.cast("string")
 
-    def pad(c, n):
-        return F.lpad(c.cast("string"), n, "0")
+    def cut(pos, n):
+        return F.substring(iso, pos, n)
 
     def piece(tok):
-        return {
-            "yyyy": pad(F.year(day), 4),
-            "MMMM": F.element_at(F.array(*[F.lit(m) for m in EN_MONTHS]), F.month(day)),
-            "MMM": F.element_at(F.array(*[F.lit(m[:3]) for m in EN_MONTHS]), F.month(day)),
-            "MM": pad(F.month(day), 2),
-            "dd": pad(F.dayofmonth(day), 2),
-            "d": F.dayofmonth(day).cast("string"),
-            "HH": pad(F.hour(t), 2),
-            "mm": pad(F.minute(t), 2),
-            "ss": pad(F.second(t), 2),
-            "EEE": F.element_at(F.array(*[F.lit(w) for w in EN_WEEKDAYS]), F.dayofweek(day)),
-        }[tok]
+        if tok == "yyyy":
+            return cut(1, 4)
+        if tok == "MMMM":
+            return F.element_at(_sql_array(EN_MONTHS), cut(6, 2).cast("int"))
+        if tok == "MMM":
+            return F.element_at(_sql_array([m[:3] for m in EN_MONTHS]), cut(6, 2).cast("int"))
+        if tok == "EEE":
+            return F.element_at(_sql_array(EN_WEEKDAYS), F.dayofweek(F.to_date(t)))
+        if tok == "d":
+            return cut(9, 2).cast("int").cast("string")
+        return cut(*{"MM": (6, 2), "dd": (9, 2), "HH": (12, 2), "mm": (15, 2), "ss": (18, 2)}[tok])
 
     parts, i = [], 0
     while i < len(pattern):
         if pattern[i] == "'":
             j = pattern.index("'", i + 1)
-            parts.append(F.lit(pattern[i + 1:j]))
+            parts.append(pattern[i + 1:j])
             i = j + 1
             continue
         tok = next((k for k in _TOKENS if pattern.startswith(k, i)), None)
@@ -90,9 +95,16 @@ def format_ntz(ts, pattern: str) -> Column:
             parts.append(piece(tok))
             i += len(tok)
         else:
-            parts.append(F.lit(pattern[i]))
+            parts.append(pattern[i])
             i += 1
-    return F.concat(*parts)
+    # Merge adjacent literal characters into one literal.
+    merged: list = []
+    for p in parts:
+        if isinstance(p, str) and merged and isinstance(merged[-1], str):
+            merged[-1] += p
+        else:
+            merged.append(p)
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in merged])
 
 
 def utc_ntz(instant: Column) -> Column:
@@ -132,7 +144,7 @@ def _parse_utc(s: Column, pattern: str | None) -> Column:
 
 def ru_month_to_en(s: Column) -> Column:
     """Replace a Russian genitive month name by the English one."""
-    mapping = F.create_map(*[F.lit(x) for pair in zip(RU_MONTHS_GENITIVE, EN_MONTHS) for x in pair])
+    mapping = F.expr("map(" + ", ".join(f"'{ru}', '{en}'" for ru, en in zip(RU_MONTHS_GENITIVE, EN_MONTHS)) + ")")
     parts = F.regexp_extract_all(s, F.lit(r"(\S+)"), 1)
     return F.array_join(F.transform(parts, lambda w: F.coalesce(F.element_at(mapping, F.lower(w)), w)),
                         " ")
@@ -196,7 +208,7 @@ def render_date(ts, rule: str, as_of: _dt.datetime | None = None) -> Column:
     if rule == "long_en":
         return format_ntz(t, "d MMMM yyyy")
     if rule == "long_ru":
-        months = F.array(*[F.lit(m) for m in RU_MONTHS_GENITIVE])
+        months = _sql_array(RU_MONTHS_GENITIVE)
         return F.concat_ws(" ", F.dayofmonth(t).cast("string"),
                            F.element_at(months, F.month(t)), F.year(t).cast("string"))
     if rule == "us_long":
