@@ -11,7 +11,6 @@ from pressroom.operators import relate as R
 from pressroom.operators import select as C
 from pressroom.operators.dimension import bounded_broadcast
 from pressroom.operators.sequence import append_ids
-from pressroom.sources.staging import materialize
 from pressroom.plans import bindings as B
 from pressroom.plans import duck as D
 from pressroom.plans.duck import with_
@@ -203,8 +202,10 @@ def ingest(spark, sf_dir):
     news = B.news(spark, sf_dir)
     rules = bounded_broadcast(B.source_rules(spark, sf_dir))
     texts = news.select("url", "content")
-    # The listing feeds three consumers; compute it once into the shared folder.
-    listing = materialize(B.listing(spark, sf_dir), "listing")
+    # The listing feeds three consumers. Its rows are already read from a
+    # written table (number_within materializes the numbered rows); what is
+    # left per consumer is a broadcast join of the small offsets table.
+    listing = B.listing(spark, sf_dir)
     rss_listing = listing.join(rules.where(col("kind") == "rss"), "source", "left_semi")
     json_listing = listing.join(rules.where(col("kind") == "json"), "source", "left_semi")
 
