@@ -106,3 +106,35 @@ def test_digest_news_is_broadcast_equi_join(spark, sf_dir):
     df.write.format("noop").mode("overwrite").save()
     plan = _plan(df)
     assert "BroadcastHashJoin" in plan
+
+
+def test_ingest_ids_are_unique_and_follow_the_stored_ones(spark, sf_dir):
+    out = REG["job_ingest"].build(spark, sf_dir)
+    ids = [r["id"] for r in out.select("id").collect()]
+    assert len(ids) == len(set(ids))
+    stored_max = B.news(spark, sf_dir).where(F.col("published_at") < ntz(B.WINDOW_MIN)).agg(F.max("id")).first()[0]
+    new = sorted(i for i in ids if i > stored_max)
+    assert new == list(range(stored_max + 1, stored_max + 1 + len(new)))
+
+
+def test_bounded_broadcast_falls_back_beyond_the_bound(spark):
+    from pressroom.operators.dimension import bounded_broadcast
+
+    df = spark.range(0, 50)
+    assert bounded_broadcast(df, max_rows=10) is df
+    small = bounded_broadcast(df, max_rows=100)
+    assert small is not df and small.count() == 50
+
+
+def test_digest_news_without_broadcast_is_still_an_equi_join(spark, sf_dir):
+    from pressroom.operators import relate as R
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        days = R._digest_days(B.digest(spark, sf_dir))
+        n = B.news(spark, sf_dir).withColumn("_day", F.to_date("published_at"))
+        plan = _plan(n.join(days, n["_day"] == days["day"]))
+        assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
