@@ -76,7 +76,9 @@ def digest_counts(digest: DataFrame, news: DataFrame, inclusive_end_day: bool =
                .agg(F.count(F.lit(1)).alias("n_all"),
                     F.count_if(F.col("published_at") == F.to_date("published_at")
                                .cast("timestamp_ntz")).alias("n_midnight")))
-    days = bounded_broadcast(_digest_days(digest))
+    # One row per calendar day: the (checked) broadcast side of the left join.
+    per_day = bounded_broadcast(per_day)
+    days = _digest_days(digest)
     last = F.col("day") == F.col("end_date")
     counted = (days.join(per_day, "day", "left")
                .select("id", F.when(last & F.lit(not inclusive_end_day), F.col("n_midnight"))
