@@ -111,19 +111,23 @@ def classify_themes(spark, sf_dir):
 # --- jobs -----------------------------------------------------------------------
 
 
-def translate_and_summarize(spark, sf_dir):
+def translate_and_summarize(spark, sf_dir, translator=None, summarizer=None):
     """K2: translate the first 200 untranslated rows, then submit every
-    translated row for a summary; results merge back by masked update."""
+    translated row for a summary; results merge back by masked update.
+
+    ``translator`` / ``summarizer`` are client factories (default: the
+    offline stand-ins); each client is called once per due row."""
+    translator = translator or (lambda: E.TranslateStub(B.TARGET_LANG))
+    summarizer = summarizer or (lambda: E.SubmitStub("summary"))
     work, tt = _translate_queue(spark, sf_dir)
     # Remote results are written once before reuse: the translated rows feed
     # both the summary requests and the merge, and a lazy frame would call
     # the model again for each consumer.
-    tr = materialize(E.enrich(tt, "id", "content", lambda: E.TranslateStub(B.TARGET_LANG),
-                              T.StringType(), "content"), "translated")
+    tr = materialize(E.enrich(tt, "id", "content", translator, T.StringType(), "content"), "translated")
     work = R.masked_update(work, tr.where(col("status") == "ok")
                            .select("id", "content", F.lit(True).alias("is_translated")))
-    req = materialize(E.enrich(work.where(C.to_summarize()), "id", "content",
-                               lambda: E.SubmitStub("summary"), T.StringType(), "rid"), "summary-requests")
+    req = materialize(E.enrich(work.where(C.to_summarize()), "id", "content", summarizer,
+                               T.StringType(), "rid"), "summary-requests")
     upd = req.select("id", F.coalesce(col("rid"), F.lit("")).alias("summarization_request_id"),
                      col("rid").isNotNull().alias("is_requested_for_summarization"))
     return R.masked_update(work, upd)
@@ -143,20 +147,25 @@ def job_translate_summarize(spark, sf_dir):
                       "is_requested_for_summarization")
 
 
-def vectorize_and_request(spark, sf_dir):
+def vectorize_and_request(spark, sf_dir, embedder=None, classifier=None):
     """K3: poll summaries, embed the summaries of rows due for a vector, then
-    submit every translated, unscored row for classification."""
+    submit every translated, unscored row for classification.
+
+    ``embedder`` / ``classifier`` are client factories (default: the offline
+    stand-ins); each client is called once per due row."""
+    embedder = embedder or E.EmbedStub
+    classifier = classifier or (lambda: E.SubmitStub("pro"))
     work = B.news(spark, sf_dir).where(C.queue_results()).drop("summary")
     polled_cond = col("summarization_request_id") != ""
     work = collect_replies(work, B.replies(spark, sf_dir), "summarization_request_id", polled_cond, "summary")
     work = work.withColumn("is_summarized", F.when(polled_cond, col("summary").isNotNull())
                            .otherwise(col("is_summarized")))
-    vec = materialize(E.enrich(work.where(C.to_embed(B.TARGET_LANG)), "id", "summary", E.EmbedStub,
+    vec = materialize(E.enrich(work.where(C.to_embed(B.TARGET_LANG)), "id", "summary", embedder,
                                T.ArrayType(T.DoubleType()), "vectorized_content"), "vectors")
     work = R.masked_update(work, vec.select("id", "vectorized_content",
                                             col("vectorized_content").isNotNull().alias("is_vectorized")))
     prompts = work.where(C.to_classify()).select("id", E.classification_prompt(col("content")).alias("prompt"))
-    req = materialize(E.enrich(prompts, "id", "prompt", lambda: E.SubmitStub("pro"), T.StringType(),
+    req = materialize(E.enrich(prompts, "id", "prompt", classifier, T.StringType(),
                                "score_request_id"), "score-requests")
     return R.masked_update(work, req.select("id", "score_request_id", F.lit(False).alias("is_scored"),
                                             col("score_request_id").isNotNull()

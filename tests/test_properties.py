@@ -138,3 +138,50 @@ def test_digest_news_without_broadcast_is_still_an_equi_join(spark, sf_dir):
         assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_enrichment_jobs_call_each_client_once_per_row(spark, sf_dir, tmp_path):
+    import os
+    import uuid
+
+    from pressroom.operators import select as C
+    from pressroom.plans.q_enrich import translate_and_summarize, vectorize_and_request
+
+    log_dir = str(tmp_path)
+
+    def counting(inner_factory, tag):
+        def factory():
+            inner = inner_factory()
+
+            class Counting:
+                def call(self, texts):
+                    with open(os.path.join(log_dir, f"{tag}-{uuid.uuid4().hex}"), "w") as f:
+                        f.write("\n".join("x" for _ in texts))
+                    return inner.call(texts)
+            return Counting()
+        return factory
+
+    def calls(tag):
+        n = 0
+        for name in os.listdir(log_dir):
+            if name.startswith(tag + "-"):
+                with open(os.path.join(log_dir, name)) as f:
+                    n += len(f.read().splitlines())
+        return n
+
+    out = translate_and_summarize(spark, sf_dir, counting(lambda: E.TranslateStub("en"), "tr"),
+                                  counting(lambda: E.SubmitStub("summary"), "sum"))
+    out.write.format("noop").mode("overwrite").save()
+    out.select("id").distinct().count()          # a second consumer of the same results
+    work = C.derive_flags(B.news(spark, sf_dir).where(C.queue_translate("en")))
+    due_tr = work.where(C.to_translate_pred()).count()
+    assert calls("tr") == min(200, due_tr)
+    assert calls("sum") == out.where(F.col("is_translated")).count()
+
+    out2 = vectorize_and_request(spark, sf_dir, counting(E.EmbedStub, "emb"),
+                                 counting(lambda: E.SubmitStub("pro"), "cls"))
+    out2.write.format("noop").mode("overwrite").save()
+    out2.count()
+    work2 = B.news(spark, sf_dir).where(C.queue_results())
+    assert calls("emb") == work2.where(C.to_embed("en")).count()
+    assert calls("cls") == work2.where(C.to_classify()).count()
