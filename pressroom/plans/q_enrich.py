@@ -29,9 +29,12 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+TRANSLATE_BUDGET = 200   # rows translated per run (the reference's fixed budget)
+
+
 def _translate_queue(spark, sf_dir):
     work = C.derive_flags(B.news(spark, sf_dir).where(C.queue_translate(B.TARGET_LANG)), B.TARGET_LANG)
-    return work, C.first_n(work, C.to_translate_pred(), 200)
+    return work, C.first_n(work, C.to_translate_pred(), TRANSLATE_BUDGET)
 
 
 @query("enrich_translate", "J1 J6 F4", with_(["news"], """
@@ -123,7 +126,10 @@ def translate_and_summarize(spark, sf_dir, translator=None, summarizer=None):
     # Remote results are written once before reuse: the translated rows feed
     # both the summary requests and the merge, and a lazy frame would call
     # the model again for each consumer.
-    tr = materialize(E.enrich(tt, "id", "content", translator, T.StringType(), "content"), "translated")
+    # The budget bounds this input: size its tasks from the budget (about 25
+    # rows per task), not from the cluster-wide shuffle partition count.
+    tr = materialize(E.enrich(tt, "id", "content", translator, T.StringType(), "content",
+                              num_partitions=max(1, TRANSLATE_BUDGET // 25)), "translated")
     work = R.masked_update(work, tr.where(col("status") == "ok")
                            .select("id", "content", F.lit(True).alias("is_translated")))
     req = materialize(E.enrich(work.where(C.to_summarize()), "id", "content", summarizer,
