@@ -42,7 +42,8 @@ SELECT w.id, '[en] ' || w.content AS content, 'ok' AS status FROM work w JOIN tt
                                             [_WORK, _TT]))
 def enrich_translate(spark, sf_dir):
     _, tt = _translate_queue(spark, sf_dir)
-    return E.enrich(tt, "id", "content", lambda: E.TranslateStub(B.TARGET_LANG), T.StringType(), "content")
+    return E.enrich(tt, "id", "content", lambda: E.TranslateStub(B.TARGET_LANG), T.StringType(), "content",
+                    num_partitions=max(1, TRANSLATE_BUDGET // 25))
 
 
 @query("submit_requests", "J2 J7", with_(["news"], """
