@@ -86,6 +86,16 @@ def weekly_counts(stream: DataFrame, ts_col: str, key: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def weekly_counts_final(stream: DataFrame, ts_col: str, key: str, delay: str) -> DataFrame:
+    """Weekly counts emitted once per week when the watermark passes its end
+    (append mode): state for closed weeks is dropped, and rows arriving
+    later than ``delay`` behind the newest event are ignored."""
+    return (stream.withColumn("_t", instant_utc(F.col(ts_col)))
+            .withWatermark("_t", delay)
+            .groupBy(F.window("_t", "7 days", "7 days", "4 days").alias("w"), key)
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def write_complete(spark: SparkSession, agg: DataFrame, out: str, checkpoint: str | None = None) -> str:
     """Run a streaming aggregate in complete mode; every batch overwrites ``out``."""
     checkpoint = checkpoint or staging_path(spark, "ckpt-agg")

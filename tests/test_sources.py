@@ -64,3 +64,34 @@ def test_streaming_upsert_across_batches(spark, tmp_path):
     assert got == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
     out = S.compact(spark, table, str(tmp_path / "v2"))
     assert spark.read.parquet(out).count() == 4
+
+
+def test_weekly_counts_append_mode_drops_late_rows(spark, tmp_path):
+    import datetime as dt
+
+    landing = tmp_path / "events"
+    landing.mkdir()
+    schema = "ts timestamp_ntz, event_type string"
+
+    def land(name, rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(landing / name))
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(landing / "*"))
+        S.write_append(spark, S.weekly_counts_final(stream, "ts", "event_type", "1 day"),
+                       str(tmp_path / "out"), checkpoint=str(tmp_path / "ckpt"))
+
+    # week of Mon 2024-01-01: two views; then an event three weeks later moves the watermark on
+    land("b1", [(dt.datetime(2024, 1, 2), "view"), (dt.datetime(2024, 1, 3), "view")])
+    land("b2", [(dt.datetime(2024, 1, 24), "view")])
+    run()
+    # a late view for the first week (far behind the watermark) and an on-time one
+    land("b3", [(dt.datetime(2024, 1, 4), "view"), (dt.datetime(2024, 1, 25), "view")])
+    land("b4", [(dt.datetime(2024, 2, 20), "view")])
+    run()
+    from pressroom.functions.dates import utc_ntz
+
+    out = spark.read.parquet(str(tmp_path / "out")).select(utc_ntz(F.col("w.start")).alias("week"), "n")
+    got = {r["week"]: r["n"] for r in out.collect()}
+    assert got == {dt.datetime(2024, 1, 1): 2,    # the late row of this week was dropped
+                   dt.datetime(2024, 1, 22): 2}   # the week of Feb 19 is still open
