@@ -47,3 +47,18 @@ def stream_weekly_counts(spark, sf_dir):
     out = S.write_complete(spark, S.weekly_counts(events, "ts", "event_type"), staging_path(spark, "weekly"))
     return spark.read.parquet(out).select(utc_ntz(col("w.start")).alias("week_start"), "event_type",
                                           col("n").cast("long").alias("n"))
+
+
+@query("stream_weekly_final", "L3 (append mode, watermark: closed weeks only)", """
+SELECT CAST(date_trunc('week', ts) AS TIMESTAMP) AS week_start, event_type, count(*) AS n
+FROM events GROUP BY ALL
+HAVING CAST(date_trunc('week', min(ts)) AS TIMESTAMP) + INTERVAL 7 DAY
+       <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""")
+def stream_weekly_final(spark, sf_dir):
+    schema = read_table(spark, sf_dir, "events").schema
+    events = S.landing_stream(spark, sf_dir, "events.parquet", schema).withColumn(
+        "ts", col("ts").cast("timestamp_ntz"))
+    out = S.write_append(spark, S.weekly_counts_final(events, "ts", "event_type", "1 day"),
+                         staging_path(spark, "weekly-final"))
+    return spark.read.parquet(out).select(utc_ntz(col("w.start")).alias("week_start"), "event_type",
+                                          col("n").cast("long").alias("n"))
