@@ -42,3 +42,20 @@ def test_vector_codec_round_trips(spark, vecs):
     back = {r["i"]: r["b"] for r in df.select(
         "i", TX.text_to_vector(TX.vector_to_text(F.col("v"))).alias("b")).collect()}
     assert all(back[i] == v for i, v in enumerate(vecs))
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "a", "b"]), st.integers(0, 5)),
+                min_size=1, max_size=60),
+       st.integers(1, 6))
+def test_number_within_equals_row_number(spark, rows, parts):
+    from pyspark.sql import Window
+
+    from pressroom.operators.sequence import number_within
+
+    df = spark.createDataFrame([(i, g, k) for i, (g, k) in enumerate(rows)], "id long, g string, k int")
+    ours = number_within(df, ["g"], [F.col("k").desc(), F.col("id").asc()], "pos", num_partitions=parts)
+    w = Window.partitionBy("g").orderBy(F.col("k").desc(), F.col("id").asc())
+    ref = df.withColumn("pos", (F.row_number().over(w) - 1).cast("long"))
+    assert sorted(map(tuple, ours.select("id", "pos").collect())) == \
+        sorted(map(tuple, ref.select("id", "pos").collect()))
