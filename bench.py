@@ -29,8 +29,12 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or list(HEADLINE)
+    # BENCH_EVENT_LOG=<folder>: write Spark's event log there (stage and task
+    # times for offline reading; the UI stays off).
+    log_dir = os.environ.get("BENCH_EVENT_LOG")
+    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir} if log_dir else None
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2 if cpus.isdigit() else 16,
-                          app="pressroom-bench")
+                          app="pressroom-bench", extra=extra)
     reg = load_all()
     # Warm-up (session setup, not timed): JVM, parquet footers, Python workers.
     reg["scan_news"].build(spark, sf_dir).write.format("noop").mode("overwrite").save()

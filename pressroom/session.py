@@ -25,7 +25,7 @@ JOB_DEFAULTS = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "pressroom") -> SparkSession:
+                  app: str = "pressroom", extra: dict | None = None) -> SparkSession:
     """A local session for tests and the bench (UI off, UTC, AQE on)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -35,7 +35,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for k, v in JOB_DEFAULTS.items():
+    for k, v in {**JOB_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
