@@ -115,12 +115,14 @@ def classify_themes(spark, sf_dir):
 # --- jobs -----------------------------------------------------------------------
 
 
-def translate_and_summarize(spark, sf_dir, translator=None, summarizer=None):
+def translate_and_summarize(spark, sf_dir, translator=None, summarizer=None, skip_empty: bool = False):
     """K2: translate the first 200 untranslated rows, then submit every
     translated row for a summary; results merge back by masked update.
 
     ``translator`` / ``summarizer`` are client factories (default: the
-    offline stand-ins); each client is called once per due row."""
+    offline stand-ins); each client is called once per due row.
+    ``skip_empty`` leaves rows with empty content out of the summary
+    requests (literal behaviour submits them)."""
     translator = translator or (lambda: E.TranslateStub(B.TARGET_LANG))
     summarizer = summarizer or (lambda: E.SubmitStub("summary"))
     work, tt = _translate_queue(spark, sf_dir)
@@ -133,7 +135,8 @@ def translate_and_summarize(spark, sf_dir, translator=None, summarizer=None):
                               num_partitions=max(1, TRANSLATE_BUDGET // 25)), "translated")
     work = R.masked_update(work, tr.where(col("status") == "ok")
                            .select("id", "content", F.lit(True).alias("is_translated")))
-    req = materialize(E.enrich(work.where(C.to_summarize()), "id", "content", summarizer,
+    due = C.to_summarize() & (F.length("content") > 0) if skip_empty else C.to_summarize()
+    req = materialize(E.enrich(work.where(due), "id", "content", summarizer,
                                T.StringType(), "rid"), "summary-requests")
     upd = req.select("id", F.coalesce(col("rid"), F.lit("")).alias("summarization_request_id"),
                      col("rid").isNotNull().alias("is_requested_for_summarization"))
@@ -154,12 +157,16 @@ def job_translate_summarize(spark, sf_dir):
                       "is_requested_for_summarization")
 
 
-def vectorize_and_request(spark, sf_dir, embedder=None, classifier=None):
+def vectorize_and_request(spark, sf_dir, embedder=None, classifier=None, embed_col: str = "summary",
+                          skip_requested: bool = False):
     """K3: poll summaries, embed the summaries of rows due for a vector, then
     submit every translated, unscored row for classification.
 
     ``embedder`` / ``classifier`` are client factories (default: the offline
-    stand-ins); each client is called once per due row."""
+    stand-ins); each client is called once per due row. ``embed_col`` is the
+    text that is embedded (default the summary, a null text gives no
+    vector); ``skip_requested`` does not resubmit rows already requested for
+    scoring (literal behaviour resubmits them)."""
     embedder = embedder or E.EmbedStub
     classifier = classifier or (lambda: E.SubmitStub("pro"))
     work = B.news(spark, sf_dir).where(C.queue_results()).drop("summary")
@@ -167,11 +174,12 @@ def vectorize_and_request(spark, sf_dir, embedder=None, classifier=None):
     work = collect_replies(work, B.replies(spark, sf_dir), "summarization_request_id", polled_cond, "summary")
     work = work.withColumn("is_summarized", F.when(polled_cond, col("summary").isNotNull())
                            .otherwise(col("is_summarized")))
-    vec = materialize(E.enrich(work.where(C.to_embed(B.TARGET_LANG)), "id", "summary", embedder,
+    vec = materialize(E.enrich(work.where(C.to_embed(B.TARGET_LANG)), "id", embed_col, embedder,
                                T.ArrayType(T.DoubleType()), "vectorized_content"), "vectors")
     work = R.masked_update(work, vec.select("id", "vectorized_content",
                                             col("vectorized_content").isNotNull().alias("is_vectorized")))
-    prompts = work.where(C.to_classify()).select("id", E.classification_prompt(col("content")).alias("prompt"))
+    prompts = work.where(C.to_classify(skip_requested)).select(
+        "id", E.classification_prompt(col("content")).alias("prompt"))
     req = materialize(E.enrich(prompts, "id", "prompt", classifier, T.StringType(),
                                "score_request_id"), "score-requests")
     return R.masked_update(work, req.select("id", "score_request_id", F.lit(False).alias("is_scored"),

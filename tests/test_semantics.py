@@ -176,3 +176,32 @@ def test_formatting_and_literals_ignore_session_time_zone(spark):
         assert row["e"] == "1710037805"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_score_invert_options(spark):
+    df = spark.createDataFrame([(1, 0.0, 10, 1), (2, 5.0, 20, 3)],
+                               "id long, rate_num double, age_days long, source_rank long")
+    lit = {r["id"]: r["score"] for r in S.add_score(df).collect()}
+    inv = {r["id"]: r["score"] for r in S.add_score(df, invert_age=True, invert_rank=True).collect()}
+    assert lit == {1: 0.0, 2: 3.0}
+    assert inv == {1: 2.0, 2: 1.0}
+
+
+def test_job_options_skip_empty_and_skip_requested(spark, sf_dir):
+    from pressroom.operators import select as C
+    from pressroom.plans import bindings as B
+    from pressroom.plans.q_enrich import translate_and_summarize, vectorize_and_request
+
+    def new_empty_requests(df):
+        return df.where((F.col("content") == "") & F.col("is_translated")
+                        & F.col("summarization_request_id").rlike("^[0-9a-f]{32}$")).count()
+
+    assert new_empty_requests(translate_and_summarize(spark, sf_dir)) > 0
+    assert new_empty_requests(translate_and_summarize(spark, sf_dir, skip_empty=True)) == 0
+    # rows already requested for scoring keep their request id when skipped
+    work = B.news(spark, sf_dir).where(C.queue_results())
+    already = {r["id"]: r["score_request_id"] for r in work.where(
+        C.to_classify() & F.col("is_requested_for_scoring")).collect()}
+    out = {r["id"]: r["score_request_id"] for r in vectorize_and_request(
+        spark, sf_dir, skip_requested=True).collect()}
+    assert all(out[i] == rid for i, rid in already.items())
