@@ -185,3 +185,25 @@ def test_enrichment_jobs_call_each_client_once_per_row(spark, sf_dir, tmp_path):
     work2 = B.news(spark, sf_dir).where(C.queue_results())
     assert calls("emb") == work2.where(C.to_embed("en")).count()
     assert calls("cls") == work2.where(C.to_classify()).count()
+
+
+def test_bucketed_article_table_joins_without_shuffling_it(spark, sf_dir):
+    from pressroom.operators import relate as R
+    from pressroom.sources.staging import save_bucketed
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        news = save_bucketed(B.news(spark, sf_dir).select("id", "is_scored", "score"), "news_bucketed", "id", 8)
+        changes = B.news(spark, sf_dir).where(F.col("id") % 7 == 0).select(
+            "id", F.lit(True).alias("is_scored"), F.lit(1.0).alias("score"))
+        out = R.upsert(news, changes, "id")
+        out.write.format("noop").mode("overwrite").save()
+        plan = _plan(out)
+        # one shuffle: the change set into the table's buckets; the table itself is read as is
+        assert plan.count("Exchange hashpartitioning") == 1
+        assert out.count() == B.news(spark, sf_dir).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
