@@ -107,3 +107,15 @@ def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str |
     (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
      .option("path", path or staging_path(spark, table)).saveAsTable(table))
     return spark.table(table)
+
+
+def publish_version(base: DataFrame, changes: DataFrame, table: str, version: int, key: str = "id",
+                    buckets: int = 64, root: str | None = None) -> DataFrame:
+    """Publish an upsert of ``changes`` into ``base`` as a new table version
+    ``<table>_v<version>`` at a new path (the version being read is never
+    overwritten), bucketed by ``key`` for the next round of id joins."""
+    from pressroom.operators.relate import upsert
+
+    spark = base.sparkSession
+    path = f"{(root or staging_path(spark, table)).rstrip('/')}/v{version}"
+    return save_bucketed(upsert(base, changes, key), f"{table}_v{version}", key, buckets, path)

@@ -95,3 +95,14 @@ def test_weekly_counts_append_mode_drops_late_rows(spark, tmp_path):
     got = {r["week"]: r["n"] for r in out.collect()}
     assert got == {dt.datetime(2024, 1, 1): 2,    # the late row of this week was dropped
                    dt.datetime(2024, 1, 22): 2}   # the week of Feb 19 is still open
+
+
+def test_publish_version_keeps_the_previous_version(spark, tmp_path):
+    from pressroom.sources.staging import publish_version, save_bucketed
+
+    v1 = save_bucketed(spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"), "articles_v1", "id", 4,
+                       str(tmp_path / "v1"))
+    ch = spark.createDataFrame([(2, "B"), (3, "c")], "id long, v string")
+    v2 = publish_version(v1, ch, "articles", 2, buckets=4, root=str(tmp_path))
+    assert sorted(map(tuple, v2.collect())) == [(1, "a"), (2, "B"), (3, "c")]
+    assert sorted(map(tuple, spark.table("articles_v1").collect())) == [(1, "a"), (2, "b")]

@@ -20,6 +20,7 @@ NOTES = {
     "A1": "`sources/tables.read_table`; JDBC form `sources/staging.read_jdbc` (untested: needs a database)",
     "A2": "`sources/staging.write_csv`",
     "A5": "`operators/sequence.append_ids`",
+    "A6": "`sources/staging.publish_version` (upsert written as a new bucketed version)",
     "A8": "`sources/staging.export_csv(accumulate=False)`",
     "A9": "`operators/extract.rss_items` (payload column); files: `sources/lists.read_rss_files`",
     "A12": "`sources/lists.read_ranked_list`; join `operators/score.authority_rank`",
@@ -38,6 +39,7 @@ NOTES = {
     "J7": "`model` parameter of the stub clients",
     "M4": "no-op in a typed schema (string has no length; default in `schemas.NEWS_DEFAULTS`)",
     "F3": "`authority_rank` (min rank per name)",
+    "D6j": "`operators/relate.upsert`; bucketed form `sources/staging.save_bucketed` / `publish_version`",
 }
 
 
