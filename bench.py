@@ -40,6 +40,7 @@ def main() -> None:
     reg["scan_news"].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
     spark.range(0, 64, 1, 64).mapInPandas(lambda it: it, "id long").write.format("noop") \
         .mode("overwrite").save()
+    spark.range(0, 8).toPandas()   # driver-side Arrow conversion
     times = {}
     for name in names:
         t0 = time.perf_counter()
