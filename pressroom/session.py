@@ -21,6 +21,10 @@ JOB_DEFAULTS = {
     # Whole-text pandas UDFs (classifier, HTML rules, enrichment): keep an
     # Arrow batch to ~1000 rows so a batch of long documents stays small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    # Static setting: PySpark otherwise records a Python call-site context for
+    # every Column operation (for error messages), which makes building the
+    # plans of wide projections several times slower on the driver.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
