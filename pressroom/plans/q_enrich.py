@@ -32,9 +32,14 @@ def _sql_str(s: str) -> str:
 TRANSLATE_BUDGET = 200   # rows translated per run (the reference's fixed budget)
 
 
+def translate_queue(news, target_lang: str = B.TARGET_LANG, budget: int = TRANSLATE_BUDGET):
+    """(work set of the translate job, its first ``budget`` rows to translate)."""
+    work = C.derive_flags(news.where(C.queue_translate(target_lang)), target_lang)
+    return work, C.first_n(work, C.to_translate_pred(), budget)
+
+
 def _translate_queue(spark, sf_dir):
-    work = C.derive_flags(B.news(spark, sf_dir).where(C.queue_translate(B.TARGET_LANG)), B.TARGET_LANG)
-    return work, C.first_n(work, C.to_translate_pred(), TRANSLATE_BUDGET)
+    return translate_queue(B.news(spark, sf_dir))
 
 
 @query("enrich_translate", "J1 J6 F4", with_(["news"], """
@@ -115,24 +120,25 @@ def classify_themes(spark, sf_dir):
 # --- jobs -----------------------------------------------------------------------
 
 
-def translate_and_summarize(spark, sf_dir, translator=None, summarizer=None, skip_empty: bool = False):
-    """K2: translate the first 200 untranslated rows, then submit every
+def translate_summarize_job(news, translator=None, summarizer=None, target_lang: str = B.TARGET_LANG,
+                            budget: int = TRANSLATE_BUDGET, skip_empty: bool = False):
+    """K2 on an article table: translate the first ``budget`` untranslated rows, then submit every
     translated row for a summary; results merge back by masked update.
 
     ``translator`` / ``summarizer`` are client factories (default: the
     offline stand-ins); each client is called once per due row.
     ``skip_empty`` leaves rows with empty content out of the summary
     requests (literal behaviour submits them)."""
-    translator = translator or (lambda: E.TranslateStub(B.TARGET_LANG))
+    translator = translator or (lambda: E.TranslateStub(target_lang))
     summarizer = summarizer or (lambda: E.SubmitStub("summary"))
-    work, tt = _translate_queue(spark, sf_dir)
+    work, tt = translate_queue(news, target_lang, budget)
     # Remote results are written once before reuse: the translated rows feed
     # both the summary requests and the merge, and a lazy frame would call
     # the model again for each consumer.
     # The budget bounds this input: size its tasks from the budget (about 25
     # rows per task), not from the cluster-wide shuffle partition count.
     tr = materialize(E.enrich(tt, "id", "content", translator, T.StringType(), "content",
-                              num_partitions=max(1, TRANSLATE_BUDGET // 25)), "translated")
+                              num_partitions=max(1, budget // 25)), "translated")
     work = R.masked_update(work, tr.where(col("status") == "ok")
                            .select("id", "content", F.lit(True).alias("is_translated")))
     due = C.to_summarize() & (F.length("content") > 0) if skip_empty else C.to_summarize()
@@ -143,6 +149,11 @@ def translate_and_summarize(spark, sf_dir, translator=None, summarizer=None, ski
     return R.masked_update(work, upd)
 
 
+def translate_and_summarize(spark, sf_dir, *clients, **options):
+    """K2 on the fixture article table (see ``translate_summarize_job``)."""
+    return translate_summarize_job(B.news(spark, sf_dir), *clients, **options)
+
+
 @query("job_translate_summarize", "K2 C7 I20 C20 C9 J1 D2j C10 J2 D29 D30", with_(["news"], """
 SELECT id, content, is_translated,
   CASE WHEN is_translated THEN md5('summary' || content) ELSE summarization_request_id END AS summarization_request_id,
@@ -157,9 +168,10 @@ def job_translate_summarize(spark, sf_dir):
                       "is_requested_for_summarization")
 
 
-def vectorize_and_request(spark, sf_dir, embedder=None, classifier=None, embed_col: str = "summary",
-                          skip_requested: bool = False):
-    """K3: poll summaries, embed the summaries of rows due for a vector, then
+def vectorize_request_job(news, replies, embedder=None, classifier=None, target_lang: str = B.TARGET_LANG,
+                          embed_col: str = "summary", skip_requested: bool = False):
+    """K3 on an article table and a replies table (request_id, done, text):
+    poll summaries, embed the summaries of rows due for a vector, then
     submit every translated, unscored row for classification.
 
     ``embedder`` / ``classifier`` are client factories (default: the offline
@@ -169,12 +181,12 @@ def vectorize_and_request(spark, sf_dir, embedder=None, classifier=None, embed_c
     scoring (literal behaviour resubmits them)."""
     embedder = embedder or E.EmbedStub
     classifier = classifier or (lambda: E.SubmitStub("pro"))
-    work = B.news(spark, sf_dir).where(C.queue_results()).drop("summary")
+    work = news.where(C.queue_results()).drop("summary")
     polled_cond = col("summarization_request_id") != ""
-    work = collect_replies(work, B.replies(spark, sf_dir), "summarization_request_id", polled_cond, "summary")
+    work = collect_replies(work, replies, "summarization_request_id", polled_cond, "summary")
     work = work.withColumn("is_summarized", F.when(polled_cond, col("summary").isNotNull())
                            .otherwise(col("is_summarized")))
-    vec = materialize(E.enrich(work.where(C.to_embed(B.TARGET_LANG)), "id", embed_col, embedder,
+    vec = materialize(E.enrich(work.where(C.to_embed(target_lang)), "id", embed_col, embedder,
                                T.ArrayType(T.DoubleType()), "vectorized_content"), "vectors")
     work = R.masked_update(work, vec.select("id", "vectorized_content",
                                             col("vectorized_content").isNotNull().alias("is_vectorized")))
@@ -187,6 +199,11 @@ def vectorize_and_request(spark, sf_dir, embedder=None, classifier=None, embed_c
                                             .alias("is_requested_for_scoring")))
 
 
+def vectorize_and_request(spark, sf_dir, *clients, **options):
+    """K3 on the fixture tables (see ``vectorize_request_job``)."""
+    return vectorize_request_job(B.news(spark, sf_dir), B.replies(spark, sf_dir), *clients, **options)
+
+
 _PROMPT_HEAD = _sql_str(PROMPT_PREFIX + themes_joined() + PROMPT_MIDDLE)
 
 
