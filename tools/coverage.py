@@ -39,6 +39,9 @@ NOTES = {
     "J7": "`model` parameter of the stub clients",
     "M4": "no-op in a typed schema (string has no length; default in `schemas.NEWS_DEFAULTS`)",
     "F3": "`authority_rank` (min rank per name)",
+    "K2": "`plans/q_enrich.translate_summarize_job(news, translator, summarizer, ...)`",
+    "K3": "`plans/q_enrich.vectorize_request_job(news, replies, embedder, classifier, ...)`",
+    "K4": "`operators/score.score_news(work, replies, authority, as_of)`",
     "D6j": "`operators/relate.upsert`; bucketed form `sources/staging.save_bucketed` / `publish_version`",
 }
 
