@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pressroom.llm import chat_format, mixing, url_filter
+from pressroom.llm import chat_format, decontaminate, mixing, quality, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
+    "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_quality": quality.op3_quality,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op7_chat_format": chat_format.op7_chat_format,
 }
 ORACLES = {
     "op1_url_filter": url_filter.ORACLE,
+    "op2_decontaminate": decontaminate.ORACLE,
     "op6_mix_sources": mixing.ORACLE,
     "op7_chat_format": chat_format.ORACLE,
 }
