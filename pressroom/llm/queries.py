@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pressroom.llm import (chat_format, decontaminate, mixing, neighbours, quality, token_files,
-                            url_filter)
+from pressroom.llm import (chat_format, decontaminate, jaccard_join, mixing, neighbours, quality,
+                            token_files, url_filter)
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_quality": quality.op3_quality,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op7_chat_format": chat_format.op7_chat_format,
+    "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_token_files": token_files.op9_token_files,
     "op10_neighbours": neighbours.op10_neighbours,
 }
