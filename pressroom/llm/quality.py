@@ -129,17 +129,33 @@ def isotonic(totals: np.ndarray, ones: np.ndarray, centres: np.ndarray) -> tuple
 
 
 def _partition_sums(rows: DataFrame, size: int, add) -> np.ndarray:
-    """Total of ``add(batch, sums)`` over all rows: fixed-size sums from a fixed
-    number of tasks."""
+    """Total of ``add(batch, sums)`` over all rows. Each of at most SUM_TASKS tasks
+    has one array of fixed size; these are added up slice by slice in a second
+    step, so the driver gets one array, whatever the number of tasks."""
+    width = -(-size // SUM_TASKS)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros(size)
         for batch in batches:
             if len(batch):
                 add(np.stack(batch["stats"].to_numpy()), batch["label"].to_numpy(dtype=np.float64), sums)
-        yield pd.DataFrame({"sums": [sums.tobytes()]})
+        for k in range(0, size, width):
+            yield pd.DataFrame({"slice": [k // width], "sums": [sums[k:k + width].tobytes()]})
 
-    parts = rows.repartition(SUM_TASKS, "id").mapInPandas(run, "sums binary").collect()
-    return sum((np.frombuffer(r["sums"]) for r in parts), np.zeros(size))
+    def total(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, part in zip(batch["slice"], batch["sums"]):
+                found[k] = found.get(k, 0.0) + np.frombuffer(part)
+        yield pd.DataFrame({"slice": list(found), "sums": [x.tobytes() for x in found.values()]})
+
+    kind = "slice int, sums binary"
+    parts = (rows.coalesce(SUM_TASKS).mapInPandas(run, kind).repartition(SUM_TASKS, "slice")
+             .mapInPandas(total, kind).collect())
+    out = np.zeros(size)
+    for r in parts:
+        out[r["slice"] * width:(r["slice"] + 1) * width] = np.frombuffer(r["sums"])
+    return out
 
 
 def fit_quality(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
