@@ -136,6 +136,13 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
             .withColumn("contaminated", F.col("n_hit") > 0))
 
 
+def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    **options) -> DataFrame:
+    """The rows of ``docs`` in which no window of an item occurs."""
+    hit = find_items(docs, items, id_col, text_col, **options).select(F.col("key").alias("__doc_key")).distinct()
+    return docs.withColumn("__doc_key", _key(id_col, text_col)).join(hit, "__doc_key", "left_anti").select(docs.columns)
+
+
 def op2_decontaminate(spark, sf_dir):
     out = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items",

@@ -335,10 +335,11 @@ def _verify_block(part: pd.DataFrame, fewest: list[int], threshold: float) -> pd
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    threshold: float = THRESHOLD) -> DataFrame:
-    """``id_col, text_key, copy_id, n_links, class_id`` per row with an id:
+    """``id_col, text_key, copy_id, n_links, class_id, shingled`` per row with an id:
     ``copy_id`` is the smallest id with the same shingles, ``n_links`` the number
     of other classes of equal shingle sets that it links to, ``class_id`` the
-    smallest id of the group that links connect, ``text_key`` the text's md5."""
+    smallest id of the group that links connect, ``text_key`` the text's md5,
+    ``shingled`` whether the text has words."""
     signed = materialize(signatures(docs, id_col, text_col), "signatures")
     classes = materialize(signed.groupBy("set_key").agg(
         F.min("id").alias("cls"), F.min("hashes").alias("hashes")), "classes")
@@ -380,7 +381,21 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     by_text = signed.select("id", "text_key", "set_key").join(named, "set_key").drop("set_key").distinct()
     return everyone.join(by_text, ["id", "text_key"], "left").select(
         F.col("id").alias(id_col), "text_key", F.coalesce("copy_id", "id").alias("copy_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("class_id", "id").alias("class_id"))
+        F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("class_id", "id").alias("class_id"),
+        F.col("copy_id").isNotNull().alias("shingled"))
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` but for near duplicates: of each group the row of the
+    smallest id stays (rows equal in id and text count as one). Rows without words
+    or without an id stay."""
+    found = jaccard_groups(docs, id_col, text_col, **options)
+    best = found.where("shingled").groupBy("class_id").agg(F.min(F.struct(id_col, "text_key")).alias("row"))
+    keys = best.select(f"row.{id_col}", F.col("row.text_key").alias("__text_key")).unionByName(
+        found.where("NOT shingled").select(id_col, F.col("text_key").alias("__text_key")).distinct())
+    key = F.md5(F.coalesce(F.col(text_col), F.lit("")))
+    named = docs.where(F.col(id_col).isNotNull()).withColumn("__text_key", key).join(keys, [id_col, "__text_key"], "left_semi")
+    return named.dropDuplicates([id_col, "__text_key"]).select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
 
 
 def op8_jaccard_join(spark, sf_dir):

@@ -219,6 +219,18 @@ def score_stats(stats: DataFrame, model: Model) -> DataFrame:
     return stats.mapInPandas(score, f"id {stats.schema['id'].dataType.simpleString()}, score double")
 
 
+def score_column(model: Model, text: Column) -> Column:
+    """The score of a text column, for filters that keep whole rows."""
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        table = _char_table()
+        for texts in batches:
+            x = np.array([stats_of(t or "", table) for t in texts]).reshape(len(texts), len(model.mean))
+            yield pd.Series(np.clip(model.score(x), 0, 1))
+
+    return score(F.coalesce(text, F.lit("")))
+
+
 def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      threshold: float = THRESHOLD, **fit) -> DataFrame:
     """``id_col, held_out, score, predicted`` for every document."""

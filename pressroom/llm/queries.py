@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pressroom.llm import (chat_format, decontaminate, jaccard_join, mixing, neighbours, quality,
-                            substring_dedup, token_files, url_filter)
+from pressroom.llm import (chat_format, decontaminate, jaccard_join, lm_score, mixing, neighbours,
+                            quality, substring_dedup, token_files, url_filter)
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_quality": quality.op3_quality,
+    "op4_lm_score": lm_score.op4_lm_score,
     "op5_substring_dedup": substring_dedup.op5_substring_dedup,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op7_chat_format": chat_format.op7_chat_format,
