@@ -150,6 +150,11 @@ def ru_month_to_en(s: Column) -> Column:
                         " ")
 
 
+def _plain_offset(s: Column) -> Column:
+    """An offset at the end as +hhmm, whether written so, as +hh:mm or as Z."""
+    return F.regexp_replace(F.regexp_replace(s, r"([+-][0-9]{2}):([0-9]{2})$", "$1$2"), r"Z$", "+0000")
+
+
 def parse_date(c, rule: str, as_of: _dt.datetime | None = None,
                tz_mode: str = "utc") -> Column:
     """Parse one date string with a named rule; null when it does not parse.
@@ -161,19 +166,19 @@ def parse_date(c, rule: str, as_of: _dt.datetime | None = None,
     if rule == "rfc822":
         body = F.regexp_replace(s, r"^[A-Za-z]{3},\s*", "")
         if tz_mode == "drop":
-            return _parse_utc(F.regexp_replace(body, r"\s*[+-][0-9]{4}$", ""), "dd MMM yyyy HH:mm:ss")
-        return utc_ntz(F.try_to_timestamp(body, F.lit("dd MMM yyyy HH:mm:ss Z")))
+            return _parse_utc(F.regexp_replace(body, r"\s*([+-][0-9]{2}:?[0-9]{2}|Z)$", ""), "d MMM yyyy HH:mm:ss")
+        return utc_ntz(F.try_to_timestamp(_plain_offset(body), F.lit("d MMM yyyy HH:mm:ss Z")))
     if rule == "iso_zone":
         if tz_mode == "drop":
             return _parse_utc(F.substring(s, 1, 19), None)
-        return utc_ntz(F.coalesce(F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ssZ")),
+        return utc_ntz(F.coalesce(F.try_to_timestamp(_plain_offset(s), F.lit("yyyy-MM-dd'T'HH:mm:ssZ")),
                                   F.try_to_timestamp(s)))
     if rule == "iso_nozone":
         return _parse_utc(s, None)
     if rule == "iso_prefix":
         return _parse_utc(F.substring(s, 1, 10), "yyyy-MM-dd")
     if rule == "dotted":
-        return _parse_utc(s, "dd.MM.yyyy")
+        return _parse_utc(s, "d.M.yyyy")
     if rule == "long_en":
         return _parse_utc(s, "d MMMM yyyy")
     if rule == "long_ru":

@@ -8,13 +8,13 @@ from pyspark.sql import Column, functions as F
 
 from pressroom.functions.dates import format_ntz
 
-# Python's str.strip() removes Unicode whitespace including NBSP; Spark's
-# trim() removes spaces only. Strip the set [\s\p{Z}]: the ASCII controls
-# \t \n \v \f \r plus every Unicode separator (categories Zs, Zl, Zp),
-# derived from the Unicode database. btrim with an explicit set is a single
-# scan per end, cheaper than an anchored regex over every whitespace run.
-WS_CHARS = "\t\n\x0b\x0c\r" + "".join(
-    ch for ch in map(chr, range(0x10000)) if unicodedata.category(ch) in ("Zs", "Zl", "Zp"))
+# Python's str.strip() removes Unicode whitespace including NBSP, U+0085 and
+# U+001C-001F; Spark's trim() removes spaces only. Whitespace there means a
+# separator (category Zs) or a character of bidirectional class WS, B or S.
+# btrim with an explicit set is a single scan per end, cheaper than an anchored
+# regex over every whitespace run.
+WS_CHARS = "".join(ch for ch in map(chr, range(0x10000)) if unicodedata.category(ch) == "Zs"
+                   or unicodedata.bidirectional(ch) in ("WS", "B", "S"))
 
 
 def _c(c) -> Column:

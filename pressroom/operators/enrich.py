@@ -88,9 +88,15 @@ class _Throttle:
 def enrich(df: DataFrame, key: str, input_col: str, client_factory: Callable[[], object],
            result_type: T.DataType, out_col: str = "result", batch_size: int = 64,
            rate_per_sec: float | None = None, num_partitions: int | None = None) -> DataFrame:
-    """(key, out_col, status) for every input row; status is 'ok' or the error."""
+    """(key, out_col, status) for every input row; status is 'ok' or the error.
+
+    A batch that fails is called again row by row, so one bad text is one error.
+    With a rate, there are no more tasks than can run at once: each holds its
+    share of the rate, and together they reach it and never exceed it."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if rate_per_sec:
+        n = min(n, spark.sparkContext.defaultParallelism)
     per_task = (rate_per_sec / n) if rate_per_sec else None
     key_type = df.schema[key].dataType
     schema = T.StructType([T.StructField(key, key_type), T.StructField(out_col, result_type),
@@ -106,8 +112,16 @@ def enrich(df: DataFrame, key: str, input_col: str, client_factory: Callable[[],
                 throttle.wait(len(texts))
                 try:
                     res, status = client.call(texts), ["ok"] * len(texts)
-                except Exception as e:  # noqa: BLE001 -- reported per row
-                    res, status = [None] * len(texts), [f"error: {type(e).__name__}"] * len(texts)
+                except Exception:  # noqa: BLE001 -- reported per row below
+                    res, status = [], []
+                    for text in texts:
+                        throttle.wait(1)
+                        try:
+                            res += client.call([text])
+                            status.append("ok")
+                        except Exception as e:  # noqa: BLE001 -- the row's own error
+                            res.append(None)
+                            status.append(f"error: {type(e).__name__}")
                 yield pd.DataFrame({key: part[key].values, out_col: res, "status": status})
 
     return df.select(key, input_col).repartition(n, key).mapInPandas(run, schema)
@@ -126,23 +140,15 @@ def classify_themes(df: DataFrame, text_col: str = "content", out_col: str = "th
 
     ``engine='automaton'`` matches all keywords in one pass per text
     (Aho-Corasick in an Arrow-batched pandas UDF); ``'jvm'`` is a pure
-    Spark-expression form (one replace per keyword, interpreted lambda) used
-    as a cross-check and when the automaton library is absent. Lower-casing
+    Spark-expression form (one replace per keyword, interpreted lambda). The
+    caller chooses; nothing depends on what the driver can import. Lower-casing
     is done by Spark in both, so they agree character for character."""
     df = df.withColumn("_low", F.lower(F.coalesce(F.col(text_col), F.lit(""))))
-    if engine == "automaton" and _automaton_available():
+    if engine == "automaton":
         return df.withColumn(out_col, _theme_code_udf()(F.col("_low"))).drop("_low")
     return _classify_jvm(df, out_col)
 
 
-def _automaton_available() -> bool:
-    try:
-        import ahocorasick  # noqa: F401
-    except ImportError:
-        return False
-    return True
-
-
 _AUTOMATON = None
 
 

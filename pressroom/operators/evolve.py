@@ -29,14 +29,10 @@ def content_key(text_col: str) -> F.Column:
 
 
 def dedupe_exact(df: DataFrame, key: str, text_col: str) -> DataFrame:
-    """Keep one row per normalised text -- the lowest key -- with the size of
-    its copy group. One grouped aggregate does it: ``min_by`` carries the
-    kept row and ``count`` the group size, both partially aggregated per
-    task, so a text copied a million times is one row after the map side
-    (never one task holding the group) and no join back is needed."""
-    cols = [c for c in df.columns if c != key]
-    keep = (df.withColumn("_h", content_key(text_col))
-            .groupBy("_h")
-            .agg(F.min(key).alias(key), F.min_by(F.struct(*cols), F.col(key)).alias("_row"),
-                 F.count(F.lit(1)).alias("n_copies")))
-    return keep.select(key, *[F.col(f"_row.{c}").alias(c) for c in cols], "n_copies")
+    """Keep one row per normalised text -- the lowest key -- with the size of its
+    copy group. The group is reduced on narrow rows (hash and key, partially
+    aggregated per task, so a text copied a million times is one row after the
+    map side); whole rows are only joined by key. ``key`` must be unique."""
+    keyed = df.withColumn("_h", content_key(text_col))
+    keep = keyed.groupBy("_h").agg(F.min(key).alias(key), F.count(F.lit(1)).alias("n_copies")).drop("_h")
+    return df.join(keep, key).select(*df.columns, "n_copies")

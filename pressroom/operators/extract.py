@@ -4,7 +4,7 @@ RSS and JSON payloads are parsed with ``from_xml`` / ``from_json`` against
 declared schemas and exploded; HTML pages go through regular-expression
 column functions (the page markup in scope is regular), all JVM-side.
 Per-source behaviour (payload kind, date rule, category allowlist, paging
-stop) is data in small rules tables, joined or broadcast after a size check.
+stop) is data in small rules tables, joined by plain equi-joins.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pressroom.functions.dates import epoch_seconds_ntz, ntz, parse_date
-from pressroom.operators.dimension import bounded_broadcast
 from pressroom.schemas import HITS_DOC, RSS_DOC
 
 col = F.col
@@ -22,20 +21,24 @@ col = F.col
 
 def rss_items(feeds: DataFrame, xml_col: str = "xml") -> DataFrame:
     """One row per ``channel/item`` of each feed; a malformed feed yields none.
-    ``pubDate`` is RFC 822 and is parsed to UTC."""
+    ``pubDate`` is RFC 822 and is parsed to UTC; ``category`` is the first of
+    the item's ``categories``."""
     items = feeds.select("*", F.explode(F.from_xml(col(xml_col), RSS_DOC)["channel"]["item"])
                          .alias("_it")).drop(xml_col)
     return (items.select("*", col("_it.title").alias("title"), col("_it.link").alias("url"),
                          parse_date(col("_it.pubDate"), "rfc822").alias("published_at"),
-                         col("_it.category").alias("category"))
+                         col("_it.category").alias("categories"),
+                         F.try_element_at(col("_it.category"), F.lit(1)).alias("category"))
             .drop("_it"))
 
 
 def category_gate(items: DataFrame, allowlist: DataFrame) -> DataFrame:
-    """Keep items that carry a category allowed for their source (semi join);
-    items without a category are dropped."""
-    allow = bounded_broadcast(allowlist.select("source", "category").distinct())
-    return items.where(col("category").isNotNull()).join(allow, ["source", "category"], "left_semi")
+    """Keep items of which any category is allowed for their source; items
+    without a category are dropped. The allowlist is a rules table: its
+    categories per source are few and travel as one array."""
+    allow = allowlist.groupBy("source").agg(F.collect_set("category").alias("_allowed"))
+    kept = items.join(allow, "source").where(F.arrays_overlap("categories", "_allowed"))
+    return kept.select(*items.columns)
 
 
 def json_hits(listings: DataFrame, json_col: str = "json") -> DataFrame:
@@ -58,10 +61,10 @@ def early_stop_page(listing: DataFrame, lo, hi, key: str = "source") -> DataFram
     ``lo``: in-window rows of the pages up to and including that page.
 
     The stop page per source is a grouped min (partial aggregation, so a hot
-    source is still spread over all tasks), broadcast back after a size check."""
+    source is still spread over all tasks) joined back to the listing."""
     old = col("published_at") < ntz(lo)
     stop = listing.groupBy(key).agg(F.min(F.when(old, col("page"))).alias("_stop"))
-    j = listing.join(bounded_broadcast(stop), key, "left")
+    j = listing.join(stop, key, "left")
     keep = ((col("_stop").isNull() | (col("page") <= col("_stop")))
             & col("published_at").between(ntz(lo), ntz(hi)))
     return j.where(keep).drop("_stop")
@@ -72,7 +75,7 @@ def early_stop_row(listing: DataFrame, lo, hi, key: str = "source") -> DataFrame
     listing order ``pos``); the later bound ``hi`` is applied afterwards."""
     old = col("published_at") < ntz(lo)
     stop = listing.groupBy(key).agg(F.min(F.when(old, col("pos"))).alias("_stop"))
-    j = listing.join(bounded_broadcast(stop), key, "left")
+    j = listing.join(stop, key, "left")
     keep = ((col("_stop").isNull() | (col("pos") < col("_stop")))
             & (col("published_at") <= ntz(hi)))
     return j.where(keep).drop("_stop")
@@ -135,9 +138,13 @@ def page_title(html: Column) -> Column:
     return unescape(F.regexp_extract(html, r"(?s)<title>(.*?)</title>", 1))
 
 
+# A class whose last part is "total", alone or after "_" or "-" (page-pagination__item_total).
+PAGER_TOTAL = r'<[^>]*class="(?:[^"]*[\s_-])?total(?:\s[^"]*)?"[^>]*>\s*([0-9]+)\s*<'
+
+
 def pager_size(html: Column) -> Column:
     """Page count from the pager's "total" button, 1 when there is none."""
-    n = F.regexp_extract(html, r'<[^>]*class="[^"]*\btotal\b[^"]*"[^>]*>\s*([0-9]+)\s*<', 1)
+    n = F.regexp_extract(html, PAGER_TOTAL, 1)
     return F.coalesce(F.nullif(n, F.lit("")).try_cast("int"), F.lit(1))
 
 

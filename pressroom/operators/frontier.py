@@ -12,8 +12,9 @@ MODES = ("one_based", "zero_based", "offset", "from_two")
 def frontier(n_pages: DataFrame, url_prefix: str, page_size: int) -> DataFrame:
     """(source, mode, page_no, url) for every page of every source.
 
-    ``n_pages`` has one row per source with its page count ``n``;
-    ``url_prefix`` may contain ``{source}``. One generator per row, no join."""
+    ``n_pages`` has one row per source with its page count ``n`` and its paging
+    ``mode``; ``url_prefix`` may contain ``{source}``. One generator per row, no
+    join; a source of an unknown mode gives no pages."""
     n = F.col("n").cast("long")
     seqs = {
         "one_based": F.sequence(F.lit(1).cast("long"), n),
@@ -21,9 +22,8 @@ def frontier(n_pages: DataFrame, url_prefix: str, page_size: int) -> DataFrame:
         "offset": F.sequence(F.lit(0).cast("long"), (n - 1) * page_size, F.lit(page_size).cast("long")),
         "from_two": F.when(n >= 2, F.sequence(F.lit(2).cast("long"), n)).otherwise(F.array().cast("array<long>")),
     }
-    modes = F.array(*[F.struct(F.lit(m).alias("mode"), seqs[m].alias("pages")) for m in MODES])
-    per_mode = n_pages.select("source", F.explode(modes).alias("m"))
-    rows = per_mode.select("source", F.col("m.mode").alias("mode"), F.explode("m.pages").alias("page_no"))
+    pages = F.coalesce(*[F.when(F.col("mode") == m, seqs[m]) for m in MODES])
+    rows = n_pages.select("source", "mode", F.explode(pages).alias("page_no"))
     prefix = F.replace(F.lit(url_prefix), F.lit("{source}"), F.col("source"))
     key = F.when(F.col("mode") == "offset", F.lit("start=")).otherwise(F.lit("page="))
     return rows.withColumn("url", F.concat(prefix, key, F.col("page_no").cast("string")))

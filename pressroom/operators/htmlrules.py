@@ -160,9 +160,7 @@ def _container_udf(html: pd.Series, container: pd.Series, drop: pd.Series) -> pd
 def extract_cards(pages: DataFrame, rules: DataFrame, on: str, html_col: str = "html") -> DataFrame:
     """One row per card: pages joined to their rule (``card``, ``title``,
     ``link``, ``date`` selectors) and exploded."""
-    from pressroom.operators.dimension import bounded_broadcast
-
-    j = pages.join(bounded_broadcast(rules), on, "inner")
+    j = pages.join(rules, on, "left")
     cards = _cards_udf(F.col(html_col), F.col("card"), F.col("title"), F.col("link"), F.coalesce(
         F.col("date"), F.lit("")))
     keep = [c for c in pages.columns if c != html_col]
@@ -174,9 +172,7 @@ def extract_cards(pages: DataFrame, rules: DataFrame, on: str, html_col: str = "
 def extract_container(pages: DataFrame, rules: DataFrame, on: str, html_col: str = "html",
                       out_col: str = "text") -> DataFrame:
     """Container text per page from its rule (``container``, ``drop``)."""
-    from pressroom.operators.dimension import bounded_broadcast
-
-    j = pages.join(bounded_broadcast(rules), on, "inner")
+    j = pages.join(rules, on, "left")
     keep = [c for c in pages.columns if c != html_col]
     return j.select(*keep, _container_udf(F.col(html_col), F.col("container"),
                                           F.coalesce(F.col("drop"), F.lit(""))).alias(out_col))

@@ -14,8 +14,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from pressroom.operators.dimension import bounded_broadcast
-
 
 def masked_update(base: DataFrame, updates: DataFrame, key: str = "id") -> DataFrame:
     """``base`` with each shared column replaced by ``coalesce(new, old)``."""
@@ -34,18 +32,22 @@ def upsert(base: DataFrame, changes: DataFrame, key: str = "id") -> DataFrame:
     return changes.select(*base.columns).unionByName(kept)
 
 
-def attach_content(listing: DataFrame, pages: DataFrame, on: str = "url",
-                   content_col: str = "content", default: str = "") -> DataFrame:
-    """Left join of listing rows to fetched page text; missing -> default."""
-    p = pages.select(F.col(on), F.col(content_col).alias("_fetched"))
-    return (listing.join(p, on, "left")
-            .withColumn(content_col, F.coalesce(F.col("_fetched"), F.lit(default)))
-            .drop("_fetched"))
+def attach_content(listing: DataFrame, pages: DataFrame, on: str = "url", content_col: str = "content",
+                   default: str = "", flag_col: str | None = None) -> DataFrame:
+    """Left join of listing rows to fetched page text; missing -> default.
+    ``flag_col`` tells whether there was a page."""
+    p = pages.select(F.col(on), F.col(content_col).alias("_fetched"), F.lit(True).alias("_there"))
+    out = (listing.join(p, on, "left")
+           .withColumn(content_col, F.coalesce(F.col("_fetched"), F.lit(default))))
+    if flag_col:
+        out = out.withColumn(flag_col, F.coalesce(F.col("_there"), F.lit(False)))
+    return out.drop("_fetched", "_there")
 
 
 def _digest_days(digest: DataFrame) -> DataFrame:
-    """One row per (digest, calendar day it covers)."""
-    return digest.select("id", "start_date", "end_date",
+    """One row per (digest, calendar day it covers); a digest that ends before
+    it starts covers none."""
+    return digest.where(F.col("start_date") <= F.col("end_date")).select("id", "start_date", "end_date",
                          F.explode(F.sequence("start_date", "end_date")).alias("day"))
 
 
@@ -57,7 +59,7 @@ def digest_news(digest: DataFrame, news: DataFrame, inclusive_end_day: bool = Fa
     Literal semantics compare against the end date at midnight, so of the last
     day only articles published exactly at 00:00 qualify;
     ``inclusive_end_day`` takes the whole last day."""
-    days = bounded_broadcast(_digest_days(digest).withColumnRenamed("id", "digest_id"))
+    days = _digest_days(digest).withColumnRenamed("id", "digest_id")
     n = news.where(F.col("is_public")) if public_only else news
     n = n.withColumn("_day", F.to_date("published_at"))
     joined = n.join(days, n["_day"] == days["day"], "inner")
@@ -76,8 +78,6 @@ def digest_counts(digest: DataFrame, news: DataFrame, inclusive_end_day: bool =
                .agg(F.count(F.lit(1)).alias("n_all"),
                     F.count_if(F.col("published_at") == F.to_date("published_at")
                                .cast("timestamp_ntz")).alias("n_midnight")))
-    # One row per calendar day: the (checked) broadcast side of the left join.
-    per_day = bounded_broadcast(per_day)
     days = _digest_days(digest)
     last = F.col("day") == F.col("end_date")
     counted = (days.join(per_day, "day", "left")

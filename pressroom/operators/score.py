@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pressroom.functions.dates import age_days
 from pressroom.functions.text import first_int
-from pressroom.operators.dimension import bounded_broadcast
 from pressroom.operators.select import to_collect_rate
 
 
@@ -29,18 +28,22 @@ def authority_rank(df: DataFrame, authority: DataFrame, source_col: str = "sourc
     """1-based rank of each row's source in the ranked list (first occurrence
     wins); null for unlisted sources."""
     ranks = authority.groupBy("name").agg(F.min("rank").alias(out_col))
-    ranks = bounded_broadcast(ranks)
     return (df.join(ranks, df[source_col] == ranks["name"], "left").drop("name"))
 
 
 def collect_replies(df: DataFrame, replies: DataFrame, id_col: str, where: Column,
                     out_col: str) -> DataFrame:
     """Poll replies: for rows matching ``where`` attach the reply text of
-    request ``id_col`` when that reply is done (null while pending)."""
-    r = replies.select(F.col("request_id").alias("_rid"),
-                       F.when(F.col("done"), F.col("text")).alias(out_col))
-    joined = df.join(r, (df[id_col] == r["_rid"]) & where, "left")
-    return joined.drop("_rid")
+    request ``id_col`` when that reply is done (null while pending).
+
+    Only those rows are joined; the others, which mostly share the empty
+    request id, pass by and never meet in one task. A reply delivered more than
+    once counts once (the greatest text, should they differ)."""
+    r = replies.groupBy(F.col("request_id").alias("_rid")).agg(
+        F.max(F.when(F.col("done"), F.col("text"))).alias(out_col))
+    due = F.coalesce(where, F.lit(False))
+    polled = df.where(due).join(r, F.col(id_col) == F.col("_rid"), "left").drop("_rid")
+    return polled.unionByName(df.where(~due).withColumn(out_col, F.lit(None).cast("string")))
 
 
 def signals(work: DataFrame, replies: DataFrame, authority: DataFrame,
@@ -82,7 +85,7 @@ def add_score(df: DataFrame, invert_age: bool = False, invert_rank: bool = False
         n_age = F.lit(1.0) - n_age
     if invert_rank:
         n_src = F.when(F.col("source_rank").isNotNull(), F.lit(1.0) - n_src).otherwise(0.0)
-    return df.withColumn("score", F.round(n_rate + n_age + n_src, 9)).drop("_b")
+    return df.withColumn("score", n_rate + n_age + n_src).drop("_b")
 
 
 SIGNAL_COLS = ("id", "source", "rate", "rate_num", "age_days", "source_rank", "is_scored")

@@ -10,8 +10,8 @@ task. ``number_within`` gives the same numbers with range partitioning:
 3. count rows per (group, partition) -- a table of at most
    partitions + groups rows -- and turn the counts into offsets with a
    window over that small table;
-4. join the offsets back (an equi-join on (group, partition), broadcast
-   after a size check) and add the in-partition index.
+4. join the offsets back (an equi-join on (group, partition); the offsets are
+   few, so AQE broadcasts them) and add the in-partition index.
 
 The tagged frame is read twice (counts, join back), and Spark does not reuse
 the range exchange between the two branches. Recomputing it would be unsafe
@@ -47,14 +47,15 @@ def number_within(df: DataFrame, group_cols: list[str], order: list[Column],
         Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*group_cols, "_part", "_first",
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    # The offsets table has one row per (group, partition): broadcast it after
-    # the size check so the tagged rows are not shuffled again.
-    from pressroom.operators.dimension import bounded_broadcast
-
-    joined = tagged.join(bounded_broadcast(offsets), [*group_cols, "_part"], "inner")
+    offsets = offsets.select(F.col("_part").alias("_p"), "_first", "_offset",
+                             *[F.col(g).alias(f"_g{k}") for k, g in enumerate(group_cols)])
+    on = F.col("_part") == F.col("_p")
+    for k, g in enumerate(group_cols):
+        on = on & F.col(g).eqNullSafe(F.col(f"_g{k}"))
+    joined = tagged.join(offsets, on, "inner").drop("_part", "_p", *[f"_g{k}" for k in range(len(group_cols))])
     return (joined.withColumn(out_col, (F.col("_offset") + F.col("_tag") - F.col("_first"))
                               .cast("long"))
-            .drop("_part", "_tag", "_first", "_offset"))
+            .drop("_tag", "_first", "_offset"))
 
 
 def append_ids(existing_max: Column, df: DataFrame, order: list[Column],

@@ -49,8 +49,8 @@ def news_from(d: DataFrame) -> DataFrame:
     req_score = (i % 5).isin(1, 2)
     return d.select(
         i.alias("id"),
-        F.substring("text", 1, 60).alias("title"),
-        F.when(i % 17 == 0, F.lit("")).otherwise(F.col("text")).alias("content"),
+        F.split("text", "\n")[0].alias("title"),   # the first line, whole
+        F.col("text").alias("content"),
         F.lit("").alias("summary"),
         published_at(i).alias("published_at"),
         F.col("source"),
@@ -82,7 +82,7 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (i % 3 != 0).alias("done"), rate_reply(i).alias("text"))
     summary = d.select(F.concat(F.lit("s"), i.cast("string")).alias("request_id"),
                        (i % 3 != 1).alias("done"),
-                       F.concat(F.lit("summary: "), F.substring("text", 1, 60)).alias("text"))
+                       F.concat(F.lit("summary: "), F.col("text")).alias("text"))
     return score.unionByName(summary)
 
 
@@ -114,12 +114,24 @@ def digest(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (k % 4 != 0).alias("is_public")))
 
 
+def page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages per source, and its paging mode (sources take turns)."""
+    from pressroom.operators.frontier import MODES
+
+    turn = F.regexp_extract("source", r"([0-9]+)$", 1).cast("int") % len(MODES)
+    return (read_table(spark, sf_dir, "documents").groupBy("source")
+            .agg(F.ceil(F.count(F.lit(1)) / PAGE_SIZE).alias("n"))
+            .withColumn("mode", F.element_at(F.array(*map(F.lit, MODES)), turn + 1)))
+
+
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles as a newest-first listing per source with pinned old posts on
-    top (id % 97 = 0), ``pos`` 0-based and ``page`` = pos // PAGE_SIZE."""
+    top (id % 97 = 0), ``pos`` 0-based and ``page`` = pos // PAGE_SIZE. Narrow:
+    what is numbered is also written once, so texts stay out of it."""
     from pressroom.operators.sequence import number_within
 
-    n = news(spark, sf_dir).withColumn("pin", F.when(F.col("id") % 97 == 0, 0).otherwise(1))
+    n = (news(spark, sf_dir).select("id", "source", "url", "lang", "published_at")
+         .withColumn("pin", F.when(F.col("id") % 97 == 0, 0).otherwise(1)))
     numbered = number_within(n, ["source"], [F.col("pin").asc(), F.col("id").desc()], "pos")
     return (numbered.drop("pin")
             .withColumn("page", F.floor(F.col("pos") / PAGE_SIZE).cast("int")))
@@ -135,11 +147,10 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prompt table from the user turns of ``conversations``."""
+    """Prompt table from the turns of ``conversations``."""
     c = read_table(spark, sf_dir, "conversations")
     pid = F.col("conv_id") * 1000 + F.col("turn")
-    return (c.where(F.col("role") == "user")
-            .select(pid.alias("id"), F.col("text").alias("prompt"),
+    return (c.select(pid.alias("id"), F.col("text").alias("prompt"),
                     (pid % 5 == 0).alias("in_use")))
 
 
@@ -201,6 +212,8 @@ def listings_json(spark: SparkSession, sf_dir: str, listing_df: DataFrame | None
         ntz_epoch_seconds("published_at").alias("post_date_gmt"),
         F.col("url").alias("post_url")).alias("fields")).alias("h"))
     src = listing(spark, sf_dir) if listing_df is None else listing_df
+    # a post's text joins its listing row by id, once the position is known
+    src = src.join(news(spark, sf_dir).select("id", "title", "content"), "id")
     pages = (src.groupBy("source", "page")
              .agg(F.array_sort(F.collect_list(hit)).alias("hits")))
     doc = F.to_json(F.struct(F.struct(F.transform("hits", lambda s: s["h"]).alias("hit")).alias("hits")))

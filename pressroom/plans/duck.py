@@ -7,8 +7,7 @@ oracle is ``with_(["news", ...], "SELECT ...", extra_ctes)``.
 from __future__ import annotations
 
 NEWS = """
-SELECT doc_id AS id, substr(text, 1, 60) AS title,
-  CASE WHEN doc_id % 17 = 0 THEN '' ELSE text END AS content,
+SELECT doc_id AS id, split_part(text, chr(10), 1) AS title, text AS content,
   '' AS summary,
   TIMESTAMP '2024-06-01' + (doc_id % 2160) * INTERVAL 1 HOUR AS published_at,
   source, concat('https://', source, '.example.com/', CAST(doc_id AS VARCHAR)) AS url,
@@ -31,7 +30,7 @@ SELECT 'r' || CAST(doc_id AS VARCHAR) AS request_id, doc_id % 3 <> 0 AS done,
   CASE WHEN doc_id % 7 = 0 THEN 'none' ELSE 'theme ' || CAST(doc_id % 12 AS VARCHAR) || ' of 12' END AS text
 FROM documents
 UNION ALL
-SELECT 's' || CAST(doc_id AS VARCHAR), doc_id % 3 <> 1, 'summary: ' || substr(text, 1, 60)
+SELECT 's' || CAST(doc_id AS VARCHAR), doc_id % 3 <> 1, 'summary: ' || text
 FROM documents"""
 
 AUTHORITY = """
@@ -56,7 +55,7 @@ FROM events"""
 
 PROMPTS = """
 SELECT conv_id * 1000 + turn AS id, text AS prompt, (conv_id * 1000 + turn) % 5 = 0 AS in_use
-FROM conversations WHERE role = 'user'"""
+FROM conversations"""
 
 EMAILS = """
 SELECT doc_id * 1000 + k - 1 AS id, e[k] AS email FROM (

@@ -9,7 +9,6 @@ from pressroom.functions.dates import ntz
 from pressroom.operators import extract as X
 from pressroom.operators import relate as R
 from pressroom.operators import select as C
-from pressroom.operators.dimension import bounded_broadcast
 from pressroom.operators.sequence import append_ids
 from pressroom.plans import bindings as B
 from pressroom.plans import duck as D
@@ -93,14 +92,13 @@ SELECT source, mode, page_no,
   'https://' || source || '.example.com/news?' || CASE WHEN mode = 'offset' THEN 'start=' ELSE 'page=' END
     || CAST(page_no AS VARCHAR) AS url
 FROM (
-  SELECT source, 'one_based' AS mode, unnest(range(1, n + 1)) AS page_no FROM (SELECT source, max(page) + 1 AS n FROM listing GROUP BY source)
-  UNION ALL SELECT source, 'zero_based', unnest(range(0, n)) FROM (SELECT source, max(page) + 1 AS n FROM listing GROUP BY source)
-  UNION ALL SELECT source, 'offset', unnest(range(0, n * 20, 20)) FROM (SELECT source, max(page) + 1 AS n FROM listing GROUP BY source)
-  UNION ALL SELECT source, 'from_two', unnest(range(2, n + 1)) FROM (SELECT source, max(page) + 1 AS n FROM listing GROUP BY source))"""))
+  SELECT source, mode, unnest(CASE mode WHEN 'one_based' THEN range(1, n + 1) WHEN 'zero_based' THEN range(0, n)
+                              WHEN 'offset' THEN range(0, n * 20, 20) ELSE range(2, n + 1) END) AS page_no
+  FROM (SELECT source, max(page) + 1 AS n, ['one_based', 'zero_based', 'offset', 'from_two'][
+          CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) % 4 + 1] AS mode FROM listing GROUP BY source))"""))
 def page_frontier(spark, sf_dir):
     from pressroom.operators.frontier import frontier
-    n_pages = B.listing(spark, sf_dir).groupBy("source").agg((F.max("page") + 1).alias("n"))
-    return frontier(n_pages, "https://{source}.example.com/news?", B.PAGE_SIZE)
+    return frontier(B.page_counts(spark, sf_dir), "https://{source}.example.com/news?", B.PAGE_SIZE)
 
 
 # --- HTML pages -------------------------------------------------------------------------------
@@ -167,7 +165,7 @@ def article_minus_boilerplate(spark, sf_dir):
 @query("page_meta", "B9 B10", rf"""
 SELECT page_id, {D.unescape("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} AS title,
   regexp_extract(html, '<html\b[^>]*\blang="([^"]*)"', 1) AS lang,
-  coalesce(TRY_CAST(nullif(regexp_extract(html, '<[^>]*class="[^"]*\btotal\b[^"]*"[^>]*>\s*([0-9]+)\s*<', 1), '')
+  coalesce(TRY_CAST(nullif(regexp_extract(html, 'class="(?:[^"]*[ _-])?total(?: [^"]*)?"[^>]*>\s*([0-9]+)\s*<', 1), '')
     AS INTEGER), 1) AS max_page
 FROM pages""")
 def page_meta(spark, sf_dir):
@@ -183,12 +181,9 @@ FROM news n LEFT JOIN pages p ON n.id = p.page_id"""))
 def attach_content(spark, sf_dir):
     n = B.news(spark, sf_dir).select("id")
     fetched = _pages(spark, sf_dir).select(col("page_id").alias("id"),
-                                           X.strip_tags(X.container(col("html"))).alias("content"),
-                                           F.lit(True).alias("fetched"))
-    j = R.attach_content(n, fetched.select("id", "content"), on="id")
-    j = j.join(fetched.select("id", "fetched"), "id", "left")
-    return j.select("id", F.coalesce(col("fetched"), F.lit(False)).alias("fetched"),
-                    F.length("content").cast("long").alias("n_chars"))
+                                           X.strip_tags(X.container(col("html"))).alias("content"))
+    j = R.attach_content(n, fetched, on="id", flag_col="fetched")
+    return j.select("id", "fetched", F.length("content").cast("long").alias("n_chars"))
 
 
 # --- the ingest job -----------------------------------------------------------------------------
@@ -200,7 +195,7 @@ def ingest(spark, sf_dir):
     projected to the article schema, unioned by name, and appended after the
     articles already stored (those published before the window) with fresh ids."""
     news = B.news(spark, sf_dir)
-    rules = bounded_broadcast(B.source_rules(spark, sf_dir))
+    rules = B.source_rules(spark, sf_dir)
     texts = news.select("url", "content")
     # The listing feeds three consumers. Its rows are already read from a
     # written table (number_within materializes the numbered rows); what is

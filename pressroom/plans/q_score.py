@@ -11,13 +11,19 @@ from pressroom.operators.select import queue_results
 from pressroom.plans import bindings as B
 from pressroom.plans.duck import with_
 from pressroom.plans.registry import query
+from pressroom.sources.lists import read_ranked_list
+from pressroom.sources.staging import staging_path, write_csv
 
 SCORE_COLS = ["id", "source", "rate", "rate_num", "age_days", "source_rank", "is_scored", "score"]
 
 
+REPORT_ROWS = 50   # length of the top-score report
+
+
 def scored(spark, sf_dir, listed=None):
     work = B.news(spark, sf_dir).where(queue_results())
-    return S.score_news(work, B.replies(spark, sf_dir), B.authority(spark, sf_dir, listed), B.AS_OF)
+    out = S.score_news(work, B.replies(spark, sf_dir), B.authority(spark, sf_dir, listed), B.AS_OF)
+    return out.withColumn("score", F.round("score", 9))   # for comparison with the oracle
 
 
 SCORE_SELECT = """
@@ -68,10 +74,10 @@ def news_score_unlisted(spark, sf_dir):
     return scored(spark, sf_dir, listed=18).select(*SCORE_COLS)
 
 
-@query("top_scored", "G6", _score_sql(tail="ORDER BY score DESC, id LIMIT 50"))
-def top_scored(spark, sf_dir):
+@query("top_scored", "G6", _score_sql(tail=f"ORDER BY score DESC, id LIMIT {REPORT_ROWS}"))
+def top_scored(spark, sf_dir, rows=REPORT_ROWS):
     return (scored(spark, sf_dir).select(*SCORE_COLS)
-            .orderBy(F.col("score").desc(), F.col("id")).limit(50))
+            .orderBy(F.col("score").desc(), F.col("id")).limit(rows))
 
 
 @query("minmax_norm", "E2 I15", with_(["news"], """
@@ -86,10 +92,13 @@ def minmax_norm(spark, sf_dir):
 
 @query("authority_rank", "D3j F3 A12", with_(["news", "authority"], """
 SELECT n.id, n.source, a.rank AS source_rank FROM news n
-LEFT JOIN (SELECT name, min(rank) AS rank FROM authority GROUP BY name) a ON n.source = a.name"""))
+LEFT JOIN (SELECT name, row_number() OVER (ORDER BY rank) AS rank FROM authority) a ON n.source = a.name"""))
 def authority_rank(spark, sf_dir):
+    # the list as a file: a header, a column before the name, lines in rank order
+    path = write_csv(B.authority(spark, sf_dir).orderBy("rank").select(
+        F.concat(F.lit("no. "), "rank").alias("label"), "name"), staging_path(spark, "authority"))
     n = B.news(spark, sf_dir).select("id", "source")
-    return S.authority_rank(n, B.authority(spark, sf_dir)).select("id", "source", "source_rank")
+    return S.authority_rank(n, read_ranked_list(spark, path)).select("id", "source", "source_rank")
 
 
 @query("first_int", "I6", with_(["replies"], """

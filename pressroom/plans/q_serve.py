@@ -59,7 +59,8 @@ WHERE source = 'src3' AND lang = 'en' AND is_public
 def facet_filter(spark, sf_dir):
     n = B.news(spark, sf_dir)
     return (n.where((col("source") == "src3") & (col("lang") == "en") & col("is_public")
-                    & (F.trunc(F.to_date("published_at"), "month") == F.lit(dt.date(2024, 7, 1))))
+                    & (col("published_at") >= ntz(dt.datetime(2024, 7, 1)))
+                    & (col("published_at") < ntz(dt.datetime(2024, 8, 1))))
             .select("id", "title", "published_at", "source", "lang", "is_public"))
 
 

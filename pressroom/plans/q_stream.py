@@ -32,9 +32,8 @@ def stream_ingest(spark, sf_dir):
 def stream_dedupe(spark, sf_dir):
     first = B.news_from(_doc_stream(spark, sf_dir)).select("url", "source", "published_at")
     again = B.news_from(_doc_stream(spark, sf_dir)).select("url", "source", "published_at")
-    deduped = S.dedupe_redelivered(first.unionByName(again), "url", "published_at", "30 days")
-    out = S.write_append(spark, deduped, staging_path(spark, "dedupe"))
-    return spark.read.parquet(out).select("url", "source")
+    log = S.dedupe_ingest(spark, first.unionByName(again), staging_path(spark, "dedupe"), "url")
+    return spark.read.parquet(log).select("url", "source")
 
 
 @query("stream_weekly_counts", "L3 I11", """

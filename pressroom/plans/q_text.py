@@ -101,9 +101,14 @@ def tz_modes(spark, sf_dir):
                     DT.parse_date(col("text"), "iso_zone", tz_mode="drop").alias("wall")))
 
 
-def last_success(run_log, per_task: bool = True):
+def last_success(run_log, per_task: bool = True, tasks=None):
     """Day of the latest successful run per (dag, task), or per dag;
-    0001-01-01 when there is none."""
+    0001-01-01 when there is none. ``tasks(dag_id, task_id)`` names tasks that
+    are to have a row even if they never ran."""
+    if tasks is not None:
+        never = tasks.select("dag_id", "task_id", F.lit(None).cast("string").alias("state"),
+                             F.lit(None).cast("timestamp_ntz").alias("end_date"))
+        run_log = run_log.select(*never.columns).unionByName(never)
     keys = ["dag_id", "task_id"] if per_task else ["dag_id"]
     ok = F.when(col("state") == "SUCCESS", col("end_date"))
     out = run_log.groupBy(*keys).agg(F.max(ok).alias("_mx"))

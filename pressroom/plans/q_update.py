@@ -69,15 +69,17 @@ def append_new_ids(spark, sf_dir):
 
 
 @query("combine_sources", "A4 H1", with_(["news"], """
-SELECT id, title, content, url, source, lang, published_at FROM news WHERE lang = 'en'
+SELECT id, nullif(title, '') AS title, nullif(content, '') AS content, url, source, lang, published_at FROM news WHERE lang = 'en'
 UNION ALL
-SELECT id, title, NULL, url, source, lang, published_at FROM news WHERE lang <> 'en'"""))
+SELECT id, nullif(title, ''), NULL, url, source, lang, published_at FROM news WHERE lang <> 'en'"""))
 def combine_sources(spark, sf_dir):
     n = B.news(spark, sf_dir)
     html_family = n.where(col("lang") == "en").select("id", "title", "content", "url", "source", "lang",
                                                      "published_at")
     rss_family = n.where(col("lang") != "en").select("published_at", "lang", "source", "url", "title", "id")
-    return html_family.unionByName(rss_family, allowMissingColumns=True)
+    staged = [ST.write_csv(df, ST.staging_path(spark, "family")) for df in (html_family, rss_family)]
+    schema = NEWS.__class__([NEWS[c] for c in html_family.columns])
+    return ST.union_csv(spark, staged, schema)
 
 
 _CSV_COLS = ["id", "title", "content", "published_at", "source", "is_public"]
@@ -97,7 +99,9 @@ SELECT nullif(title, '') AS Title, nullif(content, '') AS Content, lang AS Langu
   strftime(published_at, '%Y-%m-%d %H:%M:%S') || '+0000' AS Date, url AS Url FROM news"""))
 def export_csv(spark, sf_dir):
     path = ST.staging_path(spark, "export")
-    ST.export_csv(B.news(spark, sf_dir), path, accumulate=True)
+    n = B.news(spark, sf_dir)
+    ST.export_csv(n.where(col("lang") != "en"), path, accumulate=False)
+    ST.export_csv(n.where(col("lang") == "en"), path, accumulate=True)
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField(dst, T.StringType()) for _, dst in ST.EXPORT_COLUMNS])
     return ST.read_csv(spark, path, schema)

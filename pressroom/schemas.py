@@ -50,8 +50,8 @@ NEWS_DEFAULTS = {
     "score": 0.0,
 }
 
-# Columns the publish step writes, in this order; anything else (id, rate) is
-# dropped before the write.
+# Columns the publish step writes, in this order; anything else
+# (id, rate) is dropped before the write.
 UPLOAD_COLUMNS = (
     "title", "content", "summary", "published_at", "source", "url",
     "vectorized_content", "lang", "is_vectorized", "is_translated",
@@ -80,7 +80,7 @@ REPLIES = _struct(("request_id", S, True), ("done", B, True), ("text", S, True))
 
 # Payload schemas for from_xml / from_json.
 RSS_ITEM = _struct(("title", S, True), ("link", S, True), ("pubDate", S, True),
-                   ("category", S, True))
+                   ("category", T.ArrayType(S), True))
 RSS_DOC = T.StructType([T.StructField("channel", T.StructType([
     T.StructField("item", T.ArrayType(RSS_ITEM), True)]), True)])
 

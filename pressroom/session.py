@@ -7,6 +7,7 @@ Library functions never create a session; they take the one they are given.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,15 +48,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+# Scratch folders of local sessions, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared folder and is used as is. Only
-    when it is unset (local tests) do we pick a scratch folder of our own.
+    On a cluster this setting names a shared folder and is used as is; without
+    it there is no folder that all executors see, so that is an error. Only a
+    local master may do without: it gets a scratch folder, one per session.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL.get(spark.sparkContext.applicationId)
     if not current:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="pressroom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+        _LOCAL[spark.sparkContext.applicationId] = current
     return current

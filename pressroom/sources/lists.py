@@ -7,9 +7,8 @@ with the distributed numbering operator (no single-partition window).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pressroom.operators.dimension import bounded_broadcast
 from pressroom.operators.sequence import number_within
 from pressroom.schemas import RSS_ITEM
 
@@ -24,7 +23,10 @@ def _in_file_order(df: DataFrame, out_col: str) -> DataFrame:
 def read_ranked_list(spark: SparkSession, path: str, name_col: str = "name") -> DataFrame:
     """Authority list: header CSV with a ``name`` column; rank = line order.
     A name listed twice keeps its first (lowest) rank."""
-    raw = spark.read.option("header", "true").schema(f"{name_col} string").csv(path)
+    raw = spark.read.option("header", "true").csv(path)   # columns by the header's names, all text
+    if name_col not in raw.columns:
+        raise ValueError(f"no column {name_col!r} in {path}: {raw.columns}")
+    raw = raw.select(name_col)
     ranked = _in_file_order(raw, "rank")
     return ranked.groupBy(F.col(name_col).alias("name")).agg(F.min("rank").alias("rank")).select("rank", "name")
 
@@ -39,13 +41,11 @@ def read_keyword_list(spark: SparkSession, path: str) -> DataFrame:
     return numbered.select((F.col("_k") + 1).alias("code"), F.col("value").alias("keyword"))
 
 
-def keyword_string(keywords: DataFrame, max_keywords: int = 10_000) -> str:
-    """Comma-joined keywords in code order (the prompt's theme list). The
-    list is a dimension: it is fetched only after its size is checked."""
-    small = bounded_broadcast(keywords.select("code", "keyword"), max_keywords)
-    if small is keywords:
-        raise ValueError(f"keyword list longer than {max_keywords}")
-    return ",".join(r["keyword"] for r in small.orderBy("code").collect())
+def keyword_string(keywords: DataFrame) -> Column:
+    """Comma-joined keywords in code order (the prompt's theme list), as a
+    scalar subquery for use in a prompt expression."""
+    in_order = F.array_sort(F.collect_list(F.struct("code", "keyword")))
+    return keywords.agg(F.array_join(F.transform(in_order, lambda k: k["keyword"]), ",")).scalar()
 
 
 def read_rss_files(spark: SparkSession, path: str) -> DataFrame:

@@ -24,16 +24,43 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/staging/{name}-{uuid.uuid4().hex}"
 
 
+# A file of quoted multi-line fields is read by one task, so files are kept short.
+CSV_ROWS_PER_FILE = 50_000
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Header CSV with quoted multi-line fields (one header per part file)."""
-    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    df.write.mode(mode).options(**CSV_OPTIONS).option("maxRecordsPerFile", CSV_ROWS_PER_FILE).csv(path)
     return path
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read staged CSV with a declared schema (no inference). As with any CSV
-    hop, an empty string reads back as null."""
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    """Read staged CSV by the names in its header, with declared types (no
+    inference). Columns may stand in any order; a header without one of the
+    declared names is an error, other columns are ignored, and every file under
+    ``path`` must have the same header. As with any CSV hop, an empty string
+    reads back as null."""
+    header = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    missing = [f.name for f in schema if f.name not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    kinds = {f.name: f.dataType for f in schema}
+    placed = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in header])
+    return (spark.read.options(**CSV_OPTIONS).option("enforceSchema", "false").schema(placed).csv(path)
+            .select(*schema.names))
+
+
+def union_csv(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """Union by name of staged CSV folders, each with its own column order; a
+    column that a folder lacks is null for its rows."""
+    out = None
+    for path in paths:
+        header = spark.read.options(**CSV_OPTIONS).csv(path).columns
+        own = read_csv(spark, path, T.StructType([f for f in schema if f.name in header]))
+        own = own.select(*[F.col(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)
+                           for f in schema])
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -102,20 +129,21 @@ def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str |
     The article table is joined on ``id`` by every masked update and by the
     upsert publish. Bucketed by ``id``, those joins read it without a
     shuffle: only the (much smaller) change set is shuffled into the
-    matching buckets. ``path`` defaults to the shared staging folder."""
+    matching buckets. Rows are dealt by the key first, so there is one file a
+    bucket, not one for each task and bucket. ``path`` defaults to the shared
+    staging folder."""
     spark = df.sparkSession
-    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
      .option("path", path or staging_path(spark, table)).saveAsTable(table))
     return spark.table(table)
 
 
 def publish_version(base: DataFrame, changes: DataFrame, table: str, version: int, key: str = "id",
-                    buckets: int = 64, root: str | None = None) -> DataFrame:
+                    buckets: int = 64, *, root: str) -> DataFrame:
     """Publish an upsert of ``changes`` into ``base`` as a new table version
-    ``<table>_v<version>`` at a new path (the version being read is never
+    ``<table>_v<version>`` under ``root`` (the version being read is never
     overwritten), bucketed by ``key`` for the next round of id joins."""
     from pressroom.operators.relate import upsert
 
-    spark = base.sparkSession
-    path = f"{(root or staging_path(spark, table)).rstrip('/')}/v{version}"
+    path = f"{root.rstrip('/')}/v{version}"
     return save_bucketed(upsert(base, changes, key), f"{table}_v{version}", key, buckets, path)

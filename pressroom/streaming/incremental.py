@@ -16,13 +16,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pressroom.functions.dates import ntz_epoch_micros
-from pressroom.sources.staging import staging_path
 
 
-def landing_stream(spark: SparkSession, folder: str, file_glob: str, schema) -> DataFrame:
+def landing_stream(spark: SparkSession, folder: str, file_glob: str, schema,
+                   files_per_batch: int = 64) -> DataFrame:
     """Stream of the parquet files in ``folder`` whose names match ``file_glob``."""
     return (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-            .option("maxFilesPerTrigger", 64).parquet(folder))
+            .option("maxFilesPerTrigger", files_per_batch).parquet(folder))
+
+
+def checkpoint_of(out: str) -> str:
+    """The checkpoint that belongs to an output path. Progress is tied to the
+    output, so a second call goes on where the first one stopped instead of
+    starting at epoch 0 again and replacing what has landed."""
+    return out.rstrip("/") + "-checkpoint"
 
 
 def instant_utc(ntz_col) -> F.Column:
@@ -38,30 +45,27 @@ def run_available(query_builder) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def upsert_ingest(spark: SparkSession, stream: DataFrame, table_base: str,
-                  checkpoint: str | None = None) -> str:
-    """Land each micro-batch as its own partition ``table_base/epoch=<n>``.
+def upsert_ingest(spark: SparkSession, stream: DataFrame, table_base: str, key: str = "id") -> str:
+    """Land each micro-batch as its own partition ``table_base/epoch=<n>``, one
+    row per key (of a key delivered twice in a batch, any one row).
 
     Writing a batch costs O(batch), never O(table); a retried batch
     overwrites only its own partition (idempotent). The upserted table is
     ``current_rows`` over the log; ``compact`` folds the log into a new path."""
-    checkpoint = checkpoint or staging_path(spark, "ckpt-ingest")
-
     def land(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table_base}/epoch={epoch}")
+        batch.dropDuplicates([key]).write.mode("overwrite").parquet(f"{table_base}/epoch={epoch}")
 
-    run_available(stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint))
+    run_available(stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint_of(table_base)))
     return table_base
 
 
 def current_rows(spark: SparkSession, table_base: str, key: str = "id") -> DataFrame:
     """Latest version of every key across the landed batches (later epoch
-    wins). ``max_by`` aggregates partially per task, so no key's history is
-    gathered in one place before the map-side reduction."""
+    wins). The newest epoch per key is a narrow aggregate; whole rows are only
+    joined, so columns that aren't selected are not read."""
     log = spark.read.parquet(table_base)
-    cols = [c for c in log.columns if c not in (key, "epoch")]
-    latest = log.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("epoch")).alias("_row"))
-    return latest.select(key, *[F.col(f"_row.{c}").alias(c) for c in cols])
+    newest = log.groupBy(key).agg(F.max("epoch").alias("epoch"))
+    return log.join(newest, [key, "epoch"]).drop("epoch")
 
 
 def compact(spark: SparkSession, table_base: str, out: str, key: str = "id") -> str:
@@ -70,12 +74,22 @@ def compact(spark: SparkSession, table_base: str, out: str, key: str = "id") ->
     return out
 
 
-def dedupe_redelivered(stream: DataFrame, key: str, ts_col: str, delay: str) -> DataFrame:
-    """Drop re-delivered rows with the same key within the watermark delay."""
-    return (stream.withColumn("_event_ts", instant_utc(F.col(ts_col)))
-            .withWatermark("_event_ts", delay)
-            .dropDuplicatesWithinWatermark([key])
-            .drop("_event_ts"))
+def dedupe_ingest(spark: SparkSession, stream: DataFrame, table_base: str, key: str) -> str:
+    """Land the first delivery of every key, and drop re-deliveries however late
+    they come: each micro-batch is reduced to one row per key and anti-joined with
+    the keys landed by earlier batches (only their key column is read). There is
+    no watermark, so a first arrival is never taken for late data."""
+    def land(batch: DataFrame, epoch: int) -> None:
+        once = batch.dropDuplicates([key])
+        if epoch:
+            # the declared schema also reads a log whose batches were all empty
+            landed = spark.read.schema(f"{key} {batch.schema[key].dataType.simpleString()}, epoch long")
+            seen = landed.parquet(table_base).where(F.col("epoch") < epoch).select(key)
+            once = once.join(seen, key, "left_anti")
+        once.write.mode("overwrite").parquet(f"{table_base}/epoch={epoch}")
+
+    run_available(stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint_of(table_base)))
+    return table_base
 
 
 def weekly_counts(stream: DataFrame, ts_col: str, key: str) -> DataFrame:
@@ -96,21 +110,18 @@ def weekly_counts_final(stream: DataFrame, ts_col: str, key: str, delay: str) ->
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def write_complete(spark: SparkSession, agg: DataFrame, out: str, checkpoint: str | None = None) -> str:
+def write_complete(spark: SparkSession, agg: DataFrame, out: str) -> str:
     """Run a streaming aggregate in complete mode; every batch overwrites ``out``."""
-    checkpoint = checkpoint or staging_path(spark, "ckpt-agg")
-
     def sink(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(out)
 
     run_available(agg.writeStream.outputMode("complete").foreachBatch(sink)
-                  .option("checkpointLocation", checkpoint))
+                  .option("checkpointLocation", checkpoint_of(out)))
     return out
 
 
-def write_append(spark: SparkSession, stream: DataFrame, out: str, checkpoint: str | None = None) -> str:
+def write_append(spark: SparkSession, stream: DataFrame, out: str) -> str:
     """Append a stream to a parquet folder (file sink: exactly-once via its log)."""
-    checkpoint = checkpoint or staging_path(spark, "ckpt-append")
     run_available(stream.writeStream.format("parquet").option("path", out)
-                  .option("checkpointLocation", checkpoint))
+                  .option("checkpointLocation", checkpoint_of(out)))
     return out

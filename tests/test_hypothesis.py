@@ -1,8 +1,6 @@
 """Property tests: Spark column functions against plain-Python references,
 many generated examples per Spark job."""
 
-import re
-
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -13,25 +11,23 @@ texts = st.lists(st.text(alphabet=st.sampled_from(list("ab 12\n\r\t\xa0x9.")), m
                  max_size=40)
 
 
-def _py_first_int(x):
-    m = re.search(r"[0-9]+", x or "")
-    return float(int(m.group(0))) if m else 0.0
+CLEANED = [("", 0.0, ""), ("a  b", 0.0, "a b"), (" 12  x 7 ", 12.0, "12 x 7"), ("a\r\n\r\nb", 0.0, "a\nb"),
+           ("\xa0 a \x85", 0.0, "a"), ("\x1c\x1fx9.\x1e", 9.0, "x9."), ("a \n b", 0.0, "a \n b"), ("\t007", 7.0, "007"),
+           ("\u200bz", 0.0, "\u200bz"), ("x" + "9" * 25, float("9" * 25), "x" + "9" * 25)]
 
 
-def _py_v1(x):
-    x = re.sub(" +", " ", x)
-    x = re.sub(r"[\r\n]+", "\n", x)
-    return x.strip(TX.WS_CHARS)
+def test_first_int_and_clean_on_cases(spark):
+    df = spark.createDataFrame([(i, x) for i, (x, _, _) in enumerate(CLEANED)], "i int, x string")
+    for r in df.select("i", TX.first_int("x").alias("n"), TX.clean_ws_v1("x").alias("c")).collect():
+        assert (r["n"], r["c"]) == CLEANED[r["i"]][1:]
 
 
 @SETTINGS
-@given(texts)
-def test_first_int_and_clean_match_python(spark, xs):
+@given(st.lists(st.text(max_size=12) | st.text(alphabet="\x1c\x1d\x85\xa0\u2003\u2028 a\t", max_size=8), min_size=1, max_size=40))
+def test_strip_matches_python(spark, xs):
     df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x string")
-    got = {r["i"]: (r["n"], r["c"]) for r in df.select(
-        "i", TX.first_int("x").alias("n"), TX.clean_ws_v1("x").alias("c")).collect()}
-    for i, x in enumerate(xs):
-        assert got[i] == (_py_first_int(x), _py_v1(x))
+    got = {r["i"]: r["s"] for r in df.select("i", TX.strip("x").alias("s")).collect()}
+    assert [got[i] for i in range(len(xs))] == [x.strip() for x in xs]
 
 
 @SETTINGS

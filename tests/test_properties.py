@@ -117,15 +117,6 @@ def test_ingest_ids_are_unique_and_follow_the_stored_ones(spark, sf_dir):
     assert new == list(range(stored_max + 1, stored_max + 1 + len(new)))
 
 
-def test_bounded_broadcast_falls_back_beyond_the_bound(spark):
-    from pressroom.operators.dimension import bounded_broadcast
-
-    df = spark.range(0, 50)
-    assert bounded_broadcast(df, max_rows=10) is df
-    small = bounded_broadcast(df, max_rows=100)
-    assert small is not df and small.count() == 50
-
-
 def test_digest_news_without_broadcast_is_still_an_equi_join(spark, sf_dir):
     from pressroom.operators import relate as R
 

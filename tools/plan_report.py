@@ -60,7 +60,6 @@ def main() -> None:
         f.write("# Physical plans of the headline queries\n\n")
         f.write(f"Generated by `tools/plan_report.py` on `{args.sf}` (Spark {spark.version}, AQE on). "
                 "Counts are operators in the final adaptive plan of the query (the eager steps a "
-                "query runs while it is built, such as staging writes and size-checked dimension "
                 "fetches, are separate jobs and not shown). *At scale* turns automatic broadcasts "
                 "off, leaving only the explicit size-checked ones, which is how the plans look "
                 "when the inputs are far larger than the thresholds.\n\n")
