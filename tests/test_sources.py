@@ -262,7 +262,8 @@ def test_scratch_folder_only_for_local_masters(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         session.ensure_checkpoint_dir(Elsewhere())
-    assert spark.conf.get("spark.checkpoint.dir", None) is None
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    assert session.ensure_checkpoint_dir(spark) and spark.conf.get("spark.checkpoint.dir", None) == before
 
 
 def test_one_bad_text_in_a_batch(spark):
