@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pressroom.functions.dates import epoch_seconds_ntz, ntz, parse_date
-from pressroom.schemas import HITS_DOC, RSS_DOC
+from pressroom.operators.markup import unescape
+from pressroom.schemas import HITS_DOC, HTML_DOC, RSS_DOC
 
 col = F.col
 
@@ -53,52 +54,57 @@ def json_hits(listings: DataFrame, json_col: str = "json") -> DataFrame:
             .drop("_h"))
 
 
+def json_fragments(listings: DataFrame, json_col: str = "json") -> DataFrame:
+    """One row per HTML fragment of each JSON answer (column ``html``), in any of
+    the shapes ``items[].html``, ``rendered`` and ``html``."""
+    doc = F.from_json(col(json_col), HTML_DOC)
+    parts = F.concat(F.coalesce(F.transform(doc["items"], lambda i: i["html"]), F.array().cast("array<string>")),
+                     F.array(doc["rendered"], doc["html"]))
+    return listings.select(*[c for c in listings.columns if c != json_col],
+                           F.explode(F.filter(parts, lambda p: p.isNotNull())).alias("html"))
+
+
 # --- early stop --------------------------------------------------------------------
 
 
+def _bound(value) -> Column:
+    return value if isinstance(value, Column) else ntz(value)
+
+
 def early_stop_page(listing: DataFrame, lo, hi, key: str = "source") -> DataFrame:
     """Paged crawl that stops after the first page holding an item older than
-    ``lo``: in-window rows of the pages up to and including that page.
+    ``lo``: in-window rows of the pages up to and including that page. The bounds
+    are times, or columns of the listing (a window per source).
 
     The stop page per source is a grouped min (partial aggregation, so a hot
     source is still spread over all tasks) joined back to the listing."""
-    old = col("published_at") < ntz(lo)
+    old = col("published_at") < _bound(lo)
     stop = listing.groupBy(key).agg(F.min(F.when(old, col("page"))).alias("_stop"))
     j = listing.join(stop, key, "left")
     keep = ((col("_stop").isNull() | (col("page") <= col("_stop")))
-            & col("published_at").between(ntz(lo), ntz(hi)))
+            & col("published_at").between(_bound(lo), _bound(hi)))
     return j.where(keep).drop("_stop")
 
 
 def early_stop_row(listing: DataFrame, lo, hi, key: str = "source") -> DataFrame:
     """Row-by-row crawl that stops at the first item older than ``lo`` (in
     listing order ``pos``); the later bound ``hi`` is applied afterwards."""
-    old = col("published_at") < ntz(lo)
+    old = col("published_at") < _bound(lo)
     stop = listing.groupBy(key).agg(F.min(F.when(old, col("pos"))).alias("_stop"))
     j = listing.join(stop, key, "left")
     keep = ((col("_stop").isNull() | (col("pos") < col("_stop")))
-            & (col("published_at") <= ntz(hi)))
+            & (col("published_at") <= _bound(hi)))
     return j.where(keep).drop("_stop")
 
 
 # --- HTML ---------------------------------------------------------------------------
 
-# The HTML entities decoded in page text (&amp; last).
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
-            ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
-
 # Elements dropped before taking the text of a whole page body.
 BOILERPLATE = (r"(?s)<script\b[^>]*>.*?</script>", r"(?s)<style\b[^>]*>.*?</style>",
                r"(?s)<!--.*?-->", r"(?s)<nav\b[^>]*>.*?</nav>",
                r'(?s)<div class="ad">.*?</div>', r"(?s)<footer\b[^>]*>.*?</footer>")
 
 
-def unescape(c: Column) -> Column:
-    for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
-
-
 def strip_tags(c: Column) -> Column:
     """Text content of an HTML fragment: tags removed, entities decoded."""
     return unescape(F.regexp_replace(c, r"<[^>]*>", ""))

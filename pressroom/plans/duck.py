@@ -87,10 +87,14 @@ def with_(names: list[str], body: str, ctes: list[tuple[str, str]] | None = None
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
 
 
+# Character references that occur in the driver's pages (&amp; last).
+PAGE_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"),
+                 ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+
+
 def unescape(expr: str) -> str:
-    """DuckDB text of ``extract.unescape``."""
-    from pressroom.operators.extract import ENTITIES
-    for ent, ch in ENTITIES:
+    """Character references of the driver's pages, decoded one by one."""
+    for ent, ch in PAGE_ENTITIES:
         lit = ch.replace("'", "''")
         expr = f"replace({expr}, '{ent}', '{lit}')"
     return expr

@@ -244,7 +244,7 @@ def job_ingest(spark, sf_dir):
                       F.length("content").cast("long").alias("n_chars"))
 
 
-# --- rules-driven HTML engine (html.parser) -------------------------------------------
+# --- rules-driven extraction ------------------------------------------------------------
 
 
 def _layout_rules(spark):
@@ -258,27 +258,27 @@ def _pages_with_layout(spark, sf_dir):
     return _pages(spark, sf_dir).withColumn("layout", F.lit("fixture"))
 
 
-@query("listing_cards_rules", "B4 B12 (rules table + html.parser engine)", f"""
+@query("listing_cards_rules", "B4 B12 (rules table)", f"""
 SELECT page_id, url, k - 1 AS pos, h[k] AS href, {D.unescape('t[k]')} AS text FROM ({_NAV})""")
 def listing_cards_rules(spark, sf_dir):
-    from pressroom.operators.htmlrules import extract_cards
+    from pressroom.operators.markup import extract_cards
     rules = _layout_rules(spark).select("layout", "card", "title", "link", "date")
     cards = extract_cards(_pages_with_layout(spark, sf_dir), rules, "layout")
     return cards.select("page_id", "url", "pos", col("link").alias("href"), col("title").alias("text"))
 
 
-@query("article_text_rules", "B5 (html.parser engine)", f"""
+@query("article_text_rules", "B5 (rules table)", f"""
 SELECT page_id, {D.strip_tags(D.container('html'))} AS text FROM pages""")
 def article_text_rules(spark, sf_dir):
-    from pressroom.operators.htmlrules import extract_container
+    from pressroom.operators.markup import extract_container
     rules = _layout_rules(spark).select("layout", "container", "drop")
     return extract_container(_pages_with_layout(spark, sf_dir), rules, "layout").select("page_id", "text")
 
 
-@query("boilerplate_rules", "B8 (drop list, html.parser engine)", f"""
+@query("boilerplate_rules", "B8 (rules table, drop list)", f"""
 SELECT page_id, {_boilerplate_sql()} AS text FROM pages""")
 def boilerplate_rules(spark, sf_dir):
-    from pressroom.operators.htmlrules import extract_container
+    from pressroom.operators.markup import extract_container
     rules = spark.createDataFrame([("fixture", "body", "nav, div.ad, footer, script, style")],
                                   "layout string, container string, drop string")
     out = extract_container(_pages_with_layout(spark, sf_dir), rules, "layout")

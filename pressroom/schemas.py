@@ -89,3 +89,6 @@ HIT_FIELDS = _struct(("post_title", S, True), ("post_content", S, True),
 HITS_DOC = T.StructType([T.StructField("hits", T.StructType([
     T.StructField("hit", T.ArrayType(T.StructType([T.StructField("fields", HIT_FIELDS, True)])),
                   True)]), True)])
+# Answers that carry listing HTML: items[].html, rendered, or html.
+HTML_DOC = T.StructType([T.StructField("items", T.ArrayType(_struct(("html", S, True))), True),
+                         T.StructField("rendered", S, True), T.StructField("html", S, True)])
