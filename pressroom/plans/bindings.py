@@ -169,9 +169,30 @@ def source_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules table, one row per source: payload kind (even-ranked sources
     publish a JSON listing, the others an RSS feed) and the categories their
     feed allowlist accepts."""
-    a = authority(spark, sf_dir)
-    return a.select(F.col("name").alias("source"),
-                    F.when(F.col("rank") % 2 == 0, "json").otherwise("rss").alias("kind"))
+    from pressroom.operators.ingest import RULES
+
+    a = authority(spark, sf_dir).select(
+        F.col("name").alias("source"), F.when(F.col("rank") % 2 == 0, "json").otherwise("rss").alias("kind"),
+        F.when(F.col("rank") % 2 == 0, "page").alias("stop"), F.when(F.col("rank") % 2 == 0, "en").alias("lang"),
+        F.lit("article").alias("container"))
+    return a.select(*[F.col(f.name) if f.name in a.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                      for f in T.StructType.fromDDL(RULES)])
+
+
+def source_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of the sources' parse tasks: a success in the second half of August;
+    every fifth source never ran."""
+    a = authority(spark, sf_dir).where(F.col("rank") % 5 != 0)
+    day = F.date_add(F.lit(_dt.date(2024, 8, 20)), (F.col("rank") % 10).cast("int"))
+    return a.select(F.lit("ingest").alias("dag_id"), F.concat(F.lit("parse_and_save_"), "name").alias("task_id"),
+                    F.lit("SUCCESS").alias("state"), day.cast("timestamp_ntz").alias("end_date"))
+
+
+def article_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page of every article: its text as the markup of an <article>."""
+    body = F.replace(F.replace("content", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    return news(spark, sf_dir).select("url", F.concat(F.lit("<body><nav>menu</nav><article>"), body,
+                                                      F.lit("</article></body>")).alias("html"))
 
 
 def category_allowlist(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F, types as T
 from pressroom.functions import dates as DT
 from pressroom.functions import text as TX
 from pressroom.functions.themes import PROMPT_MIDDLE, PROMPT_PREFIX, PROMPT_SUFFIX, themes_joined
+from pressroom.operators.ingest import last_success
 from pressroom.operators.select import to_classify
 from pressroom.plans import bindings as B
 from pressroom.plans.duck import with_
@@ -101,23 +102,6 @@ def tz_modes(spark, sf_dir):
                     DT.parse_date(col("text"), "iso_zone", tz_mode="drop").alias("wall")))
 
 
-def last_success(run_log, per_task: bool = True, tasks=None):
-    """Day of the latest successful run per (dag, task), or per dag;
-    0001-01-01 when there is none. ``tasks(dag_id, task_id)`` names tasks that
-    are to have a row even if they never ran."""
-    if tasks is not None:
-        never = tasks.select("dag_id", "task_id", F.lit(None).cast("string").alias("state"),
-                             F.lit(None).cast("timestamp_ntz").alias("end_date"))
-        run_log = run_log.select(*never.columns).unionByName(never)
-    keys = ["dag_id", "task_id"] if per_task else ["dag_id"]
-    ok = F.when(col("state") == "SUCCESS", col("end_date"))
-    out = run_log.groupBy(*keys).agg(F.max(ok).alias("_mx"))
-    out = out.select(*keys, F.coalesce(F.to_date("_mx").cast("timestamp_ntz"),
-                                       DT.ntz(_dt.datetime(1, 1, 1)))
-                     .alias("last_success"))
-    return out if per_task else out.withColumn("task_id", F.lit("*"))
-
-
 _LAST_SQL = """
 SELECT dag_id, task_id, coalesce(CAST(CAST(max(end_date) FILTER (WHERE state = 'SUCCESS') AS DATE) AS TIMESTAMP),
   TIMESTAMP '0001-01-01') AS last_success FROM run_log GROUP BY dag_id, task_id"""

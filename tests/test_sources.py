@@ -197,7 +197,7 @@ def test_dates_that_strptime_reads(spark):
 def test_task_that_never_ran_has_a_row(spark):
     import datetime as dt
 
-    from pressroom.plans.q_text import last_success
+    from pressroom.operators.ingest import last_success
 
     log = spark.createDataFrame([("d", "a", "SUCCESS", dt.datetime(2024, 5, 1, 8))],
                                 "dag_id string, task_id string, state string, end_date timestamp_ntz")
