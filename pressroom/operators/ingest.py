@@ -12,6 +12,7 @@ from pressroom.operators import extract as X
 from pressroom.operators import markup as M
 from pressroom.operators.select import allowlist_projection, canonical_articles
 from pressroom.operators.sequence import append_ids
+from pressroom.sources.staging import materialize
 
 col = F.col
 
@@ -58,9 +59,10 @@ def _dated(text: Column, rule: Column, as_of: _dt.datetime) -> Column:
 def parse_payloads(feeds: DataFrame, listings: DataFrame, rules: DataFrame, as_of: _dt.date) -> DataFrame:
     """Rows PARSED of every payload whose source has a rule. ``feeds(source,
     xml)``, ``listings(source, page, json)``. A payload that can't be parsed
-    gives no rows."""
+    gives no rows. Only the kinds that the rules name are planned."""
     none, now = F.lit(None).cast("string"), _dt.datetime.combine(as_of, _dt.time())
     kind = lambda k: rules.where(col("kind") == k)
+    kinds = {r["kind"] for r in rules.where(col("kind").isin("rss", "json", "html")).select("kind").distinct().collect()}
     rss = X.rss_items(feeds.select("source", "xml").join(kind("rss").select("source", "allow"), "source"))
     rss = rss.where(col("allow").isNull() | F.arrays_overlap("categories", "allow")).select(
         "source", F.lit(0).alias("page"), F.lit(0).cast("long").alias("pos"), "title", "url", none.alias("content"),
@@ -68,6 +70,8 @@ def parse_payloads(feeds: DataFrame, listings: DataFrame, rules: DataFrame, as_o
     hits = X.json_hits(listings.select("source", "page", "json").join(kind("json").select("source"), "source")).select(
         "source", "page", F.lit(0).cast("long").alias("pos"), "title", "url", "content", none.alias("language"),
         "published_at")
+    if "html" not in kinds:
+        return rss.unionByName(hits)
     parts = X.json_fragments(listings.select("source", "page", "json").join(kind("html").select("source"), "source"))
     cards = M.extract_cards(parts, kind("html"), "source").join(kind("html").select("source", "date_rule"), "source")
     # positions run on over the pages of a source
@@ -97,8 +101,10 @@ def ingest_job(feeds: DataFrame, listings: DataFrame, pages: DataFrame, stored:
                                         F.min(F.when(old, col("pos"))).alias("_pos"))
     reached = (F.when(col("stop") == "page", col("_page").isNull() | (col("page") <= col("_page")))
                .when(col("stop") == "row", col("_pos").isNull() | (col("pos") < col("_pos"))).otherwise(F.lit(True)))
+    # written once: read for the texts wanted, for the articles and for the guard
     kept = (timed.join(stops, "source").where(reached & col("published_at").between(col("lo"), col("hi")))
             .select(*PARSED, "label", "_lang"))
+    kept = materialize(kept, "kept")
 
     # texts of the pages that are needed, by their source's rule
     wanted = kept.where(col("content").isNull()).select("url", "source").distinct()
@@ -108,7 +114,8 @@ def ingest_job(feeds: DataFrame, listings: DataFrame, pages: DataFrame, stored:
 
     records = full.select("title", "content", "url", F.coalesce("_lang", "language").alias("language"),
                           F.coalesce("label", "source").alias("source"), col("published_at").alias("date"))
-    incoming = allowlist_projection(canonical_articles(records))
+    # written once: numbering reads its input twice (sample, then sort)
+    incoming = materialize(allowlist_projection(canonical_articles(records)), "incoming")
     top = F.coalesce(stored.agg(F.max("id")).scalar(), F.lit(0))
     added = append_ids(top, incoming, [col("source").asc(), col("url").asc()])
     articles = stored.unionByName(added.select(*stored.columns))

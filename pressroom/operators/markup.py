@@ -14,8 +14,7 @@ A null or empty selector, or a null page, finds nothing.
 
 from __future__ import annotations
 
-import html as _html
-import json
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -27,7 +26,7 @@ CONTAINERS = ("article", "blockquote", "body", "div", "dl", "html", "main", "ol"
 
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 _TOKEN = r"<[A-Za-z/!][^>]*>|[^<]+|<"
-_SPANS = "struct<i:int,name:string,start:int,depth:int,found:array<struct<start:int,end:int>>>"
+_STATE = "struct<i:int,name:string,auto:boolean,start:int,depth:int,found:array<struct<start:int,end:int>>>"
 
 
 def _bind(value: Column, fn) -> Column:
@@ -51,51 +50,57 @@ def _pattern(step: Column) -> Column:
                     F.array_join(values, ""))
 
 
-def _in(c: Column, names: tuple[str, ...]) -> Column:
-    return c.isin(*names)
+_NONE = "array<struct<start:int,end:int>>"
 
 
-def _spans(tokens: Column, pattern: Column) -> Column:
+def _marked(fragment: Column, pattern: Column) -> Column:
+    """Tokens of a fragment with what the walk needs of each: the tag's name,
+    whether it closes, has no content, closes its own kind, closes what is open,
+    and matches. Text has an empty name."""
+    name = lambda t: F.lower(F.regexp_extract(t, r"^</?([A-Za-z][A-Za-z0-9]*)", 1))
+    named = F.transform(F.regexp_extract_all(fragment, F.lit(_TOKEN), 0),
+                        lambda t: F.struct(t.alias("t"), name(t).alias("name")))
+    return F.transform(named, lambda x: F.struct(
+        x["t"].alias("t"), x["name"].alias("name"), x["t"].startswith("</").alias("close"),
+        (x["name"].isin(*VOID) | x["t"].endswith("/>")).alias("void"), x["name"].isin(*SELF_CLOSING).alias("auto"),
+        x["name"].isin(*CONTAINERS).alias("box"), ((x["name"] != "") & F.rlike(x["t"], pattern)).alias("hit")))
+
+
+def _spans(tokens: Column) -> Column:
     """(start, end) of the outermost elements whose start tag matches: the
     element is ``tokens[start:end]``. The first token is never a match."""
-    begin = F.struct(F.lit(0).alias("i"), F.lit("").alias("name"), F.lit(0).alias("start"), F.lit(0).alias("depth"),
-                     F.array().cast("array<struct<start:int,end:int>>").alias("found")).cast(_SPANS)
-
-    def step(s: Column, t: Column) -> Column:
-        opened = F.lower(F.regexp_extract(t, r"^<([A-Za-z][A-Za-z0-9]*)", 1))
-        closed = F.lower(F.regexp_extract(t, r"^</([A-Za-z][A-Za-z0-9]*)", 1))
-        void = _in(opened, VOID) | t.endswith("/>")
-        inside, own = s["depth"] > 0, opened == s["name"]
-        hit = (opened != "") & (s["i"] > 0) & F.rlike(t, pattern)
-        same_closes = inside & own & _in(opened, SELF_CLOSING) & ~void
-        ends_before = same_closes | (inside & _in(s["name"], SELF_CLOSING) & _in(closed, CONTAINERS) & (closed != s["name"]))
-        ends_here = inside & (closed == s["name"]) & (s["depth"] == 1)
-        starts = hit & (~inside | same_closes)
-        depth = (F.when(starts, F.when(void, 0).otherwise(1)).when(ends_before | ends_here, 0)
-                 .when(inside & own & ~void, s["depth"] + 1).when(inside & (closed == s["name"]), s["depth"] - 1)
-                 .otherwise(s["depth"]))
-        span = lambda a, b: F.array(F.struct(a.alias("start"), b.alias("end")))
-        none = F.array().cast("array<struct<start:int,end:int>>")
-        found = F.concat(s["found"], F.when(ends_before, span(s["start"], s["i"])).when(ends_here, span(s["start"], s["i"] + 1))
-                         .otherwise(none), F.when(starts & void, span(s["i"], s["i"] + 1)).otherwise(none))
-        return F.struct((s["i"] + 1).alias("i"), F.when(starts, opened).otherwise(s["name"]).alias("name"),
+    begin = F.struct(F.lit(0).alias("i"), F.lit("").alias("name"), F.lit(False).alias("auto"), F.lit(0).alias("start"),
+                     F.lit(0).alias("depth"), F.array().cast(_NONE).alias("found")).cast(_STATE)
+    span = lambda a, b: F.array(F.struct(a.alias("start"), b.alias("end")))
+
+    def walk(s: Column, x: Column) -> Column:
+        inside, own = s["depth"] > 0, x["name"] == s["name"]
+        again = inside & own & x["auto"] & ~x["close"]
+        ends = F.when(again | (inside & s["auto"] & x["close"] & x["box"] & ~own), span(s["start"], s["i"])).when(
+            inside & own & x["close"] & (s["depth"] == 1), span(s["start"], s["i"] + 1)).otherwise(F.array().cast(_NONE))
+        starts = x["hit"] & (s["i"] > 0) & (~inside | again)
+        alone = F.when(starts & x["void"], span(s["i"], s["i"] + 1)).otherwise(F.array().cast(_NONE))
+        depth = (F.when(starts, F.when(x["void"], 0).otherwise(1)).when(F.size(ends) > 0, 0)
+                 .when(inside & own & ~x["void"], s["depth"] + F.when(x["close"], -1).otherwise(1)).otherwise(s["depth"]))
+        return F.struct((s["i"] + 1).alias("i"), F.when(starts, x["name"]).otherwise(s["name"]).alias("name"),
+                        F.when(starts, x["auto"]).otherwise(s["auto"]).alias("auto"),
                         F.when(starts, s["i"]).otherwise(s["start"]).alias("start"), depth.alias("depth"),
-                        found.alias("found")).cast(_SPANS)
-
-    last = lambda s: F.when(s["depth"] > 0, F.concat(s["found"], F.array(F.struct(
-        s["start"].alias("start"), s["i"].alias("end"))))).otherwise(s["found"])
-    return F.aggregate(tokens, begin, step, last)
+                        F.concat(s["found"], ends, alone).alias("found"))
 
+    def step(s: Column, x: Column) -> Column:
+        # text only moves the position
+        moved = F.struct((s["i"] + 1).alias("i"), s["name"].alias("name"), s["auto"].alias("auto"),
+                         s["start"].alias("start"), s["depth"].alias("depth"), s["found"].alias("found"))
+        return F.when(x["name"] == "", moved.cast(_STATE)).otherwise(walk(s, x).cast(_STATE))
 
-def _tokens(fragment: Column) -> Column:
-    return F.regexp_extract_all(fragment, F.lit(_TOKEN), 0)
+    return F.aggregate(tokens, begin, step, lambda s: F.when(s["depth"] > 0, F.concat(
+        s["found"], span(s["start"], s["i"]))).otherwise(s["found"]))
 
 
 def _inside(fragment: Column, selector_step: Column) -> Column:
     """Elements inside one fragment that one step matches."""
-    return _bind(_tokens(fragment), lambda tokens: F.transform(
-        _spans(tokens, _pattern(selector_step)),
-        lambda s: F.array_join(F.slice(tokens, s["start"] + 1, s["end"] - s["start"]), "")))
+    return _bind(_marked(fragment, _pattern(selector_step)), lambda tokens: F.transform(
+        _spans(tokens), lambda s: F.array_join(F.slice(tokens["t"], s["start"] + 1, s["end"] - s["start"]), "")))
 
 
 def _col(c) -> Column:
@@ -127,13 +132,14 @@ def attribute(element: Column, name) -> Column:
     tag = F.regexp_extract(element, r"(?s)^<[^>]*>", 0)
     pat = F.concat(F.lit(r"(?is)\s\Q"), _col(name), F.lit(r"""\E\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)"""))
     value = F.call_function("regexp_extract", tag, pat, F.lit(1))
-    quoted = value.startswith('"') | value.startswith("'")
-    return unescape(F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).when(value != "", value))
+    bare = lambda v: F.when(v.startswith('"') | v.startswith("'"), F.substring(v, F.lit(2), F.length(v) - 2)).when(
+        v != "", v)
+    return _bind(value, lambda v: unescape(bare(v)))
 
 
 def text(element: Column) -> Column:
     """Text of an element: tags removed, entities decoded."""
-    return unescape(F.regexp_replace(element, r"(?s)<[A-Za-z/!][^>]*>", ""))
+    return _bind(F.regexp_replace(element, r"(?s)<[A-Za-z/!][^>]*>", ""), unescape)
 
 
 def field(element: Column, rule) -> Column:
@@ -153,8 +159,8 @@ def without(fragment: Column, selectors) -> Column:
                     lambda s: s != "")
 
     def remove(frag: Column, sel: Column) -> Column:
-        return _bind(_tokens(frag), lambda tokens: _bind(_spans(tokens, _pattern(sel)), lambda spans: F.array_join(
-            F.filter(tokens, lambda t, i: ~F.exists(spans, lambda s: (s["start"] <= i) & (i < s["end"]))), "")))
+        return _bind(_marked(frag, _pattern(sel)), lambda tokens: _bind(_spans(tokens), lambda spans: F.array_join(
+            F.filter(tokens["t"], lambda t, i: ~F.exists(spans, lambda s: (s["start"] <= i) & (i < s["end"]))), "")))
 
     return F.aggregate(each, fragment, remove)
 
@@ -172,13 +178,13 @@ def meta_content(html: Column, name: str) -> Column:
 
 # --- entities ---------------------------------------------------------------------------
 
-_NAMED = json.dumps({k[:-1]: v for k, v in _html.entities.html5.items() if k.endswith(";")})
+_NAMED = "\x02".join(f"{k[:-1]}\x01{v}" for k, v in html5.items() if k.endswith(";"))
 
 
 def unescape(c: Column) -> Column:
     """Character references decoded in one pass: every HTML name, decimal and
     hexadecimal numbers; what is none stays."""
-    named = F.from_json(F.lit(_NAMED), "map<string,string>")
+    named = F.str_to_map(F.lit(_NAMED), F.lit("\x02"), F.lit("\x01"))   # folded to a literal once
 
     def decoded(part: Column, i: Column) -> Column:
         ref = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
