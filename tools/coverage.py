@@ -26,7 +26,13 @@ NOTES = {
     "A12": "`sources/lists.read_ranked_list`; join `operators/score.authority_rank`",
     "A13": "`functions/themes` (fixed list) and `sources/lists.read_keyword_list` / `keyword_string`",
     "B10": "`operators/extract.pager_size` (in `page_meta`)",
-    "B12": "rules/bindings literals; `plans/bindings.source_rules`",
+    "B12": "rules table of `operators/ingest.RULES`; `plans/bindings.source_rules`",
+    "C19": "quarantine of `operators/ingest.ingest_job` (sources without rows)",
+    "A10": "`operators/extract.json_hits` / `json_fragments` (items[].html, rendered, html)",
+    "B5": "`operators/markup.extract_container` (container, drop list, way of taking the text)",
+    "B9": "`operators/markup.meta_content`",
+    "K1": "`operators/ingest.ingest_job(feeds, listings, pages, stored, run_log, rules, as_of)`",
+    "E1": "`operators/ingest.last_success`",
     "C6": "predicate pushdown (built in); asserted in `tests/test_properties.py`",
     "G3": "`orderBy(id)` in prompt_search / email_search",
     "I4": "`functions/text.strip` (btrim over the Unicode separator set)",
