@@ -147,7 +147,8 @@ def score_documents(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id",
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
     chosen = targets.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct().withColumn("target", F.lit(True))
     rows = docs.select(F.col(id_col).alias("id"), text)
-    counted = materialize(count_grams(rows.join(chosen, "id", "left").select(
+    # always a shuffle join: texts take the same way, and the same disk, at every size
+    counted = materialize(count_grams(rows.join(chosen.hint("merge"), "id", "left").select(
         "text", F.coalesce("target", F.lit(False)).alias("target"))), "grams")
     losses = docs.sparkSession.sparkContext.broadcast(fit_losses(counted))
 
