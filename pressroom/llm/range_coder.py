@@ -95,6 +95,17 @@ def _shape(n: int) -> tuple[int, int, np.ndarray]:
     return lanes, steps, active
 
 
+def _settle(coder, lanes, low: np.ndarray, rng: np.ndarray):
+    """Store the registers of ``lanes`` and return those (lanes, low, range) that
+    have a word to shift out: its bits are settled, or the range is cut short so
+    that they are."""
+    coder.low[lanes], coder.range[lanes] = low, rng
+    same = (low ^ (low + rng)) < TOP
+    out = np.flatnonzero(same | (rng < BOT))
+    low, rng = low[out], np.where(same[out], rng[out], (U(0) - low[out]) & LOW32)
+    return lanes[out], low, rng
+
+
 class _Encoder:
     def __init__(self, lanes: int, steps: int):
         self.low, self.range = np.zeros(lanes, dtype=U), np.full(lanes, (1 << 64) - 1, dtype=U)
@@ -102,22 +113,15 @@ class _Encoder:
 
     def put(self, lanes, start, size, total) -> None:
         unit = self.range[lanes] // total
-        self.low[lanes] += start * unit
-        self.range[lanes] = size * unit
-        while True:
-            low, rng = self.low[lanes], self.range[lanes]
-            same = (low ^ (low + rng)) < TOP
-            short = (rng < BOT) & ~same
-            out = np.flatnonzero(same | short)
-            if not len(out):
-                return
-            who = lanes[out]
-            low, rng = low[out], np.where(short[out], (U(0) - low[out]) & LOW32, rng[out])
-            if self.at[who].max() >= self.words.shape[1]:
+        low, rng = self.low[lanes] + start * unit, size * unit
+        who, low, rng = _settle(self, lanes, low, rng)
+        while len(who):
+            at = self.at[who]
+            if at.max() >= self.words.shape[1]:
                 self.words = np.hstack([self.words, np.zeros_like(self.words)])
-            self.words[who, self.at[who]] = low >> WORD
-            self.at[who] += 1
-            self.low[who], self.range[who] = low << SHIFT, rng << SHIFT
+            self.words[who, at] = low >> WORD
+            self.at[who] = at + 1
+            who, low, rng = _settle(self, who, low << SHIFT, rng << SHIFT)
 
     def finish(self) -> tuple[np.ndarray, np.ndarray]:
         # two words name a value within [low, low + range), as range is 2^32 at least
@@ -152,19 +156,11 @@ class _Decoder:
         return np.minimum((self.code[lanes] - self.low[lanes]) // self.unit, total - U(1)).astype(np.int64)
 
     def take(self, lanes, start, size) -> None:
-        self.low[lanes] += start * self.unit
-        self.range[lanes] = size * self.unit
-        while True:
-            low, rng = self.low[lanes], self.range[lanes]
-            same = (low ^ (low + rng)) < TOP
-            short = (rng < BOT) & ~same
-            out = np.flatnonzero(same | short)
-            if not len(out):
-                return
-            who = lanes[out]
-            low, rng = low[out], np.where(short[out], (U(0) - low[out]) & LOW32, rng[out])
-            self.low[who], self.range[who] = low << SHIFT, rng << SHIFT
+        low, rng = self.low[lanes] + start * self.unit, size * self.unit
+        who, low, rng = _settle(self, lanes, low, rng)
+        while len(who):
             self.code[who] = (self.code[who] << SHIFT) | self._next(who)
+            who, low, rng = _settle(self, who, low << SHIFT, rng << SHIFT)
 
 
 def encode_ids(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
@@ -200,16 +196,17 @@ def decode_ids(n: int, vocab: int, sizes: np.ndarray, words: np.ndarray) -> np.n
     for t in range(steps):
         a = int(active[t])
         model.look(a)
-        total = model.flag_below[model.ctx, 2].astype(U)
-        at = coder.look(every[:a], total)
-        flag = np.count_nonzero(model.flag_below[model.ctx] <= at[:, None], axis=1)
+        below = model.flag_below[model.ctx]
+        at = coder.look(every[:a], below[:, 2].astype(U))
+        flag = (at >= below[:, 0]).astype(np.int64) + (at >= below[:, 1])
         start, size, _ = model.flag_span(flag)
         coder.take(every[:a], start, size)
         x = np.where(flag == 0, model.p2, model.p1)
         rest = np.flatnonzero(flag == 2)
         if len(rest):
             at = coder.look(rest, model.total)
-            x[rest] = np.searchsorted(model.below, at, side="right")
+            order = np.argsort(at)  # rising values walk the table once
+            x[rest[order]] = np.searchsorted(model.below, at[order], side="right")
             start, size, _ = model.id_span(x[rest])
             coder.take(rest, start, size)
         grid[t, :a] = x

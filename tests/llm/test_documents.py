@@ -341,3 +341,21 @@ def test_neighbours_recall(spark, sf_dir, monkeypatch):
         hits += len(best & set(out[out.query_id == pdf.vec_id[k]].vec_id))
         total += 5
     assert hits / total >= 0.9
+
+
+def test_plain_split_agrees_with_the_property_classes():
+    import unicodedata
+
+    import regex
+
+    every = [chr(c) for c in range(1 << 16) if re.fullmatch(f"[{tf.PLAIN}]", chr(c))]
+    for c in every:
+        kind = unicodedata.category(c)
+        assert bool(re.fullmatch(r"[^\W\d_]", c)) == (kind[0] == "L"), hex(ord(c))
+        assert bool(re.fullmatch(r"\d", c)) == (kind[0] == "N"), hex(ord(c))
+        assert bool(re.fullmatch(r"\s", c)) == (c in "\t\n\r \xa0"), hex(ord(c))
+    rng = random.Random(6)
+    split = regex.compile(tf.PATTERN).findall
+    for _ in range(300):
+        text = "".join(rng.choice(every + list(" \n'_s1a") * 40) for _ in range(200))
+        assert re.findall(tf.PLAIN_PATTERN, text) == split(text)
