@@ -10,7 +10,9 @@ are linked at a Jaccard similarity of ``THRESHOLD`` or more.
 3. Within a bucket, the pairs compare their MinHash values incrementally,
    ``STEP`` at a time, and are dropped as soon as the posterior probability of
    reaching the threshold (uniform prior) falls below ``TOLERANCE``. A pair is
-   handled in the first band that it shares only. What is emitted are spanning
+   handled in the first band that it shares only, by 32-bit digests of the bucket
+   keys (an earlier band is taken for shared, and the pair missed, with a
+   probability of 31 / 2^32 at most). What is emitted are spanning
    edges of the surviving pairs, fewer than the members; their components hold
    all the pairs that can be links.
 4. In each component, all pairs are pruned the same way and the rest is verified
@@ -110,6 +112,15 @@ def min_hashes(shingles: np.ndarray) -> np.ndarray:
     return (best >> U(32)).astype("<u4")
 
 
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """64-bit bucket key of each band; rows of HASHES MinHash values."""
+    hashes = hashes.reshape(-1, BANDS, ROWS).astype(U)
+    key = np.zeros(hashes.shape[:2], dtype=U)
+    for r in range(ROWS):
+        key = mix(key + hashes[:, :, r] + U(r + 1))
+    return mix(key + np.arange(1, BANDS + 1, dtype=U))
+
+
 def fewest_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE, step: int = STEP) -> list[int]:
     """After each ``step`` hashes, the fewest equal low bytes at which the
     similarity reaches the threshold with a posterior of ``tolerance`` at least."""
@@ -228,11 +239,7 @@ def candidate_edges(classes: DataFrame) -> DataFrame:
     def band(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                hashes = np.frombuffer(b"".join(batch["hashes"]), dtype="<u4").reshape(-1, BANDS, ROWS).astype(U)
-                key = np.zeros(hashes.shape[:2], dtype=U)
-                for r in range(ROWS):
-                    key = mix(key + hashes[:, :, r] + U(r + 1))
-                key = mix(key + np.arange(1, BANDS + 1, dtype=U))
+                key = band_keys(np.frombuffer(b"".join(batch["hashes"]), dtype="<u4"))
                 yield pd.DataFrame({"bucket": key.ravel().view(np.int64),
                                     "band": np.tile(np.arange(BANDS, dtype=np.int32), len(batch)),
                                     "cls": np.repeat(batch["cls"].to_numpy(), BANDS)})
@@ -247,7 +254,8 @@ def candidate_edges(classes: DataFrame) -> DataFrame:
             starts = _group_starts(frame, by)
             ends = np.repeat(np.append(starts[1:], len(frame)), np.diff(np.append(starts, len(frame))))
             low, cls = _low_bytes(frame["low"]), frame["cls"].to_numpy()
-            as_band, band_no = low.view(np.uint32), frame["band"].to_numpy()
+            digest = np.frombuffer(b"".join(frame["digests"]), dtype="<u4").reshape(-1, BANDS)
+            band_no = frame["band"].to_numpy()
             part, two = frame["part"].to_numpy(), (frame["i"] != frame["j"]).to_numpy()
             forest, left, d = Forest(), np.arange(len(frame)), 0
             while True:
@@ -256,7 +264,7 @@ def candidate_edges(classes: DataFrame) -> DataFrame:
                 if not len(left):
                     break
                 i = left[~two[left] | (part[left] != part[left + d])]
-                same = as_band[i] == as_band[i + d]
+                same = digest[i] == digest[i + d]
                 i = i[same.argmax(axis=1) == band_no[i]]
                 if len(i):
                     i = i[survives(low, i, i + d, fewest)]
@@ -265,9 +273,9 @@ def candidate_edges(classes: DataFrame) -> DataFrame:
                 yield pd.DataFrame(edges, columns=["a", "b"])
 
     # the low byte of each hash: equal bytes of unequal hashes are in the posterior
-    low = classes.select("cls", _low("hashes").alias("low"))
+    low = classes.select("cls", _low("hashes").alias("low"), _digests("hashes").alias("digests"))
     rows = _blocks(buckets.join(sizes, "bucket"), "bucket", "size", "cls", BLOCK).join(low, "cls")
-    return (rows.select("bucket", "i", "j", "part", "band", "cls", "low")
+    return (rows.select("bucket", "i", "j", "part", "band", "cls", "low", "digests")
             .repartition(partitions(classes.sparkSession), "bucket", "i", "j")
             .sortWithinPartitions("bucket", "i", "j").mapInPandas(prune, "a long, b long"))
 
@@ -281,6 +289,15 @@ def _low(column: str):
     return low(F.col(column))
 
 
+def _digests(column: str):
+    """The upper half of each band's bucket key, as binary."""
+    @F.pandas_udf("binary")
+    def digests(hashes: pd.Series) -> pd.Series:
+        return hashes.map(lambda h: (band_keys(np.frombuffer(h, dtype="<u4")) >> U(32)).astype("<u4").tobytes())
+
+    return digests(F.col(column))
+
+
 def verified_links(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``a, b, links``: per block pair, each member's links (``a = b``) and the
     spanning edges of the links. ``sets(group, size, cls, low, shingles)``."""

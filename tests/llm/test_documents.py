@@ -244,6 +244,20 @@ def test_jaccard_brute_force(spark, docs_of, odd_rows, block, monkeypatch):
     assert jj.jaccard_groups(docs.limit(0)).count() == 0
 
 
+def test_jaccard_first_shared_band(spark):
+    # band k - 1 agrees in its low bytes but not in its hashes; band k is the only one that is shared
+    rng, rows = np.random.default_rng(8), []
+    for k in range(1, jj.BANDS):
+        a = rng.integers(0, 1 << 32, (jj.BANDS, jj.ROWS), dtype=np.uint32)
+        b = a.copy()
+        b[:, 0] += 1
+        b[k] = a[k]
+        b[k - 1, 0] = a[k - 1, 0] ^ np.uint32(1 << 20)
+        rows += [(2 * k, bytearray(a.astype("<u4").tobytes())), (2 * k + 1, bytearray(b.astype("<u4").tobytes()))]
+    edges = jj.candidate_edges(spark.createDataFrame(rows, "cls long, hashes binary")).collect()
+    assert {(min(e), max(e)) for e in edges} == {(2 * k, 2 * k + 1) for k in range(1, jj.BANDS)}
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(100, 140)] + [(5, 9), (9, 7), (7, 7), (200, 5), (300, 300)] + [(1000, k) for k in range(400, 500)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
