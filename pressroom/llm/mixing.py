@@ -4,8 +4,11 @@ A document of source ``s`` is repeated ``Poisson(rate_s)`` times, where
 ``rate_s = weight_s * budget / n_s`` is the repetition rate that gives ``s`` its
 share of the budget in expectation. The Poisson variable is inverted from a
 uniform number hashed from (seed, document), so any retry, executor or
-partitioning gives the same copies. Rows are exploded by their count and
-globally shuffled by a second hash (a range exchange, no hot key).
+partitioning gives the same copies. A rate above ``MAX_RATE`` is the sum of
+independent draws of bounded rate, each with a hash of its own (``ORACLE`` holds
+for rates up to about 130). Rows are exploded by their count, those of many copies
+in chunks that any task can take, and globally shuffled by a second hash (a range
+exchange, no hot key).
 
 Sources without a weight of their own form one group, ``REST``; so the rates are
 a fixed-size row, however many sources exist, and join nothing. A weight of 0
@@ -24,10 +27,15 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pressroom.llm.common import partitions
+
 REST = ""
 #: Production weights: relative shares of the mixed corpus.
 TARGET_WEIGHTS = {"src0": 0.10, "src1": 0.08, "src2": 0.06, "src3": 0.04, REST: 0.72}
 SEED = 17
+#: The highest rate of one draw (exp(-rate) is a normal double), and the most
+#: copies that a row is exploded to at once.
+MAX_RATE, CHUNK = 700.0, 2048
 
 
 def source_rates(docs: DataFrame, weights: Mapping[str, float], budget: float | None = None,
@@ -47,10 +55,9 @@ def source_rates(docs: DataFrame, weights: Mapping[str, float], budget: float |
 
 
 def poisson_cdf(rate: float) -> list[float]:
-    """P(X <= k) for k = 0, 1, ... until it is 1 in double precision."""
+    """P(X <= k) for k = 0, 1, ... until it is 1 in double precision; ``rate`` is
+    ``MAX_RATE`` at most."""
     p, total, k, out = math.exp(-rate), 0.0, 0, []
-    if p == 0.0:
-        raise ValueError("a repetition rate above 700 needs a smaller budget")
     while True:
         total += p
         out.append(total)
@@ -74,18 +81,33 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] = TARGET_WEIGHTS,
     rates = source_rates(docs, weights, budget, source_col)
     u, src = uniform(seed, "count", F.col(id_col)), F.col(source_col)
 
-    def count(rate: float) -> Column:
+    # copies are numbered by int; only rates near 2^31 need long
+    number = "int" if max(rates.values()) < 1 << 30 else "long"
+
+    def draw(rate: float, u: Column) -> Column:
         # the smallest k with u < P(X <= k): as many as there are bounds at or below u
-        cdf = poisson_cdf(rate)
-        return F.size(F.filter(F.array(*map(F.lit, cdf)), lambda c: c <= u)) if rate else F.lit(0)
+        return F.size(F.filter(F.array(*map(F.lit, poisson_cdf(rate))), lambda c: c <= u))
+
+    def count(rate: float) -> Column:
+        if rate <= MAX_RATE:
+            return (draw(rate, u) if rate else F.lit(0)).cast(number)
+        parts = math.ceil(rate / MAX_RATE)
+        return F.aggregate(F.sequence(F.lit(1), F.lit(parts)), F.lit(0).cast(number), lambda n, j: n + draw(
+            rate / parts, uniform(seed, "part", F.col(id_col), j)))
 
     n = count(rates[REST])
     for s, rate in rates.items():
         if s != REST:
             n = F.when(src == s, count(rate)).otherwise(n)
     kept = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
-    return (docs.select(*kept, n.alias("copy")).where(F.col("copy") > 0)
-            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copy"))))
+    counted, copy = docs.select(*kept, n.alias("copy")).where(F.col("copy") > 0), F.col("copy")
+    copies = counted.where(copy <= CHUNK).withColumn("copy", F.explode(F.sequence(F.lit(1).cast(number), copy)))
+    if max(rates.values()) > MAX_RATE:
+        begin = F.explode(F.sequence(F.lit(1).cast(number), copy, F.lit(CHUNK).cast(number)))
+        chunks = counted.where(copy > CHUNK).withColumn("__begin", begin).repartition(partitions(docs.sparkSession))
+        copies = copies.unionByName(chunks.withColumn("copy", F.explode(F.sequence(
+            "__begin", F.least(copy, F.col("__begin") + F.lit(CHUNK - 1))))).drop("__begin"))
+    return (copies
             .withColumn("shuffle_key", uniform(seed, "order", F.col(id_col), F.col("copy")))
             .orderBy("shuffle_key", id_col, "copy"))
 

@@ -138,3 +138,30 @@ def test_poisson_inversion():
     cdf = mixing.poisson_cdf(2.5)
     assert cdf[0] == pytest.approx(0.0820849986) and cdf[-1] == pytest.approx(1.0, abs=1e-12)
     assert all(a < b for a, b in zip(cdf, cdf[1:]))
+
+
+def test_mixing_high_rates(spark):
+    # one "a" and one "b" among 20,000 rows: rates of 10,000 and 800
+    docs = spark.range(0, 20_000).selectExpr("id AS doc_id", "CASE id WHEN 7 THEN 'a' WHEN 8 THEN 'b' END AS source", "'t' AS text")
+    w = {"a": 0.5, "b": 0.04, mixing.REST: 0.46}
+    assert mixing.source_rates(docs, w)["a"] == pytest.approx(10_000)
+    out = mixing.mix_sources(docs, w)
+    assert dict(out.dtypes)["copy"] == "int"
+    n = {r.source: r for r in out.groupBy("source").agg(F.count("copy").alias("n"), F.count_distinct("copy").alias("kinds"),
+                                                       F.min("copy").alias("low"), F.max("copy").alias("high")).collect()}
+    for s, want in (("a", 10_000), ("b", 800)):
+        assert abs(n[s].n - want) < 5 * want ** 0.5
+        assert (n[s].low, n[s].high, n[s].kinds) == (1, n[s].n, n[s].n)
+    assert abs(n[None].n - 9_200) < 5 * 9_200 ** 0.5
+    key = lambda df: sorted((r.doc_id, r.copy) for r in df.select("doc_id", "copy").collect())
+    assert key(out) == key(mixing.mix_sources(docs.repartition(7), w))
+
+
+def test_mixing_high_rates_spread(spark):
+    # 300 documents at a rate of 1,000: two draws each, whose sum has the mean and variance of one Poisson number
+    docs = spark.range(0, 300_000).selectExpr("id AS doc_id", "if(id < 300, 'a', null) AS source", "'t' AS text")
+    out = mixing.mix_sources(docs, {"a": 1.0, mixing.REST: 0.0})
+    n = [r["count"] for r in out.groupBy("doc_id").count().collect()]
+    mean = sum(n) / len(n)
+    assert len(n) == 300 and abs(mean - 1000) < 10
+    assert 700 < sum((x - mean) ** 2 for x in n) / len(n) < 1350
