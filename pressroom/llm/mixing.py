@@ -14,9 +14,13 @@ Sources without a weight of their own form one group, ``REST``; so the rates are
 a fixed-size row, however many sources exist, and join nothing. A weight of 0
 drops its source; a source without rows has no effect on the others' rates.
 
+A document is hashed by its id if that names one text, else (a null id, or an id
+of several texts) by id and text, so that different texts are drawn on their own.
+``ORACLE`` hashes ids only: it holds for tables whose ids are distinct.
+
 Null ids, sources and texts are values like any other (a null source is in
-``REST``); repeated rows have equal hashes and are repeated alike, told apart by
-``copy`` only; an empty table gives an empty result. All columns of the input
+``REST``); rows equal in id and text have equal hashes and are repeated alike,
+told apart by ``copy`` only; an empty table gives an empty result. All columns of the input
 are kept; the two added ones replace input columns of those names.
 """
 
@@ -27,7 +31,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pressroom.llm.common import partitions
+from pressroom.llm.common import materialize, partitions
 
 REST = ""
 #: Production weights: relative shares of the mixed corpus.
@@ -73,13 +77,28 @@ def uniform(seed: int, salt: str, *keys: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+def with_document(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with ``__document``: the id, or the id and the text's md5 if the
+    id is null or stands at several texts."""
+    key = F.md5(F.coalesce(F.col(text_col), F.lit("")))
+    several = materialize(docs.where(F.col(id_col).isNotNull()).select(id_col, key.alias("k")).groupBy(id_col).agg(
+        F.min("k").alias("low"), F.max("k").alias("high")).where("low < high").select(
+            id_col, F.lit(True).alias("__several")), "several-texts")
+    own = F.col(id_col).isNotNull() & F.col("__several").isNull()
+    name = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+    return docs.join(several, id_col, "left").withColumn(
+        "__document", F.when(own, name).otherwise(F.concat_ws("|", name, key))).drop("__several")
+
+
 def mix_sources(docs: DataFrame, weights: Mapping[str, float] = TARGET_WEIGHTS, budget: float | None = None,
-                seed: int = SEED, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+                seed: int = SEED, id_col: str = "doc_id", source_col: str = "source",
+                text_col: str = "text") -> DataFrame:
     """``docs`` repeated to the target weights (``budget`` rows expected; as many
     as there are by default), in globally shuffled order, with ``copy`` (from 1)
     and ``shuffle_key``."""
     rates = source_rates(docs, weights, budget, source_col)
-    u, src = uniform(seed, "count", F.col(id_col)), F.col(source_col)
+    document, src = F.col("__document"), F.col(source_col)
+    u = uniform(seed, "count", document)
 
     # copies are numbered by int; only rates near 2^31 need long
     number = "int" if max(rates.values()) < 1 << 30 else "long"
@@ -93,14 +112,15 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] = TARGET_WEIGHTS,
             return (draw(rate, u) if rate else F.lit(0)).cast(number)
         parts = math.ceil(rate / MAX_RATE)
         return F.aggregate(F.sequence(F.lit(1), F.lit(parts)), F.lit(0).cast(number), lambda n, j: n + draw(
-            rate / parts, uniform(seed, "part", F.col(id_col), j)))
+            rate / parts, uniform(seed, "part", document, j)))
 
     n = count(rates[REST])
     for s, rate in rates.items():
         if s != REST:
             n = F.when(src == s, count(rate)).otherwise(n)
     kept = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
-    counted, copy = docs.select(*kept, n.alias("copy")).where(F.col("copy") > 0), F.col("copy")
+    named = with_document(docs, id_col, text_col)
+    counted, copy = named.select(*kept, "__document", n.alias("copy")).where(F.col("copy") > 0), F.col("copy")
     copies = counted.where(copy <= CHUNK).withColumn("copy", F.explode(F.sequence(F.lit(1).cast(number), copy)))
     if max(rates.values()) > MAX_RATE:
         begin = F.explode(F.sequence(F.lit(1).cast(number), copy, F.lit(CHUNK).cast(number)))
@@ -108,8 +128,8 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] = TARGET_WEIGHTS,
         copies = copies.unionByName(chunks.withColumn("copy", F.explode(F.sequence(
             "__begin", F.least(copy, F.col("__begin") + F.lit(CHUNK - 1))))).drop("__begin"))
     return (copies
-            .withColumn("shuffle_key", uniform(seed, "order", F.col(id_col), F.col("copy")))
-            .orderBy("shuffle_key", id_col, "copy"))
+            .withColumn("shuffle_key", uniform(seed, "order", document, F.col("copy")))
+            .drop("__document").orderBy("shuffle_key", id_col, "copy"))
 
 
 def op6_mix_sources(spark, sf_dir):

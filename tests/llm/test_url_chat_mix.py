@@ -165,3 +165,24 @@ def test_mixing_high_rates_spread(spark):
     mean = sum(n) / len(n)
     assert len(n) == 300 and abs(mean - 1000) < 10
     assert 700 < sum((x - mean) ** 2 for x in n) / len(n) < 1350
+
+
+def test_mixing_null_and_repeated_ids(spark):
+    # a third of the rows without an id, a third under one id, each of 500 texts twice
+    docs = spark.range(0, 3000).selectExpr("CASE WHEN id < 1000 THEN null WHEN id < 2000 THEN 5L ELSE id END AS doc_id",
+                                           "string(null) AS source", "concat('t', id % 500) AS text")
+    out = mixing.mix_sources(docs, {mixing.REST: 1.0})
+    assert out.columns == [*docs.columns, "copy", "shuffle_key"]
+    rows = out.collect()
+    for has in (lambda r: r.doc_id is None, lambda r: r.doc_id == 5, lambda r: (r.doc_id or 0) >= 2000):
+        assert abs(sum(map(has, rows)) - 1000) < 5 * 2000 ** 0.5
+    for i in (None, 5):
+        n = {}
+        for r in rows:
+            if r.doc_id == i:
+                n[r.text] = n.get(r.text, 0) + 1
+        assert 250 < len(n) < 380 and all(k % 2 == 0 for k in n.values()) and len(set(n.values())) > 2
+        keys = {(r.text, r.copy): r.shuffle_key for r in rows if r.doc_id == i}
+        assert len(set(keys.values())) == len(keys)
+    again = mixing.mix_sources(docs.repartition(7), {mixing.REST: 1.0}).collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, again))
