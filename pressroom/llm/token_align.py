@@ -42,11 +42,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pressroom.llm.common import materialize, read
 from pressroom.llm.token_files import PATTERN, default_tokenizer
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 #: Token ids that the memo of a worker holds at most between chunks.
-MEMO_IDS = 3_000_000
-#: Characters of the stretches whose ids side B keeps at most between chunks.
-KEPT_CHARS = 4_000_000
+MEMO_IDS = 2_000_000
 SPACE_MARK = "▁"
 #: Added to B's ids in a window's key.
 SIDE_B = np.uint32(1 << 31)
@@ -111,12 +109,7 @@ class ByteSide:
 
 
 class PieceSide:
-    """Side B: ids and the bytes of each id.
-
-    No piece of such a vocabulary goes on over a space, so merges never cross the
-    place before a run of spaces (checked when it is loaded; else texts go through
-    the library whole). Ids of the stretches between such places are kept, and
-    the library encodes only new ones."""
+    """Side B: ids and the bytes of each id."""
 
     def __init__(self, path: str):
         import re
@@ -128,25 +121,9 @@ class PieceSide:
         byte = re.compile("<0x([0-9A-F]{2})>").fullmatch
         self.bytes = {i: bytes([int(m[1], 16)]) if (m := byte(p)) else p.replace(SPACE_MARK, " ").encode()
                       for i, p in enumerate(pieces)}
-        whole = any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces) or self.library.encode("a  b ") != [
-            i for x in ("a", " b", "") for i in self.library.encode(x) or [self.library.piece_to_id(SPACE_MARK)]]
-        self.split = (lambda t: [t]) if whole else re.compile(f"[ {SPACE_MARK}]+[^ {SPACE_MARK}]*").findall
-        self.alone = np.uint32(self.library.piece_to_id(SPACE_MARK)).tobytes()
-        self.kept: dict[str, bytes] = {}
-        self.held = 0
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of texts that begin with the space that the library adds."""
-        if self.held > KEPT_CHARS:
-            self.kept.clear()
-            self.held = 0
-        split = [self.split(t) if t else [] for t in texts]
-        new = list(set().union(*split).difference(self.kept))
-        ids = self.library.encode([s[1:] for s in new], num_threads=1)
-        self.kept.update((s, array("I", x).tobytes() if len(s) > 1 else self.alone) for s, x in zip(new, ids))
-        self.held += sum(map(len, new))
-        get = self.kept.__getitem__
-        return [np.frombuffer(b"".join(map(get, s)), np.uint32) for s in split]
+        return [np.array(ids, np.uint32) for ids in self.library.encode(texts, num_threads=1)]
 
 
 class Spelling:
@@ -186,8 +163,9 @@ class Aligner:
 
     def tokens(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of both sides for each text; none if either doesn't cover space and text."""
-        texts = [" " + t if t else "" for t in texts]
-        raw, a, b = [t.encode() for t in texts], self.a.encode(texts), self.b.encode(texts)
+        texts = [t or "" for t in texts]
+        b, texts = self.b.encode(texts), [" " + t if t else "" for t in texts]
+        a, raw = self.a.encode(texts), [t.encode() for t in texts]
         size = np.array([len(r) for r in raw], np.int64)
         for ids, spell in ((a, self.spell_a), (b, self.spell_b)):
             # as many bytes, then the same bytes

@@ -118,15 +118,6 @@ def test_memo_aligns_a_window_once(sides):
     assert aligner.held == sum(len(k) // 4 for k in learned)
 
 
-def test_side_b_encodes_as_the_library(sides):
-    side = ta.PieceSide(ta.default_pieces())
-    rng = random.Random(9)
-    texts = ["".join(rng.choice(["a", "the", " ", " ", "  ", "\n", "é", "文", "▁", "<s>", "."]) for _ in range(rng.randint(1, 30)))
-             for _ in range(300)]
-    got = side.encode([" " + t for t in texts])
-    assert [g.tolist() for g in got] == [side.library.encode(t) for t in texts]
-
-
 def test_driver_query_aligns_all_documents(spark, sf_dir, sides):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     got = {r.doc_id: (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum)
