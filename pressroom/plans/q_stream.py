@@ -36,6 +36,36 @@ def stream_dedupe(spark, sf_dir):
     return spark.read.parquet(log).select("url", "source")
 
 
+#: Odd-ranked sources stop at the first old row, the others after the first old page.
+_STOPS = "CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) % 2"
+_LO, _HI = "TIMESTAMP '2024-06-20 00:00:00'", "TIMESTAMP '2024-08-31 23:59:59'"
+
+
+@query("stream_early_stop", "L1 C4 C5 F1", with_(["listing"], f"""
+SELECT id, source, page, pos FROM (
+  SELECT *, {_STOPS} AS by_row, coalesce(max(CASE WHEN published_at < {_LO} THEN 1 ELSE 0 END) OVER (
+    PARTITION BY source ORDER BY page RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stopped_page,
+    max(CASE WHEN published_at < {_LO} THEN 1 ELSE 0 END) OVER (
+    PARTITION BY source ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stopped_row
+  FROM listing)
+WHERE CASE WHEN by_row = 1 THEN stopped_row ELSE stopped_page END = 0 AND published_at BETWEEN {_LO} AND {_HI}"""))
+def stream_early_stop(spark, sf_dir):
+    """Listing rows land as many small files in crawl order and are read by a
+    stream, some files a batch."""
+    from pressroom.functions.dates import ntz
+    from pressroom.sources.staging import write_parquet
+
+    listing = B.listing(spark, sf_dir).select("source", "page", "pos", "id", "published_at")
+    landing = write_parquet(listing.repartitionByRange(24, "page", "source"), staging_path(spark, "landing"))
+    by_row = F.regexp_extract("source", "([0-9]+)$", 1).cast("long") % 2 == 1
+    windows = listing.select("source").distinct().select(
+        "source", F.when(by_row, "row").otherwise("page").alias("stop"),
+        ntz(B.WINDOW_MIN).alias("lo"), ntz(B.WINDOW_MAX).alias("hi"))
+    stream = S.landing_stream(spark, landing, "*.parquet", listing.schema, files_per_batch=8)
+    base = S.crawl_ingest(spark, stream, windows, staging_path(spark, "crawl"))
+    return S.crawled(spark, base).select("id", "source", "page", "pos")
+
+
 @query("stream_weekly_counts", "L3 I11", """
 SELECT CAST(date_trunc('week', ts) AS TIMESTAMP) AS week_start, event_type, count(*) AS n
 FROM events GROUP BY ALL""")
