@@ -9,7 +9,7 @@ stop) is data in small rules tables, joined by plain equi-joins.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pressroom.functions.dates import epoch_seconds_ntz, ntz, parse_date
 from pressroom.operators.markup import unescape
@@ -20,12 +20,39 @@ col = F.col
 # --- RSS / JSON -------------------------------------------------------------------
 
 
-def rss_items(feeds: DataFrame, xml_col: str = "xml") -> DataFrame:
-    """One row per ``channel/item`` of each feed; a malformed feed yields none.
-    ``pubDate`` is RFC 822 and is parsed to UTC; ``category`` is the first of
-    the item's ``categories``."""
-    items = feeds.select("*", F.explode(F.from_xml(col(xml_col), RSS_DOC)["channel"]["item"])
-                         .alias("_it")).drop(xml_col)
+#: Where the parsers put a payload that is none.
+_BROKEN = "_corrupt_record"
+
+
+def _broken_too(doc: T.StructType) -> T.StructType:
+    return T.StructType([*doc.fields, T.StructField(_BROKEN, T.StringType())])
+
+
+def _fault(payload: Column, parsed: Column, there: Column, missing: str) -> Column:
+    """What is wrong with a payload, null if nothing is: ``empty``, ``malformed``,
+    or ``missing`` if it can be read but isn't of the expected kind (a list
+    without entries is)."""
+    return (F.when(F.coalesce(F.trim(payload), F.lit("")) == "", F.lit("empty"))
+            .when(parsed[_BROKEN].isNotNull(), F.lit("malformed")).when(~there, F.lit(missing)))
+
+
+def _exploded(payloads: DataFrame, payload: str, parsed: Column, entries, there, missing: str) -> DataFrame:
+    """Rows ``pos, _it`` of each payload's entries, parsed once. A payload
+    without entries has one row of nulls with its ``fault`` (null if it is just empty of
+    entries)."""
+    own = [c for c in payloads.columns if c not in ("pos", "fault")]
+    docs = payloads.select(*own, parsed.alias("_doc"))
+    fault = _fault(col(payload), col("_doc"), there(col("_doc")), missing)
+    docs = docs.select(*own, fault.alias("fault"), entries(col("_doc")).alias("_list"))
+    return docs.select(*own, "fault", F.posexplode_outer(F.when(col("fault").isNull(), col("_list"))).alias("pos", "_it"))
+
+
+def rss_payloads(feeds: DataFrame, xml_col: str = "xml") -> DataFrame:
+    """One row per ``channel/item`` of each feed with its place ``pos`` in it, and
+    one row per feed that has none, with its ``fault``. ``pubDate`` is RFC 822
+    and is parsed to UTC; ``category`` is the first of the item's ``categories``."""
+    items = _exploded(feeds, xml_col, F.from_xml(col(xml_col), _broken_too(RSS_DOC)), lambda d: d["channel"]["item"],
+                      lambda d: d["channel"].isNotNull(), "no channel")
     return (items.select("*", col("_it.title").alias("title"), col("_it.link").alias("url"),
                          parse_date(col("_it.pubDate"), "rfc822").alias("published_at"),
                          col("_it.category").alias("categories"),
@@ -33,6 +60,11 @@ def rss_items(feeds: DataFrame, xml_col: str = "xml") -> DataFrame:
             .drop("_it"))
 
 
+def rss_items(feeds: DataFrame, xml_col: str = "xml") -> DataFrame:
+    """One row per item of each feed; ``rss_payloads`` tells of feeds without."""
+    return rss_payloads(feeds, xml_col).where(col("pos").isNotNull()).drop(xml_col, "fault")
+
+
 def category_gate(items: DataFrame, allowlist: DataFrame) -> DataFrame:
     """Keep items of which any category is allowed for their source; items
     without a category are dropped. The allowlist is a rules table: its
@@ -42,26 +74,39 @@ def category_gate(items: DataFrame, allowlist: DataFrame) -> DataFrame:
     return kept.select(*items.columns)
 
 
+def json_payloads(listings: DataFrame, json_col: str = "json") -> DataFrame:
+    """One row per ``hits.hit[].fields`` of each listing page with its place ``pos``
+    in it, and one row per page that has none, with its ``fault``; the epoch
+    date is read as UTC."""
+    hits = _exploded(listings, json_col, F.from_json(col(json_col), _broken_too(HITS_DOC)), lambda d: d["hits"]["hit"],
+                     lambda d: d["hits"]["hit"].isNotNull(), "no hits")
+    return (hits.select("*", col("_it.fields.post_title").alias("title"),
+                        col("_it.fields.post_content").alias("content"),
+                        col("_it.fields.post_url").alias("url"),
+                        epoch_seconds_ntz(col("_it.fields.post_date_gmt")).alias("published_at"))
+            .drop("_it"))
+
+
 def json_hits(listings: DataFrame, json_col: str = "json") -> DataFrame:
-    """One row per ``hits.hit[].fields`` of each listing page; the epoch date
-    is read as UTC."""
-    hits = listings.select("*", F.explode(F.from_json(col(json_col), HITS_DOC)["hits"]["hit"])
-                           .alias("_h")).drop(json_col)
-    return (hits.select("*", col("_h.fields.post_title").alias("title"),
-                        col("_h.fields.post_content").alias("content"),
-                        col("_h.fields.post_url").alias("url"),
-                        epoch_seconds_ntz(col("_h.fields.post_date_gmt")).alias("published_at"))
-            .drop("_h"))
+    """One row per hit of each listing page; ``json_payloads`` tells of pages without."""
+    return json_payloads(listings, json_col).where(col("pos").isNotNull()).drop(json_col, "fault")
+
+
+def fragment_payloads(listings: DataFrame, json_col: str = "json") -> DataFrame:
+    """One row per HTML fragment (``html``) of each JSON answer, in any of the
+    shapes ``items[].html``, ``rendered`` and ``html``, with its place ``part`` in it,
+    and one row per answer that has none, with its ``fault``."""
+    parts = lambda d: F.filter(F.concat(
+        F.coalesce(F.transform(d["items"], lambda i: i["html"]), F.array().cast("array<string>")),
+        F.array(d["rendered"], d["html"])), lambda p: p.isNotNull())
+    there = lambda d: d["items"].isNotNull() | d["rendered"].isNotNull() | d["html"].isNotNull()
+    return (_exploded(listings, json_col, F.from_json(col(json_col), _broken_too(HTML_DOC)), parts, there, "no markup")
+            .withColumnsRenamed({"pos": "part", "_it": "html"}))
 
 
 def json_fragments(listings: DataFrame, json_col: str = "json") -> DataFrame:
-    """One row per HTML fragment of each JSON answer (column ``html``), in any of
-    the shapes ``items[].html``, ``rendered`` and ``html``."""
-    doc = F.from_json(col(json_col), HTML_DOC)
-    parts = F.concat(F.coalesce(F.transform(doc["items"], lambda i: i["html"]), F.array().cast("array<string>")),
-                     F.array(doc["rendered"], doc["html"]))
-    return listings.select(*[c for c in listings.columns if c != json_col],
-                           F.explode(F.filter(parts, lambda p: p.isNotNull())).alias("html"))
+    """One row per HTML fragment; ``fragment_payloads`` tells of answers without."""
+    return fragment_payloads(listings, json_col).where(col("part").isNotNull()).drop(json_col, "part", "fault")
 
 
 # --- early stop --------------------------------------------------------------------

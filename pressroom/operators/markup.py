@@ -1,13 +1,19 @@
 """Elements, text and attributes of HTML by selector, in column expressions.
 
-A page is split into tags and text; one ``aggregate`` over these tokens carries
-the depth of the open element and notes where matching elements begin and end,
-so nesting is balanced without a tree and without Python. Only tags of the
-element's own name count, so other unclosed tags neither nest nor recurse.
+A page is split into tags and text, and one ``aggregate`` over its tags keeps the
+stack of open elements and notes where those begin and end whose start tag some
+step of some selector of the page's rule matches (one pattern for all steps). All
+selectors of the rule are then answered from these spans, without another walk.
+
+An end tag closes its element and what was left open inside it, and is ignored if
+no such element is open. ``p``, ``li`` and the like are closed by the next one of
+their kind.
 
 A selector is a column (a rule's value) of steps separated by spaces, each
 ``tag``, ``tag.class.class``, ``[attr]`` or ``[attr=value]`` or a mix of these; a
-step searches inside what the step before it found. Comments, scripts and styles
+step searches inside what the step before it found. A step may go on with
+``:text(words)``: the element's text is just that; ``:first``: only the first match;
+``:up(n)``: not the match itself, but its n-th ancestor. Comments, scripts and styles
 are no content. Elements are outer HTML; of nested matches the outermost counts.
 A null or empty selector, or a null page, finds nothing.
 """
@@ -26,9 +32,6 @@ CONTAINERS = ("article", "blockquote", "body", "div", "dl", "html", "main", "ol"
 
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 _TOKEN = r"<[A-Za-z/!][^>]*>|[^<]+|<"
-_STATE = "struct<i:int,name:string,auto:boolean,start:int,depth:int,found:array<struct<start:int,end:int>>>"
-
-
 def _bind(value: Column, fn) -> Column:
     """``fn`` of a value that is computed once."""
     return F.transform(F.array(value), fn)[0]
@@ -50,61 +53,119 @@ def _pattern(step: Column) -> Column:
                     F.array_join(values, ""))
 
 
-_NONE = "array<struct<start:int,end:int>>"
+_SPANS = "array<struct<start:int,end:int>>"
+_STEPS = "array<struct<pattern:string,text:string,up:int,first:boolean>>"
+_OPEN = "array<struct<name:string,start:int,keep:boolean,box:boolean>>"
+_NEVER = "(?!)"
+
+
+def _col(c) -> Column:
+    return F.lit(c) if isinstance(c, str) else c
+
+
+def compiled(selector) -> Column:
+    """The steps of a selector."""
+    sel = F.trim(F.coalesce(_col(selector), F.lit("")))
+    steps = F.filter(F.split(sel, r"\s+(?![^\[]*\])(?![^(]*\))"), lambda s: s != "")
+    return F.transform(steps, lambda s: F.struct(
+        _pattern(F.regexp_replace(s, r":(?:text|up)\([^)]*\)|:first\b", "")).alias("pattern"),
+        F.when(s.contains(":text("), F.regexp_extract(s, r":text\(([^)]*)\)", 1)).alias("text"),
+        F.coalesce(F.regexp_extract(s, r":up\(([0-9]{1,4})\)", 1).try_cast("int"), F.lit(0)).alias("up"),
+        s.rlike(r":first\b").alias("first"))).cast(_STEPS)
+
+
+def _any(steps: Column) -> Column:
+    """One pattern for all of some steps."""
+    return F.when(F.size(steps) > 0, F.array_join(F.transform(steps, lambda s: s["pattern"]), "|")).otherwise(F.lit(_NEVER))
+
+
+def patterns(steps: Column) -> Column:
+    """What a walk has to note for these steps: start tags that match one, and
+    start tags whose ancestors are asked for."""
+    return F.struct(_any(steps).alias("hit"), _any(F.filter(steps, lambda s: s["up"] > 0)).alias("climb"))
 
 
-def _marked(fragment: Column, pattern: Column) -> Column:
-    """Tokens of a fragment with what the walk needs of each: the tag's name,
-    whether it closes, has no content, closes its own kind, closes what is open,
-    and matches. Text has an empty name."""
+def _marks(tokens: Column, wanted: Column) -> Column:
+    """What the walk needs of each tag: its place and name, whether it closes, has
+    no content, closes its own kind, bounds such closing, and matches."""
     name = lambda t: F.lower(F.regexp_extract(t, r"^</?([A-Za-z][A-Za-z0-9]*)", 1))
-    named = F.transform(F.regexp_extract_all(fragment, F.lit(_TOKEN), 0),
-                        lambda t: F.struct(t.alias("t"), name(t).alias("name")))
-    return F.transform(named, lambda x: F.struct(
-        x["t"].alias("t"), x["name"].alias("name"), x["t"].startswith("</").alias("close"),
+    tags = F.filter(F.transform(tokens, lambda t, i: F.struct(t.alias("t"), i.alias("i"), name(t).alias("name"))),
+                    lambda x: x["name"] != "")
+    return F.transform(tags, lambda x: F.struct(
+        x["i"].alias("i"), x["name"].alias("name"), x["t"].startswith("</").alias("close"),
         (x["name"].isin(*VOID) | x["t"].endswith("/>")).alias("void"), x["name"].isin(*SELF_CLOSING).alias("auto"),
-        x["name"].isin(*CONTAINERS).alias("box"), ((x["name"] != "") & F.rlike(x["t"], pattern)).alias("hit")))
+        x["name"].isin(*CONTAINERS).alias("box"), F.rlike(x["t"], wanted["hit"]).alias("hit"),
+        F.when(wanted["climb"] != _NEVER, F.rlike(x["t"], wanted["climb"])).otherwise(F.lit(False)).alias("climb")))
 
 
-def _spans(tokens: Column) -> Column:
-    """(start, end) of the outermost elements whose start tag matches: the
-    element is ``tokens[start:end]``. The first token is never a match."""
-    begin = F.struct(F.lit(0).alias("i"), F.lit("").alias("name"), F.lit(False).alias("auto"), F.lit(0).alias("start"),
-                     F.lit(0).alias("depth"), F.array().cast(_NONE).alias("found")).cast(_STATE)
-    span = lambda a, b: F.array(F.struct(a.alias("start"), b.alias("end")))
+def _last(stack: Column, test) -> Column:
+    """Place (from 1) of the last open element that passes, 0 if none does."""
+    at = F.array_position(F.reverse(F.transform(stack, test)), True)
+    return F.when(at > 0, F.size(stack) + 1 - at).otherwise(0).cast("int")
+
+
+def _spans(tokens: Column, wanted: Column) -> Column:
+    """(start, end) of the noted elements in order: ``tokens[start:end]``."""
+    begin = F.struct(F.array().cast(_OPEN).alias("open"), F.array().cast(_SPANS).alias("found"))
+    ended = lambda entries, end: F.transform(F.filter(entries, lambda e: e["keep"]), lambda e: F.struct(
+        e["start"].alias("start"), end(e).alias("end"))).cast(_SPANS)
 
     def walk(s: Column, x: Column) -> Column:
-        inside, own = s["depth"] > 0, x["name"] == s["name"]
-        again = inside & own & x["auto"] & ~x["close"]
-        ends = F.when(again | (inside & s["auto"] & x["close"] & x["box"] & ~own), span(s["start"], s["i"])).when(
-            inside & own & x["close"] & (s["depth"] == 1), span(s["start"], s["i"] + 1)).otherwise(F.array().cast(_NONE))
-        starts = x["hit"] & (s["i"] > 0) & (~inside | again)
-        alone = F.when(starts & x["void"], span(s["i"], s["i"] + 1)).otherwise(F.array().cast(_NONE))
-        depth = (F.when(starts, F.when(x["void"], 0).otherwise(1)).when(F.size(ends) > 0, 0)
-                 .when(inside & own & ~x["void"], s["depth"] + F.when(x["close"], -1).otherwise(1)).otherwise(s["depth"]))
-        return F.struct((s["i"] + 1).alias("i"), F.when(starts, x["name"]).otherwise(s["name"]).alias("name"),
-                        F.when(starts, x["auto"]).otherwise(s["auto"]).alias("auto"),
-                        F.when(starts, s["i"]).otherwise(s["start"]).alias("start"), depth.alias("depth"),
-                        F.concat(s["found"], ends, alone).alias("found"))
-
-    def step(s: Column, x: Column) -> Column:
-        # text only moves the position
-        moved = F.struct((s["i"] + 1).alias("i"), s["name"].alias("name"), s["auto"].alias("auto"),
-                         s["start"].alias("start"), s["depth"].alias("depth"), s["found"].alias("found"))
-        return F.when(x["name"] == "", moved.cast(_STATE)).otherwise(walk(s, x).cast(_STATE))
-
-    return F.aggregate(tokens, begin, step, lambda s: F.when(s["depth"] > 0, F.concat(
-        s["found"], span(s["start"], s["i"]))).otherwise(s["found"]))
-
-
-def _inside(fragment: Column, selector_step: Column) -> Column:
-    """Elements inside one fragment that one step matches."""
-    return _bind(_marked(fragment, _pattern(selector_step)), lambda tokens: F.transform(
-        _spans(tokens), lambda s: F.array_join(F.slice(tokens["t"], s["start"] + 1, s["end"] - s["start"]), "")))
+        stack = s["open"]
+        same = _last(stack, lambda e: e["name"] == x["name"])
+        closes = F.when(x["close"], same).when(x["auto"], F.when(same > _last(
+            stack, lambda e: e["box"] & (e["name"] != x["name"])), same).otherwise(0)).otherwise(0)
 
+        def from_(cut: Column) -> Column:
+            done = F.when(cut > 0, ended(F.slice(stack, cut, F.size(stack)), lambda e: x["i"] + F.when(
+                x["close"] & (e["start"] == stack[cut - 1]["start"]), 1).otherwise(0))).otherwise(F.array().cast(_SPANS))
+            left = F.when(cut > 0, F.slice(stack, F.lit(1), cut - 1)).otherwise(stack)
+            left = F.when(x["climb"], F.transform(left, lambda e: F.struct(
+                e["name"].alias("name"), e["start"].alias("start"), F.lit(True).alias("keep"), e["box"].alias("box"))).cast(_OPEN)).otherwise(left)
+            own = F.array(F.struct(x["name"].alias("name"), x["i"].alias("start"), x["hit"].alias("keep"), x["box"].alias("box"))).cast(_OPEN)
+            alone = F.when(~x["close"] & x["void"] & x["hit"], F.array(F.struct(
+                x["i"].alias("start"), (x["i"] + 1).alias("end"))).cast(_SPANS)).otherwise(F.array().cast(_SPANS))
+            return F.struct(F.when(x["close"] | x["void"], left).otherwise(F.concat(left, own)).alias("open"),
+                            F.concat(s["found"], done, alone).alias("found"))
 
-def _col(c) -> Column:
-    return F.lit(c) if isinstance(c, str) else c
+        return _bind(closes, from_)
+
+    return F.aggregate(_marks(tokens, wanted), begin, walk, lambda s: F.array_sort(
+        F.concat(s["found"], ended(s["open"], lambda e: F.size(tokens)))))
+
+
+def tree(fragment: Column, wanted: Column) -> Column:
+    """Tokens of a fragment and the spans that ``wanted`` (``patterns``) asks for."""
+    return _bind(F.regexp_extract_all(fragment, F.lit(_TOKEN), 0), lambda t: F.struct(
+        t.alias("tokens"), _spans(t, wanted).alias("found")))
+
+
+def whole(t: Column) -> Column:
+    return F.struct(F.lit(0).alias("start"), F.size(t["tokens"]).alias("end"))
+
+
+def outer(t: Column, span: Column, drop: Column | None = None) -> Column:
+    """Outer HTML of a span, without the spans of ``drop``."""
+    part = F.slice(t["tokens"], span["start"] + 1, span["end"] - span["start"])
+    if drop is not None:
+        part = F.filter(part, lambda _, i: ~F.exists(drop, lambda d: (d["start"] <= span["start"] + i) & (span["start"] + i < d["end"])))
+    return F.array_join(part, "")
+
+
+def find(t: Column, steps: Column, scope: Column) -> Column:
+    """Spans that the steps find inside a span."""
+    within = lambda a, b: (b["start"] < a["start"]) & (a["end"] <= b["end"])
+
+    def step(spans: Column, s: Column) -> Column:
+        hits = F.filter(t["found"], lambda f: F.exists(spans, lambda c: within(f, c)) & F.rlike(t["tokens"][f["start"]], s["pattern"])
+                        & F.when(s["text"].isNull(), True).otherwise(text(outer(t, f)) == s["text"]))
+        top = _bind(hits, lambda h: F.filter(h, lambda f: ~F.exists(h, lambda o: within(f, o))))
+        top = _bind(top, lambda h: F.when(s["first"], F.slice(h, 1, 1)).otherwise(h))
+        above = lambda f: F.try_element_at(F.filter(t["found"], lambda a: within(f, a)), -s["up"])
+        return _bind(top, lambda h: F.when(s["up"] == 0, h).otherwise(F.array_distinct(
+            F.filter(F.transform(h, above), lambda f: f.isNotNull()))))
+
+    return F.when(F.size(steps) > 0, F.aggregate(steps, F.array(scope).cast(_SPANS), step)).otherwise(F.array().cast(_SPANS))
 
 
 def page(html: Column) -> Column:
@@ -114,12 +175,9 @@ def page(html: Column) -> Column:
 
 def elements(fragment: Column, selector) -> Column:
     """Outer HTML of the elements of a fragment (``page`` or an element)."""
-    sel = F.trim(F.coalesce(_col(selector), F.lit("")))
-    steps = F.filter(F.split(sel, r"\s+(?![^\[]*\])"), lambda s: s != "")
-    none = F.array().cast("array<string>")
-    found = F.aggregate(steps, F.array(fragment), lambda frags, s: F.flatten(
-        F.transform(frags, lambda f: _inside(f, s))))
-    return F.when((sel != "") & fragment.isNotNull(), found).otherwise(none)
+    found = _bind(compiled(selector), lambda steps: _bind(tree(fragment, patterns(steps)), lambda t: F.transform(
+        find(t, steps, whole(t)), lambda f: outer(t, f))))
+    return F.coalesce(found, F.array().cast("array<string>"))
 
 
 def first(fragment: Column, selector) -> Column:
@@ -142,31 +200,21 @@ def text(element: Column) -> Column:
     return _bind(F.regexp_replace(element, r"(?s)<[A-Za-z/!][^>]*>", ""), unescape)
 
 
-def field(element: Column, rule) -> Column:
-    """A rule's value inside an element: ``selector`` gives text,
-    ``selector@attr`` the attribute; with an empty selector, of the element itself.
-    An empty rule or a missing element gives null."""
+def compiled_field(rule) -> Column:
+    """A rule ``selector`` (text) or ``selector@attr`` (attribute), compiled; with
+    an empty selector it speaks of the element itself."""
     rule = F.coalesce(_col(rule), F.lit(""))
-    sel, attr = F.trim(F.substring_index(rule, "@", 1)), F.regexp_extract(rule, "@(.*)$", 1)
-    target = F.when(sel == "", element).otherwise(first(element, sel))
-    return F.when(rule != "", _bind(target, lambda t: F.when(attr != "", attribute(t, attr)).otherwise(text(t))))
-
+    sel = F.trim(F.substring_index(rule, "@", 1))
+    return F.struct(compiled(sel).alias("steps"), F.regexp_extract(rule, "@(.*)$", 1).alias("attr"), (rule != "").alias("given"))
 
-def without(fragment: Column, selectors) -> Column:
-    """A fragment without the elements that any of the comma-separated selectors
-    (of one step each) matches."""
-    each = F.filter(F.transform(F.split(F.coalesce(_col(selectors), F.lit("")), ","), lambda s: F.trim(s)),
-                    lambda s: s != "")
 
-    def remove(frag: Column, sel: Column) -> Column:
-        return _bind(_marked(frag, _pattern(sel)), lambda tokens: _bind(_spans(tokens), lambda spans: F.array_join(
-            F.filter(tokens["t"], lambda t, i: ~F.exists(spans, lambda s: (s["start"] <= i) & (i < s["end"]))), "")))
-
-    return F.aggregate(each, fragment, remove)
-
-
-def paragraphs(fragment: Column) -> Column:
-    return F.transform(elements(fragment, "p"), text)
+def field(t: Column, span: Column, rule: Column) -> Column:
+    """A compiled rule's value inside a span. An empty rule or a missing element
+    gives null."""
+    target = F.when(F.size(rule["steps"]) == 0, span).otherwise(F.try_element_at(find(t, rule["steps"], span), F.lit(1)))
+    value = _bind(_bind(target, lambda f: F.when(f.isNotNull(), outer(t, f))),
+                  lambda e: F.when(rule["attr"] != "", attribute(e, rule["attr"])).otherwise(text(e)))
+    return F.when(rule["given"], value)
 
 
 def meta_content(html: Column, name: str) -> Column:
@@ -205,12 +253,14 @@ def unescape(c: Column) -> Column:
 def extract_cards(pages: DataFrame, rules: DataFrame, on: str, html_col: str = "html") -> DataFrame:
     """One row per listing card. ``rules(on, card, title, link, date)`` holds each
     source's selectors; a page without a rule has no cards."""
-    keep = [c for c in pages.columns if c != html_col]
-    j = pages.join(rules.select(on, *[F.col(c).alias(f"_{c}") for c in ("card", "title", "link", "date")]), on, "left")
-    cards = j.select(*keep, "_title", "_link", "_date",
-                     F.posexplode(elements(page(F.col(html_col)), F.col("_card"))).alias("pos", "_el"))
-    return cards.select(*keep, F.col("pos").cast("long").alias("pos"),
-                        *[field(F.col("_el"), F.col(f"_{c}")).alias(c) for c in ("title", "link", "date")])
+    keep, fields = [c for c in pages.columns if c != html_col], ("title", "link", "date")
+    # compiled once a rule
+    r = rules.select(on, compiled(F.col("card")).alias("_card"), *[compiled_field(F.col(c)).alias(f"_{c}") for c in fields])
+    r = r.withColumn("_wanted", patterns(F.concat("_card", *[F.col(f"_{c}.steps") for c in fields])))
+    cards = _bind(tree(page(F.col(html_col)), F.col("_wanted")), lambda t: F.transform(
+        find(t, F.col("_card"), whole(t)), lambda c: F.struct(*[field(t, c, F.col(f"_{f}")).alias(f) for f in fields])))
+    return (pages.join(r, on, "left").select(*keep, F.posexplode(cards).alias("pos", "_card"))
+            .select(*keep, F.col("pos").cast("long").alias("pos"), *[F.col(f"_card.{f}").alias(f) for f in fields]))
 
 
 #: How the text of a container is taken.
@@ -220,15 +270,28 @@ WHOLE, JOINED, LEADING = "text", "paragraphs", "first"
 def extract_container(pages: DataFrame, rules: DataFrame, on: str, html_col: str = "html",
                       out_col: str = "text") -> DataFrame:
     """Article text per page. ``rules(on, container, drop[, take])``: the first
-    match of ``container`` without the elements of ``drop``; ``take`` is its whole
-    text (by default), its paragraphs each followed by a line feed, or the first
+    match of ``container`` without the elements inside it that any of the
+    comma-separated selectors of ``drop`` finds; ``take`` is its whole text (by
+    default), its paragraphs each followed by a line feed, or the first
     paragraph. A page without a rule or a match has an empty text."""
     keep = [c for c in pages.columns if c != html_col]
     take = F.col("take") if "take" in rules.columns else F.lit(WHOLE)
-    j = pages.join(rules.select(on, F.col("container").alias("_container"), F.col("drop").alias("_drop"),
-                                take.alias("_take")), on, "left")
-    body = without(first(page(F.col(html_col)), F.col("_container")), F.col("_drop"))
-    value = _bind(body, lambda b: F.when(F.col("_take") == JOINED, F.array_join(
-        F.transform(paragraphs(b), lambda p: F.concat(p, F.lit("\n"))), "")).when(
-        F.col("_take") == LEADING, F.try_element_at(paragraphs(b), F.lit(1))).otherwise(text(b)))
-    return j.select(*keep, F.coalesce(value, F.lit("")).alias(out_col))
+    drops = F.transform(F.split(F.coalesce("drop", F.lit("")), r",(?![^(]*\))"), compiled)
+    r = rules.select(on, compiled(F.col("container")).alias("_container"), drops.alias("_drop"), compiled("p").alias("_p"),
+                     F.coalesce(take, F.lit(WHOLE)).alias("_take"))
+    r = r.withColumn("_wanted", patterns(F.concat("_container", F.flatten("_drop"), F.when(
+        F.col("_take") == WHOLE, F.array().cast(_STEPS)).otherwise(F.col("_p")))))
+
+    def taken(t: Column, body: Column) -> Column:
+        gone = F.flatten(F.transform("_drop", lambda steps: find(t, steps, body)))
+        inside = lambda f, d: (d["start"] <= f["start"]) & (f["end"] <= d["end"])
+        return _bind(gone, lambda d: F.when(F.col("_take") == WHOLE, text(outer(t, body, d))).otherwise(_bind(
+            F.transform(F.filter(find(t, F.col("_p"), body), lambda f: ~F.exists(d, lambda x: inside(f, x))),
+                        lambda f: text(outer(t, f, d))),
+            lambda ps: F.when(F.col("_take") == LEADING, F.try_element_at(ps, F.lit(1))).otherwise(
+                F.array_join(F.transform(ps, lambda p: F.concat(p, F.lit("\n"))), "")))))
+
+    value = _bind(tree(page(F.col(html_col)), F.col("_wanted")), lambda t: _bind(
+        F.try_element_at(find(t, F.col("_container"), whole(t)), F.lit(1)),
+        lambda body: F.when(body.isNotNull(), taken(t, body))))
+    return pages.join(r, on, "left").select(*keep, F.coalesce(value, F.lit("")).alias(out_col))

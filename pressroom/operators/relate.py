@@ -15,10 +15,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
-def masked_update(base: DataFrame, updates: DataFrame, key: str = "id") -> DataFrame:
-    """``base`` with each shared column replaced by ``coalesce(new, old)``."""
-    shared = [c for c in updates.columns if c != key and c in base.columns]
-    u = updates.select(key, *[F.col(c).alias(f"_new_{c}") for c in shared])
+def masked_update(base: DataFrame, updates: DataFrame, key: str = "id", order: str | None = None,
+                  unique: bool = False) -> DataFrame:
+    """``base`` with each shared column replaced by ``coalesce(new, old)``.
+
+    Several updates of one key are one: of each column the non-null value of the
+    latest row by ``order`` (a column of ``updates``), or without it the greatest
+    one; the row isn't doubled. ``unique`` says that no key has two, which spares the
+    grouping."""
+    shared = [c for c in updates.columns if c not in (key, order) and c in base.columns]
+    if unique:
+        u = updates.select(key, *[F.col(c).alias(f"_new_{c}") for c in shared])
+    else:
+        new = lambda c: F.max(c) if order is None else F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order)))
+        u = updates.groupBy(key).agg(*[new(c).alias(f"_new_{c}") for c in shared])
     joined = base.join(u, key, "left")
     return joined.select(*[
         F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in shared else F.col(c)
@@ -35,8 +45,9 @@ def upsert(base: DataFrame, changes: DataFrame, key: str = "id") -> DataFrame:
 def attach_content(listing: DataFrame, pages: DataFrame, on: str = "url", content_col: str = "content",
                    default: str = "", flag_col: str | None = None) -> DataFrame:
     """Left join of listing rows to fetched page text; missing -> default.
-    ``flag_col`` tells whether there was a page."""
-    p = pages.select(F.col(on), F.col(content_col).alias("_fetched"), F.lit(True).alias("_there"))
+    ``flag_col`` tells whether there was a page. A page that was fetched more than
+    once is one page (with its greatest text), so no listing row is doubled."""
+    p = pages.groupBy(on).agg(F.max(content_col).alias("_fetched"), F.lit(True).alias("_there"))
     out = (listing.join(p, on, "left")
            .withColumn(content_col, F.coalesce(F.col("_fetched"), F.lit(default))))
     if flag_col:

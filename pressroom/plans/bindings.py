@@ -239,3 +239,9 @@ def listings_json(spark: SparkSession, sf_dir: str, listing_df: DataFrame | None
              .agg(F.array_sort(F.collect_list(hit)).alias("hits")))
     doc = F.to_json(F.struct(F.struct(F.transform("hits", lambda s: s["h"]).alias("hit")).alias("hits")))
     return pages.select("source", "page", doc.alias("json"))
+
+
+def damaged(payloads: DataFrame, payload: str, by: Column, other: str) -> DataFrame:
+    """Payloads of which some were cut short, came empty or are something else."""
+    return payloads.withColumn(payload, F.when(by % 5 == 0, F.left(payload, F.length(payload) - 1)).when(by % 5 == 1, F.lit(other))
+                               .when(by % 5 == 2, F.lit(" ")).otherwise(F.col(payload)))

@@ -140,13 +140,13 @@ def translate_summarize_job(news, translator=None, summarizer=None, target_lang:
     tr = materialize(E.enrich(tt, "id", "content", translator, T.StringType(), "content",
                               num_partitions=max(1, budget // 25)), "translated")
     work = R.masked_update(work, tr.where(col("status") == "ok")
-                           .select("id", "content", F.lit(True).alias("is_translated")))
+                           .select("id", "content", F.lit(True).alias("is_translated")), unique=True)
     due = C.to_summarize() & (F.length("content") > 0) if skip_empty else C.to_summarize()
     req = materialize(E.enrich(work.where(due), "id", "content", summarizer,
                                T.StringType(), "rid"), "summary-requests")
     upd = req.select("id", F.coalesce(col("rid"), F.lit("")).alias("summarization_request_id"),
                      col("rid").isNotNull().alias("is_requested_for_summarization"))
-    return R.masked_update(work, upd)
+    return R.masked_update(work, upd, unique=True)
 
 
 def translate_and_summarize(spark, sf_dir, *clients, **options):
@@ -189,14 +189,15 @@ def vectorize_request_job(news, replies, embedder=None, classifier=None, target_
     vec = materialize(E.enrich(work.where(C.to_embed(target_lang)), "id", embed_col, embedder,
                                T.ArrayType(T.DoubleType()), "vectorized_content"), "vectors")
     work = R.masked_update(work, vec.select("id", "vectorized_content",
-                                            col("vectorized_content").isNotNull().alias("is_vectorized")))
+                                            col("vectorized_content").isNotNull().alias("is_vectorized")),
+                           unique=True)
     prompts = work.where(C.to_classify(skip_requested)).select(
         "id", E.classification_prompt(col("content")).alias("prompt"))
     req = materialize(E.enrich(prompts, "id", "prompt", classifier, T.StringType(),
                                "score_request_id"), "score-requests")
     return R.masked_update(work, req.select("id", "score_request_id", F.lit(False).alias("is_scored"),
                                             col("score_request_id").isNotNull()
-                                            .alias("is_requested_for_scoring")))
+                                            .alias("is_requested_for_scoring")), unique=True)
 
 
 def vectorize_and_request(spark, sf_dir, *clients, **options):

@@ -11,7 +11,7 @@ from pressroom.functions.dates import ntz
 from pressroom.operators import extract as X
 from pressroom.operators import relate as R
 from pressroom.operators import select as C
-from pressroom.operators.ingest import ingest_job
+from pressroom.operators.ingest import ingest_job, parse_payloads, payload_report
 from pressroom.plans import bindings as B
 from pressroom.plans import duck as D
 from pressroom.plans.duck import with_
@@ -231,6 +231,20 @@ def job_ingest(spark, sf_dir):
                       F.length("content").cast("long").alias("n_chars"))
 
 
+@query("broken_payloads", "A9 A10 B14 C19", with_(["listing", "authority"], f"""
+SELECT source, page, reason, CASE WHEN reason IS NULL THEN n ELSE 0 END AS n_items FROM (
+  SELECT l.source, l.page, count(*) AS n, CASE l.page % 5 WHEN 0 THEN 'malformed' WHEN 2 THEN 'empty'
+         WHEN 1 THEN CASE WHEN r.kind = 'json' THEN 'no hits' ELSE 'no channel' END END AS reason
+  FROM listing l JOIN rules r ON l.source = r.source GROUP BY l.source, l.page, r.kind)""", [("rules", RULES_SQL)]))
+def broken_payloads(spark, sf_dir):
+    """Feeds and listing pages of which some are broken: what each gave, and why
+    it gave nothing."""
+    listing = B.listing(spark, sf_dir)
+    feeds = B.damaged(B.feeds(spark, sf_dir, listing), "xml", col("page"), "<html><body>Not found</body></html>")
+    pages = B.damaged(B.listings_json(spark, sf_dir, listing), "json", col("page"), '{"error": "limit"}')
+    return payload_report(parse_payloads(feeds, pages, B.source_rules(spark, sf_dir), INGEST_DAY))
+
+
 # --- rules-driven extraction ------------------------------------------------------------
 
 

@@ -5,7 +5,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from pressroom.operators.ingest import RULES, ingest_job
+from pressroom.operators import relate as R
+from pressroom.operators.ingest import RULES, ingest_job, ingest_run, parse_payloads, payload_report
 
 DAY = dt.date(2024, 6, 6)   # a Thursday: the week starts on June 3
 
@@ -71,3 +72,85 @@ def test_every_kind_of_source(spark):
         "empty": "no items", "broken": "no items", "old": "no items in the window"}
     none, _ = ingest_job(feeds.limit(0), listings.limit(0), pages.limit(0), stored.limit(0), log.limit(0), rules, DAY)
     assert none.count() == 0
+
+
+LOG = "dag_id string, task_id string, state string, end_date timestamp_ntz"
+STORED = "id long, title string, content string, url string, lang string, source string, published_at timestamp_ntz"
+
+
+def hits_page(*days, url="/{n}", prefix="h"):
+    epoch = lambda d: int(dt.datetime(*d, tzinfo=dt.timezone.utc).timestamp())
+    return json.dumps({"hits": {"hit": [{"fields": {
+        "post_title": f"{prefix}{n}", "post_content": None, "post_url": url.format(n=f"{prefix}{n}"), "post_date_gmt": epoch(d)}}
+        for n, d in enumerate(days)]}})
+
+
+def run(spark, rules, feeds=(), listings=(), pages=(), day=dt.date(2024, 10, 4), log=()):
+    return ingest_run(spark.createDataFrame(list(feeds), "source string, xml string"),
+                      spark.createDataFrame(list(listings), "source string, page int, json string"),
+                      spark.createDataFrame(list(pages), "url string, html string"),
+                      spark.createDataFrame([], STORED), spark.createDataFrame(list(log), LOG),
+                      spark.createDataFrame(rules, RULES), day)
+
+
+def test_row_stop_on_hits_and_items(spark):
+    # an old hit between new ones: what comes after it is not read, what came before is
+    days = [(2024, 10, 3), (2024, 10, 2), (2024, 1, 1), (2024, 10, 1)]
+    item = lambda n, d: (f"<item><title>f{n}</title><link>/f{n}</link><pubDate>"
+                         f"{dt.datetime(*d):%a, %d %b %Y} 00:00:00 +0000</pubDate></item>")
+    feed = "<rss><channel>" + "".join(item(n, d) for n, d in enumerate(days)) + "</channel></rss>"
+    out = run(spark, [rule("j", "json", stop="row"), rule("r", "rss", stop="row"), rule("all", "json")],
+              feeds=[("r", feed)], listings=[("j", 0, hits_page(*days)), ("all", 0, hits_page(*days, prefix="a"))])
+    assert sorted(r.title for r in out.articles.collect()) == ["a0", "a1", "a3", "f0", "f1", "h0", "h1"]
+    assert out.quarantine.collect() == []
+
+
+def test_positions_run_on_over_pages_and_fragments(spark):
+    card = lambda t, d: CARD.format(title=t, url=f"/{t}", day=f"2024-10-{d:02}")
+    cards = dict(card="div.card", title="h2", link="a.more@href", date="time@datetime", date_rule="iso_prefix", stop="row")
+    out = run(spark, [rule("c", "html", **cards)], listings=[
+        ("c", 0, json.dumps({"items": [{"html": card("a", 3)}, {"html": card("b", 2) + card("old", 1).replace("2024-10", "2024-01")},
+                                       {"html": card("after", 3)}]})), ("c", 1, json.dumps({"html": card("later", 3)}))])
+    assert sorted(r.title for r in out.articles.collect()) == ["a", "b"]
+
+
+def test_page_fetched_twice_is_one_page(spark):
+    pages = [("/h0", "<article>first</article>"), ("/h0", "<article>second</article>"), ("/h0", None)]
+    out = run(spark, [rule("j", "json", container="article")], listings=[("j", 0, hits_page((2024, 10, 3)))], pages=pages)
+    assert [(r.id, r.content) for r in out.articles.collect()] == [(1, "second")]
+    listing = spark.createDataFrame([("u",), ("v",), (None,)], "url string")
+    fetched = spark.createDataFrame([("u", "a"), ("u", "b"), ("w", "c"), (None, "d")], "url string, content string")
+    got = R.attach_content(listing, fetched, flag_col="there").collect()
+    assert sorted((r.url or "", r.content, r.there) for r in got) == [("", "", False), ("u", "b", True), ("v", "", False)]
+
+
+def test_two_updates_of_a_key_are_one(spark):
+    base = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "id long, x string, y int")
+    updates = spark.createDataFrame([(1, "p", None, 1), (1, "o", 7, 2), (1, None, None, 3), (3, "n", 1, 1)],
+                                    "id long, x string, y int, at int")
+    assert sorted(map(tuple, R.masked_update(base, updates, order="at").collect())) == [(1, "o", 7), (2, "b", 2)]
+    assert sorted(map(tuple, R.masked_update(base, updates.drop("at")).collect())) == [(1, "p", 7), (2, "b", 2)]
+    once = updates.where("at = 2")
+    assert sorted(map(tuple, R.masked_update(base, once, unique=True).collect())) == [(1, "o", 7), (2, "b", 2)]
+
+
+def test_broken_payloads_are_reported(spark):
+    good = hits_page((2024, 10, 3))
+    feed = "<rss><channel><item><title>t</title><link>/t</link><pubDate>Thu, 03 Oct 2024 00:00:00 +0000</pubDate></item></channel></rss>"
+    cards = dict(card="div.card", title="h2", link="a.more@href", date="time@datetime", date_rule="iso_prefix")
+    html = json.dumps({"html": CARD.format(title="c", url="/c", day="2024-10-03")})
+    feeds = [("r", feed), ("cut", feed[:-3]), ("other", "<html><p>x</p></html>"), ("blank", " "), ("null", None), ("bare", "<rss><channel/></rss>")]
+    listings = [("j", 0, good), ("j", 1, good[:-2]), ("j", 2, "{}"), ("j", 3, '{"hits": {"hit": []}}'), ("j", 4, "[1]"), ("j", 5, None),
+                ("h", 0, html), ("h", 1, "<html>"), ("h", 2, '{"x": 1}'), ("h", 3, '{"items": []}')]
+    rules = [rule(s, "rss") for s, _ in feeds] + [rule("j", "json"), rule("h", "html", **cards)]
+    out = run(spark, rules, feeds=feeds, listings=listings)
+    assert {(r.source, r.page): (r.reason, r.payload) for r in out.broken.collect()} == {
+        ("cut", 0): ("malformed", feed[:-3]), ("other", 0): ("no channel", "<html><p>x</p></html>"), ("blank", 0): ("empty", " "),
+        ("null", 0): ("empty", None), ("j", 1): ("malformed", good[:-2]), ("j", 2): ("no hits", "{}"), ("j", 4): ("malformed", "[1]"),
+        ("j", 5): ("empty", None), ("h", 1): ("malformed", "<html>"), ("h", 2): ("no markup", '{"x": 1}')}
+    assert sorted(r.title for r in out.articles.collect()) == ["c", "h0", "t"]
+    assert {r.source for r in out.quarantine.collect()} == {"cut", "other", "blank", "null", "bare"}
+    told = payload_report(parse_payloads(spark.createDataFrame(feeds, "source string, xml string"), spark.createDataFrame(
+        listings, "source string, page int, json string"), spark.createDataFrame(rules, RULES), DAY)).collect()
+    assert {(r.source, r.page): r.n_items for r in told if r.n_items} == {("r", 0): 1, ("j", 0): 1, ("h", 0): 1}
+    assert len(told) >= len(feeds) + len(listings) - 1

@@ -66,6 +66,39 @@ def test_container_without_subtrees(spark):
                    "joined": "one.\ntwo & more\nthree\n", "lead": "one.", "gone": "", "other": ""}
 
 
+TECH = """<body><div class="entry-content"><p>Lead &amp; more.</p>
+<section><div><h2>Support TechNode</h2></div><p>Give</p></section>
+<p>Body<br>text</p>
+
+<div class="x jp-relatedposts"><p>Related</p></div><div><h2>Support TechNode now</h2></div><p>End</p></div><footer>f</footer></body>"""
+
+
+def test_boilerplate_by_ancestor_and_text(spark):
+    pages = spark.createDataFrame([("tech", TECH), ("none", TECH), ("one", "<article><i>x</i><b><i>x</i></b><i>y</i></article>"),
+                                   ("high", "<article><p><i>x</i>z</article>")], "source string, html string")
+    rules = spark.createDataFrame([("tech", "div.entry-content", "h2:text(Support TechNode):first:up(2), .jp-relatedposts"),
+                                   ("one", "article", "i:text(x):first"), ("high", "article", "i:up(9), i:text(y, z)")],
+                                  "source string, container string, drop string")
+    got = {r["source"]: re.sub(r"\n+", "\n", r["text"]) for r in M.extract_container(pages, rules, "source").collect()}
+    assert got == {"tech": "Lead & more.\nBodytext\nSupport TechNode nowEnd", "none": "", "one": "xy", "high": "xz"}
+
+
+def test_open_elements_end_with_what_holds_them(spark):
+    ends = "<b><div class=t>x</b>y</div><ul><li>a<ul><li>in</li></ul>b<li>c</ul><td>d<td>e</nothing>"
+    assert one(spark, ends, lambda p: M.elements(p, "div.t")) == ["<div class=t>x"]
+    assert one(spark, ends, lambda p: M.elements(p, "li")) == ["<li>a<ul><li>in</li></ul>b", "<li>c"]
+    assert one(spark, ends, lambda p: M.elements(p, "li:text(in):up(2)")) == ["<li>a<ul><li>in</li></ul>b"]
+    assert one(spark, ends, lambda p: M.elements(p, "td")) == ["<td>d", "<td>e</nothing>"]
+
+
+def test_a_rule_takes_one_walk(spark):
+    pages = spark.createDataFrame([("x", LISTING)], "layout string, html string")
+    rules = spark.createDataFrame([("x", "div.card.vertical.light", "div.font-bold", "a@href", "time@datetime")],
+                                  "layout string, card string, title string, link string, date string")
+    plan = M.extract_cards(pages, rules, "layout")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(concat(<page>") == 1
+
+
 def test_entities_match_the_standard_library(spark):
     texts = ["&mdash;&#8217;&laquo;x&raquo;", "&amp;lt;", "&nope; & &; &#x1F600;&#128512;", "&eacute;&Eacute;&hellip;",
              "a&b;c", "&#xD800;&#1114112;", "&NotEqualTilde;", "plain", "&quot;&#39;&nbsp;&copy;"]
