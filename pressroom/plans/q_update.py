@@ -116,6 +116,26 @@ def dedupe_exact(spark, sf_dir):
     return EV.dedupe_exact(d, "doc_id", "text").select("doc_id", "n_copies")
 
 
+def _article_vectors(spark, sf_dir):
+    """Vectors of articles; every third article comes again with nearly its vector."""
+    v = read_table(spark, sf_dir, "embeddings").select(col("vec_id").alias("id"), col("embedding").cast("array<double>").alias("vec"))
+    again = v.where(col("id") % 3 == 0).select((col("id") * -1 - 1).alias("id"), F.transform(
+        "vec", lambda x, i: x * (1 + (i % 7) * 0.01)).alias("vec"))
+    return v.unionByName(again)
+
+
+@query("dedupe_near", "H4 I9", """
+WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS vec FROM embeddings
+           UNION ALL SELECT -vec_id - 1, list_transform(embedding::DOUBLE[], lambda x, i: x * (1 + ((i - 1) % 7) * 0.01))
+           FROM embeddings WHERE vec_id % 3 = 0)
+SELECT id FROM v a WHERE NOT EXISTS (
+  SELECT 1 FROM v b WHERE b.id < a.id AND list_cosine_similarity(a.vec, b.vec) >= 0.95)""")
+def dedupe_near(spark, sf_dir):
+    from pressroom.operators.similar import dedupe_near as near
+
+    return near(_article_vectors(spark, sf_dir), "id", "vec").select("id")
+
+
 _OLD = ["id", "title", "content", "summary", "published_at", "source", "url", "lang",
         "is_vectorized", "is_translated", "is_public"]
 
