@@ -18,6 +18,7 @@ from pressroom.plans import bindings as B
 from pressroom.plans.duck import with_
 from pressroom.plans.registry import query
 from pressroom.schemas import NEWS
+from pressroom.sources.staging import staging_path
 
 col = F.col
 WIN = "TIMESTAMP '2024-06-20 00:00:00' AND TIMESTAMP '2024-08-31 23:59:59'"
@@ -72,6 +73,50 @@ def text_search(spark, sf_dir):
     return C.text_search(B.news(spark, sf_dir), "The AND").select("id", "title", "source")
 
 
+@query("text_search_index", "C17 (trigram index)", with_(["news"], """
+SELECT id, title, source FROM news
+WHERE (instr(lower(title), 'token') > 0 OR instr(lower(content), 'token') > 0 OR instr(lower(source), 'token') > 0)
+  AND (instr(lower(title), 'src1') > 0 OR instr(lower(content), 'src1') > 0 OR instr(lower(source), 'src1') > 0)"""))
+def text_search_index(spark, sf_dir):
+    """An index of all articles, and a search by it."""
+    from pressroom.operators.search import search_index, write_index
+
+    fields = ("title", "content", "source")
+    root = write_index(B.news(spark, sf_dir).select("id", *fields), staging_path(spark, "search"), "id", fields, buckets=16)
+    return search_index(spark, root, "id", "TOKEN src1", fields, buckets=16).select("id", "title", "source")
+
+
+@query("layout_lookup", "C15 C16 (Z-ordered layout, Bloom filter)", with_(["news"], """
+SELECT 'facet' AS lookup, id, title, source, published_at FROM news
+WHERE source = 'src3' AND published_at >= TIMESTAMP '2024-07-01' AND published_at < TIMESTAMP '2024-08-01'
+UNION ALL SELECT 'id', id, title, source, published_at FROM news WHERE id = 42"""))
+def layout_lookup(spark, sf_dir):
+    """Articles stored along a Z-curve through source and date, read by facet and by id."""
+    from pressroom.sources.layout import time_between, write_zordered
+
+    columns = ["id", "title", "source", "published_at"]
+    path = write_zordered(B.news(spark, sf_dir).select(*columns), staging_path(spark, "zordered"), ["source", "published_at"],
+                          files=8, bloom=["id"])
+    stored = spark.read.parquet(path)
+    july = time_between("published_at", dt.datetime(2024, 7, 1), dt.datetime(2024, 7, 31, 23, 59, 59, 999999))
+    return (stored.where((col("source") == "src3") & july).select(F.lit("facet").alias("lookup"), *columns)
+            .unionByName(stored.where(col("id") == 42).select(F.lit("id").alias("lookup"), *columns)))
+
+
+@query("feed_page", "G5 (one page)", with_(["news"], """
+SELECT id, title, published_at, pos, page FROM (
+  SELECT *, CAST(floor(pos / 20) AS BIGINT) AS page FROM (
+    SELECT id, title, published_at, row_number() OVER (ORDER BY published_at DESC, id DESC) - 1 AS pos FROM news WHERE is_public))
+WHERE page = 3"""))
+def feed_page(spark, sf_dir):
+    """The public feed stored by pages, and one page of it."""
+    from pressroom.sources import layout as L
+
+    n = B.news(spark, sf_dir).where(col("is_public")).select("id", "title", "published_at")
+    root = L.write_feed(n, staging_path(spark, "feed"), [col("published_at").desc(), col("id").desc()], B.PAGE_SIZE, pages_per_file=2)
+    return L.feed_page(spark, root, n.schema, 3, pages_per_file=2)
+
+
 @query("date_window", "C3", with_(["news"], f"""
 SELECT id, source, published_at FROM news WHERE published_at BETWEEN {WIN}"""))
 def date_window(spark, sf_dir):

@@ -53,6 +53,20 @@ def publish_upsert(spark, sf_dir):
     return R.upsert(base, changes, "id")
 
 
+@query("publish_buckets", "D6j A6 K4 (changed buckets only)", with_(["news", "replies", "authority"], f"""
+SELECT id, is_scored, score FROM ({SCORE_SELECT}) s
+UNION ALL
+SELECT id, is_scored, score FROM news WHERE id NOT IN (SELECT id FROM work)""", score_ctes()))
+def publish_buckets(spark, sf_dir):
+    """The score job's rows merged into the bucketed article table."""
+    from pressroom.sources import layout as L
+
+    columns = ["id", "is_scored", "score"]
+    root = L.write_buckets(B.news(spark, sf_dir).select(*columns), ST.staging_path(spark, "articles"), buckets=16)
+    L.merge_buckets(spark, root, scored(spark, sf_dir).select(*columns), buckets=16)
+    return L.read_buckets(spark, root).select(*columns)
+
+
 @query("append_new_ids", "A5 H5 F2 D1", with_(["news"], """
 SELECT id, url, source FROM news WHERE published_at < TIMESTAMP '2024-06-20'
 UNION ALL
