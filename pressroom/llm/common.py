@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pressroom.sources.staging import materialize
 
-__all__ = ["ascii_lower", "materialize", "partitions", "read", "words"]
+__all__ = ["ascii_lower", "free_name", "materialize", "partitions", "read", "words"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Characters between words: ASCII but for digits and letters (after lower-casing).
@@ -17,6 +17,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have, for a column that lives within an
+    operator."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased, every other character untouched."""
     return F.translate(c, UPPER, LOWER)

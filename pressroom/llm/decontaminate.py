@@ -31,7 +31,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from pressroom.llm.common import GAP, LOWER, UPPER, materialize, read, words
+from pressroom.llm.common import GAP, LOWER, UPPER, free_name, materialize, read, words
 
 WINDOW = 10
 SHINGLE = 5
@@ -139,8 +139,9 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     **options) -> DataFrame:
     """The rows of ``docs`` in which no window of an item occurs."""
-    hit = find_items(docs, items, id_col, text_col, **options).select(F.col("key").alias("__doc_key")).distinct()
-    return docs.withColumn("__doc_key", _key(id_col, text_col)).join(hit, "__doc_key", "left_anti").select(docs.columns)
+    name = free_name(docs, "document")
+    hit = find_items(docs, items, id_col, text_col, **options).select(F.col("key").alias(name)).distinct()
+    return docs.withColumn(name, _key(id_col, text_col)).join(hit, name, "left_anti").select(docs.columns)
 
 
 def op2_decontaminate(spark, sf_dir):

@@ -37,7 +37,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from pressroom.llm.common import LOWER, UPPER, materialize, partitions, read
+from pressroom.llm.common import LOWER, UPPER, free_name, materialize, partitions, read
 from pressroom.llm.graph import components
 
 SHINGLE = 5
@@ -356,7 +356,10 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``copy_id`` is the smallest id with the same shingles, ``n_links`` the number
     of other classes of equal shingle sets that it links to, ``class_id`` the
     smallest id of the group that links connect, ``text_key`` the text's md5,
-    ``shingled`` whether the text has words."""
+    ``shingled`` whether the text has words. Candidates are found for similarities
+    from ``THRESHOLD`` up, so a lower ``threshold`` is an error."""
+    if threshold < THRESHOLD:
+        raise ValueError(f"candidates reach down to a similarity of {THRESHOLD}")
     signed = materialize(signatures(docs, id_col, text_col), "signatures")
     classes = materialize(signed.groupBy("set_key").agg(
         F.min("id").alias("cls"), F.min("hashes").alias("hashes")), "classes")
@@ -407,12 +410,13 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     smallest id stays (rows equal in id and text count as one). Rows without words
     or without an id stay."""
     found = jaccard_groups(docs, id_col, text_col, **options)
+    name = free_name(docs, "text_key")
     best = found.where("shingled").groupBy("class_id").agg(F.min(F.struct(id_col, "text_key")).alias("row"))
-    keys = best.select(f"row.{id_col}", F.col("row.text_key").alias("__text_key")).unionByName(
-        found.where("NOT shingled").select(id_col, F.col("text_key").alias("__text_key")).distinct())
+    keys = best.select(f"row.{id_col}", F.col("row.text_key").alias(name)).unionByName(
+        found.where("NOT shingled").select(id_col, F.col("text_key").alias(name)).distinct())
     key = F.md5(F.coalesce(F.col(text_col), F.lit("")))
-    named = docs.where(F.col(id_col).isNotNull()).withColumn("__text_key", key).join(keys, [id_col, "__text_key"], "left_semi")
-    return named.dropDuplicates([id_col, "__text_key"]).select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+    named = docs.where(F.col(id_col).isNotNull()).withColumn(name, key).join(keys, [id_col, name], "left_semi")
+    return named.dropDuplicates([id_col, name]).select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
 
 
 def op8_jaccard_join(spark, sf_dir):

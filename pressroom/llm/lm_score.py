@@ -102,6 +102,7 @@ class Losses:
     and p(c | b) for the others."""
 
     def __init__(self, contexts: np.ndarray, tables: list[np.ndarray], lower: list[np.ndarray]):
+        self.contexts = contexts
         self.row = np.full(BYTES * BYTES, -1, dtype=np.int32)
         self.row[contexts] = np.arange(len(contexts))
         self.tables, self.lower = tables, lower
@@ -146,14 +147,16 @@ def score_documents(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id",
     ``targets(id_col)`` names the target documents."""
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
     chosen = targets.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct().withColumn("target", F.lit(True))
-    rows = docs.select(F.col(id_col).alias("id"), text)
+    rows, kind = docs.select(F.col(id_col).alias("id"), text), docs.schema[id_col].dataType
     # always a shuffle join: texts take the same way, and the same disk, at every size
     counted = materialize(count_grams(rows.join(chosen.hint("merge"), "id", "left").select(
         "text", F.coalesce("target", F.lit(False)).alias("target"))), "grams")
-    losses = docs.sparkSession.sparkContext.broadcast(fit_losses(counted))
+    fitted = fit_losses(counted)
+    # plain arrays: a broadcast object would ask for this package on the workers
+    losses = docs.sparkSession.sparkContext.broadcast((fitted.contexts, fitted.tables, fitted.lower))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = losses.value
+        table = Losses(*losses.value)
         for batch in batches:
             texts, ids = [bytes(t) for t in batch["text"]], batch["id"]
             for a, b in _slices(texts):
@@ -162,9 +165,10 @@ def score_documents(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id",
                 yield pd.DataFrame({"id": ids.iloc[a:b], "n_tokens": n, "target_loss": sums[1],
                                     "background_loss": sums[0], "score": sums[1] - sums[0]})
 
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(score, f"id {kind}, n_tokens long, target_loss double, background_loss double, score double") \
-        .withColumnRenamed("id", id_col)
+    # ids pass through Python as strings: pandas would make numbers beside a null inexact
+    named = rows.select(F.col("id").cast("string").alias("id"), "text")
+    return named.mapInPandas(score, "id string, n_tokens long, target_loss double, background_loss double, score double").select(
+        F.col("id").cast(kind).alias(id_col), "n_tokens", "target_loss", "background_loss", "score")
 
 
 def op4_lm_score(spark, sf_dir):

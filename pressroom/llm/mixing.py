@@ -31,7 +31,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pressroom.llm.common import materialize, partitions
+from pressroom.llm.common import free_name, materialize, partitions
 
 REST = ""
 #: Production weights: relative shares of the mixed corpus.
@@ -77,17 +77,18 @@ def uniform(seed: int, salt: str, *keys: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def with_document(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with ``__document``: the id, or the id and the text's md5 if the
-    id is null or stands at several texts."""
+def with_document(docs: DataFrame, id_col: str, text_col: str, out: str) -> DataFrame:
+    """``docs`` with ``out``: the id, or the id and the text's md5 if the id is null
+    or stands at several texts."""
+    mark = free_name(docs, "several")
     key = F.md5(F.coalesce(F.col(text_col), F.lit("")))
     several = materialize(docs.where(F.col(id_col).isNotNull()).select(id_col, key.alias("k")).groupBy(id_col).agg(
         F.min("k").alias("low"), F.max("k").alias("high")).where("low < high").select(
-            id_col, F.lit(True).alias("__several")), "several-texts")
-    own = F.col(id_col).isNotNull() & F.col("__several").isNull()
+            id_col, F.lit(True).alias(mark)), "several-texts")
+    own = F.col(id_col).isNotNull() & F.col(mark).isNull()
     name = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     return docs.join(several, id_col, "left").withColumn(
-        "__document", F.when(own, name).otherwise(F.concat_ws("|", name, key))).drop("__several")
+        out, F.when(own, name).otherwise(F.concat_ws("|", name, key))).drop(mark)
 
 
 def mix_sources(docs: DataFrame, weights: Mapping[str, float] = TARGET_WEIGHTS, budget: float | None = None,
@@ -97,7 +98,8 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] = TARGET_WEIGHTS,
     as there are by default), in globally shuffled order, with ``copy`` (from 1)
     and ``shuffle_key``."""
     rates = source_rates(docs, weights, budget, source_col)
-    document, src = F.col("__document"), F.col(source_col)
+    name, begin = free_name(docs, "document"), free_name(docs, "begin")
+    document, src = F.col(name), F.col(source_col)
     u = uniform(seed, "count", document)
 
     # copies are numbered by int; only rates near 2^31 need long
@@ -119,17 +121,17 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] = TARGET_WEIGHTS,
         if s != REST:
             n = F.when(src == s, count(rate)).otherwise(n)
     kept = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
-    named = with_document(docs, id_col, text_col)
-    counted, copy = named.select(*kept, "__document", n.alias("copy")).where(F.col("copy") > 0), F.col("copy")
+    named = with_document(docs, id_col, text_col, name)
+    counted, copy = named.select(*kept, name, n.alias("copy")).where(F.col("copy") > 0), F.col("copy")
     copies = counted.where(copy <= CHUNK).withColumn("copy", F.explode(F.sequence(F.lit(1).cast(number), copy)))
     if max(rates.values()) > MAX_RATE:
-        begin = F.explode(F.sequence(F.lit(1).cast(number), copy, F.lit(CHUNK).cast(number)))
-        chunks = counted.where(copy > CHUNK).withColumn("__begin", begin).repartition(partitions(docs.sparkSession))
+        starts = F.explode(F.sequence(F.lit(1).cast(number), copy, F.lit(CHUNK).cast(number)))
+        chunks = counted.where(copy > CHUNK).withColumn(begin, starts).repartition(partitions(docs.sparkSession))
         copies = copies.unionByName(chunks.withColumn("copy", F.explode(F.sequence(
-            "__begin", F.least(copy, F.col("__begin") + F.lit(CHUNK - 1))))).drop("__begin"))
+            begin, F.least(copy, F.col(begin) + F.lit(CHUNK - 1))))).drop(begin))
     return (copies
             .withColumn("shuffle_key", uniform(seed, "order", document, F.col("copy")))
-            .drop("__document").orderBy("shuffle_key", id_col, "copy"))
+            .drop(name).orderBy("shuffle_key", id_col, "copy"))
 
 
 def op6_mix_sources(spark, sf_dir):

@@ -84,9 +84,10 @@ def document_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pd.DataFrame({"id": batch["id"], "stats": [
                 np.array(stats_of(t or "", table), dtype=np.float64) for t in batch["text"]]})
 
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(stats, f"id {kind}, stats array<double>")
+    # ids pass through Python as strings: pandas would make numbers beside a null inexact
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return rows.mapInPandas(stats, "id string, stats array<double>").select(
+        F.col("id").cast(docs.schema[id_col].dataType).alias("id"), "stats")
 
 
 def fold(id_col: Column) -> Column:
@@ -216,7 +217,8 @@ def score_stats(stats: DataFrame, model: Model) -> DataFrame:
             x = np.stack(batch["stats"].to_numpy()) if len(batch) else np.zeros((0, len(model.mean)))
             yield pd.DataFrame({"id": batch["id"], "score": np.clip(model.score(x), 0, 1)})
 
-    return stats.mapInPandas(score, f"id {stats.schema['id'].dataType.simpleString()}, score double")
+    return stats.select(F.col("id").cast("string").alias("id"), "stats").mapInPandas(score, "id string, score double").select(
+        F.col("id").cast(stats.schema["id"].dataType).alias("id"), "score")
 
 
 def score_column(model: Model, text: Column) -> Column:

@@ -121,7 +121,7 @@ def _chunks(batch: pd.DataFrame) -> Iterator[tuple[list, list[str]]]:
     """Runs of a batch's rows of about CHUNK_CHARS characters."""
     ids, texts, size = [], [], 0
     for i, t in zip(batch["id"].tolist(), batch["text"]):
-        ids.append(None if pd.isna(i) else int(i))
+        ids.append(None if i is None else int(i))
         texts.append(t)
         size += len(t)
         if size >= CHUNK_CHARS:
@@ -167,7 +167,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, id_co
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     (rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(shards or partitions(spark), "id", "tie")
-     .sortWithinPartitions("id", "tie", "text").select("id", "text")
+     .sortWithinPartitions("id", "tie", "text")
+     # as strings: pandas would make numbers beside a null inexact
+     .select(F.col("id").cast("string").alias("id"), "text")
      .mapInPandas(encode, "shard int, block int, n_docs long, n_ids long, payload binary")
      .write.mode("overwrite").parquet(path))
     return path

@@ -8,7 +8,8 @@ def docs_of(spark):
     """Documents of (id, text) rows, with more columns of clashing names."""
     def make(rows):
         more = ["lang", "source", "n_chars", "key", "words", "hash", "pos", "cls", "group", "size", "target", "stats",
-                "score", "copy", "shuffle_key", "item", "chunk", "id", "label"]
+                "score", "copy", "shuffle_key", "item", "chunk", "id", "label", "known", "several", "document", "begin", "text_key",
+                "__several", "__document", "__begin", "__text_key", "__doc_key", "pairs", "codes", "blob", "rules"]
         return spark.createDataFrame(
             [(i, t, "en", "src0" if k % 3 else None, len(t or ""), *[k] * (len(more) - 3)) for k, (i, t) in enumerate(rows)],
             "doc_id long, text string, lang string, source string, n_chars long, "

@@ -87,6 +87,93 @@ def test_quality_odd_rows(spark, docs_of, odd_rows):
     assert quality.classify_quality(docs.limit(0), labels).count() == 0
 
 
+def test_quality_equals_a_plain_fit(spark, docs_of):
+    rng = random.Random(21)
+    good, bad = ["the", "quick", "river", "stone", "light"], ["buy!!", "$$$", "1234", "click", "x"]
+    rows = [(BIG + k, " ".join(rng.choice(good if rng.random() < (0.9 if k % 2 else 0.2) else bad) for _ in range(rng.randint(3, 60))))
+            for k in range(240)] + [(None, "no id"), (7, ""), (8, None), (9, "same"), (9, "same")]
+    labels = spark.createDataFrame([(i, k % 2) for k, (i, _) in enumerate(rows[:240])] + [(7, 0), (9, 1)], "doc_id long, quality int")
+    got = quality.classify_quality(docs_of(rows), labels).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
+    label = {r.doc_id: r.quality for r in labels.collect()}
+    fold = lambda i: zlib.crc32(str(i).encode()) % 4
+    stats = np.array([quality.stats_of(t or "", quality._char_table()) for _, t in rows])
+    known = [k for k, (i, _) in enumerate(rows) if i in label and fold(i) != 2]
+    part, rest = ([k for k in known if (fold(rows[k][0]) == 3) == last] for last in (False, True))
+    y = np.array([label.get(i, 0) for i, _ in rows], float)
+    model = quality.Model(stats[part].mean(0), stats[part].std(0), quality.FEATURES, quality.SEED)
+    z = np.clip((stats - model.mean) / model.std, -8, 8) @ model.omega + model.phase
+    z = np.hstack([np.cos(z) * np.sqrt(2 / quality.FEATURES), np.ones((len(z), 1))])
+    a = z[part]
+    width = a.shape[1]
+    raw = z @ np.linalg.solve(a.T @ a + quality.RIDGE * len(part) * np.eye(width) / width, a.T @ y[part])
+    # isotonic regression of the binned scores by its min-max formula
+    at = np.clip(((raw[rest] - quality.LOW) / (quality.HIGH - quality.LOW) * quality.BINS).astype(int), 0, quality.BINS - 1)
+    n, k = np.bincount(at, minlength=quality.BINS), np.bincount(at, y[rest], minlength=quality.BINS)
+    x = quality.LOW + (np.arange(quality.BINS) + 0.5) * (quality.HIGH - quality.LOW) / quality.BINS
+    full = np.flatnonzero(n)
+    fit = [max(min(k[full[p:q + 1]].sum() / n[full[p:q + 1]].sum() for q in range(i, len(full))) for p in range(i + 1))
+           for i in range(len(full))]
+    levels = sorted(set(np.round(fit, 12)))
+    block = [full[[round(f, 12) == v for f in fit]] for v in levels]
+    xs = [np.average(x[b], weights=n[b]) for b in block]
+    want = {i: s for (i, _), s in zip(rows, np.clip(np.interp(raw, xs, levels), 0, 1))}
+    for r in got:
+        assert r.score == pytest.approx(want[r.doc_id], abs=1e-6) and r.predicted == int(r.score >= quality.THRESHOLD)
+        assert r.held_out == (r.doc_id is not None and fold(r.doc_id) == 2)
+    assert len({round(s, 6) for s in want.values()}) > 10
+
+
+# ids that only whole numbers hold, beside a null
+BIG = 2**53 + 1
+IDS = [BIG, BIG + 2, None, BIG + 4, 0, -5, None]
+
+
+def test_ids_beside_nulls_stay_exact(spark, docs_of, tmp_path):
+    shared = "a passage of more than fifty bytes that several documents have in common"
+    docs = docs_of([(i, f"{shared} {k}") for k, i in enumerate(IDS)]).coalesce(1)
+    labels = spark.createDataFrame([(BIG, 1), (BIG + 2, 0)], "doc_id long, quality int")
+    want = Counter(IDS)
+    ids = lambda frame, c="doc_id": Counter(r[c] for r in frame.collect())
+    assert ids(quality.classify_quality(docs, labels)) == want
+    assert ids(lm_score.score_documents(docs, labels)) == want
+    assert ids(tf.read_tokens(spark, tf.write_tokens(docs, str(tmp_path / "t")))) == want
+    stripped = sd.remove_repeats(docs)
+    assert ids(stripped) == want
+    # the smallest id keeps the passage; documents without an id keep theirs
+    assert sorted(str(r.doc_id) for r in stripped.collect() if not r.removed) == ["-5", "None", "None"]
+
+
+def test_caller_columns_stay_as_they_are(spark, docs_of):
+    from pressroom.llm import mixing
+
+    rows = [(k, f"one two three four five six seven eight nine ten {k}") for k in range(20)] + [(None, "x"), (3, "another")]
+    docs, items = docs_of(rows), spark.createDataFrame([("i", "never seen words of an item that is not here at all")], "item_id string, text string")
+    clash = ["several", "document", "begin", "text_key", "__several", "__document", "__begin", "__text_key", "__doc_key"]
+    own = {r.key: [r[c] for c in clash] for r in docs.collect()}
+    for out in (mixing.mix_sources(docs, budget=60), decontaminate.clean_documents(docs, items), jj.one_of_each_group(docs)):
+        found = out.collect()
+        assert found and all([r[c] for c in clash] == own[r.key] for r in found)
+
+
+def test_threshold_below_the_candidates_is_an_error(spark, docs_of):
+    with pytest.raises(ValueError):
+        jj.jaccard_groups(docs_of([(1, "a b c d e f")]), threshold=0.4)
+
+
+def test_model_broadcast_needs_no_package():
+    import pickle
+    import pickletools
+
+    import pressroom.llm.lm_score as lm
+
+    fitted = lm.Losses(np.array([1, 2]), [np.zeros((2, 256), np.float32)] * 2, [np.zeros((256, 256), np.float32)] * 2)
+    sent = pickle.dumps((fitted.contexts, fitted.tables, fitted.lower))
+    assert not any("pressroom" in str(arg) for _, arg, _ in pickletools.genops(sent))
+    again = lm.Losses(*pickle.loads(sent))
+    assert (again.row == fitted.row).all()
+
+
 def test_isotonic():
     x, y = quality.isotonic(np.array([2, 2, 0, 2, 2]), np.array([1, 0, 0, 1, 2]), np.arange(5.0))
     assert list(y) == [0.25, 0.5, 1.0] and list(x) == [0.5, 3.0, 4.0]
