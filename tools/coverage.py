@@ -27,7 +27,14 @@ NOTES = {
     "A13": "`functions/themes` (fixed list) and `sources/lists.read_keyword_list` / `keyword_string`",
     "B10": "`operators/extract.pager_size` (in `page_meta`)",
     "B12": "rules table of `operators/ingest.RULES`; `plans/bindings.source_rules`",
-    "C19": "quarantine of `operators/ingest.ingest_job` (sources without rows)",
+    "C19": "`operators/ingest.ingest_run`: quarantine of sources without rows, and of broken payloads",
+    "B8": "`operators/markup`: drop lists with steps by class, attribute, text and ancestor",
+    "C15": "`sources/layout.write_zordered` (Bloom filters)",
+    "C17": "`operators/select.text_search` (scan), `operators/search` (trigram index)",
+    "G5": "`sources/layout.write_feed` / `feed_page`",
+    "H4": "`operators/evolve.dedupe_exact`, `operators/similar.dedupe_near`",
+    "L1": "`streaming/incremental`: `upsert_ingest`, `crawl_ingest`",
+    "L2": "`streaming/incremental.dedupe_ingest` (keyed state)",
     "A10": "`operators/extract.json_hits` / `json_fragments` (items[].html, rendered, html)",
     "B5": "`operators/markup.extract_container` (container, drop list, way of taking the text)",
     "B9": "`operators/markup.meta_content`",
@@ -48,7 +55,7 @@ NOTES = {
     "K2": "`plans/q_enrich.translate_summarize_job(news, translator, summarizer, ...)`",
     "K3": "`plans/q_enrich.vectorize_request_job(news, replies, embedder, classifier, ...)`",
     "K4": "`operators/score.score_news(work, replies, authority, as_of)`",
-    "D6j": "`operators/relate.upsert`; bucketed form `sources/staging.save_bucketed` / `publish_version`",
+    "D6j": "`operators/relate.upsert`; bucketed forms `sources/staging.publish_version`, `sources/layout.merge_buckets`",
 }
 
 

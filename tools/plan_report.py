@@ -2,8 +2,7 @@
 
 Two plans per query: as run here (AQE on, broadcast thresholds at their
 defaults, so small sides become broadcasts) and the at-scale shape (automatic
-broadcasts off: only the size-checked explicit broadcasts remain, as when the
-data is far larger than the thresholds).
+broadcasts off, as when the data is far larger than the thresholds).
 
 usage: python tools/plan_report.py [--sf DIR] [--out PLANS.md]
 """
@@ -61,8 +60,7 @@ def main() -> None:
         f.write(f"Generated by `tools/plan_report.py` on `{args.sf}` (Spark {spark.version}, AQE on). "
                 "Counts are operators in the final adaptive plan of the query (the eager steps a "
                 "fetches, are separate jobs and not shown). *At scale* turns automatic broadcasts "
-                "off, leaving only the explicit size-checked ones, which is how the plans look "
-                "when the inputs are far larger than the thresholds.\n\n")
+                "off, which is how the plans look when the inputs are far larger than the thresholds.\n\n")
         cols = list(PATTERNS)
         for mode in ("as run", "at scale"):
             f.write(f"## {mode}\n\n| query | " + " | ".join(cols) + " | pushed filters |\n")
