@@ -58,8 +58,8 @@ def main() -> None:
     with open(args.out, "w") as f:
         f.write("# Physical plans of the headline queries\n\n")
         f.write(f"Generated by `tools/plan_report.py` on `{args.sf}` (Spark {spark.version}, AQE on). "
-                "Counts are operators in the final adaptive plan of the query (the eager steps a "
-                "fetches, are separate jobs and not shown). *At scale* turns automatic broadcasts "
+                "Counts are operators in the final adaptive plan of the query (the steps a "
+                "query runs while it is built, such as staging writes, are separate jobs and not shown). *At scale* turns automatic broadcasts "
                 "off, which is how the plans look when the inputs are far larger than the thresholds.\n\n")
         cols = list(PATTERNS)
         for mode in ("as run", "at scale"):
