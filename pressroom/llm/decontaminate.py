@@ -5,20 +5,20 @@ its runs of ``window`` words; an item of fewer words is one window. A document
 word inside any exact occurrence of a window is a hit.
 
 1. A window is the set of its word shingles (``shingle`` words; a shorter window
-   is one shingle). Every occurrence of an item shingle in a document is found by
-   an equi-join on its hash, checked on the words themselves.
-2. These occurrences give each shingle's frequency over all documents. A window
-   holding a shingle that never occurs can't occur; of the others only the rarest
-   shingle is looked up: containment of the whole window needs that one, so a
-   prefix of one token is enough.
-3. A looked-up occurrence fixes the alignment of item and document. The length
-   bound asks that the window lies inside the document, the positional bound that
-   all its shingles stand at this alignment.
-4. Windows whose shingles all do are exact occurrences, as consecutive shingles
-   overlap in all but one word.
+   is one shingle). A first pass over the documents counts, as sums of task-side
+   counts, how often each item shingle's hash occurs.
+2. Shingles are ordered by this frequency. A window holding one that never occurs
+   can't occur; of the others only the rarest shingle is joined with the documents'
+   shingles: containment of the whole window needs that one, so a prefix of one
+   token is enough, and frequent shingles are joined only where they are a
+   window's rarest.
+3. A joined occurrence fixes where in the document the window would begin. The
+   length bound asks that the document has room for it there, before and behind.
+4. The document's words at that place are compared with the window's.
 
 Only DataFrame functions run. Item tables are broadcast by Catalyst below the
-session's threshold and shuffled beyond it. Documents are keyed by a digest of
+session's threshold and shuffled beyond it. Rows of a common shingle are no pairs of
+documents and items until the prefix has chosen them, and each is one comparison. Documents are keyed by a digest of
 id and text, so neither a repeated id nor a null id mixes rows.
 
 Null and word-less texts have no words and no hits; word-less items and items
@@ -29,6 +29,8 @@ documents keep a row each; extra columns are ignored; empty tables give no rows
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from pressroom.llm.common import GAP, LOWER, UPPER, free_name, materialize, read, words
@@ -43,14 +45,13 @@ def _key(id_col: str, text_col: str):
 
 
 def _shingles(rows: DataFrame, size: int, keep: list[str]) -> DataFrame:
-    """``keep, pos, shingle``-parts ``w0..`` of every run of ``size`` words of ``rows(words)``."""
+    """``keep, pos, hash``: the place and hash of every run of ``size`` words of ``rows(words)``."""
     shifted = [F.col("words")] + [F.slice("words", k + 1, F.greatest(F.size("words") - k, F.lit(0)))
                                   for k in range(1, size)]
     zipped = F.slice(F.arrays_zip(*[c.alias(f"w{k}") for k, c in enumerate(shifted)]), 1,
                      F.greatest(F.size("words") - (size - 1), F.lit(0)))
-    parts = [F.col(f"s.w{k}") for k in range(size)]
     return (rows.select(*keep, "words").select(*keep, F.posexplode(zipped).alias("pos", "s"))
-            .select(*keep, "pos", F.xxhash64(*parts).alias("hash"), F.concat_ws(" ", *parts).alias("shingle")))
+            .select(*keep, "pos", F.xxhash64(*[F.col(f"s.w{k}") for k in range(size)]).alias("hash")))
 
 
 def item_windows(items: DataFrame, id_col: str, text_col: str, window: int, shingle: int) -> DataFrame:
@@ -71,47 +72,41 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     shingle = min(shingle, window)
     known = materialize(item_windows(items, item_col, item_text, window, shingle), "items")
     sizes = sorted(r["g"] for r in known.select("g").distinct().collect())  # at most ``shingle`` values
-    texts = docs.select(_key(id_col, text_col).alias("key"), words(F.col(text_col)).alias("words"))
-    own = found = None
-    for g in sizes:
-        mine = _shingles(known.where(F.col("g") == g), g, ["item", "g"])
-        own = mine if own is None else own.unionByName(mine)
-        wanted = mine.select("hash", F.col("shingle").alias("wanted")).distinct()
-        at = (_shingles(texts, g, ["key"]).join(wanted, "hash").where("shingle = wanted")
-              .select("key", "pos", "shingle", F.lit(g).alias("g")))
-        found = at if found is None else found.unionByName(at)
-    if own is None:
+    if not sizes:
         return docs.sparkSession.createDataFrame([], "key string, item_id string, start int, len int")
-    found = materialize(found.distinct(), "occurrences")
-    own = materialize(own.select("item", "g", F.col("pos").alias("at"), "shingle"), "item_shingles")
-
-    # rarest shingle of each window; windows with a shingle that never occurs drop out
-    counts = found.groupBy("g", "shingle").agg(F.count(F.lit(1)).alias("n_docs"))
-    ranked = own.join(counts, ["g", "shingle"], "left").groupBy("item").agg(
-        F.map_from_entries(F.collect_list(F.struct("at", F.struct(
-            F.coalesce("n_docs", F.lit(0)).alias("n_docs"), "shingle", "at").alias("r")))).alias("ranks"))
-    begins = known.select("item", "item_id", "n", "len", "g",
-                          F.explode(F.sequence(F.lit(0), F.col("n") - F.col("len"))).alias("begin"))
-    prefix = (begins.join(ranked, "item").select(
-        "item", "begin", "len", F.array_min(F.transform(
-            F.sequence(F.col("begin"), F.col("begin") + F.col("len") - F.col("g")),
-            lambda i: F.element_at("ranks", i))).alias("r"))
-        .where("r.n_docs > 0").select("item", F.col("r.at").alias("at"), F.col("r.shingle").alias("shingle")).distinct())
-
-    lookup = prefix.join(known.select("item", "g"), "item")
-    aligned = (found.join(lookup, ["g", "shingle"])
-               .select("key", "item", (F.col("pos") - F.col("at")).alias("diag")).distinct())
-    # all shingles at that alignment
-    there = (found.join(own, ["g", "shingle"]).select("key", "item", (F.col("pos") - F.col("at")).alias("diag"), "at")
-             .join(aligned, ["key", "item", "diag"], "left_semi")
-             .groupBy("key", "item", "diag").agg(F.collect_set("at").alias("at")))
-    whole = there.join(known.select("item", "item_id", "n", "len", "g"), "item").select(
-        "key", "item_id", "diag", "len", F.filter(
-            F.sequence(F.lit(0), F.col("n") - F.col("len")),
-            lambda b: F.size(F.array_intersect("at", F.sequence(b, b + F.col("len") - F.col("g"))))
-            == F.col("len") - F.col("g") + 1).alias("begins"))
-    return whole.select("key", "item_id", "len", F.explode("begins").alias("begin"), "diag").select(
-        "key", "item_id", (F.col("diag") + F.col("begin")).alias("start"), "len")
+    texts = docs.select(_key(id_col, text_col).alias("key"), words(F.col(text_col)).alias("words"))
+
+    def union(parts: list[DataFrame]) -> DataFrame:
+        return reduce(DataFrame.unionByName, parts)
+
+    own = materialize(union([_shingles(known.where(F.col("g") == g), g, ["item", "g", "n", "len"]) for g in sizes]),
+                      "item_shingles")
+    counts = materialize(union([
+        _shingles(texts, g, []).join(own.where(F.col("g") == g).select("hash").distinct(), "hash")
+        .groupBy("hash").agg(F.count(F.lit(1)).alias("n_found")).withColumn("g", F.lit(g)) for g in sizes]), "frequencies")
+
+    # the rarest shingle of each window, which begins at most len - g words before it
+    ranked = (own.join(counts, ["g", "hash"], "left").select(
+        "item", "g", "len", F.struct(F.coalesce("n_found", F.lit(0)).alias("n_found"), "hash", F.col("pos").alias("at")).alias("r"),
+        F.explode(F.sequence(F.greatest(F.col("pos") - F.col("len") + F.col("g"), F.lit(0)),
+                             F.least("pos", F.col("n") - F.col("len")))).alias("begin"))
+        .groupBy("item", "g", "len", "begin").agg(F.min("r").alias("r")).where("r.n_found > 0"))
+    windows = known.select("item", "item_id", "words").join(ranked, "item").select(
+        "g", "item_id", "len", F.col("r.hash").alias("hash"), (F.col("r.at") - F.col("begin")).alias("before"),
+        F.slice("words", F.col("begin") + 1, F.col("len")).alias("wanted"))
+    # equal windows of several items are compared once
+    windows = materialize(windows.groupBy("g", "hash", "len", "before", "wanted").agg(
+        F.collect_set("item_id").alias("items")).withColumn("win", F.md5(F.array_join("wanted", " "))), "windows")
+
+    sized = texts.withColumn("n_words", F.size("words"))
+    aligned = materialize(union([
+        _shingles(sized, g, ["key", "n_words"]).join(
+            windows.where(F.col("g") == g).select("hash", "len", "before", "win"), "hash")
+        .select("key", "win", "len", "n_words", (F.col("pos") - F.col("before")).alias("start"))
+        .where("start >= 0 AND start + len <= n_words").select("key", "win", "start") for g in sizes]).distinct(), "aligned")
+    return (texts.join(aligned, "key").join(windows.select("win", "wanted", "len", "items"), "win")
+            .where(F.slice("words", F.col("start") + 1, F.col("len")) == F.col("wanted"))
+            .select("key", F.explode("items").alias("item_id"), "start", "len").distinct())
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
