@@ -1,23 +1,34 @@
 """Language-model scoring by cross-entropy difference.
 
-Two n-gram models of bytes share one vocabulary (the 256 byte values, of which 0
-also ends a document) and one estimator: order 3 with interpolated Witten-Bell
-smoothing down to order 1. The target model counts the target documents, the
-background model every document. A document's score is the mean over its tokens
-of target loss minus background loss, in bits: the lower, the more it is like the
-target.
-
-Counts are exact and cover all documents. Each task counts the distinct trigrams
-of its texts and sends them with their counts, so what is gathered grows with the
-input; a sum per trigram follows. Whatever the corpus, the resulting tables are
-at most 2^24 numbers a model (64 MB), the proven size of what the scoring tasks
-receive; contexts that never occur take no room in them. Losses of rare contexts
-are computed by tasks, one per leading byte.
-
-A null text counts as empty (the end token only); null ids are background and are
-scored; repeated documents are counted and scored one by one; without target
-documents the target model is uniform; extra columns are ignored; an empty table
-gives an empty result.
+Tokens are the words of a whole text (``common.words``) and an end token, which
+also stands before the first word. Two bigram models share one vocabulary, all
+words of the corpus, so no token is unknown, and one estimator: the target model
+counts the target documents, the background model every document. With V words,
+prior weight m and counts c,
+
+    p(w)     = (c(w) + m / V) / (c() + m)
+    p(w | v) = (c(v w) + m p(w)) / (c(v) + m)
+
+Background counts enter as the share that a sample of the target's size would
+have: the models are matched, as the same prior meets the same amount of text in
+both, and still rest on every document. A document's score is the mean over its
+tokens of target loss minus background loss, in bits: the lower, the more it is
+like the target.
+
+1. Each task takes documents in chunks of some ``CHUNK_TOKENS`` tokens and writes
+   a chunk's distinct bigrams with their counts, and each document as places in
+   that list. A frequent bigram is one row a chunk, however often it occurs.
+2. Sums over the chunks give the counts of bigrams and words: distributed tables
+   that grow with the corpus. Joins of the two give each bigram's losses; only
+   three totals go to the driver.
+3. The losses are joined to the chunks' lists, and each chunk adds them up for
+   its documents, whatever words these hold.
+
+Words are compared by 64-bit hashes. A null text counts as empty (the end token
+only); null ids are background and are scored; repeated documents are counted and
+scored one by one, and a target id at several documents makes all of them targets;
+without target words both models are uniform and scores are 0; extra columns are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,150 +36,142 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from pressroom.llm.common import materialize, read
-
-BYTES = 256
-SLICE_BYTES = 1 << 22
-_KINDS = ("background", "target")
-
-
-def grams_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(trigram of every token, tokens of each text); a text is read after two
-    zero bytes and ends with one."""
-    sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-    data = np.frombuffer(b"\0\0" + b"\0\0\0".join(texts) + b"\0", dtype=np.uint8).astype(np.uint32)
-    gram = (data[:-2] << 16) | (data[1:-1] << 8) | data[2:]
-    # between two texts stand three zeros: the end of one, and the two before the next
-    ends = np.cumsum(sizes + 2)
-    keep = np.ones(len(gram), dtype=bool)
-    keep[ends[:-1] - 2], keep[ends[:-1] - 1] = False, False
-    return gram[keep], sizes
-
-
-def _slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    begin, size = 0, 0
-    for k, t in enumerate(texts):
-        size += len(t) + 1
-        if size >= SLICE_BYTES:
-            yield begin, k + 1
-            begin, size = k + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
-
-
-def add_counts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of (grams, counts) tables; an empty list gives an empty table."""
-    if not parts:
-        return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
-    gram, n = (np.concatenate(x) for x in zip(*parts))
-    order = np.argsort(gram, kind="stable")
-    gram, first = np.unique(gram[order], return_index=True)
-    return gram, np.add.reduceat(n[order], first) if len(gram) else np.zeros(0, dtype=np.int64)
-
-
-def count_grams(docs: DataFrame) -> DataFrame:
-    """``gram, background, target`` of ``docs(text binary, target boolean)``."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts: list[list] = [[], []]
+from pressroom.llm.common import materialize, read, words
+
+#: A chunk is closed when it has this many tokens; a longer document is a chunk of its own.
+CHUNK_TOKENS = 1 << 20
+PRIOR = 100.0
+END = 0
+
+
+def chunk_columns(texts: pa.ListArray, target: np.ndarray) -> dict[str, pa.Array]:
+    """Columns of one chunk: per document ``n_tokens`` and the ``codes`` of its
+    bigrams with their ``times``; the chunk's list of ``before, word, background,
+    target`` is spread over its rows, each from place ``first`` on."""
+    n_docs = len(texts)
+    n = np.diff(texts.offsets.to_numpy()).astype(np.int64) + 1
+    token = np.full(n.sum(), END, np.int64)
+    inside = np.ones(len(token), bool)
+    inside[np.cumsum(n) - 1] = False
+    token[inside] = texts.flatten().to_numpy()
+    vocabulary, word = np.unique(token, return_inverse=True)
+    before = np.concatenate([[np.searchsorted(vocabulary, END)], word[:-1]])
+    pairs, code = np.unique(before * len(vocabulary) + word, return_inverse=True)
+    seen, times = np.unique(np.repeat(np.arange(n_docs), n) * len(pairs) + code, return_counts=True)
+    ends = np.searchsorted(seen, np.arange(n_docs + 1) * len(pairs))
+    parts = np.arange(n_docs + 1) * len(pairs) // n_docs
+
+    def lists(offsets, values, kind):
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+
+    def counts(codes):
+        return lists(parts, np.bincount(codes, minlength=len(pairs)), pa.int64())
+
+    return {"n_tokens": pa.array(n), "codes": lists(ends, seen % len(pairs), pa.int32()),
+            "times": lists(ends, times, pa.int32()), "first": pa.array(parts[:-1], pa.int32()),
+            "before": lists(parts, vocabulary[pairs // len(vocabulary)], pa.int64()),
+            "word": lists(parts, vocabulary[pairs % len(vocabulary)], pa.int64()),
+            "background": counts(code), "target": counts(code[np.repeat(target, n)])}
+
+
+def chunked(docs: DataFrame) -> DataFrame:
+    """``id, chunk`` and the columns of ``chunk_columns`` for
+    ``docs(id, words array<long>, target boolean)``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no, held, size = TaskContext.get().partitionId() << 32, [], 0
+
+        def close() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            ids, texts, target = (pa.concat_arrays(rows[c].chunks) for c in range(3))
+            return pa.RecordBatch.from_pydict({
+                "id": ids, "chunk": pa.array([no] * len(ids), pa.int64()),
+                **chunk_columns(texts, target.to_numpy(zero_copy_only=False))})
+
         for batch in batches:
-            texts, chosen = [bytes(t) for t in batch["text"]], batch["target"].to_numpy(dtype=bool)
-            for a, b in _slices(texts):
-                for kind, some in ((0, texts[a:b]), (1, [texts[k] for k in range(a, b) if chosen[k]])):
-                    if some:
-                        parts[kind].append(np.unique(grams_of(some)[0], return_counts=True))
-            parts = [[add_counts(p)] if len(p) > 8 else p for p in parts]
-        (gram, n), (own, m) = map(add_counts, parts)
-        target = np.zeros(len(gram), dtype=np.int64)
-        target[np.searchsorted(gram, own)] = m
-        yield pd.DataFrame({"gram": gram.astype(np.int32), "background": n, "target": target})
-
-    return (docs.mapInPandas(count, "gram int, background long, target long").groupBy("gram")
-            .agg(*[F.sum(k).alias(k) for k in _KINDS]))
-
-
-def _blend(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """Witten-Bell: rows of counts by context, smoothed with ``lower`` rows."""
-    total, kinds = counts.sum(axis=-1, keepdims=True), (counts > 0).sum(axis=-1, keepdims=True)
-    with np.errstate(invalid="ignore"):
-        mixed = (counts + kinds * lower) / (total + kinds)
-    return np.where(total > 0, mixed, lower)
-
-
-class Losses:
-    """Per model, -log2 of every p(c | a, b): rows for the contexts that occur,
-    and p(c | b) for the others."""
-
-    def __init__(self, contexts: np.ndarray, tables: list[np.ndarray], lower: list[np.ndarray]):
-        self.contexts = contexts
-        self.row = np.full(BYTES * BYTES, -1, dtype=np.int32)
-        self.row[contexts] = np.arange(len(contexts))
-        self.tables, self.lower = tables, lower
-
-    def of(self, kind: int, gram: np.ndarray) -> np.ndarray:
-        row, last = self.row[gram >> 8], gram & 0xFF
-        return np.where(row >= 0, self.tables[kind][row, last], self.lower[kind][(gram >> 8) & 0xFF, last])
-
-
-def fit_losses(counts: DataFrame) -> Losses:
-    """Loss tables from ``counts(gram, background, target)``."""
-    pairs = counts.groupBy(F.col("gram").bitwiseAND(0xFFFF).alias("pair")).agg(
-        *[F.sum(k).alias(k) for k in _KINDS]).toPandas()  # 65,536 rows at most
-    lower = []
-    for kind in _KINDS:
-        table = np.zeros(BYTES * BYTES)
-        table[pairs["pair"].to_numpy(dtype=np.int64)] = pairs[kind]
-        table = table.reshape(BYTES, BYTES)
-        single = (table.sum(axis=0) + 1) / (table.sum() + BYTES)
-        lower.append(_blend(table, single[None, :]))
-
-    def losses(frame: pd.DataFrame) -> pd.DataFrame:
-        gram = frame["gram"].to_numpy(dtype=np.int64)
-        contexts, row = np.unique(gram >> 8, return_inverse=True)
-        out = {"context": contexts.astype(np.int32)}
-        for kind, low in zip(_KINDS, lower):
-            table = np.zeros((len(contexts), BYTES))
-            table[row, gram & 0xFF] = frame[kind]
-            out[kind] = [x.tobytes() for x in -np.log2(_blend(table, low[contexts & 0xFF])).astype(np.float32)]
-        return pd.DataFrame(out)
-
-    # 256 contexts of 256 counts a group, at most
-    rows = counts.withColumn("first", F.shiftright("gram", 16)).groupBy("first").applyInPandas(
-        losses, "context int, background binary, target binary").toPandas()
-    tables = [np.frombuffer(b"".join(rows[k]), dtype=np.float32).reshape(len(rows), BYTES) if len(rows)
-              else np.zeros((1, BYTES), dtype=np.float32) for k in _KINDS]
-    return Losses(rows["context"].to_numpy(dtype=np.int64), tables, [-np.log2(x).astype(np.float32) for x in lower])
-
-
-def score_documents(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+            until = np.cumsum(batch.column(1).value_lengths().to_numpy(zero_copy_only=False) + 1, dtype=np.int64)
+            begin = 0
+            while begin < len(until):
+                done = until[begin - 1] if begin else 0
+                end = min(int(np.searchsorted(until, done + CHUNK_TOKENS - size)) + 1, len(until))
+                held.append(batch.slice(begin, end - begin))
+                size, begin = size + until[end - 1] - done, end
+                if size >= CHUNK_TOKENS:
+                    yield close()
+                    no, held, size = no + 1, [], 0
+        if held:
+            yield close()
+
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.select("id", "words", "target").mapInArrow(
+        run, f"id {kind}, chunk long, n_tokens long, codes array<int>, times array<int>, first int, "
+             "before array<long>, word array<long>, background array<long>, target array<long>")
+
+
+def gram_counts(rows: DataFrame) -> DataFrame:
+    """``before, word, background, target``: counts of every bigram over all chunks."""
+    return (rows.select(F.explode(F.arrays_zip("before", "word", "background", "target")).alias("x")).select("x.*")
+            .groupBy("before", "word").agg(F.sum("background").alias("background"), F.sum("target").alias("target")))
+
+
+def gram_losses(grams: DataFrame, prior: float = PRIOR) -> DataFrame:
+    """``before, word, background_loss, target_loss`` in bits of ``gram_counts``."""
+    # every token also stands before one, so a word's count is its count as a context too
+    single = materialize(grams.groupBy("word").agg(F.sum("background").alias("one_background"),
+                                                   F.sum("target").alias("one_target")), "words")
+    total = single.agg(F.count(F.lit(1)).alias("n"), F.sum("one_background").alias("background"),
+                       F.sum("one_target").alias("target")).first()
+    share = {"target": 1.0, "background": (total.target or 0) / (total.background or 1)}
+    context = single.select(F.col("word").alias("before"), F.col("one_background").alias("all_background"),
+                            F.col("one_target").alias("all_target"))
+
+    def loss(kind: str):
+        of = lambda c: F.col(f"{c}{kind}") * F.lit(share[kind])
+        one = (of("one_") + prior / max(total.n, 1)) / ((total[kind] or 0) * share[kind] + prior)
+        return (-F.log2((of("") + one * prior) / (of("all_") + prior))).alias(f"{kind}_loss")
+
+    return grams.join(single, "word").join(context, "before").select("before", "word", loss("background"), loss("target"))
+
+
+def score_documents(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    prior: float = PRIOR) -> DataFrame:
     """``id_col, n_tokens, target_loss, background_loss, score`` per document;
     ``targets(id_col)`` names the target documents."""
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
-    chosen = targets.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct().withColumn("target", F.lit(True))
-    rows, kind = docs.select(F.col(id_col).alias("id"), text), docs.schema[id_col].dataType
-    # always a shuffle join: texts take the same way, and the same disk, at every size
-    counted = materialize(count_grams(rows.join(chosen.hint("merge"), "id", "left").select(
-        "text", F.coalesce("target", F.lit(False)).alias("target"))), "grams")
-    fitted = fit_losses(counted)
-    # plain arrays: a broadcast object would ask for this package on the workers
-    losses = docs.sparkSession.sparkContext.broadcast((fitted.contexts, fitted.tables, fitted.lower))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = Losses(*losses.value)
-        for batch in batches:
-            texts, ids = [bytes(t) for t in batch["text"]], batch["id"]
-            for a, b in _slices(texts):
-                gram, n = grams_of(texts[a:b])
-                sums = [np.add.reduceat(table.of(k, gram).astype(np.float64), np.cumsum(n) - n) / n for k in (0, 1)]
-                yield pd.DataFrame({"id": ids.iloc[a:b], "n_tokens": n, "target_loss": sums[1],
-                                    "background_loss": sums[0], "score": sums[1] - sums[0]})
-
-    # ids pass through Python as strings: pandas would make numbers beside a null inexact
-    named = rows.select(F.col("id").cast("string").alias("id"), "text")
-    return named.mapInPandas(score, "id string, n_tokens long, target_loss double, background_loss double, score double").select(
-        F.col("id").cast(kind).alias(id_col), "n_tokens", "target_loss", "background_loss", "score")
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    # rows without an id match nothing and are spread by their texts
+    spread = F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(F.lit(0))
+    chosen = targets.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct().select(
+        F.col("id").alias("wanted"), F.lit(0).cast("long").alias("at"), F.lit(True).alias("target"))
+    flagged = rows.withColumn("spread", spread).join(
+        chosen, (F.col("id") == F.col("wanted")) & (F.col("spread") == F.col("at")), "left").select(
+        "id", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"),
+        F.coalesce("target", F.lit(False)).alias("target"))
+    coded = materialize(chunked(flagged), "chunks")
+    losses = gram_losses(materialize(gram_counts(coded), "grams"), prior)
+    lists = coded.select(F.col("chunk").alias("of"), "first", F.posexplode(
+        F.arrays_zip("before", "word")).alias("pos", "x")).select(
+        "of", (F.col("first") + F.col("pos")).alias("code"), "x.before", "x.word")
+    weights = lists.join(losses, ["before", "word"]).select("of", "code", "background_loss", "target_loss")
+
+    def score(own: pa.Table, weights: pa.Table) -> pa.Table:
+        code = weights["code"].to_numpy()
+        flat = lambda c: np.concatenate([x.flatten().to_numpy() for x in own[c].chunks])
+        codes, times, n = flat("codes"), flat("times"), own["n_tokens"].to_numpy()
+        sizes = np.concatenate([x.value_lengths().to_numpy() for x in own["codes"].chunks])
+        first, loss = np.cumsum(sizes) - sizes, {}
+        for c in ("target_loss", "background_loss"):
+            table = np.zeros(len(code))
+            table[code] = weights[c].to_numpy()
+            loss[c] = np.add.reduceat(table[codes] * times, first) / n
+        return pa.table({"id": own["id"], "n_tokens": n, **loss, "score": loss["target_loss"] - loss["background_loss"]})
+
+    return (coded.select("chunk", "id", "n_tokens", "codes", "times").groupBy("chunk").cogroup(weights.groupBy("of"))
+            .applyInArrow(score, f"id {kind}, n_tokens long, target_loss double, background_loss double, score double")
+            .withColumnRenamed("id", id_col))
 
 
 def op4_lm_score(spark, sf_dir):

@@ -173,19 +173,6 @@ def test_threshold_below_the_candidates_is_an_error(spark, docs_of):
         jj.jaccard_groups(docs_of([(1, "a b c d e f")]), threshold=0.4)
 
 
-def test_model_broadcast_needs_no_package():
-    import pickle
-    import pickletools
-
-    import pressroom.llm.lm_score as lm
-
-    fitted = lm.Losses(np.array([1, 2]), [np.zeros((2, 256), np.float32)] * 2, [np.zeros((256, 256), np.float32)] * 2)
-    sent = pickle.dumps((fitted.contexts, fitted.tables, fitted.lower))
-    assert not any("pressroom" in str(arg) for _, arg, _ in pickletools.genops(sent))
-    again = lm.Losses(*pickle.loads(sent))
-    assert (again.row == fitted.row).all()
-
-
 def test_isotonic():
     x, y = quality.isotonic(np.array([2, 2, 0, 2, 2]), np.array([1, 0, 0, 1, 2]), np.arange(5.0))
     assert list(y) == [0.25, 0.5, 1.0] and list(x) == [0.5, 3.0, 4.0]
@@ -193,46 +180,55 @@ def test_isotonic():
 
 # ---- language models
 
-def test_lm_brute_force(spark, docs_of):
-    rows = [(0, "abab"), (1, "abc"), (2, None), (3, ""), (4, "éa\0b"), (5, "abc"), (None, "zz"), (6, "q" * 300)]
-    targets = [0, 1, 3, 1, None, 77]
+def brute_losses(rows, targets, prior=lm_score.PRIOR):
+    """(tokens, target loss, background loss) of every row."""
+    grams = [list(zip(["", *words(t)], [*words(t), ""])) for _, t in rows]
+    pairs, singles = [Counter(), Counter()], [Counter(), Counter()]
+    for (i, _), own in zip(rows, grams):
+        for kind in (0, 1) if i is not None and i in targets else (0,):
+            pairs[kind].update(own)
+            singles[kind].update(w for _, w in own)
+    sizes = [sum(c.values()) for c in singles]
+    share = [sizes[1] / sizes[0], 1.0]
+
+    def loss(kind, v, w):
+        s, vocabulary = share[kind], len(singles[0])
+        one = (s * singles[kind][w] + prior / vocabulary) / (s * sizes[kind] + prior)
+        return -log2((s * pairs[kind][v, w] + prior * one) / (s * singles[kind][v] + prior))
+
+    return [(len(g), *(sum(loss(k, *x) for x in g) / len(g) for k in (1, 0))) for g in grams]
+
+
+@pytest.mark.parametrize("chunk", [7, lm_score.CHUNK_TOKENS])
+def test_lm_brute_force(spark, docs_of, odd_rows, monkeypatch, chunk):
+    monkeypatch.setattr(lm_score, "CHUNK_TOKENS", chunk)
+    rows = [(0, "a b a B"), (1, "a b. c"), (2, None), (3, ""), (4, "éa b\0 c"), (5, "a b c"), (None, "z z"), (6, "q " * 300),
+            (7, "the cat sat on the mat"), (8, "The dog sat, on a log!")] + [(i if i is None else 100 + i, t) for i, t in odd_rows]
+    targets = [0, 1, 3, 1, None, 7, 777]
     df = spark.createDataFrame([(i, 0) for i in targets], "doc_id long, target int")
-    got = {(r.doc_id, r.n_tokens): r for r in lm_score.score_documents(docs_of(rows), df).collect()}
-    counts = [Counter(), Counter()]
-    grams = {}
-    for i, t in rows:
-        b = b"\0\0" + (t or "").encode() + b"\0"
-        grams[i] = [b[k - 2:k + 1] for k in range(2, len(b))]
-        counts[0].update(grams[i])
-        if i in targets and i is not None:
-            counts[1].update(grams[i])
-
-    def model(c):
-        pair, ctx, kinds, one, before, after = Counter(), Counter(), Counter(), Counter(), Counter(), Counter()
-        for g, n in c.items():
-            pair[g[1:]] += n
-            ctx[g[:2]] += n
-            kinds[g[:2]] += 1
-            one[g[2]] += n
-        for g, n in pair.items():
-            before[g[0]] += n
-            after[g[0]] += 1
-        def p(g):
-            p1 = (one[g[2]] + 1) / (sum(one.values()) + 256)
-            p2 = (pair[g[1:]] + after[g[1]] * p1) / (before[g[1]] + after[g[1]]) if before[g[1]] else p1
-            return (c[g] + kinds[g[:2]] * p2) / (ctx[g[:2]] + kinds[g[:2]]) if ctx[g[:2]] else p2
-        return p
-
-    models = [model(c) for c in counts]
-    assert len(got) == len(rows)
-    for i, t in rows:
-        r = got[i, len(grams[i])]
-        want = [-sum(log2(p(g)) for g in grams[i]) / len(grams[i]) for p in models]
-        assert (r.background_loss, r.target_loss) == pytest.approx(want, abs=1e-5)
-        assert r.score == pytest.approx(want[1] - want[0], abs=1e-5)
-    assert lm_score.score_documents(docs_of(rows).limit(0), df).count() == 0
-    none = lm_score.score_documents(docs_of(rows), df.limit(0)).where("doc_id = 0").first()
-    assert none.target_loss == pytest.approx(8.0)
+    out = lm_score.score_documents(docs_of(rows), df)
+    assert out.columns == ["doc_id", "n_tokens", "target_loss", "background_loss", "score"]
+    order = lambda x: (str(x[0]), x[1], x[2])
+    got = sorted(map(tuple, out.collect()), key=order)
+    want = sorted(((i, *x, x[1] - x[2]) for (i, _), x in zip(rows, brute_losses(rows, targets))), key=order)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    for g, w in zip(got, want):
+        assert g[2:] == pytest.approx(w[2:], abs=1e-9)
+    if chunk > 7:
+        assert lm_score.score_documents(docs_of(rows).limit(0), df).count() == 0
+        none = lm_score.score_documents(docs_of(rows), df.limit(0)).collect()
+        assert len(none) == len(rows) and all(r.score == 0 for r in none)
+
+
+def test_lm_tells_topics_of_one_language_apart(spark, docs_of):
+    """Same letters, other words: documents like the target's score lower."""
+    rng = random.Random(4)
+    sea, land = ["reef", "tide", "boat", "wave", "gull"], ["barn", "field", "plough", "sheep", "gate"]
+    say = lambda own: " ".join(rng.choice(own + ["the", "and", "of"] * 2) for _ in range(60))
+    docs = docs_of([(k, say(sea if k % 2 else land)) for k in range(80)])
+    target = spark.createDataFrame([(k,) for k in range(1, 20, 2)], "doc_id long")
+    score = {r.doc_id: r.score for r in lm_score.score_documents(docs, target).collect()}
+    assert max(score[k] for k in range(21, 80, 2)) < min(score[k] for k in range(0, 80, 2))
 
 
 # ---- repeated substrings
