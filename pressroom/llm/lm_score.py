@@ -15,17 +15,19 @@ both, and still rest on every document. A document's score is the mean over its
 tokens of target loss minus background loss, in bits: the lower, the more it is
 like the target.
 
-1. Each task takes documents in chunks of some ``CHUNK_TOKENS`` tokens and writes
-   a chunk's distinct bigrams with their counts, and each document as places in
-   that list. A frequent bigram is one row a chunk, however often it occurs.
-2. Sums over the chunks give the counts of bigrams and words: distributed tables
-   that grow with the corpus. Joins of the two give each bigram's losses; only
-   three totals go to the driver.
-3. The losses are joined to the chunks' lists, and each chunk adds them up for
-   its documents, whatever words these hold.
-
-Words are compared by 64-bit hashes. A null text counts as empty (the end token
-only); null ids are background and are scored; repeated documents are counted and
+1. Each task takes documents in chunks of some ``CHUNK_TOKENS`` tokens and writes a
+   chunk's words once and its tokens as places among these.
+2. A chunk's bigrams and words are its entries, with counts: a frequent one is one
+   entry a chunk, however often it occurs. They are dealt by ranges of their hashes
+   into as many parts as the corpus asks for; a part adds up the counts of all chunks
+   and returns to each the sums of entries that other chunks have as well. The
+   counts of all others are the chunk's own.
+3. Each chunk takes the losses of its tokens from these counts and adds them up for
+   its documents. What is counted and returned grows with the corpus; only three
+   totals go to the driver.
+
+Words and bigrams are compared by 64-bit hashes. A null text counts as empty (the end
+token only); null ids are background and are scored; repeated documents are counted and
 scored one by one, and a target id at several documents makes all of them targets;
 without target words both models are uniform and scores are 0; extra columns are
 ignored; an empty table gives an empty result.
@@ -40,56 +42,92 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from pressroom.llm.common import materialize, read, words
+from pressroom.llm.common import materialize, partitions, read, words
 
 #: A chunk is closed when it has this many tokens; a longer document is a chunk of its own.
 CHUNK_TOKENS = 1 << 20
+#: Tokens of the corpus for each part that entries are dealt into.
+PART_TOKENS = 1 << 22
 PRIOR = 100.0
 END = 0
+PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def chunk_columns(texts: pa.ListArray, target: np.ndarray) -> dict[str, pa.Array]:
-    """Columns of one chunk: per document ``n_tokens`` and the ``codes`` of its
-    bigrams with their ``times``; the chunk's list of ``before, word, background,
-    target`` is spread over its rows, each from place ``first`` on."""
-    n_docs = len(texts)
-    n = np.diff(texts.offsets.to_numpy()).astype(np.int64) + 1
-    token = np.full(n.sum(), END, np.int64)
-    inside = np.ones(len(token), bool)
-    inside[np.cumsum(n) - 1] = False
-    token[inside] = texts.flatten().to_numpy()
-    vocabulary, word = np.unique(token, return_inverse=True)
-    before = np.concatenate([[np.searchsorted(vocabulary, END)], word[:-1]])
-    pairs, code = np.unique(before * len(vocabulary) + word, return_inverse=True)
-    seen, times = np.unique(np.repeat(np.arange(n_docs), n) * len(pairs) + code, return_counts=True)
-    ends = np.searchsorted(seen, np.arange(n_docs + 1) * len(pairs))
-    parts = np.arange(n_docs + 1) * len(pairs) // n_docs
-
-    def lists(offsets, values, kind):
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
-
-    def counts(codes):
-        return lists(parts, np.bincount(codes, minlength=len(pairs)), pa.int64())
-
-    return {"n_tokens": pa.array(n), "codes": lists(ends, seen % len(pairs), pa.int32()),
-            "times": lists(ends, times, pa.int32()), "first": pa.array(parts[:-1], pa.int32()),
-            "before": lists(parts, vocabulary[pairs // len(vocabulary)], pa.int64()),
-            "word": lists(parts, vocabulary[pairs % len(vocabulary)], pa.int64()),
-            "background": counts(code), "target": counts(code[np.repeat(target, n)])}
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers as byte planes, without the planes that are zero in all."""
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + planes[:, :width].T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    width, n = data[0], (len(data) - 1) // data[0]
+    planes = np.zeros((n, 8), np.uint8)
+    planes[:, :width] = np.frombuffer(data, np.uint8, offset=1).reshape(width, n).T
+    return planes.reshape(-1).view("<u8")
+
+
+def _spread(x: np.ndarray) -> np.ndarray:
+    """A one-to-one mix of 64-bit numbers, so that equal ranges hold equal shares."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class Chunk:
+    """Tokens of some documents: ``words`` (hashes), ``token`` (places among
+    these), ``before`` (the token before each), and the sorted ``entries`` with
+    their ``counts`` of background and target; ``pair`` and ``single`` are the
+    entries of each token's bigram and of each word."""
+
+    def __init__(self, words: np.ndarray, token: np.ndarray, n: np.ndarray, target: np.ndarray):
+        self.words, self.token = words, token
+        self.before = np.concatenate([[np.searchsorted(words, END)], token[:-1]])
+        one = _spread(words.view(np.uint64))
+        # the end token's hash is 0, so a bigram is mixed once more, lest it be its other word's
+        two = _spread((one[self.before] << np.uint64(1) | one[self.before] >> np.uint64(63)) ^ one[token] ^ PAIR)
+        self.entries, code = np.unique(np.concatenate([two, one]), return_inverse=True)
+        self.pair, self.single = code[:len(token)], code[len(token):]
+        self.counts = []
+        for chosen in (slice(None), np.repeat(target, n)):
+            count = np.bincount(self.pair[chosen], minlength=len(self.entries))
+            count[self.single] += np.bincount(token[chosen], minlength=len(words))
+            self.counts.append(count)
+
+    @classmethod
+    def of_row(cls, row: dict) -> "Chunk":
+        return cls(np.array(row["words"], np.int64), unpacked(row["tokens"]).astype(np.int64),
+                   np.array(row["n_tokens"], np.int64), np.array(row["target"], bool))
+
+    def parts(self, n_parts: int) -> np.ndarray:
+        """The part of each entry, rising as the entries do."""
+        return ((self.entries >> np.uint64(32)) * np.uint64(n_parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _one(values, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
 
 
 def chunked(docs: DataFrame) -> DataFrame:
-    """``id, chunk`` and the columns of ``chunk_columns`` for
-    ``docs(id, words array<long>, target boolean)``."""
+    """One row per chunk of ``docs(id, words array<long>, target boolean)``: its
+    documents' ``ids, n_tokens, target``, their ``tokens``, distinct ``words``, and
+    the tokens of all documents (``background``) and of targets (``targets``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         no, held, size = TaskContext.get().partitionId() << 32, [], 0
 
         def close() -> pa.RecordBatch:
-            rows = pa.Table.from_batches(held).combine_chunks()
+            rows = pa.Table.from_batches(held)
             ids, texts, target = (pa.concat_arrays(rows[c].chunks) for c in range(3))
+            n = texts.value_lengths().to_numpy().astype(np.int64) + 1
+            token, inside = np.full(n.sum(), END, np.int64), np.ones(n.sum(), bool)
+            inside[np.cumsum(n) - 1] = False
+            token[inside] = texts.flatten().to_numpy()
+            words, token = np.unique(token, return_inverse=True)
             return pa.RecordBatch.from_pydict({
-                "id": ids, "chunk": pa.array([no] * len(ids), pa.int64()),
-                **chunk_columns(texts, target.to_numpy(zero_copy_only=False))})
+                "chunk": pa.array([no], pa.int64()), "ids": _one(ids, ids.type), "n_tokens": _one(n, pa.int64()),
+                "target": _one(target, pa.bool_()), "tokens": pa.array([packed(token)], pa.binary()),
+                "words": _one(words, pa.int64()), "background": pa.array([n.sum()], pa.int64()),
+                "targets": pa.array([n[target.to_numpy(zero_copy_only=False)].sum()], pa.int64())})
 
         for batch in batches:
             until = np.cumsum(batch.column(1).value_lengths().to_numpy(zero_copy_only=False) + 1, dtype=np.int64)
@@ -107,33 +145,42 @@ def chunked(docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.select("id", "words", "target").mapInArrow(
-        run, f"id {kind}, chunk long, n_tokens long, codes array<int>, times array<int>, first int, "
-             "before array<long>, word array<long>, background array<long>, target array<long>")
-
+        run, f"chunk long, ids array<{kind}>, n_tokens array<long>, target array<boolean>, tokens binary, "
+             "words array<long>, background long, targets long")
 
-def gram_counts(rows: DataFrame) -> DataFrame:
-    """``before, word, background, target``: counts of every bigram over all chunks."""
-    return (rows.select(F.explode(F.arrays_zip("before", "word", "background", "target")).alias("x")).select("x.*")
-            .groupBy("before", "word").agg(F.sum("background").alias("background"), F.sum("target").alias("target")))
 
-
-def gram_losses(grams: DataFrame, prior: float = PRIOR) -> DataFrame:
-    """``before, word, background_loss, target_loss`` in bits of ``gram_counts``."""
-    # every token also stands before one, so a word's count is its count as a context too
-    single = materialize(grams.groupBy("word").agg(F.sum("background").alias("one_background"),
-                                                   F.sum("target").alias("one_target")), "words")
-    total = single.agg(F.count(F.lit(1)).alias("n"), F.sum("one_background").alias("background"),
-                       F.sum("one_target").alias("target")).first()
-    share = {"target": 1.0, "background": (total.target or 0) / (total.background or 1)}
-    context = single.select(F.col("word").alias("before"), F.col("one_background").alias("all_background"),
-                            F.col("one_target").alias("all_target"))
-
-    def loss(kind: str):
-        of = lambda c: F.col(f"{c}{kind}") * F.lit(share[kind])
-        one = (of("one_") + prior / max(total.n, 1)) / ((total[kind] or 0) * share[kind] + prior)
-        return (-F.log2((of("") + one * prior) / (of("all_") + prior))).alias(f"{kind}_loss")
-
-    return grams.join(single, "word").join(context, "before").select("before", "word", loss("background"), loss("target"))
+def shared_counts(chunks: DataFrame, n_parts: int) -> DataFrame:
+    """``chunk, part, places, background, target``: a chunk's entries of a part
+    that stand in other chunks too, and their counts over all chunks."""
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                chunk = Chunk.of_row(row)
+                parts, first = np.unique(chunk.parts(n_parts), return_index=True)
+                to = [*first.tolist(), len(chunk.entries)]
+                cut = lambda x, f=lambda v: v: [packed(f(x[i:j])) for i, j in zip(to, to[1:])]
+                yield pa.RecordBatch.from_pydict({
+                    "part": pa.array(parts, pa.int32()), "chunk": pa.array([row["chunk"]] * len(parts), pa.int64()),
+                    "entries": cut(chunk.entries, lambda v: np.diff(v, prepend=np.uint64(0))),
+                    "background": cut(chunk.counts[0]), "target": cut(chunk.counts[1])})
+
+    def add(rows: pa.Table) -> pa.Table:
+        lists = [np.cumsum(unpacked(x), dtype=np.uint64) for x in rows["entries"].to_pylist()]
+        ends = np.cumsum([len(x) for x in lists])
+        _, code, times = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+        sums = {c: np.bincount(code, np.concatenate([unpacked(x) for x in rows[c].to_pylist()]))
+                for c in ("background", "target")}
+        out = {c: [] for c in ("places", "background", "target")}
+        for i, j in zip([0, *ends[:-1]], ends):
+            place = np.flatnonzero(times[code[i:j]] > 1)
+            out["places"].append(packed(np.diff(place, prepend=0)))
+            for c, total in sums.items():
+                out[c].append(packed(total[code[i:j][place]]))
+        return pa.table({"chunk": rows["chunk"], "part": rows["part"], **{c: pa.array(x, pa.binary()) for c, x in out.items()}})
+
+    return (chunks.select("chunk", "words", "tokens", "n_tokens", "target")
+            .mapInArrow(deal, "part int, chunk long, entries binary, background binary, target binary")
+            .groupBy("part").applyInArrow(add, "chunk long, part int, places binary, background binary, target binary"))
 
 
 def score_documents(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -150,26 +197,34 @@ def score_documents(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id",
         chosen, (F.col("id") == F.col("wanted")) & (F.col("spread") == F.col("at")), "left").select(
         "id", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"),
         F.coalesce("target", F.lit(False)).alias("target"))
-    coded = materialize(chunked(flagged), "chunks")
-    losses = gram_losses(materialize(gram_counts(coded), "grams"), prior)
-    lists = coded.select(F.col("chunk").alias("of"), "first", F.posexplode(
-        F.arrays_zip("before", "word")).alias("pos", "x")).select(
-        "of", (F.col("first") + F.col("pos")).alias("code"), "x.before", "x.word")
-    weights = lists.join(losses, ["before", "word"]).select("of", "code", "background_loss", "target_loss")
-
-    def score(own: pa.Table, weights: pa.Table) -> pa.Table:
-        code = weights["code"].to_numpy()
-        flat = lambda c: np.concatenate([x.flatten().to_numpy() for x in own[c].chunks])
-        codes, times, n = flat("codes"), flat("times"), own["n_tokens"].to_numpy()
-        sizes = np.concatenate([x.value_lengths().to_numpy() for x in own["codes"].chunks])
-        first, loss = np.cumsum(sizes) - sizes, {}
-        for c in ("target_loss", "background_loss"):
-            table = np.zeros(len(code))
-            table[code] = weights[c].to_numpy()
-            loss[c] = np.add.reduceat(table[codes] * times, first) / n
-        return pa.table({"id": own["id"], "n_tokens": n, **loss, "score": loss["target_loss"] - loss["background_loss"]})
-
-    return (coded.select("chunk", "id", "n_tokens", "codes", "times").groupBy("chunk").cogroup(weights.groupBy("of"))
+    chunks = materialize(chunked(flagged), "chunks")
+    total = chunks.agg(F.coalesce(F.sum("background"), F.lit(0)).alias("background"),
+                       F.coalesce(F.sum("targets"), F.lit(0)).alias("target")).first()
+    vocabulary = chunks.select(F.explode("words").alias("word")).distinct().count()
+    n_parts = max(partitions(docs.sparkSession), total.background // PART_TOKENS + 1)
+    size = [total.background, total.target]
+    share = [total.target / max(total.background, 1), 1.0]
+
+    def score(own: pa.Table, sums: pa.Table) -> pa.Table:
+        own = own.combine_chunks()
+        row = own.drop_columns(["ids"]).to_pylist()[0]
+        chunk, n = Chunk.of_row(row), np.array(row["n_tokens"], np.int64)
+        begin = np.searchsorted(chunk.parts(n_parts), np.arange(n_parts))
+        for part in sums.to_pylist():
+            place = begin[part["part"]] + np.cumsum(unpacked(part["places"])).astype(np.int64)
+            for count, c in zip(chunk.counts, ("background", "target")):
+                count[place] = unpacked(part[c])
+        loss = []
+        for count, s, words_in_all in zip(chunk.counts, share, size):
+            # every token also stands before one: a word's count is its count as a context too
+            single = s * count[chunk.single]
+            one = (single + prior / vocabulary) / (s * words_in_all + prior)
+            p = (s * count[chunk.pair] + prior * one[chunk.token]) / (single[chunk.before] + prior)
+            loss.append(-np.add.reduceat(np.log2(p), np.cumsum(n) - n) / n)
+        return pa.table({"id": pa.concat_arrays(own["ids"].chunks).flatten(), "n_tokens": n, "target_loss": loss[1],
+                         "background_loss": loss[0], "score": loss[1] - loss[0]})
+
+    return (chunks.drop("background", "targets").groupBy("chunk").cogroup(shared_counts(chunks, n_parts).groupBy("chunk"))
             .applyInArrow(score, f"id {kind}, n_tokens long, target_loss double, background_loss double, score double")
             .withColumnRenamed("id", id_col))
 
