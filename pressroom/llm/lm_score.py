@@ -3,10 +3,10 @@
 Tokens are the words of a whole text (``common.words``) and an end token, which
 also stands before the first word. Two bigram models share one vocabulary, all
 words of the corpus, so no token is unknown, and one estimator: the target model
-counts the target documents, the background model every document. With V words,
-prior weight m and counts c,
+counts the target documents, the background model every document. With prior
+weight m, counts c, and q(w) the share of w among all tokens of the corpus,
 
-    p(w)     = (c(w) + m / V) / (c() + m)
+    p(w)     = (c(w) + m q(w)) / (c() + m)
     p(w | v) = (c(v w) + m p(w)) / (c(v) + m)
 
 Background counts enter as the share that a sample of the target's size would
@@ -16,20 +16,21 @@ tokens of target loss minus background loss, in bits: the lower, the more it is
 like the target.
 
 1. Each task takes documents in chunks of some ``CHUNK_TOKENS`` tokens and writes a
-   chunk's words once and its tokens as places among these.
+   chunk's words once and its tokens as places among these. No text is shuffled: ids
+   alone are joined with the targets, and a chunk gets the places of its targets.
 2. A chunk's bigrams and words are its entries, with counts: a frequent one is one
    entry a chunk, however often it occurs. They are dealt by ranges of their hashes
    into as many parts as the corpus asks for; a part adds up the counts of all chunks
    and returns to each the sums of entries that other chunks have as well. The
    counts of all others are the chunk's own.
 3. Each chunk takes the losses of its tokens from these counts and adds them up for
-   its documents. What is counted and returned grows with the corpus; only three
+   its documents. What is counted and returned grows with the corpus; only two
    totals go to the driver.
 
 Words and bigrams are compared by 64-bit hashes. A null text counts as empty (the end
 token only); null ids are background and are scored; repeated documents are counted and
 scored one by one, and a target id at several documents makes all of them targets;
-without target words both models are uniform and scores are 0; extra columns are
+without target documents both models are q and scores are 0; extra columns are
 ignored; an empty table gives an empty result.
 """
 
@@ -83,7 +84,7 @@ class Chunk:
     def __init__(self, words: np.ndarray, token: np.ndarray, n: np.ndarray, target: np.ndarray):
         self.words, self.token = words, token
         self.before = np.concatenate([[np.searchsorted(words, END)], token[:-1]])
-        one = _spread(words.view(np.uint64))
+        one = _spread(words)
         # the end token's hash is 0, so a bigram is mixed once more, lest it be its other word's
         two = _spread((one[self.before] << np.uint64(1) | one[self.before] >> np.uint64(63)) ^ one[token] ^ PAIR)
         self.entries, code = np.unique(np.concatenate([two, one]), return_inverse=True)
@@ -96,8 +97,10 @@ class Chunk:
 
     @classmethod
     def of_row(cls, row: dict) -> "Chunk":
-        return cls(np.array(row["words"], np.int64), unpacked(row["tokens"]).astype(np.int64),
-                   np.array(row["n_tokens"], np.int64), np.array(row["target"], bool))
+        n = np.array(row["n_tokens"], np.int64)
+        target = np.zeros(len(n), bool)
+        target[np.array(row["places"] or [], np.int64)] = True
+        return cls(np.cumsum(unpacked(row["words"]), dtype=np.uint64), unpacked(row["tokens"]).astype(np.int64), n, target)
 
     def parts(self, n_parts: int) -> np.ndarray:
         """The part of each entry, rising as the entries do."""
@@ -109,25 +112,23 @@ def _one(values, kind: pa.DataType) -> pa.Array:
 
 
 def chunked(docs: DataFrame) -> DataFrame:
-    """One row per chunk of ``docs(id, words array<long>, target boolean)``: its
-    documents' ``ids, n_tokens, target``, their ``tokens``, distinct ``words``, and
-    the tokens of all documents (``background``) and of targets (``targets``)."""
+    """One row per chunk of ``docs(id, words array<long>)``: its documents' ``ids``
+    and ``n_tokens``, their ``tokens``, and the distinct ``words``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         no, held, size = TaskContext.get().partitionId() << 32, [], 0
 
         def close() -> pa.RecordBatch:
             rows = pa.Table.from_batches(held)
-            ids, texts, target = (pa.concat_arrays(rows[c].chunks) for c in range(3))
+            ids, texts = (pa.concat_arrays(rows[c].chunks) for c in range(2))
             n = texts.value_lengths().to_numpy().astype(np.int64) + 1
-            token, inside = np.full(n.sum(), END, np.int64), np.ones(n.sum(), bool)
+            token, inside = np.full(n.sum(), END, np.uint64), np.ones(n.sum(), bool)
             inside[np.cumsum(n) - 1] = False
-            token[inside] = texts.flatten().to_numpy()
+            token[inside] = texts.flatten().to_numpy().view(np.uint64)
             words, token = np.unique(token, return_inverse=True)
             return pa.RecordBatch.from_pydict({
                 "chunk": pa.array([no], pa.int64()), "ids": _one(ids, ids.type), "n_tokens": _one(n, pa.int64()),
-                "target": _one(target, pa.bool_()), "tokens": pa.array([packed(token)], pa.binary()),
-                "words": _one(words, pa.int64()), "background": pa.array([n.sum()], pa.int64()),
-                "targets": pa.array([n[target.to_numpy(zero_copy_only=False)].sum()], pa.int64())})
+                "tokens": pa.array([packed(token)], pa.binary()),
+                "words": pa.array([packed(np.diff(words, prepend=np.uint64(0)))], pa.binary())})
 
         for batch in batches:
             until = np.cumsum(batch.column(1).value_lengths().to_numpy(zero_copy_only=False) + 1, dtype=np.int64)
@@ -144,9 +145,17 @@ def chunked(docs: DataFrame) -> DataFrame:
             yield close()
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "words", "target").mapInArrow(
-        run, f"chunk long, ids array<{kind}>, n_tokens array<long>, target array<boolean>, tokens binary, "
-             "words array<long>, background long, targets long")
+    return docs.select("id", "words").mapInArrow(
+        run, f"chunk long, ids array<{kind}>, n_tokens array<long>, tokens binary, words binary")
+
+
+def target_places(chunks: DataFrame, targets: DataFrame) -> DataFrame:
+    """``chunk, places``: the places of target documents (``targets(id)``) within
+    their chunk, and ``n_target``, their tokens."""
+    ids = chunks.select("chunk", F.posexplode(F.arrays_zip("ids", "n_tokens")).alias("place", "x")).select(
+        "chunk", "place", F.col("x.ids").alias("id"), F.col("x.n_tokens").alias("n"))
+    return (ids.where("id IS NOT NULL").join(targets, "id", "left_semi").groupBy("chunk")
+            .agg(F.collect_list("place").alias("places"), F.sum("n").alias("n_target")))
 
 
 def shared_counts(chunks: DataFrame, n_parts: int) -> DataFrame:
@@ -178,7 +187,7 @@ def shared_counts(chunks: DataFrame, n_parts: int) -> DataFrame:
                 out[c].append(packed(total[code[i:j][place]]))
         return pa.table({"chunk": rows["chunk"], "part": rows["part"], **{c: pa.array(x, pa.binary()) for c, x in out.items()}})
 
-    return (chunks.select("chunk", "words", "tokens", "n_tokens", "target")
+    return (chunks.select("chunk", "words", "tokens", "n_tokens", "places")
             .mapInArrow(deal, "part int, chunk long, entries binary, background binary, target binary")
             .groupBy("part").applyInArrow(add, "chunk long, part int, places binary, background binary, target binary"))
 
@@ -189,21 +198,15 @@ def score_documents(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id",
     ``targets(id_col)`` names the target documents."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    # rows without an id match nothing and are spread by their texts
-    spread = F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(F.lit(0))
-    chosen = targets.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct().select(
-        F.col("id").alias("wanted"), F.lit(0).cast("long").alias("at"), F.lit(True).alias("target"))
-    flagged = rows.withColumn("spread", spread).join(
-        chosen, (F.col("id") == F.col("wanted")) & (F.col("spread") == F.col("at")), "left").select(
-        "id", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"),
-        F.coalesce("target", F.lit(False)).alias("target"))
-    chunks = materialize(chunked(flagged), "chunks")
-    total = chunks.agg(F.coalesce(F.sum("background"), F.lit(0)).alias("background"),
-                       F.coalesce(F.sum("targets"), F.lit(0)).alias("target")).first()
-    vocabulary = chunks.select(F.explode("words").alias("word")).distinct().count()
-    n_parts = max(partitions(docs.sparkSession), total.background // PART_TOKENS + 1)
-    size = [total.background, total.target]
-    share = [total.target / max(total.background, 1), 1.0]
+    chunks = materialize(chunked(rows.select("id", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"))),
+                         "chunks")
+    chosen = targets.select(F.col(id_col).alias("id")).where("id IS NOT NULL").distinct()
+    places = materialize(target_places(chunks, chosen), "target-places")
+    n_all = chunks.agg(F.sum(F.aggregate("n_tokens", F.lit(0).cast("long"), lambda x, n: x + n))).first()[0] or 0
+    n_target = places.agg(F.sum("n_target")).first()[0] or 0
+    n_parts = max(partitions(docs.sparkSession), n_all // PART_TOKENS + 1)
+    share, size = [n_target / max(n_all, 1), 1.0], [n_all, n_target]
+    marked = chunks.join(places.select("chunk", "places"), "chunk", "left")
 
     def score(own: pa.Table, sums: pa.Table) -> pa.Table:
         own = own.combine_chunks()
@@ -214,17 +217,17 @@ def score_documents(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id",
             place = begin[part["part"]] + np.cumsum(unpacked(part["places"])).astype(np.int64)
             for count, c in zip(chunk.counts, ("background", "target")):
                 count[place] = unpacked(part[c])
-        loss = []
-        for count, s, words_in_all in zip(chunk.counts, share, size):
+        loss, base = [], chunk.counts[0][chunk.single] / n_all
+        for count, s, tokens in zip(chunk.counts, share, size):
             # every token also stands before one: a word's count is its count as a context too
             single = s * count[chunk.single]
-            one = (single + prior / vocabulary) / (s * words_in_all + prior)
+            one = (single + prior * base) / (s * tokens + prior)
             p = (s * count[chunk.pair] + prior * one[chunk.token]) / (single[chunk.before] + prior)
             loss.append(-np.add.reduceat(np.log2(p), np.cumsum(n) - n) / n)
         return pa.table({"id": pa.concat_arrays(own["ids"].chunks).flatten(), "n_tokens": n, "target_loss": loss[1],
                          "background_loss": loss[0], "score": loss[1] - loss[0]})
 
-    return (chunks.drop("background", "targets").groupBy("chunk").cogroup(shared_counts(chunks, n_parts).groupBy("chunk"))
+    return (marked.groupBy("chunk").cogroup(shared_counts(marked, n_parts).groupBy("chunk"))
             .applyInArrow(score, f"id {kind}, n_tokens long, target_loss double, background_loss double, score double")
             .withColumnRenamed("id", id_col))
 

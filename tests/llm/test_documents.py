@@ -192,8 +192,8 @@ def brute_losses(rows, targets, prior=lm_score.PRIOR):
     share = [sizes[1] / sizes[0], 1.0]
 
     def loss(kind, v, w):
-        s, vocabulary = share[kind], len(singles[0])
-        one = (s * singles[kind][w] + prior / vocabulary) / (s * sizes[kind] + prior)
+        s, base = share[kind], singles[0][w] / sizes[0]
+        one = (s * singles[kind][w] + prior * base) / (s * sizes[kind] + prior)
         return -log2((s * pairs[kind][v, w] + prior * one) / (s * singles[kind][v] + prior))
 
     return [(len(g), *(sum(loss(k, *x) for x in g) / len(g) for k in (1, 0))) for g in grams]
