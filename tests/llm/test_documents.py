@@ -64,18 +64,6 @@ def test_decontamination_brute_force(spark, docs_of, odd_rows):
     assert decontaminate.contamination(docs.limit(0), bench).count() == 0
 
 
-def test_a_common_phrase_is_not_joined_with_every_item(spark, docs_of, monkeypatch):
-    """A phrase of all items and all documents is no window's rarest shingle."""
-    phrase, seen = "one phrase that stands in everything here", {}
-    keep = decontaminate.materialize
-    monkeypatch.setattr(decontaminate, "materialize", lambda df, name: seen.setdefault(name, keep(df, name)))
-    bench = spark.createDataFrame([(f"i{k}", f"a{k} b{k} {phrase} c{k} d{k}") for k in range(60)], "item_id string, text string")
-    docs = docs_of([(k, f"x{k} {phrase} y{k}") for k in range(200)] + [(900, f"z a7 b7 {phrase} c7 d7"), (901, phrase)])
-    found = decontaminate.contamination(docs, bench).where("contaminated").collect()
-    assert [(r.doc_id, r["items"], r.n_hit) for r in found] == [(900, ["i7"], 11)]
-    assert seen["aligned"].count() <= 4
-
-
 # ---- quality
 
 def test_quality_held_out(spark, sf_dir):
