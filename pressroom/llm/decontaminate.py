@@ -5,19 +5,21 @@ its runs of ``window`` words; an item of fewer words is one window. A document
 word inside any exact occurrence of a window is a hit.
 
 1. A window is the set of its word shingles (``shingle`` words; a shorter window
-   is one shingle). Every occurrence of an item shingle in a document is found by
-   an equi-join on its hash, checked on the words themselves.
-2. These occurrences give each shingle's frequency over all documents. A window
-   holding a shingle that never occurs can't occur; of the others only the rarest
-   shingle is looked up: containment of the whole window needs that one, so a
-   prefix of one token is enough.
-3. A looked-up occurrence fixes the alignment of item and document. The length
-   bound asks that the window lies inside the document, the positional bound that
-   all its shingles stand at this alignment.
-4. Windows whose shingles all do are exact occurrences, as consecutive shingles
-   overlap in all but one word.
-
-Only DataFrame functions run. Item tables are broadcast by Catalyst below the
+   is one shingle). One pass over the documents finds where item shingles occur
+   (an equi-join on the hash, checked on the words), a row for each place.
+2. These places give each shingle's frequency, and shingles are ordered by it. A
+   window holding one that never occurs can't occur; of the others only the rarest
+   shingle's places are joined with the window: containment of the whole window
+   needs that one, so a prefix of one token is enough.
+3. A joined place fixes where in the document the window would begin. The length
+   bound asks that the document has room for it before that place.
+4. At this alignment each shingle of the window is looked up at the one place where
+   it must stand (positional bound). Windows whose shingles all do are exact
+   occurrences, as consecutive shingles overlap in all but one word.
+
+A phrase of many items and many documents is no row per pair of them: it is joined
+only where it is a window's rarest shingle, and equal windows of several items are
+one. Only DataFrame functions run. Item tables are broadcast by Catalyst below the
 session's threshold and shuffled beyond it. Documents are keyed by a digest of
 id and text, so neither a repeated id nor a null id mixes rows.
 
@@ -74,7 +76,7 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     texts = docs.select(_key(id_col, text_col).alias("key"), words(F.col(text_col)).alias("words"))
     own = found = None
     for g in sizes:
-        mine = _shingles(known.where(F.col("g") == g), g, ["item", "g"])
+        mine = _shingles(known.where(F.col("g") == g), g, ["item", "g", "n", "len"])
         own = mine if own is None else own.unionByName(mine)
         wanted = mine.select("hash", F.col("shingle").alias("wanted")).distinct()
         at = (_shingles(texts, g, ["key"]).join(wanted, "hash").where("shingle = wanted")
@@ -83,35 +85,32 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     if own is None:
         return docs.sparkSession.createDataFrame([], "key string, item_id string, start int, len int")
     found = materialize(found.distinct(), "occurrences")
-    own = materialize(own.select("item", "g", F.col("pos").alias("at"), "shingle"), "item_shingles")
-
-    # rarest shingle of each window; windows with a shingle that never occurs drop out
-    counts = found.groupBy("g", "shingle").agg(F.count(F.lit(1)).alias("n_docs"))
-    ranked = own.join(counts, ["g", "shingle"], "left").groupBy("item").agg(
-        F.map_from_entries(F.collect_list(F.struct("at", F.struct(
-            F.coalesce("n_docs", F.lit(0)).alias("n_docs"), "shingle", "at").alias("r")))).alias("ranks"))
-    begins = known.select("item", "item_id", "n", "len", "g",
-                          F.explode(F.sequence(F.lit(0), F.col("n") - F.col("len"))).alias("begin"))
-    prefix = (begins.join(ranked, "item").select(
-        "item", "begin", "len", F.array_min(F.transform(
-            F.sequence(F.col("begin"), F.col("begin") + F.col("len") - F.col("g")),
-            lambda i: F.element_at("ranks", i))).alias("r"))
-        .where("r.n_docs > 0").select("item", F.col("r.at").alias("at"), F.col("r.shingle").alias("shingle")).distinct())
-
-    lookup = prefix.join(known.select("item", "g"), "item")
-    aligned = (found.join(lookup, ["g", "shingle"])
-               .select("key", "item", (F.col("pos") - F.col("at")).alias("diag")).distinct())
-    # all shingles at that alignment
-    there = (found.join(own, ["g", "shingle"]).select("key", "item", (F.col("pos") - F.col("at")).alias("diag"), "at")
-             .join(aligned, ["key", "item", "diag"], "left_semi")
-             .groupBy("key", "item", "diag").agg(F.collect_set("at").alias("at")))
-    whole = there.join(known.select("item", "item_id", "n", "len", "g"), "item").select(
-        "key", "item_id", "diag", "len", F.filter(
-            F.sequence(F.lit(0), F.col("n") - F.col("len")),
-            lambda b: F.size(F.array_intersect("at", F.sequence(b, b + F.col("len") - F.col("g"))))
-            == F.col("len") - F.col("g") + 1).alias("begins"))
-    return whole.select("key", "item_id", "len", F.explode("begins").alias("begin"), "diag").select(
-        "key", "item_id", (F.col("diag") + F.col("begin")).alias("start"), "len")
+    counts = found.groupBy("g", "shingle").agg(F.count(F.lit(1)).alias("n_found"))
+
+    # the rarest shingle of each window, which begins at most len - g words before it
+    ranked = (own.join(counts, ["g", "shingle"], "left").select(
+        "item", "g", "len", F.struct(F.coalesce("n_found", F.lit(0)).alias("n_found"), "shingle", F.col("pos").alias("at")).alias("r"),
+        F.explode(F.sequence(F.greatest(F.col("pos") - F.col("len") + F.col("g"), F.lit(0)),
+                             F.least("pos", F.col("n") - F.col("len")))).alias("begin"))
+        .groupBy("item", "g", "len", "begin").agg(F.min("r").alias("r")).where("r.n_found > 0"))
+    windows = known.select("item", "item_id", "words").join(ranked, "item").select(
+        "g", "item_id", "len", F.col("r.shingle").alias("shingle"), (F.col("r.at") - F.col("begin")).alias("before"),
+        F.slice("words", F.col("begin") + 1, F.col("len")).alias("words"))
+    windows = materialize(windows.groupBy("g", "shingle", "len", "before", "words").agg(
+        F.collect_set("item_id").alias("items")).withColumn("win", F.md5(F.array_join("words", " "))), "windows")
+
+    aligned = materialize(
+        found.join(windows.select("g", "shingle", "before", "win"), ["g", "shingle"])
+        .select("key", "g", "win", (F.col("pos") - F.col("before")).alias("start")).where("start >= 0").distinct(), "aligned")
+    parts = windows.select("win", "g", "len", F.posexplode(F.transform(
+        F.sequence(F.lit(1), F.col("len") - F.col("g") + 1),
+        lambda i: F.array_join(F.slice("words", i, F.col("g")), " "))).alias("step", "shingle"))
+    whole = (aligned.join(parts, ["win", "g"]).withColumn("pos", F.col("start") + F.col("step"))
+             .join(found, ["key", "g", "pos", "shingle"])
+             .groupBy("key", "g", "len", "win", "start").agg(F.count(F.lit(1)).alias("n_found"))
+             .where("n_found = len - g + 1"))
+    return whole.join(windows.select("win", "items"), "win").select(
+        "key", F.explode("items").alias("item_id"), "start", "len")
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
