@@ -13,14 +13,16 @@ squared distance of d^2 times a chi-square variable of ``DIMS`` degrees.
 3. Each query searches its own cell first. The k-th best distance found bounds
    the rest: a further cell is searched only if its projected distance passes the
    chi-square test below.
-4. Within a cell a kd-tree has the projected points in small leaves. A query
-   verifies leaves by rising projected distance with true cosines, until the next
-   one fails the test: at ``CONFIDENCE`` no unseen vector nearer than the k-th
-   found has a projection that far away.
+4. Within a cell a kd-tree has the projected points in small leaves. Of the leaves
+   whose boxes pass the test, a query verifies rows one by one by rising projected
+   distance with true cosines, until the next row fails the test: at ``CONFIDENCE``
+   a vector nearer than the k-th found has no projection that far away.
 
-Cells are dealt over tasks with the queries routed to them; queries are a stated
-set and meet rows in blocks. Nothing but the sample's projections reaches the
-driver.
+The tree has no more cells than the sample can tell apart (``MAX_CELLS``). A cell
+of more than ``BLOCK_ROWS`` rows is dealt into blocks by a hash, each with its own
+kd-tree, and the queries of a cell into blocks of ``QUERY_ROWS``; a task holds one
+block of each, whatever the size of the table or of one cell. Nothing but the
+sample's projections reaches the driver.
 
 Vectors that are null, empty, zero or hold null or non-finite components, and
 rows with a null id, take no part; vectors are compared with those of their own
@@ -40,12 +42,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pressroom.llm.common import materialize, read
 
-DIMS = 8            # even: the chi-square distribution then has a closed form
+DIMS = 16           # even: the chi-square distribution then has a closed form
 CONFIDENCE = 0.98
 SAMPLE = 20_000
 CELL_ROWS = 4096
 MAX_CELLS = 1024
+BLOCK_ROWS = 8192
+QUERY_ROWS = 16384
 LEAF = 32
+STEP = 16
 SEED = 5
 QUERY_BATCH = 256
 
@@ -127,32 +132,44 @@ def _leaves(points: np.ndarray, size: int) -> list[np.ndarray]:
 
 
 class Block:
-    """The index of one cell: unit vectors in leaf order, with each leaf's box."""
+    """The index of a block of one cell: unit vectors and projections in leaf
+    order, with each leaf's box; ``verified`` counts the rows compared."""
 
     def __init__(self, vectors: np.ndarray):
         vectors = unit(vectors)
         points = project(vectors)
         leaves = _leaves(points, LEAF)
         self.order = np.concatenate(leaves)
-        self.vectors = vectors[self.order]
-        self.ends = np.cumsum([len(x) for x in leaves])
+        self.vectors, self.points = vectors[self.order], points[self.order]
+        self.sizes = np.array([len(x) for x in leaves])
         self.low = np.stack([points[x].min(0) for x in leaves])
         self.high = np.stack([points[x].max(0) for x in leaves])
+        self.verified = 0
 
     def search(self, query: np.ndarray, point: np.ndarray, found: np.ndarray, keep: int, test: float):
         """Row numbers and cosines of verified rows that may be among the best
         ``keep``; ``found`` holds cosines known from elsewhere."""
-        gap = np.maximum(np.maximum(self.low - point, point - self.high), 0)
-        far = (gap * gap).sum(axis=1)
-        rows, cosines, best = [], [], found
-        for leaf in np.argsort(far, kind="stable"):
-            if len(best) >= keep and far[leaf] > test * max(2 - 2 * best[keep - 1], 0) + 1e-12:
-                break
-            at = slice(self.ends[leaf] - self._size(leaf), self.ends[leaf])
-            cos = self.vectors[at] @ query
-            rows.append(self.order[at])
+        def bound(best: np.ndarray) -> float:
+            return test * max(2 - 2 * best[keep - 1], 0) + 1e-12 if len(best) >= keep else math.inf
+
+        best, limit = found, bound(found)
+        near = np.arange(len(self.order))
+        if limit < math.inf:
+            gap = np.maximum(np.maximum(self.low - point, point - self.high), 0)
+            near = np.flatnonzero(np.repeat((gap * gap).sum(axis=1) <= limit, self.sizes))
+        far = self.points[near] - point
+        far = np.einsum("ij,ij->i", far, far)
+        near, far = near[far <= limit], far[far <= limit]
+        rising = np.argsort(far, kind="stable")
+        near, far = near[rising], far[rising]
+        rows, cosines, at, step = [], [], 0, STEP
+        while (end := min(at + step, int(np.searchsorted(far, limit, side="right")))) > at:
+            cos = self.vectors[near[at:end]] @ query
+            rows.append(self.order[near[at:end]])
             cosines.append(cos)
             best = -np.sort(-np.concatenate([best, cos]))[:keep]
+            limit, at, step = bound(best), end, min(2 * step, 16 * STEP)
+        self.verified += at
         if not rows:
             return np.zeros(0, dtype=np.int64), np.zeros(0)
         rows, cosines = np.concatenate(rows), np.concatenate(cosines)
@@ -160,9 +177,6 @@ class Block:
         ok = cosines >= (best[keep - 1] - 1e-9 if len(best) >= keep else -2)
         return rows[ok], cosines[ok]
 
-    def _size(self, leaf: int) -> int:
-        return int(self.ends[leaf] - (self.ends[leaf - 1] if leaf else 0))
-
 
 def cosine(a: np.ndarray, b: np.ndarray) -> float:
     """Cosine of two original vectors in double precision."""
@@ -181,9 +195,31 @@ def usable(vec: Column) -> Column:
 _FOUND = "query_id long, vec_id long, score double"
 
 
+def _dealt(index: DataFrame, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``row_block`` and ``query_block`` numbers within each cell,
+    every block of a cell's rows meeting every block of its queries once."""
+    def blocks(rows: DataFrame, most: int, name: str) -> DataFrame:
+        return rows.groupBy("size", "cell").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias(name))
+
+    # a row per cell
+    counts = materialize(blocks(index, BLOCK_ROWS, "row_blocks").join(
+        blocks(queries, QUERY_ROWS, "query_blocks"), ["size", "cell"]), "cells")
+
+    def dealt(rows: DataFrame, key: Column, own: str, other: str) -> DataFrame:
+        return (rows.join(counts, ["size", "cell"])
+                .withColumn(f"{own}_block", F.pmod(F.xxhash64(key), F.col(f"{own}_blocks")).cast("int"))
+                .withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)))
+                .drop("row_blocks", "query_blocks"))
+
+    return (dealt(index, F.col("ids")[0], "row", "query"), dealt(queries, F.col("query_id"), "query", "row"))
+
+
 def _search(index: DataFrame, queries: DataFrame, keep: int, test: float) -> DataFrame:
     """Best rows of each query in the cells that it is routed to. ``index(size,
     cell, ids, vec)``, ``queries(size, cell, query_id, vec, known)``."""
+    index, queries = _dealt(index, queries)
+    by = ["size", "cell", "row_block", "query_block"]
+
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
@@ -206,7 +242,7 @@ def _search(index: DataFrame, queries: DataFrame, keep: int, test: float) -> Dat
                 out += [(q, i, c) for c, i in got]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    return queries.groupBy("size", "cell").cogroup(index.groupBy("size", "cell")).applyInPandas(
+    return queries.groupBy(*by).cogroup(index.groupBy(*by)).applyInPandas(
         lambda a, b: run(b, a), _FOUND)
 
 
@@ -253,7 +289,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
                     which, cells = np.nonzero(open_)
                     yield some.iloc[which].assign(cell=cells)
 
-    index = distinct.mapInPandas(place, f"{_ddl(distinct)}, cell long")
+    index = materialize(distinct.mapInPandas(place, f"{_ddl(distinct)}, cell long"), "index")
     asked = rows.where("is_query").select(F.col("id").alias("query_id"), "vec").distinct().withColumn("size", F.size("vec"))
     own = materialize(asked.mapInPandas(place, f"{_ddl(asked)}, cell long"), "queries")
     none = F.array().cast("array<double>")

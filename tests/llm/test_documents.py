@@ -452,6 +452,44 @@ def test_neighbours_recall(spark, sf_dir, monkeypatch):
     assert hits / total >= 0.9
 
 
+def clustered(n=20_000, groups=400, size=128):
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((groups, size))
+    return centres[np.arange(n) % groups] + 0.3 * rng.standard_normal((n, size))
+
+
+def test_neighbours_verify_few_rows_of_clusters():
+    x = neighbours.unit(clustered())
+    block, points = neighbours.Block(x), neighbours.project(x)
+    test = neighbours.chi_square_quantile(neighbours.CONFIDENCE, neighbours.DIMS)
+    hits, asked = 0, range(0, len(x), 100)
+    for q in asked:
+        rows, cosines = block.search(x[q], points[q], np.zeros(0), 6, test)
+        got = rows[np.argsort(-cosines)][:6]
+        hits += len(set(got) & set(np.argsort(-(x @ x[q]))[:6])) - 1
+    assert hits / (5 * len(asked)) >= 0.9
+    assert block.verified / (len(asked) * len(x)) < 0.2
+
+
+def test_neighbours_of_dealt_cells(spark, monkeypatch):
+    """Overfull cells and many queries of one cell, in blocks."""
+    monkeypatch.setattr(neighbours, "MAX_CELLS", 2)
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 50)
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 90)
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 30)
+    x = clustered(1000, 20, 16)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    out = neighbours.nearest(df, F.col("vec_id") % 5 == 0, confidence=0.999999).collect()
+    got = {(r.query_id, r["rank"]): r.vec_id for r in out}
+    u = neighbours.unit(x)
+    want = {}
+    for q in range(0, 1000, 5):
+        s = u @ u[q]
+        s[q] = -2
+        want.update({(q, k + 1): int(i) for k, i in enumerate(np.argsort(-s)[:5])})
+    assert got == want
+
+
 def test_plain_split_agrees_with_the_property_classes():
     import unicodedata
 
