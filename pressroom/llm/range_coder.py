@@ -24,12 +24,12 @@ import numpy as np
 
 MAGIC = b"CMX1"
 HEAD = "<4sIIIII"
-LANES, STEPS = 4096, 64
+LANES, STEPS = 4096, 256     # long enough for the higher orders to learn from the block
 BLOCK_IDS = LANES * STEPS
 U = np.uint64
 TOP, BOT, LOW32 = U(1 << 48), U(1 << 32), U((1 << 32) - 1)
 SHIFT, WORD = U(16), U(48)
-SLOTS = 1 << 17
+SLOTS = 1 << 18
 GAIN, FLAG_GAIN, FLAG_LIMIT = 32, 8, 1 << 16
 
 
@@ -71,7 +71,7 @@ class _Model:
     def update(self, ids: np.ndarray, flag: np.ndarray) -> None:
         n = self.n
         np.add.at(self.counts, ids, GAIN)
-        np.add.at(self.flags, (self.ctx, flag), FLAG_GAIN)
+        self.flags += FLAG_GAIN * np.bincount(self.ctx * 3 + flag, minlength=self.flags.size).reshape(self.flags.shape)
         high = self.flags.sum(axis=1) > FLAG_LIMIT
         self.flags[high] = (self.flags[high] + 1) >> 1
         for table, sure, at, seen, c in ((self.second, self.sure2, self.slot, self.p2, self.c2),
@@ -96,14 +96,14 @@ def _shape(n: int) -> tuple[int, int, np.ndarray]:
 
 
 def _settle(coder, lanes, low: np.ndarray, rng: np.ndarray):
-    """Store the registers of ``lanes`` and return those (lanes, low, range) that
+    """Store the registers of ``lanes`` (numbers, or a slice from 0) and return those (lanes, low, range) that
     have a word to shift out: its bits are settled, or the range is cut short so
     that they are."""
     coder.low[lanes], coder.range[lanes] = low, rng
     same = (low ^ (low + rng)) < TOP
     out = np.flatnonzero(same | (rng < BOT))
     low, rng = low[out], np.where(same[out], rng[out], (U(0) - low[out]) & LOW32)
-    return lanes[out], low, rng
+    return out if isinstance(lanes, slice) else lanes[out], low, rng
 
 
 class _Encoder:
@@ -173,13 +173,13 @@ def encode_ids(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
     grid[:n] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
     vocab = int(ids.max()) + 1
-    model, coder, every = _Model(vocab, lanes), _Encoder(lanes, steps), np.arange(lanes)
+    model, coder = _Model(vocab, lanes), _Encoder(lanes, steps)
     for t in range(steps):
         a = int(active[t])
         x = grid[t, :a]
         model.look(a)
         flag = model.flag_of(x)
-        coder.put(every[:a], *model.flag_span(flag))
+        coder.put(slice(0, a), *model.flag_span(flag))
         rest = np.flatnonzero(flag == 2)
         if len(rest):
             coder.put(rest, *model.id_span(x[rest]))
@@ -192,15 +192,15 @@ def decode_ids(n: int, vocab: int, sizes: np.ndarray, words: np.ndarray) -> np.n
         return np.zeros(0, dtype="<u4")
     lanes, steps, active = _shape(n)
     grid = np.zeros((steps, lanes), dtype=np.int64)
-    model, coder, every = _Model(vocab, lanes), _Decoder(sizes, words), np.arange(lanes)
+    model, coder = _Model(vocab, lanes), _Decoder(sizes, words)
     for t in range(steps):
         a = int(active[t])
         model.look(a)
         below = model.flag_below[model.ctx]
-        at = coder.look(every[:a], below[:, 2].astype(U))
+        at = coder.look(slice(0, a), below[:, 2].astype(U))
         flag = (at >= below[:, 0]).astype(np.int64) + (at >= below[:, 1])
         start, size, _ = model.flag_span(flag)
-        coder.take(every[:a], start, size)
+        coder.take(slice(0, a), start, size)
         x = np.where(flag == 0, model.p2, model.p1)
         rest = np.flatnonzero(flag == 2)
         if len(rest):

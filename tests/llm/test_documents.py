@@ -399,6 +399,16 @@ def test_range_coder_compresses():
     assert len(rc.pack_block([1], [len(text)], text.astype("<u4"))) < len(text)
 
 
+def test_range_coder_beats_order_0(spark, sf_dir):
+    """The higher orders earn their place: a block is smaller than the entropy of
+    its ids' own frequencies, which no order-0 model can undercut."""
+    texts = [r.text for r in table(spark, sf_dir.replace("sf0.001", "sf0.01"), "documents").select("text").collect()]
+    raw = b"".join(tf.Pieces(tf.default_tokenizer()).encode([t or "" for t in texts]))
+    ids = np.frombuffer(raw, dtype="<u4")[:rc.BLOCK_IDS]
+    share = np.bincount(ids)[np.unique(ids)] / len(ids)
+    assert len(rc.pack_block([1], [len(ids)], ids)) * 8 / len(ids) < 0.95 * -(share * np.log2(share)).sum()
+
+
 # ---- nearest neighbours
 
 def brute_nearest(rows, k=5):
