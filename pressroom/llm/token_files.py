@@ -11,7 +11,7 @@ task.
 
 The library splits text by a fixed pattern and merges within the pieces, so a
 piece always has the same ids; a bounded cache per Python worker keeps them, and
-the library encodes only pieces that are not cached. Texts that hold an added
+the library's model merges only pieces that are not cached. Texts that hold an added
 token's string go through the library whole.
 
 A null text counts as empty (one end id); a null id sorts first; repeated
@@ -77,6 +77,10 @@ class Pieces:
         self.plain = re.compile(f"[{PLAIN}]*").fullmatch
         self.split_plain, self.split_any = re.compile(PLAIN_PATTERN).findall, regex.compile(PATTERN).findall
         self.ids: dict[str, bytes] = {}
+        # byte-level letters: visible Latin-1 characters stand for themselves, the
+        # other bytes for the characters from U+0100 on
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+        self.letters = {b: 256 + k for k, b in enumerate(sorted(set(range(256)).difference(shown)))}
 
     def split(self, text: str) -> list[str]:
         return (self.split_plain if self.plain(text) else self.split_any)(text)
@@ -84,6 +88,11 @@ class Pieces:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [self.pack(e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def merged(self, pieces: list[str]) -> list[bytes]:
+        """Ids of single pieces, by the library's model alone."""
+        merge, letters = self.library.model.tokenize, self.letters
+        return [self.pack([t.id for t in merge(x.encode().decode("latin-1").translate(letters))]) for x in pieces]
+
     @staticmethod
     def pack(ids: list[int]) -> bytes:
         numbers = array("I", ids)
@@ -100,7 +109,7 @@ class Pieces:
         if len(self.ids) > CACHE_PIECES:
             self.ids.clear()
         new = list(set().union(*split).difference(self.ids))
-        self.ids.update(zip(new, self.whole(new)))
+        self.ids.update(zip(new, self.merged(new)))
         get = self.ids.__getitem__
         return [b"".join(map(get, s)) if ok else self.whole([t])[0] for t, s, ok in zip(texts, split, plain)]
 
