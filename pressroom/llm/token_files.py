@@ -36,7 +36,7 @@ from pressroom.llm.common import partitions, read
 from pressroom.sources.staging import staging_path
 
 END_ID = 2
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 400_000      # some 80 MB a worker
 CHUNK_CHARS = 1 << 20
 #: Fixed value: the pattern that splits text before byte-level merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
