@@ -10,28 +10,28 @@ from pressroom.plans import bindings as B
 from pressroom.plans.duck import with_
 from pressroom.plans.registry import query
 from pressroom.sources.staging import staging_path
-from pressroom.sources.tables import read_table
+from pressroom.sources.tables import read_table, table_path
 from pressroom.streaming import incremental as S
 
 col = F.col
 
 
-def _doc_stream(spark, sf_dir):
-    schema = read_table(spark, sf_dir, "documents").schema
-    return S.landing_stream(spark, sf_dir, "documents.parquet", schema)
+def _stream_of(spark, sf_dir, table):
+    return S.table_stream(spark, table_path(sf_dir, table), read_table(spark, sf_dir, table).schema)
 
 
 @query("stream_ingest", "L1 K1 D6j", with_(["news"], "SELECT id, url, source, published_at FROM news"))
 def stream_ingest(spark, sf_dir):
-    articles = B.news_from(_doc_stream(spark, sf_dir))
+    schema = read_table(spark, sf_dir, "documents").schema
+    articles = B.news_from(S.landing_stream(spark, sf_dir, "documents.parquet", schema))
     log = S.upsert_ingest(spark, articles, staging_path(spark, "news-log"))
     return S.current_rows(spark, log).select("id", "url", "source", "published_at")
 
 
 @query("stream_dedupe", "L2 A5", with_(["news"], "SELECT url, source FROM news"))
 def stream_dedupe(spark, sf_dir):
-    first = B.news_from(_doc_stream(spark, sf_dir)).select("url", "source", "published_at")
-    again = B.news_from(_doc_stream(spark, sf_dir)).select("url", "source", "published_at")
+    first = B.news_from(_stream_of(spark, sf_dir, "documents")).select("url", "source", "published_at")
+    again = B.news_from(_stream_of(spark, sf_dir, "documents")).select("url", "source", "published_at")
     log = S.dedupe_ingest(spark, first.unionByName(again), staging_path(spark, "dedupe"), "url")
     return spark.read.parquet(log).select("url", "source")
 
@@ -70,9 +70,7 @@ def stream_early_stop(spark, sf_dir):
 SELECT CAST(date_trunc('week', ts) AS TIMESTAMP) AS week_start, event_type, count(*) AS n
 FROM events GROUP BY ALL""")
 def stream_weekly_counts(spark, sf_dir):
-    schema = read_table(spark, sf_dir, "events").schema
-    events = S.landing_stream(spark, sf_dir, "events.parquet", schema).withColumn(
-        "ts", col("ts").cast("timestamp_ntz"))
+    events = _stream_of(spark, sf_dir, "events").withColumn("ts", col("ts").cast("timestamp_ntz"))
     out = S.write_complete(spark, S.weekly_counts(events, "ts", "event_type"), staging_path(spark, "weekly"))
     return spark.read.parquet(out).select(utc_ntz(col("w.start")).alias("week_start"), "event_type",
                                           col("n").cast("long").alias("n"))
@@ -84,9 +82,7 @@ FROM events GROUP BY ALL
 HAVING CAST(date_trunc('week', min(ts)) AS TIMESTAMP) + INTERVAL 7 DAY
        <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""")
 def stream_weekly_final(spark, sf_dir):
-    schema = read_table(spark, sf_dir, "events").schema
-    events = S.landing_stream(spark, sf_dir, "events.parquet", schema).withColumn(
-        "ts", col("ts").cast("timestamp_ntz"))
+    events = _stream_of(spark, sf_dir, "events").withColumn("ts", col("ts").cast("timestamp_ntz"))
     out = S.write_append(spark, S.weekly_counts_final(events, "ts", "event_type", "1 day"),
                          staging_path(spark, "weekly-final"))
     return spark.read.parquet(out).select(utc_ntz(col("w.start")).alias("week_start"), "event_type",

@@ -102,3 +102,30 @@ def test_early_stop_over_files_equals_the_batch_operators(spark, tmp_path, files
     S.crawl_ingest(spark, stream_of(spark, tmp_path / "in", SCHEMA, per_batch), windows, base)
     assert spark.read.parquet(f"{base}/rows").count() == landed
     assert sorted((r.source, r.pos) for r in S.crawled(spark, base).collect()) == got
+
+
+@pytest.mark.parametrize("as_folder", [False, True])
+def test_tables_are_streamed_from_a_file_or_a_folder(spark, tmp_path, as_folder):
+    import pyarrow.parquet as pq
+
+    from pressroom.plans import bindings as B
+    from pressroom.plans import q_stream as Q
+
+    docs = spark.createDataFrame([(k, f"Title {k}\ntext", "en", f"src{k % 3}") for k in range(60)],
+                                 "doc_id long, text string, lang string, source string")
+    days = [dt.datetime(2024, 6, 1) + dt.timedelta(days=k) for k in range(60)]
+    events = spark.createDataFrame([(k, d, f"e{k % 2}") for k, d in enumerate(days)],
+                                   "event_id long, ts timestamp_ntz, event_type string")
+    for name, rows in (("documents", docs), ("events", events)):
+        at = str(tmp_path / f"{name}.parquet")
+        if as_folder:
+            rows.repartition(5).write.parquet(at)
+        else:
+            pq.write_table(rows.toArrow(), at)
+    sf_dir, news = str(tmp_path), B.news(spark, str(tmp_path))
+    found = lambda df: sorted(map(tuple, df.collect()))
+    assert found(Q.stream_dedupe(spark, sf_dir)) == found(news.select("url", "source"))
+    weekly = found(Q.stream_weekly_counts(spark, sf_dir))
+    assert sum(n for *_, n in weekly) == 60
+    last = max(days) - dt.timedelta(days=1)
+    assert found(Q.stream_weekly_final(spark, sf_dir)) == [w for w in weekly if w[0] + dt.timedelta(days=7) <= last]
