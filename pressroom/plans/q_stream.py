@@ -22,8 +22,7 @@ def _stream_of(spark, sf_dir, table):
 
 @query("stream_ingest", "L1 K1 D6j", with_(["news"], "SELECT id, url, source, published_at FROM news"))
 def stream_ingest(spark, sf_dir):
-    schema = read_table(spark, sf_dir, "documents").schema
-    articles = B.news_from(S.landing_stream(spark, sf_dir, "documents.parquet", schema))
+    articles = B.news_from(_stream_of(spark, sf_dir, "documents"))
     log = S.upsert_ingest(spark, articles, staging_path(spark, "news-log"))
     return S.current_rows(spark, log).select("id", "url", "source", "published_at")
 

@@ -124,6 +124,7 @@ def test_tables_are_streamed_from_a_file_or_a_folder(spark, tmp_path, as_folder)
             pq.write_table(rows.toArrow(), at)
     sf_dir, news = str(tmp_path), B.news(spark, str(tmp_path))
     found = lambda df: sorted(map(tuple, df.collect()))
+    assert found(Q.stream_ingest(spark, sf_dir)) == found(news.select("id", "url", "source", "published_at"))
     assert found(Q.stream_dedupe(spark, sf_dir)) == found(news.select("url", "source"))
     weekly = found(Q.stream_weekly_counts(spark, sf_dir))
     assert sum(n for *_, n in weekly) == 60
