@@ -114,3 +114,42 @@ def test_a_search_reads_the_buckets_of_candidates(spark, tmp_path):
     assert files_read(spark, again, "body") == 1
     assert [r.gram for r in spark.sql("SELECT 1").select(F.explode(X.grams(F.lit("aBcabc🙂x"))).alias("gram")).collect()] == [
         "abc", "bca", "cab", "bc🙂", "c🙂x"]
+
+
+def test_postings_hold_the_grams_of_each_row(spark, tmp_path, monkeypatch):
+    rows = [(k, "".join(chr(97 + (k * j) % 7) for j in range(k % 60)), f"Éa{k}文字列🙂z" if k % 3 else None) for k in range(300)]
+    rows += [(1000 + k, "", "".join(map(chr, range(0x4E00 + 700 * k, 0x4E00 + 700 * (k + 1))))) for k in range(20)]
+    rows.append((2000, "".join(f"{k} " for k in range(9000)), "a\0b\0c"))
+    df = spark.createDataFrame(rows, "id long, title string, body string")
+    want = {(k, t[i:i + 3]) for k, *texts in rows for t in (x.lower() for x in texts if x) for i in range(len(t) - 2)}
+    root = X.write_index(df, str(tmp_path / "s"), "id", FIELDS, 16)
+    stored = spark.read.parquet(f"{root}/postings")
+    assert stored.where("n <> size(keys)").count() == 0
+    got = [(k, r.gram) for r in stored.collect() for k in r["keys"]]
+    assert set(got) == want and len(got) == len(want)
+    # a row per gram and run of rows, not one per gram and row
+    common = sum(set(g) <= set("abcdefg") for _, g in want)
+    assert common > 1500 and stored.where("gram rlike '^[a-g]+$'").count() < 0.5 * common
+    sizes = {r.gram: r.n for r in spark.read.parquet(f"{root}/sizes").collect()}
+    assert sum(sizes.values()) == len(want)
+    # runs cut within a row, and runs of more letters than fit a number with their rows
+    import pyarrow as pa
+
+    arrow = lambda: iter(df.select("id", *[F.lower(F.coalesce(f, F.lit(""))).alias(f) for f in FIELDS]).toArrow().to_batches())
+    monkeypatch.setattr(X, "RUN_BYTES", 1000)
+    cut = pa.Table.from_batches(X._gather(arrow())).to_pylist()
+    assert {(k, r["gram"]) for r in cut for k in r["keys"]} == want and sum(r["n"] for r in cut) == len(want)
+    wide = [(k, "".join(map(chr, range(0x3400 + 3000 * k, 0x3400 + 3000 * (k + 1))))) for k in range(7)]
+    wide += [(k, f"x{k}y") for k in range(7, 1 << 18)]
+    monkeypatch.setattr(X, "RUN_BYTES", 1 << 30)
+    (some,) = pa.Table.from_pylist([{"key": k, "f0": t} for k, t in wide]).to_batches()
+    out = pa.Table.from_batches(X._gather(iter([some]))).to_pylist()
+    assert {(k, r["gram"]) for r in out for k in r["keys"]} == {(k, t[i:i + 3]) for k, t in wide for i in range(len(t) - 2)}
+
+
+@pytest.mark.parametrize("query", ["🙂xyz", "one\u00a0two", "x🙂yz"])
+def test_search_words_are_those_of_the_scan(spark, tmp_path, query):
+    df = spark.createDataFrame([(1, "🙂xyz", "x🙂yz"), (2, "two", "one"), (3, None, "other")], "id long, title string, body string")
+    root = X.write_index(df, str(tmp_path / "s"), "id", FIELDS, 4)
+    got = [r.id for r in X.search_index(spark, root, "id", query, FIELDS, 4).collect()]
+    assert got == [r.id for r in text_search(df, query, FIELDS).collect()] and len(got) == 1
