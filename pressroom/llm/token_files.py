@@ -11,7 +11,8 @@ task.
 
 The library splits text by a fixed pattern and merges within the pieces, so a
 piece always has the same ids; a bounded cache per Python worker keeps them, and
-the library's model merges only pieces that are not cached. Texts that hold an added
+the library merges only pieces that are not cached. Documents are split, and their
+ids put together, as arrays over a run of documents. Texts that hold an added
 token's string go through the library whole.
 
 A null text counts as empty (one end id); a null id sorts first; repeated
@@ -25,9 +26,11 @@ import sys
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -55,6 +58,27 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+OTHER, SPACE, LETTER, NUMBER, END = range(5)
+PLANE = 1 << 16
+
+
+def character_kinds(first: int) -> np.ndarray:
+    """The classes in ``PATTERN`` of the 2^16 code points from ``first`` on, as the
+    library's own engine has them (engines differ in the latest Unicode versions)."""
+    from tokenizers import Regex, pre_tokenizers
+
+    kinds = np.full(PLANE, OTHER, dtype=np.uint8)
+    cuts = [(kind, pre_tokenizers.Split(Regex(run), "removed", invert=True))
+            for kind, run in ((SPACE, r"\s+"), (LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"))]
+    for at in range(0, PLANE, 1 << 11):
+        if not 0xD800 <= first + at < 0xE000:
+            text = "".join(map(chr, range(first + at, first + at + (1 << 11))))
+            for kind, cut in cuts:
+                for _, (a, b) in cut.pre_tokenize_str(text):
+                    kinds[at + a:at + b] = kind
+    return kinds
+
+
 class Pieces:
     """Token ids of texts, with the ids of frequent pieces kept."""
 
@@ -76,22 +100,86 @@ class Pieces:
         self.added = [t["content"] for t in spec["added_tokens"]]
         self.plain = re.compile(f"[{PLAIN}]*").fullmatch
         self.split_plain, self.split_any = re.compile(PLAIN_PATTERN).findall, regex.compile(PATTERN).findall
-        self.ids: dict[str, bytes] = {}
+        self.kinds = character_kinds(0)     # further planes when a text has them
+        # pieces of one run of texts, and those that came again
+        self.fresh: dict[bytes, bytes] = {}
+        self.kept: dict[bytes, bytes] = {}
         # byte-level letters: visible Latin-1 characters stand for themselves, the
         # other bytes for the characters from U+0100 on
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
-        self.letters = {b: 256 + k for k, b in enumerate(sorted(set(range(256)).difference(shown)))}
+        self.letters = np.arange(256, dtype="<u4")
+        hidden = sorted(set(range(256)).difference(shown))
+        self.letters[hidden] = 256 + np.arange(len(hidden))
 
     def split(self, text: str) -> list[str]:
+        """The pieces of one text by the pattern itself. ``cuts`` gives the same for many
+        texts (but for letters that are newer than the library's)."""
         return (self.split_plain if self.plain(text) else self.split_any)(text)
 
+    def cuts(self, texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """(the texts in UTF-8, each with one more character; where pieces begin in
+        it, and its length; the places among the pieces of those characters)."""
+        joined = "\0".join(texts) + "\0"
+        ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+        data = joined.encode()
+        ascii_only = len(data) == len(joined)
+        code = np.frombuffer(data, dtype=np.uint8) if ascii_only else np.frombuffer(joined.encode("utf-32-le"), dtype="<u4")
+        while code.max() >= len(self.kinds):
+            self.kinds = np.concatenate([self.kinds, character_kinds(len(self.kinds))])
+        kind = self.kinds[code]
+        kind[ends] = END
+        n = len(kind)
+        begins = np.ones(n + 1, dtype=bool)
+        # runs of one class; a run of white space leaves its last character to what
+        # follows, which takes it in if it is a space
+        begins[1:n] = kind[1:] != kind[:-1]
+        begins[ends] = begins[ends + 1] = True
+        last = np.flatnonzero((kind[:-1] == SPACE) & (kind[1:] != SPACE) & (kind[1:] != END))
+        begins[last] = True
+        begins[last[code[last] == ord(" ")] + 1] = False
+        # 's 't 'm 'd 're 've 'll, where a piece begins with the apostrophe
+        quote = np.flatnonzero(code == ord("'"))
+        quote = quote[begins[quote] & (kind[quote + 1] == LETTER)]
+        one, two = code[quote + 1], code[np.minimum(quote + 2, n - 1)]
+        short, long = np.isin(one, [ord(c) for c in "stmd"]), np.zeros(len(quote), dtype=bool)
+        for a, b in ("re", "ve", "ll"):
+            long |= (one == ord(a)) & (two == ord(b))
+        begins[quote[short | long] + 1] = False
+        begins[quote[short] + 2] = True
+        begins[quote[long] + 3] = True
+        starts = np.flatnonzero(begins)
+        places = np.searchsorted(starts, ends)
+        if not ascii_only:
+            first = np.flatnonzero(np.frombuffer(data, dtype=np.int8) >= -64)   # each character's first byte
+            starts = np.append(first[starts[:-1]], len(data))
+        return data, starts, places
+
     def whole(self, texts: list[str]) -> list[bytes]:
         return [self.pack(e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def merged(self, pieces: list[str]) -> list[bytes]:
+    def merged(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of single pieces, by the library's model alone."""
-        merge, letters = self.library.model.tokenize, self.letters
-        return [self.pack([t.id for t in merge(x.encode().decode("latin-1").translate(letters))]) for x in pieces]
+        merge, pack = self.library.model.tokenize, self.pack
+        shown = self.letters[np.frombuffer(b"".join(pieces), dtype=np.uint8)].tobytes().decode("utf-32-le")
+        ends = list(accumulate(map(len, pieces)))
+        return [pack([t.id for t in merge(shown[a:b])]) for a, b in zip([0, *ends], ends)]
+
+    def known(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of different pieces; those that are not cached are merged."""
+        found = list(map(self.kept.get, pieces))
+        gaps, new = [k for k, ids in enumerate(found) if ids is None], []
+        for k in gaps:
+            if (ids := self.fresh.pop(pieces[k], None)) is None:
+                new.append(k)
+            else:
+                found[k] = self.kept[pieces[k]] = ids
+        merged = self.merged([pieces[k] for k in new])
+        for k, ids in zip(new, merged):
+            found[k] = self.fresh[pieces[k]] = ids
+        if len(self.fresh) + len(self.kept) > CACHE_PIECES:
+            # what came once goes; when what came again takes half, it has to come again
+            self.fresh, self.kept = (self.kept, {}) if len(self.kept) > CACHE_PIECES // 2 else ({}, self.kept)
+        return found
 
     @staticmethod
     def pack(ids: list[int]) -> bytes:
@@ -102,16 +190,21 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        if not self.by_piece:
+        if not self.by_piece or not texts:
             return self.whole(texts)
         plain = [not any(a in t for a in self.added) for t in texts]
-        split = [self.split(t) if ok else [] for t, ok in zip(texts, plain)]
-        if len(self.ids) > CACHE_PIECES:
-            self.ids.clear()
-        new = list(set().union(*split).difference(self.ids))
-        self.ids.update(zip(new, self.merged(new)))
-        get = self.ids.__getitem__
-        return [b"".join(map(get, s)) if ok else self.whole([t])[0] for t, s, ok in zip(texts, split, plain)]
+        data, starts, places = self.cuts([t if ok else "" for t, ok in zip(texts, plain)])
+        coded = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(data)]).dictionary_encode()
+        ids = self.known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.array([*map(len, ids), 0]) // 4
+        piece = np.array(coded.indices)
+        piece[places] = len(ids)    # the characters between texts have no ids
+        count = sizes[piece]
+        stop = np.cumsum(count)
+        first = (np.cumsum(sizes) - sizes)[piece] - (stop - count)
+        raw = np.frombuffer(b"".join(ids), dtype="<u4")[np.arange(stop[-1]) + np.repeat(first, count)].tobytes()
+        ends = (4 * stop[places]).tolist()
+        return [raw[a:b] if ok else self.whole([t])[0] for t, ok, a, b in zip(texts, plain, [0, *ends], ends)]
 
 
 def worker_pieces(path: str) -> Pieces:

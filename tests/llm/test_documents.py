@@ -516,3 +516,55 @@ def test_plain_split_agrees_with_the_property_classes():
     for _ in range(300):
         text = "".join(rng.choice(every + list(" \n'_s1a") * 40) for _ in range(200))
         assert re.findall(tf.PLAIN_PATTERN, text) == split(text)
+
+
+def test_pieces_agree_with_the_library():
+    """Split and put together as arrays: the library's ids on texts of odd spaces,
+    contractions and the letters that Unicode versions differ in."""
+    rng, pieces = random.Random(9), tf.Pieces(tf.default_tokenizer())
+    odd = list(" \n\t'_s1a tdmrevl'l") * 6 + list("\u2003\u3000\x1c\x1f\x85\u200b\u0301\xe9\u6587\U0001f642\u0663\xb2\u2167\u01c5\0\r\x0b\xa0\u2019\u0558\U00020000")
+    texts = ["".join(rng.choice(odd) for _ in range(rng.randrange(40))) for _ in range(2000)]
+    texts += [f"a{c} {c}b {c}{c}\n{c}'s" for c in map(chr, [*range(0xD800), *range(0xE000, 0x11000)])]
+    texts += ["", "", "a<|endoftext|>b", " ", "<|endoftext|>", "x"]
+    want = [pieces.pack(e.ids) for e in pieces.library.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):      # the second time from the cache
+        assert pieces.encode(texts) == want
+    assert pieces.encode([]) == []
+
+
+def test_pieces_cache_is_bounded(monkeypatch):
+    monkeypatch.setattr(tf, "CACHE_PIECES", 50)
+    pieces = tf.Pieces(tf.default_tokenizer())
+    for k in range(60):
+        texts = [f"the same words again and again w{k} x{k * 7} {'y' * k}", "of those"]
+        assert pieces.encode(texts) == pieces.whole(texts)
+        assert len(pieces.fresh) + len(pieces.kept) <= 50
+    assert " again".encode() in {**pieces.kept, **pieces.fresh}
+
+
+def test_pieces_cost_an_eighth_of_the_library_at_most():
+    import time
+
+    rng = random.Random(2)
+    vocabulary = ["".join(rng.choice("etaoinshrdlué") for _ in range(rng.randrange(2, 9))) for _ in range(5000)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(500)) + "." for _ in range(200)]
+    pieces = tf.Pieces(tf.default_tokenizer())
+    pieces.encode(texts)
+
+    def cost(f) -> float:
+        took = []
+        for _ in range(5):
+            began = time.process_time()
+            f(texts)
+            took.append(time.process_time() - began)
+        return min(took)
+
+    assert cost(pieces.encode) < cost(pieces.whole) / 8
+
+
+def test_range_coder_takes_any_ids():
+    rng = np.random.default_rng(4)
+    many = rng.integers(0, 1 << 32, rc.MOST_IDS + 99, dtype=np.uint64).astype("<u4")
+    for ids in (many, np.array([0, (1 << 32) - 1, 5, 5], dtype="<u4")):
+        docs, sizes, back = rc.unpack_block(rc.pack_block([1 << 60], [len(ids)], ids))
+        assert docs == [1 << 60] and (back == ids).all()
