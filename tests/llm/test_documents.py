@@ -1,11 +1,13 @@
 """Operators on documents against brute-force versions and on odd rows."""
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 from math import log2
 
 import numpy as np
+import pandas as pd
 import pytest
 import re
 
@@ -269,6 +271,82 @@ def test_substrings_brute_force(spark, docs_of, odd_rows, hot):
     assert sd.remove_repeats(docs_of(rows).limit(0)).count() == 0
 
 
+def repeats_in_process(rows, chunks, buckets, hot):
+    """The steps of ``remove_repeats`` on plain frames: the bytes of each bucket, the chunks and their marks."""
+    def by(column, frames):
+        every = pd.concat(frames)
+        return [(k, f) for k, f in every.groupby(column)]
+
+    table = pd.DataFrame([(k % chunks, i or 0, i is not None, (t or "").encode()) for k, (i, t) in enumerate(rows)],
+                         columns=["chunk", "doc_id", "known", "text"])
+    own = {k: f for k, f in table.groupby("chunk")}
+    keys = [sd._frame(sd.send_keys(k, sd.Chunk(f), buckets)) for k, f in own.items()]
+    seen = dict(by("chunk", [sd.answer_keys(f, hot) for _, f in by("bucket", keys)]))
+    pieces = [sd._frame(sd.send_pieces(k, sd.Chunk(f), seen[k], buckets)) for k, f in own.items()]
+    first = by("chunk", [sd.answer_pieces(f) for _, f in by("bucket", pieces)])
+    answers = {k: pd.concat([seen[k], *(f for c, f in first if c == k)]) for k in own}
+    marks = pd.concat([sd._frame(sd.mark_pieces(k, sd.Chunk(f), answers[k], buckets)) for k, f in own.items()])
+    sent = [f for _, f in by("bucket", [marks[marks["kind"] == sd.BYTES]])]
+    return sent, own, marks[marks["kind"] != sd.BYTES]
+
+
+def lines_between(rng, lines, texts, rows):
+    """Texts of lines that recur, each before words of its own."""
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    common = [word(70) for _ in range(lines)]
+    return [(k, "".join(rng.choice(common) + word(30) for _ in range(rows))) for k in range(texts)]
+
+
+@pytest.mark.parametrize("hot, pieces", [(sd.HOT_CHUNKS, sd.HOT_PIECES), (sd.HOT_CHUNKS, 3), (1, sd.HOT_PIECES)])
+def test_substrings_sorted_in_batches(monkeypatch, hot, pieces):
+    monkeypatch.setattr(sd, "SORT_STRINGS", 50)
+    monkeypatch.setattr(sd, "HOT_PIECES", pieces)
+    rows = lines_between(random.Random(3), 9, 40, 8)
+    rows += [(2**53 + 1, rows[3][1] + "!"), (2**53 + 3, rows[3][1] + "!"), (-(2**63), rows[5][1][:200]), (None, rows[3][1]),
+             (7, rows[3][1]), (90, "ab" * 400), (91, "ab" * 300 + "c"), (92, None), (93, "\0" * 120), (94, "\0" * 90 + "d")]
+    sent, own, marks = repeats_in_process(rows, 5, 3, hot)
+    marks = pd.concat([marks, *map(sd.sort_suffixes, sent)])
+    got = pd.concat([sd.strip(sd._ordered(f), marks[marks["chunk"] == k]) for k, f in own.items()])
+    got = [(i if known else None, n, kept) for i, known, n, kept in zip(got["doc_id"], got["known"], got["n_bytes"], got["kept"])]
+    assert sorted(map(repr, got)) == sorted(map(repr, brute_strip(rows)))
+
+
+def peak_of(run):
+    tracemalloc.start()
+    try:
+        kept = run()
+        return tracemalloc.get_traced_memory(), kept
+    finally:
+        tracemalloc.stop()
+
+
+def test_substrings_memory_of_a_chunk():
+    rng = random.Random(5)
+    texts = [bytes(rng.choices(b"abcdefghijklmnopqrstuvwxyz ", k=20_000)) for _ in range(200)]
+    frame = pd.DataFrame({"doc_id": range(200), "known": True, "text": texts})
+    (held, _), chunk = peak_of(lambda: sd.Chunk(frame))
+    assert len(chunk.keys) and held < 6 * 4_000_000
+
+
+def test_substrings_memory_of_a_bucket(monkeypatch):
+    monkeypatch.setattr(sd, "SORT_STRINGS", 20_000, raising=False)
+    sent, _, _ = repeats_in_process(lines_between(random.Random(6), 300, 20, 200), 2, 1, sd.HOT_CHUNKS)
+    (_, peak), out = peak_of(lambda: sd.sort_suffixes(sent[0]))
+    assert len(out) and peak < 20 * 400_000
+
+
+def test_substrings_chunks_follow_the_bytes(monkeypatch, spark, docs_of):
+    # a session's shuffle partitions say nothing about how much a worker can hold
+    monkeypatch.setattr(sd, "CHUNK_BYTES", 1000)
+    monkeypatch.setattr(sd, "BUCKET_BYTES", 2000)
+    rows = lines_between(random.Random(8), 5, 30, 10) + [(None, None), (40, "")]
+    docs = docs_of(rows)
+    assert sd.dealt(docs, "text") == (21, 11)
+    assert sd.dealt(docs.limit(0), "text") == (8, 8)
+    got = sd.remove_repeats(docs).collect()
+    assert sorted(map(repr, ((r.doc_id, r.n_bytes, bytes(r.kept)) for r in got))) == sorted(map(repr, brute_strip(rows)))
+
+
 def test_deep_shallow_order():
     rng = random.Random(2)
     for letters in (b"a", b"ab", b"abcdefgh"):
