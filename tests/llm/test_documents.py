@@ -341,7 +341,7 @@ def test_substrings_chunks_follow_the_bytes(monkeypatch, spark, docs_of):
     monkeypatch.setattr(sd, "BUCKET_BYTES", 2000)
     rows = lines_between(random.Random(8), 5, 30, 10) + [(None, None), (40, "")]
     docs = docs_of(rows)
-    assert sd.dealt(docs, "text") == (21, 11)
+    assert sd.dealt(docs, "text") == (30, 15)
     assert sd.dealt(docs.limit(0), "text") == (8, 8)
     got = sd.remove_repeats(docs).collect()
     assert sorted(map(repr, ((r.doc_id, r.n_bytes, bytes(r.kept)) for r in got))) == sorted(map(repr, brute_strip(rows)))
